@@ -18,19 +18,29 @@ from tessera.plans.ranking import spread
 
 def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               ngram_range: tuple[int, int] = (1, 1)) -> DataFrame:
-    """Array column ``terms``: the document's tokens and word n-grams."""
-    toks = vectorizer_tokens(text_col)
+    """Array column ``terms``: the document's tokens and word n-grams.
+
+    Tokens are materialized as a column first: n-gram lambdas then read
+    the array instead of re-running the tokenizer per position.
+    """
+    toks = docs.select(id_col, vectorizer_tokens(text_col).alias("_toks"))
     lo, hi = ngram_range
-    grams = [ngram_strings(toks, n) for n in range(lo, hi + 1)]
+    grams = [ngram_strings(F.col("_toks"), n) for n in range(lo, hi + 1)]
     terms = grams[0] if len(grams) == 1 else F.concat(*grams)
-    return docs.select(id_col, terms.alias("terms"))
+    return toks.select(id_col, terms.alias("terms"))
 
 
 def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 ngram_range: tuple[int, int] = (1, 1)) -> DataFrame:
-    """``(id, term, tf)`` raw counts per document."""
+    """``(id, term, tf)`` raw counts per document.
+
+    ``explode_outer`` + a null filter keeps Catalyst from inferring a
+    ``size(terms) > 0`` filter below the exchange, which would tokenize
+    every text twice.
+    """
     d = spread(docs.select(id_col, text_col), id_col)
-    ex = doc_terms(d, id_col, text_col, ngram_range).select(id_col, F.explode("terms").alias("term"))
+    ex = doc_terms(d, id_col, text_col, ngram_range).select(
+        id_col, F.explode_outer("terms").alias("term")).filter(F.col("term").isNotNull())
     return ex.groupBy(id_col, "term").agg(F.count("*").alias("tf"))
 
 
