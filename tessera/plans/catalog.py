@@ -1,3 +1,3 @@
 """Import every query module so that each registers its keys."""
 
-from tessera.plans import q_classify  # noqa: F401
+from tessera.plans import q_classify, q_sequences  # noqa: F401
