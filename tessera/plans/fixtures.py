@@ -90,7 +90,7 @@ def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     day_rank = Window.partitionBy("run_id").orderBy("day")
     base = ev.select(
         F.col("user_id").alias("run_id"), "event_id", "ts", "event_type",
-        F.to_date("ts").alias("day"), (F.col("value") / 100).alias("loss"),
+        F.to_date("ts").alias("day"), (F.round(F.col("value") * 100).cast("long") / 1024.0).alias("loss"),
         F.get_json_object("props", "$.k").cast("int").alias("tokens"))
     base = base.withColumn("epoch", F.dense_rank().over(day_rank).cast("int"))
     by_epoch = Window.partitionBy("run_id", "epoch").orderBy("ts", "event_id")
@@ -110,7 +110,8 @@ def epoch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
               .otherwise(0.0)).alias("val_f1"),
         F.count("*").alias("n_batches"),
         F.sum("tokens").cast("long").alias("tokens"),
-        ((F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))) / 1e6).alias("seconds"))
+        (F.unix_seconds(F.max("ts").cast("timestamp")) -
+         F.unix_seconds(F.min("ts").cast("timestamp"))).cast("double").alias("seconds"))
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +195,7 @@ SQL = {
                CAST(row_number() OVER (PARTITION BY run_id, epoch ORDER BY ts, event_id) AS INTEGER) AS micro,
                CAST(row_number() OVER (PARTITION BY run_id ORDER BY ts, event_id) AS INTEGER) AS step,
                event_id, ts, event_type, loss, tokens
-        FROM (SELECT user_id AS run_id, event_id, ts, event_type, value / 100 AS loss,
+        FROM (SELECT user_id AS run_id, event_id, ts, event_type, CAST(round(value * 100) AS BIGINT) / 1024.0 AS loss,
                      CAST(json_extract_string(props, '$.k') AS INTEGER) AS tokens,
                      CAST(dense_rank() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE)) AS INTEGER) AS epoch
               FROM events) b""",
@@ -204,7 +205,7 @@ SQL = {
                avg(loss) AS val_loss,
                avg(CASE WHEN event_type IN ('purchase', 'signup') THEN 1.0 ELSE 0.0 END) AS val_f1,
                count(*) AS n_batches, CAST(sum(tokens) AS BIGINT) AS tokens,
-               (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds
+               CAST(epoch_us(max(ts)) // 1000000 - epoch_us(min(ts)) // 1000000 AS DOUBLE) AS seconds
         FROM train_log GROUP BY run_id, epoch""",
     "samples": """
         SELECT user_id AS question_id,
@@ -255,6 +256,8 @@ def with_views(body: str, *views: str) -> str:
         return body
     ctes = ",\n".join(f"{v} AS ({SQL[v]})" for v in order)
     body = body.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

@@ -78,14 +78,14 @@ SELECT {by}count(*) AS n,
        CAST(sum(CASE WHEN gold = 1 AND pred = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
        CAST(sum(CASE WHEN gold = 0 AND pred = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
        CAST(sum(CASE WHEN gold = 1 AND pred = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
-       round(coalesce(sum(CASE WHEN gold = pred THEN 1 ELSE 0 END) / nullif(count(*), 0), 0.0), 6) AS accuracy,
-       round(coalesce(sum(CASE WHEN gold = 1 AND pred = 1 THEN 1 ELSE 0 END)
-             / nullif(sum(CASE WHEN pred = 1 THEN 1 ELSE 0 END), 0), 0.0), 6) AS precision,
-       round(coalesce(sum(CASE WHEN gold = 1 AND pred = 1 THEN 1 ELSE 0 END)
-             / nullif(sum(CASE WHEN gold = 1 THEN 1 ELSE 0 END), 0), 0.0), 6) AS recall,
-       round(coalesce(2.0 * sum(CASE WHEN gold = 1 AND pred = 1 THEN 1 ELSE 0 END)
+       floor((coalesce(sum(CASE WHEN gold = pred THEN 1 ELSE 0 END) / nullif(count(*), 0), 0.0)) * 1e6 + 0.5) / 1e6 AS accuracy,
+       floor((coalesce(sum(CASE WHEN gold = 1 AND pred = 1 THEN 1 ELSE 0 END)
+             / nullif(sum(CASE WHEN pred = 1 THEN 1 ELSE 0 END), 0), 0.0)) * 1e6 + 0.5) / 1e6 AS precision,
+       floor((coalesce(sum(CASE WHEN gold = 1 AND pred = 1 THEN 1 ELSE 0 END)
+             / nullif(sum(CASE WHEN gold = 1 THEN 1 ELSE 0 END), 0), 0.0)) * 1e6 + 0.5) / 1e6 AS recall,
+       floor((coalesce(2.0 * sum(CASE WHEN gold = 1 AND pred = 1 THEN 1 ELSE 0 END)
              / nullif(sum(CASE WHEN gold = 1 OR pred = 1 THEN 1 ELSE 0 END)
-                      + sum(CASE WHEN gold = 1 AND pred = 1 THEN 1 ELSE 0 END), 0), 0.0), 6) AS f1
+                      + sum(CASE WHEN gold = 1 AND pred = 1 THEN 1 ELSE 0 END), 0), 0.0)) * 1e6 + 0.5) / 1e6 AS f1
 FROM {src} {group}"""
 
 
@@ -176,7 +176,7 @@ def q_ngrams(spark, sf_dir):
 
 
 @register("idf_fit", _lt_sql(_with(SQL_SPLIT_DS, SQL_TFIDF) + """
-SELECT term, df, round(idf, 6) AS idf FROM idf"""))
+SELECT term, df, floor((idf) * 1e6 + 0.5) / 1e6 AS idf FROM idf"""))
 def q_idf_fit(spark, sf_dir):
     _, _, idf, _ = fitted_features(spark, sf_dir)
     return idf.select("term", "df", r6("idf").alias("idf"))
@@ -192,15 +192,15 @@ def q_topk(spark, sf_dir):
 
 
 @register("tfidf", _lt_sql(_with(SQL_SPLIT_DS, SQL_TFIDF) + """
-SELECT doc_id, term, round(x, 6) AS x FROM feat"""))
+SELECT doc_id, term, floor((x) * 1e6 + 0.5) / 1e6 AS x FROM feat"""))
 def q_tfidf(spark, sf_dir):
     _, _, _, feat = fitted_features(spark, sf_dir)
     return feat.select("doc_id", "term", r6("x").alias("x"))
 
 
 @register("lr_gd_step", _lt_sql(_with(SQL_SPLIT_DS, SQL_TFIDF, SQL_GD) + f"""
-SELECT term, round(w, 6) AS w FROM w{GD_STEPS}
-UNION ALL SELECT '<bias>' AS term, round(c, 6) AS w FROM c{GD_STEPS}"""))
+SELECT term, floor((w) * 1e6 + 0.5) / 1e6 AS w FROM w{GD_STEPS}
+UNION ALL SELECT '<bias>' AS term, floor((c) * 1e6 + 0.5) / 1e6 AS w FROM c{GD_STEPS}"""))
 def q_lr_gd_step(spark, sf_dir):
     _, _, w, c = fitted_model(spark, sf_dir)
     bias = spark.range(1).select(F.lit("<bias>").alias("term"), F.lit(c).alias("w"))
@@ -208,7 +208,7 @@ def q_lr_gd_step(spark, sf_dir):
 
 
 @register("lr_score", _lt_sql(_with(SQL_SPLIT_DS, SQL_TFIDF, SQL_GD, SQL_SCORE) + """
-SELECT doc_id, split, round(margin, 6) AS margin, pred,
+SELECT doc_id, split, floor((margin) * 1e6 + 0.5) / 1e6 AS margin, pred,
        CASE WHEN pred = 1 THEN 'Positive' ELSE 'Negative' END AS label_name FROM preds"""))
 def q_lr_score(spark, sf_dir):
     ds, feat, w, c = fitted_model(spark, sf_dir)

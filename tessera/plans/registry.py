@@ -30,5 +30,16 @@ def register(key: str, sql: str | None = None):
 
 
 def r6(c: Column | str) -> Column:
-    """Round a double to 6 places: the precision results are compared at."""
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    """Round a double to 6 places: the precision results are compared at.
+
+    ``floor(x * 1e6 + 0.5) / 1e6`` is plain IEEE arithmetic, so equal
+    doubles round equally in every engine (``round`` implementations
+    differ on ties).  The oracle SQL uses the same formula (``R6``).
+    """
+    x = F.col(c) if isinstance(c, str) else c
+    return F.when(F.abs(x) == F.lit(float("inf")), x).otherwise(F.floor(x * 1e6 + 0.5) / 1e6)
+
+
+def R6(x: str) -> str:
+    """SQL twin of ``r6``."""
+    return f"(floor(({x}) * 1e6 + 0.5) / 1e6)"
