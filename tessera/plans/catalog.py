@@ -1,3 +1,3 @@
 """Import every query module so that each registers its keys."""
 
-from tessera.plans import q_answers, q_classify, q_runs, q_sequences  # noqa: F401
+from tessera.plans import q_answers, q_classify, q_genmetrics, q_models, q_runs, q_sequences  # noqa: F401
