@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import WS, bleu_tokens, char_ngrams, meteor_tokens, ngram_strings
 from tessera.functions.text import rouge_tokens, ter_tokens
 from tessera.plans.ranking import spread
+from tessera.session import ship_package
 
 # Metric parameters of the public definitions.
 BLEU_MAX_N = 4
@@ -255,6 +256,7 @@ def rouge_lsum_pair(hyp_sents, ref_sents) -> float:
 def rouge_l(pairs: DataFrame, pred: str = "prediction", ref: str = "reference",
             key: str = "pair_id") -> DataFrame:
     """Per-pair ROUGE-L and ROUGE-Lsum F1 (Arrow-batched dynamic program)."""
+    ship_package(pairs.sparkSession)
     @F.pandas_udf("double")
     def _rl(h: pd.Series, r: pd.Series) -> pd.Series:
         return pd.Series([rouge_l_pair(list(a), list(b)) for a, b in zip(h, r)], dtype="float64")
@@ -273,6 +275,7 @@ def rouge_l(pairs: DataFrame, pred: str = "prediction", ref: str = "reference",
 def word_error_rate(pairs: DataFrame, pred: str = "prediction", ref: str = "reference",
                     key: str = "pair_id") -> DataFrame:
     """Corpus WER x 100 = sum of word edits / sum of reference words."""
+    ship_package(pairs.sparkSession)
     @F.pandas_udf("long")
     def _ed(h: pd.Series, r: pd.Series) -> pd.Series:
         return pd.Series([edit_distance(list(a), list(b)) for a, b in zip(h, r)], dtype="int64")

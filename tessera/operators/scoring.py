@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import ship_package
+
 
 def batch_score(df: DataFrame, model_factory: Callable[[], Callable[[list[str]], list[str]]],
                 input_col: str, key: str, out_col: str = "response") -> DataFrame:
@@ -25,6 +27,7 @@ def batch_score(df: DataFrame, model_factory: Callable[[], Callable[[list[str]],
     from a list of inputs to a list of outputs.  Output rows:
     ``(key, out_col, error)``.
     """
+    ship_package(df.sparkSession)
     schema = f"{key} long, {out_col} string, error string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

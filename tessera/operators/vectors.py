@@ -23,6 +23,12 @@ _PARTIAL = ("grp long, qpos long, m double, l double, n_keys long, qo double, os
             "o array<double>")
 
 
+def _empty_partials() -> pd.DataFrame:
+    f, i = np.zeros(0, dtype=np.float64), np.zeros(0, dtype=np.int64)
+    return pd.DataFrame({"grp": i, "qpos": i, "m": f, "l": f, "n_keys": i, "qo": f, "osum": f,
+                         "o": pd.Series([], dtype=object)})
+
+
 def _stack(col: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in col]) if len(col) else np.zeros((0, 0))
 
@@ -40,7 +46,7 @@ def dot_softmax_lookup(qkv: DataFrame, causal: bool = True, block: int = 1024,
 
     def cell(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if lp.empty or rp.empty:
-            return pd.DataFrame(columns=["grp", "qpos", "m", "l", "n_keys", "qo", "osum", "o"])
+            return _empty_partials()
         qm, km = _stack(lp["qvec"]), _stack(rp["kvec"])
         s = qm @ km.T / np.sqrt(qm.shape[1])
         allowed = np.ones_like(s, dtype=bool)
@@ -49,12 +55,14 @@ def dot_softmax_lookup(qkv: DataFrame, causal: bool = True, block: int = 1024,
         s = np.where(allowed, s, -np.inf)
         m = s.max(axis=1)
         keep = np.isfinite(m)
+        if not keep.any():
+            return _empty_partials()
         e = np.where(allowed[keep], np.exp(s[keep] - m[keep, None]), 0.0)
         o = e @ km
         return pd.DataFrame({
             "grp": lp["grp"].to_numpy()[keep], "qpos": lp["qpos"].to_numpy()[keep],
             "m": m[keep], "l": e.sum(axis=1), "n_keys": allowed[keep].sum(axis=1).astype(np.int64),
-            "qo": (o * qm[keep]).sum(axis=1), "osum": o.sum(axis=1), "o": list(o)})
+            "qo": (o * qm[keep]).sum(axis=1), "osum": o.sum(axis=1), "o": [row.tolist() for row in o]})
 
     parts = cogroup_cells(q, k, "grp", "qpos", "kpos", cell, _PARTIAL, block)
     mx = F.max("m").over(Window.partitionBy("grp", "qpos"))
@@ -80,7 +88,9 @@ def greedy_match_f1(tv: DataFrame, block: int = 1024) -> DataFrame:
 
     def cell(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if lp.empty or rp.empty:
-            return pd.DataFrame(columns=["pair_id", "side", "pos", "best"])
+            i = np.zeros(0, dtype=np.int64)
+            return pd.DataFrame({"pair_id": i, "side": i.astype(np.int32), "pos": i,
+                                 "best": np.zeros(0, dtype=np.float64)})
         am, bm = _stack(lp["avec"]), _stack(rp["bvec"])
         am = am / np.linalg.norm(am, axis=1, keepdims=True)
         bm = bm / np.linalg.norm(bm, axis=1, keepdims=True)

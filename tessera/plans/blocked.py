@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import ship_package
+
 
 def block_cells(left: DataFrame, right: DataFrame, group: str, left_id: str, right_id: str,
                 block: int = 1024) -> tuple[DataFrame, DataFrame]:
@@ -41,6 +43,7 @@ def block_cells(left: DataFrame, right: DataFrame, group: str, left_id: str, rig
 def cogroup_cells(left: DataFrame, right: DataFrame, group: str, left_id: str, right_id: str,
                   fn, schema: str, block: int = 1024) -> DataFrame:
     """Run ``fn(left_pdf, right_pdf) -> pdf`` once per non-empty cell."""
+    ship_package(left.sparkSession)
     lt, rt = block_cells(left, right, group, left_id, right_id, block)
     return lt.groupBy(group, "_lb", "_rb").cogroup(rt.groupBy("_rgrp", "_lb", "_rb")) \
         .applyInPandas(fn, schema)

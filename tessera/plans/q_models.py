@@ -10,6 +10,7 @@ from tessera.operators import prompts, scoring
 from tessera.operators.vectors import dot_softmax_lookup
 from tessera.plans import fixtures as fx
 from tessera.plans.registry import R6, r6, register
+from tessera.session import ship_package
 from tessera.sources.tables import read_table
 
 BEAMS = 4
@@ -71,6 +72,7 @@ def _user_tokenizer(text: str) -> list[str]:
 @register("udf_tokenizer")
 def q_udf_tokenizer(spark, sf_dir):
     """U1 (rows-only): a user tokenizer callable as an Arrow UDF over documents."""
+    ship_package(spark)
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     tok = scoring.udf_tokenizer(_user_tokenizer)
     return d.select("doc_id", F.size(tok("text")).alias("n_tokens"))

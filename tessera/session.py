@@ -44,6 +44,26 @@ def get_session(master: str | None = None, app: str = "tessera",
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in Python workers (Arrow UDFs).
+
+    Clusters ship the package with ``--py-files``; in local mode (tests,
+    notebooks) the package folder is zipped once and added here.
+    """
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED or not sc.master.startswith("local"):
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="tessera-pkg-", dir="/tmp")
+    zpath = shutil.make_archive(os.path.join(out, "tessera"), "zip", os.path.dirname(pkg), "tessera")
+    sc.addPyFile(zpath)
+    _SHIPPED.add(id(sc))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder named by ``spark.checkpoint.dir``.
 
