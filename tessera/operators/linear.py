@@ -33,28 +33,30 @@ def gd_fit(x: DataFrame, y: DataFrame, steps: int = 3, lr: float = 1.0,
 
     ``x``: ``(id, term, x)`` train features; ``y``: ``(id, label)`` for
     every train document (documents without features count in N).
+    The bias is the weight of a constant feature (term NULL, x = 1) that
+    every document carries, so margins, gradients and the update are one
+    aggregation each, joined null-safely; a step is one job (the
+    checkpoint of the new weights).
     """
     spark = x.sparkSession
     ensure_checkpoint_dir(spark)
-    xs = x.select(id_col, "term", "x").repartition(id_col).persist(StorageLevel.MEMORY_AND_DISK)
     ys = y.select(id_col, F.col("label").cast("double").alias("y"))
+    const = ys.select(id_col, F.lit(None).cast("string").alias("term"), F.lit(1.0).alias("x"))
+    xs = (x.select(id_col, "term", F.col("x").cast("double")).unionByName(const)
+          .join(ys, id_col).repartition(id_col).persist(StorageLevel.MEMORY_AND_DISK))
     n = ys.count()
-    w = xs.select("term").distinct().withColumn("w", F.lit(0.0)).checkpoint()
-    c = 0.0
+    scale = lr * 2.0 / max(n, 1)
+    w = xs.select(F.col("term").alias("wterm")).distinct().withColumn("w", F.lit(0.0)).checkpoint()
     for _ in range(steps):
-        margin = xs.join(w, "term").groupBy(id_col).agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
-        r = ys.join(margin, id_col, "left").select(
-            id_col, (sigmoid(F.coalesce("dot", F.lit(0.0)) + F.lit(c)) - F.col("y")).alias("r"))
-        r = r.persist(StorageLevel.MEMORY_AND_DISK)
-        grad = xs.join(r, id_col).groupBy("term").agg(F.sum(F.col("r") * F.col("x")).alias("g"))
-        scale = lr * 2.0 / n
-        w_new = w.join(grad, "term", "left").select(
-            "term", (F.col("w") - F.lit(scale) * F.coalesce("g", F.lit(0.0))).alias("w"))
-        c = c - scale * (r.agg(F.sum("r")).first()[0] or 0.0)
-        w = w_new.checkpoint()
-        r.unpersist()
+        j = xs.join(w, xs["term"].eqNullSafe(w["wterm"]))
+        r = j.groupBy(id_col).agg((sigmoid(F.sum(F.col("x") * F.col("w"))) - F.first("y")).alias("r"))
+        grad = xs.join(r, id_col).groupBy(F.col("term").alias("gterm")).agg(
+            F.sum(F.col("r") * F.col("x")).alias("g"))
+        w = w.join(grad, w["wterm"].eqNullSafe(grad["gterm"]), "left").select(
+            "wterm", (F.col("w") - F.lit(scale) * F.coalesce("g", F.lit(0.0))).alias("w")).checkpoint()
     xs.unpersist()
-    return w, c
+    c = w.filter(F.col("wterm").isNull()).first()["w"]
+    return w.filter(F.col("wterm").isNotNull()).withColumnRenamed("wterm", "term"), c
 
 
 def score(x: DataFrame, docs: DataFrame, weights: DataFrame, bias: float,
