@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import word_tokens
+from tessera.functions.text import WORD, word_tokens
 from tessera.operators import answers as ans
 from tessera.plans import fixtures as fx
+from tessera.plans.q_answers import LLM_SQL, gold_sql
 from tessera.plans.registry import r6, register
 from tessera.sources import ledger
 from tessera.sources.tables import read_table
@@ -35,7 +36,19 @@ def ledger_records(spark, sf_dir):
                  F.sum("seconds").over(w).alias("total_seconds")).alias("times"))
 
 
-@register("run_ledger_roundtrip")
+LEDGER_SQL = fx.with_views("""
+WITH r AS (SELECT CASE run_id % 3 WHEN 0 THEN 'bert' WHEN 1 THEN 'bilstm' ELSE 'lr' END AS model, run_id,
+                  CAST(epoch AS INTEGER) AS epoch,
+                  CAST(sum(n_batches) OVER (PARTITION BY run_id ORDER BY epoch) AS BIGINT) AS global_step,
+                  train_loss, val_loss, sum(seconds) OVER (PARTITION BY run_id ORDER BY epoch) AS total_seconds
+           FROM epoch_log)
+SELECT model, run_id, epoch, global_step, floor((train_loss) * 1e6 + 0.5) / 1e6 AS train_loss,
+       floor((val_loss) * 1e6 + 0.5) / 1e6 AS val_loss, floor((total_seconds) * 1e6 + 0.5) / 1e6 AS total_seconds,
+       '{"save_every":"3","grad_accum_steps":"4"}' AS config_json
+FROM r QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY epoch DESC) = 1""", "epoch_log")
+
+
+@register("run_ledger_roundtrip", LEDGER_SQL)
 def q_ledger(spark, sf_dir):
     """S2 + S3 (rows-only): write every epoch's record, read back, keep the latest per run."""
     path = ledger.ledger_dir(spark)
@@ -56,7 +69,15 @@ def stream_transform(df):
     return ans.llm_answer(t, "response").drop("response")
 
 
-@register("stream_rowwise")
+STREAM_SQL = ("WITH base AS (SELECT doc_id, CAST(len(regexp_extract_all(lower(text), '(" + WORD + "+)', 1)) AS INTEGER)"
+              " AS n_tokens, substr(text, 1, 50) || chr(10) || '#### ' || CAST(n_chars AS VARCHAR) AS worked,"
+              " '<think>' || substr(text, 1, 50) || '</think>' || chr(10) || 'Answer: ' || CAST(n_chars AS VARCHAR)"
+              " AS response FROM documents),\n" + LLM_SQL.replace("FROM responses", "FROM base") +
+              "\nSELECT b.doc_id, b.n_tokens, " + gold_sql("b.worked") + " AS gold, llm.llm_answer"
+              " FROM base b JOIN llm USING (doc_id)")
+
+
+@register("stream_rowwise", STREAM_SQL)
 def q_stream_rowwise(spark, sf_dir):
     """T1 + C1-C3 over ``documents`` read as a file stream (rows-only)."""
     schema = read_table(spark, sf_dir, "documents").schema

@@ -10,6 +10,9 @@ from tessera.operators import prompts, scoring
 from tessera.operators.vectors import dot_softmax_lookup
 from tessera.plans import fixtures as fx
 from tessera.plans.registry import R6, r6, register
+from tessera.plans.q_answers import LLM_SQL
+from tessera.plans.q_genmetrics import sql_split
+from tessera.plans.q_sequences import sql_lit
 from tessera.session import ship_package
 from tessera.sources.tables import read_table
 
@@ -54,7 +57,15 @@ def echo_model():
     return run
 
 
-@register("batch_score")
+BATCH_SQL = ("WITH p AS (SELECT item_id, 'Question: ' || text || chr(10) || " + sql_lit(prompts.STEP_CUE) +
+             " AS prompt FROM benchmark),\nw AS (SELECT item_id, " + sql_split("prompt") + " AS words FROM p),\n"
+             "responses AS (SELECT item_id AS doc_id, '<think>' || array_to_string(words[1:5], ' ') || '</think>' || chr(10)"
+             " || 'Counting words.' || chr(10) || 'Answer: ' || CAST(len(words) AS VARCHAR) AS response FROM w),\n"
+             + LLM_SQL + "\nSELECT r.doc_id AS item_id, r.response, CAST(NULL AS VARCHAR) AS error, llm.llm_answer"
+             " FROM responses r JOIN llm USING (doc_id)")
+
+
+@register("batch_score", BATCH_SQL)
 def q_batch_score(spark, sf_dir):
     """M3 (rows-only): zero-shot prompts over ``benchmark`` through a user
     model in ``mapInPandas``, then answer extraction (C3)."""
