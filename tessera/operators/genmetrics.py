@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import WS, bleu_tokens, char_ngrams, meteor_tokens, ngram_strings
 from tessera.functions.text import rouge_tokens, ter_tokens
-from tessera.plans.ranking import spread
+from tessera.plans.ranking import cluster
 from tessera.session import ship_package
 
 # Metric parameters of the public definitions.
@@ -44,7 +44,9 @@ def ngram_stats(pairs: DataFrame, hyp: Column, ref: Column, orders, chars: bool
     ``hyp``/``ref`` are token arrays (or strings when ``chars``).  Pairs
     with no n-gram of an order get no row for it.
     """
-    base = spread(pairs, key).select(key, hyp.alias("_h"), ref.alias("_r"))
+    # Cluster the (small) pair rows by key once; the exploded n-grams then
+    # aggregate by (key, n, gram) inside their partition, with no exchange.
+    base = cluster(pairs, key).select(key, hyp.alias("_h"), ref.alias("_r"))
     grams = []
     for n in orders:
         for side, c in ((0, "_h"), (1, "_r")):
@@ -101,7 +103,7 @@ def chrf(pairs: DataFrame, pred: str = "prediction", ref: str = "reference",
     """A10: corpus chrF (0-100): precision and recall averaged over the
     orders with both sides non-empty, then F-beta."""
     nows = lambda c: F.regexp_replace(F.col(c), WS, "")
-    base = spread(pairs, key).select(key, nows(pred).alias("_hp"), nows(ref).alias("_rp"))
+    base = pairs.select(key, nows(pred).alias("_hp"), nows(ref).alias("_rp"))
     st = ngram_stats(base, F.col("_hp"), F.col("_rp"), range(1, CHRF_ORDER + 1), chars=True, key=key)
     tot = st.groupBy("n").agg(F.sum("matches").alias("m"), F.sum("hyp_total").alias("h"),
                               F.sum("ref_total").alias("r"))
@@ -136,7 +138,7 @@ def meteor_exact(pairs: DataFrame, pred: str = "prediction", ref: str = "referen
     k-th last occurrence in the reference; chunks are maximal runs of
     adjacent matches in both sides.
     """
-    base = spread(pairs, key).select(key, meteor_tokens(pred).alias("_h"), meteor_tokens(ref).alias("_r"))
+    base = cluster(pairs, key).select(key, meteor_tokens(pred).alias("_h"), meteor_tokens(ref).alias("_r"))
     lens = base.select(key, F.size("_h").alias("lh"), F.size("_r").alias("lr"))
 
     def occ(c: str, pos: str) -> DataFrame:
@@ -267,7 +269,7 @@ def rouge_l(pairs: DataFrame, pred: str = "prediction", ref: str = "reference",
                           for a, b in zip(h, r)], dtype="float64")
 
     sent_toks = lambda c: F.transform(F.split(F.col(c), "\n"), lambda s: rouge_tokens(s))
-    base = spread(pairs, key).select(key, rouge_tokens(pred).alias("_h"), rouge_tokens(ref).alias("_r"),
+    base = cluster(pairs, key).select(key, rouge_tokens(pred).alias("_h"), rouge_tokens(ref).alias("_r"),
                                      sent_toks(pred).alias("_hs"), sent_toks(ref).alias("_rs"))
     return base.select(key, _rl("_h", "_r").alias("rougeL"), _rls("_hs", "_rs").alias("rougeLsum"))
 
@@ -280,7 +282,7 @@ def word_error_rate(pairs: DataFrame, pred: str = "prediction", ref: str = "refe
     def _ed(h: pd.Series, r: pd.Series) -> pd.Series:
         return pd.Series([edit_distance(list(a), list(b)) for a, b in zip(h, r)], dtype="int64")
 
-    base = spread(pairs, key).select(key, ter_tokens(pred).alias("_h"), ter_tokens(ref).alias("_r"))
+    base = cluster(pairs, key).select(key, ter_tokens(pred).alias("_h"), ter_tokens(ref).alias("_r"))
     per = base.select(key, _ed("_h", "_r").alias("edits"), F.size("_r").alias("ref_words"))
     return per.agg(F.sum("edits").alias("edits"), F.sum("ref_words").cast("long").alias("ref_words")).select(
         "edits", "ref_words",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,7 +110,9 @@ def split_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fitted_features(spark: SparkSession, sf_dir: str):
     """(ds, counts, idf, feat) with IDF fitted on the train split only."""
     ds = split_dataset(spark, sf_dir)
-    counts = features.term_counts(ds, "doc_id", "text")
+    # Term counts feed the IDF fit, the features of every split and the
+    # scoring pass: tokenize once and keep the result (spills to disk).
+    counts = features.term_counts(ds, "doc_id", "text").persist(StorageLevel.MEMORY_AND_DISK)
     train_ids = ds.filter(F.col("split") == "train").select("doc_id")
     n_train = train_ids.agg(F.count("*")).scalar()
     idf = features.idf_fit(counts.join(train_ids, "doc_id"), n_train)

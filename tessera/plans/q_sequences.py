@@ -3,6 +3,7 @@ prompts (P1-P4)."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -124,7 +125,7 @@ vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY freq DESC, token) + 3 A
 def doc_vocab(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     d = sampling.split_two_way(d, "doc_id", 0.1, SEED)
-    toks = d.select("doc_id", "split", word_tokens("text").alias("tokens"))
+    toks = d.select("doc_id", "split", word_tokens("text").alias("tokens")).persist(StorageLevel.MEMORY_AND_DISK)
     train_tokens = toks.filter(F.col("split") == "train").select(
         F.explode_outer("tokens").alias("token")).filter(F.col("token").isNotNull())
     return toks, sq.build_vocab(train_tokens)
@@ -183,7 +184,7 @@ def pair_tokens(spark, sf_dir):
     p = fx.pairs(spark, sf_dir)
     p = sampling.split_two_way(p, "pair_id", 0.1, SEED)
     toks = p.select("pair_id", "split", word_tokens("prediction").alias("src"),
-                    word_tokens("reference").alias("tgt"))
+                    word_tokens("reference").alias("tgt")).persist(StorageLevel.MEMORY_AND_DISK)
     train = toks.filter(F.col("split") == "train")
     occ = train.select(F.explode_outer("src").alias("token")).unionByName(
         train.select(F.explode_outer("tgt").alias("token"))).filter(F.col("token").isNotNull())

@@ -26,6 +26,15 @@ def spread(df: DataFrame, key: str | Column, min_parts: int | None = None) -> Da
     return df.repartition(target, key)
 
 
+def cluster(df: DataFrame, key: str | Column) -> DataFrame:
+    """Hash-cluster rows by ``key`` into ``spark.sql.shuffle.partitions``
+    parts.  The explicit count keeps AQE from coalescing a small input
+    (e.g. pair rows) into one task right before a large per-row expansion;
+    groupings that start with ``key`` then need no further exchange."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key)
+
+
 def global_rank(df: DataFrame, order: list[str | Column], groups: list[str] | None = None,
                 rank_col: str = "rank") -> DataFrame:
     """Add ``rank_col``: 0-based position in ``order`` within each group.
