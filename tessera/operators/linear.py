@@ -17,7 +17,7 @@ executor recomputes at most one step.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir
@@ -47,10 +47,13 @@ def gd_fit(x: DataFrame, y: DataFrame, steps: int = 3, lr: float = 1.0,
     n = ys.count()
     scale = lr * 2.0 / max(n, 1)
     w = xs.select(F.col("term").alias("wterm")).distinct().withColumn("w", F.lit(0.0)).checkpoint()
+    by_doc = Window.partitionBy(id_col)
     for _ in range(steps):
+        # margin per document as a window over the document's rows (xs is
+        # clustered by document): no join back, one exchange per step
         j = xs.join(w, xs["term"].eqNullSafe(w["wterm"]))
-        r = j.groupBy(id_col).agg((sigmoid(F.sum(F.col("x") * F.col("w"))) - F.first("y")).alias("r"))
-        grad = xs.join(r, id_col).groupBy(F.col("term").alias("gterm")).agg(
+        r = sigmoid(F.sum(F.col("x") * F.col("w")).over(by_doc)) - F.col("y")
+        grad = j.select("term", "x", r.alias("r")).groupBy(F.col("term").alias("gterm")).agg(
             F.sum(F.col("r") * F.col("x")).alias("g"))
         w = w.join(grad, w["wterm"].eqNullSafe(grad["gterm"]), "left").select(
             "wterm", (F.col("w") - F.lit(scale) * F.coalesce("g", F.lit(0.0))).alias("w")).checkpoint()

@@ -18,9 +18,17 @@ from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, key: str | Column, min_parts: int | None = None) -> DataFrame:
-    """Hash-repartition by ``key`` only when the input has too few splits."""
+    """Hash-repartition a *scan* by ``key`` when it has too few splits.
+
+    Only plans without an exchange are inspected: asking an adaptive plan
+    for its partitions would run its shuffle stages.  Shuffled inputs are
+    left alone (their partition count is the session's).
+    """
     spark = df.sparkSession
     target = min_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "Subquery" in plan:
+        return df
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, key)
