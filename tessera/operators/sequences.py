@@ -43,11 +43,11 @@ def lookup_ids(df: DataFrame, key: str, tokens_col: str, vocab: DataFrame,
 
     Rows with no tokens get an empty array.
     """
-    ex = df.select(key, F.posexplode(tokens_col).alias("pos", "token"))
-    hit = ex.join(vocab.select("token", "id"), "token", "left").select(
-        key, "pos", F.coalesce("id", F.lit(UNK)).alias("id"))
-    ids = hit.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
-    ids = ids.select(key, F.transform("_p", lambda s: s["id"]).alias(out_col))
+    ex = df.select(key, F.posexplode(tokens_col).alias("_pos", "_tok"))
+    v = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_vid"))
+    hit = ex.join(v, "_tok", "left").select(key, "_pos", F.coalesce("_vid", F.lit(UNK)).alias("_vid"))
+    ids = hit.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "_vid"))).alias("_p"))
+    ids = ids.select(key, F.transform("_p", lambda s: s["_vid"]).alias(out_col))
     return df.join(ids, key, "left").withColumn(
         out_col, F.coalesce(F.col(out_col), F.array().cast("array<int>")))
 
@@ -128,13 +128,14 @@ def decode(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, out_col: str
     """Ids -> text: cut at first EOS, look tokens up, drop specials, join by space,
     delete the word-piece marker U+2581."""
     cut = df.select(key, cut_at_eos(F.col(ids_col)).alias("_ids"))
-    ex = cut.select(key, F.posexplode("_ids").alias("pos", "id"))
+    ex = cut.select(key, F.posexplode("_ids").alias("_pos", "_vid"))
     if skip_special:
-        ex = ex.filter(F.col("id") >= len(SPECIALS))
-    tok = ex.join(vocab.select("id", "token"), "id", "left").select(
-        key, "pos", F.coalesce("token", F.lit(SPECIALS[UNK])).alias("token"))
-    txt = tok.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_p"))
-    txt = txt.select(key, F.replace(F.array_join(F.transform("_p", lambda s: s["token"]), " "),
+        ex = ex.filter(F.col("_vid") >= len(SPECIALS))
+    v = vocab.select(F.col("id").alias("_vid"), F.col("token").alias("_tok"))
+    tok = ex.join(v, "_vid", "left").select(
+        key, "_pos", F.coalesce("_tok", F.lit(SPECIALS[UNK])).alias("_tok"))
+    txt = tok.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "_tok"))).alias("_p"))
+    txt = txt.select(key, F.replace(F.array_join(F.transform("_p", lambda s: s["_tok"]), " "),
                                     F.lit("▁"), F.lit("")).alias(out_col))
     return df.join(txt, key, "left").withColumn(out_col, F.coalesce(F.col(out_col), F.lit("")))
 
