@@ -92,13 +92,28 @@ def split_if_missing(df: DataFrame, id_col: str, val_fraction: float = 0.02,
                            val_fraction, test_fraction, seed)
 
 
-def head_sample(df: DataFrame, order_col: str, n: int) -> DataFrame:
+def head_sample(df: DataFrame, order_col: str, n: int, accuracy: int = 10000) -> DataFrame:
     """The first ``n`` rows by ``order_col`` (all rows if fewer).
 
-    Uses a distributed rank rather than TakeOrdered, so a large ``n``
-    (the reference's is 1,000,000) never funnels through one task.
+    No global sort and no single-task TakeOrdered (the reference's ``n``
+    is 1,000,000): an approximate quantile gives a cutoff whose rank error
+    is at most ``count / accuracy``; the cutoff is checked with an exact
+    count (and raised if short), and only the rows at or below it are
+    ranked.
     """
-    return global_rank(df, [order_col], rank_col="_r").filter(F.col("_r") < n).drop("_r")
+    total = df.count()
+    if n >= total:
+        return df
+    if n <= 0:
+        return df.limit(0)
+    q = n / total
+    for _ in range(20):
+        t = df.agg(F.percentile_approx(order_col, min(q, 1.0), accuracy)).first()[0]
+        if df.filter(F.col(order_col) <= t).count() >= n or q >= 1.0:
+            break
+        q = q + 1.0 / accuracy + (q * 0.01)
+    cand = df.filter(F.col(order_col) <= t)
+    return global_rank(cand, [order_col], rank_col="_r").filter(F.col("_r") < n).drop("_r")
 
 
 def seeded_shuffle(df: DataFrame, id_col: str, seed: int = 42) -> DataFrame:

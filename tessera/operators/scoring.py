@@ -62,11 +62,11 @@ def top_k_per_group(df: DataFrame, group: str, order: list[Column], k: int, tie_
     return final.filter(F.col("rank") <= k)
 
 
-def rerank_length_penalty(nbest: DataFrame, num_beams: int = 4, penalty: float = 1.0,
+def rerank_length_penalty(nbest: DataFrame, num_beams: int = 4, penalty: float = 0.7,
                           item: str = "item_id", cand: str = "cand_id") -> DataFrame:
     """M5: keep the best ``num_beams`` candidates per item by
-    ``score / length ** penalty`` (then shorter, then id); flag whether
-    every kept candidate has ended."""
+    ``score / length ** penalty`` (ties keep candidate order, as a stable
+    sort does); flag whether every kept candidate has ended."""
     scored = nbest.withColumn("norm", F.col("score") / F.pow(F.col("length").cast("double"), F.lit(penalty)))
-    top = top_k_per_group(scored, item, [F.desc("norm"), F.col("length"), F.col(cand)], num_beams, cand)
+    top = top_k_per_group(scored, item, [F.desc("norm"), F.col(cand)], num_beams, cand)
     return top.withColumn("all_finished", F.bool_and("ended").over(Window.partitionBy(item)))

@@ -17,16 +17,17 @@ from tessera.session import ship_package
 from tessera.sources.tables import read_table
 
 BEAMS = 4
+PENALTY = 0.7   # the reference's default length penalty
 
 
 @register("rerank_length_penalty", fx.with_views(f"""
-WITH s AS (SELECT *, score / pow(CAST(length AS DOUBLE), 1.0) AS norm FROM nbest),
-r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY norm DESC, length, cand_id) AS rank FROM s)
+WITH s AS (SELECT *, score / pow(CAST(length AS DOUBLE), {PENALTY}) AS norm FROM nbest),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY norm DESC, cand_id) AS rank FROM s)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, cand_id, {R6('norm')} AS norm,
        bool_and(ended) OVER (PARTITION BY item_id) AS all_finished
 FROM r WHERE rank <= {BEAMS}""", "nbest"))
 def q_rerank(spark, sf_dir):
-    r = scoring.rerank_length_penalty(fx.nbest(spark, sf_dir), BEAMS, 1.0)
+    r = scoring.rerank_length_penalty(fx.nbest(spark, sf_dir), BEAMS, PENALTY)
     return r.select("item_id", "rank", "cand_id", r6("norm").alias("norm"), "all_finished")
 
 

@@ -72,5 +72,5 @@ def test_rerank_two_stage_topk(spark):
     rows = [(1, i, float(-(i % 7)), 1 + i % 3, i % 5 == 0) for i in range(200)]
     nb = spark.createDataFrame(rows, "item_id long, cand_id long, score double, length int, ended boolean")
     got = [r["cand_id"] for r in scoring.rerank_length_penalty(nb, 4).orderBy("rank").collect()]
-    exp = sorted(rows, key=lambda r: (-(r[2] / r[3]), r[3], r[1]))[:4]
+    exp = sorted(rows, key=lambda r: (-(r[2] / r[3] ** 0.7), r[1]))[:4]
     assert got == [r[1] for r in exp]

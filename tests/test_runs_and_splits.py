@@ -78,3 +78,11 @@ def test_partition_invariance(spark):
     a = gm.bleu(p).first()["bleu"]
     b = gm.bleu(p.repartition(5)).first()["bleu"]
     assert abs(a - b) < 1e-9
+
+
+def test_head_sample_exact_on_skewed_ids(spark):
+    ids = [i * i for i in range(3000)] + [10 ** 9 + i for i in range(50)]
+    d = spark.createDataFrame([(i,) for i in ids], "doc_id long").repartition(5)
+    for n in (1, 17, 2999, 3040, 5000):
+        got = sorted(r["doc_id"] for r in sampling.head_sample(d, "doc_id", n).collect())
+        assert got == sorted(ids)[:n]
