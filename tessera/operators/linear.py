@@ -46,9 +46,15 @@ def gd_fit(x: DataFrame, y: DataFrame, steps: int = 3, lr: float = 1.0,
           .join(ys, id_col).repartition(id_col).persist(StorageLevel.MEMORY_AND_DISK))
     n = ys.count()
     scale = lr * 2.0 / max(n, 1)
-    w = xs.select(F.col("term").alias("wterm")).distinct().withColumn("w", F.lit(0.0)).checkpoint()
+    if steps <= 0:
+        w = xs.select(F.col("term").alias("wterm")).distinct().withColumn("w", F.lit(0.0))
+        return w.filter(F.col("wterm").isNotNull()).withColumnRenamed("wterm", "term"), 0.0
+    # From zero weights every margin is 0, so the first step needs no join:
+    # w1 = -scale * sum((sigmoid(0) - y) * x) per term (the bias included).
+    w = xs.groupBy(F.col("term").alias("wterm")).agg(
+        (F.lit(-scale) * F.sum((F.lit(0.5) - F.col("y")) * F.col("x"))).alias("w")).checkpoint()
     by_doc = Window.partitionBy(id_col)
-    for _ in range(steps):
+    for _ in range(steps - 1):
         # margin per document as a window over the document's rows (xs is
         # clustered by document): no join back, one exchange per step
         j = xs.join(w, xs["term"].eqNullSafe(w["wterm"]))
