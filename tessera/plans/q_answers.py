@@ -33,7 +33,7 @@ c AS (SELECT doc_id, lines,
                           list_filter(regexp_split_to_array(line, '""" + WS + """+'),
                                       lambda w: regexp_matches(w, '""" + NUMERIC + """'))[1]
                       ELSE NULL END), lambda c: c IS NOT NULL)[1] AS found FROM l),
-llm AS (SELECT doc_id, coalesce(found, lines[-1]) AS llm_answer FROM c)"""
+model_ans AS (SELECT doc_id, coalesce(found, lines[-1]) AS llm_answer FROM c)"""
 
 
 @register("gold_answer", fx.with_views(
@@ -50,14 +50,14 @@ def q_strip_think(spark, sf_dir):
     return r.select("doc_id", ans.strip_think("response").alias("stripped"))
 
 
-@register("llm_answer", fx.with_views("WITH " + LLM_SQL + "\nSELECT doc_id, llm_answer FROM llm", "responses"))
+@register("llm_answer", fx.with_views("WITH " + LLM_SQL + "\nSELECT doc_id, llm_answer FROM model_ans", "responses"))
 def q_llm_answer(spark, sf_dir):
     return ans.llm_answer(fx.responses(spark, sf_dir), "response").select("doc_id", "llm_answer")
 
 
 @register("answer_accuracy", fx.with_views("WITH " + LLM_SQL + """,
 g AS (SELECT doc_id, """ + gold_sql("answer") + """ AS gold FROM worked_answers),
-j AS (SELECT d.lang, g.gold, llm.llm_answer AS pred FROM g JOIN llm USING (doc_id) JOIN documents d USING (doc_id))
+j AS (SELECT d.lang, g.gold, model_ans.llm_answer AS pred FROM g JOIN model_ans USING (doc_id) JOIN documents d USING (doc_id))
 SELECT lang, count(*) AS questions, count(gold) AS with_gold,
        CAST(sum(CASE WHEN gold IS NOT NULL AND pred IS NOT NULL AND contains(pred, gold) THEN 1 ELSE 0 END) AS BIGINT)
            AS correct,

@@ -73,8 +73,8 @@ STREAM_SQL = ("WITH base AS (SELECT doc_id, CAST(len(regexp_extract_all(lower(te
               " AS n_tokens, substr(text, 1, 50) || chr(10) || '#### ' || CAST(n_chars AS VARCHAR) AS worked,"
               " '<think>' || substr(text, 1, 50) || '</think>' || chr(10) || 'Answer: ' || CAST(n_chars AS VARCHAR)"
               " AS response FROM documents),\n" + LLM_SQL.replace("FROM responses", "FROM base") +
-              "\nSELECT b.doc_id, b.n_tokens, " + gold_sql("b.worked") + " AS gold, llm.llm_answer"
-              " FROM base b JOIN llm USING (doc_id)")
+              "\nSELECT b.doc_id, b.n_tokens, " + gold_sql("b.worked") + " AS gold, model_ans.llm_answer"
+              " FROM base b JOIN model_ans USING (doc_id)")
 
 
 @register("stream_rowwise", STREAM_SQL)

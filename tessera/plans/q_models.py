@@ -62,8 +62,8 @@ BATCH_SQL = ("WITH p AS (SELECT item_id, 'Question: ' || text || chr(10) || " +
              " AS prompt FROM benchmark),\nw AS (SELECT item_id, " + sql_split("prompt") + " AS words FROM p),\n"
              "responses AS (SELECT item_id AS doc_id, '<think>' || array_to_string(words[1:5], ' ') || '</think>' || chr(10)"
              " || 'Counting words.' || chr(10) || 'Answer: ' || CAST(len(words) AS VARCHAR) AS response FROM w),\n"
-             + LLM_SQL + "\nSELECT r.doc_id AS item_id, r.response, CAST(NULL AS VARCHAR) AS error, llm.llm_answer"
-             " FROM responses r JOIN llm USING (doc_id)")
+             + LLM_SQL + "\nSELECT r.doc_id AS item_id, r.response, CAST(NULL AS VARCHAR) AS error, model_ans.llm_answer"
+             " FROM responses r JOIN model_ans USING (doc_id)")
 
 
 @register("batch_score", BATCH_SQL)
