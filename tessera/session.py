@@ -32,6 +32,10 @@ def get_session(master: str | None = None, app: str = "tessera",
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # AQE broadcasts a join side only after measuring it; vocabulary-,
+        # IDF- and weight-sized tables stay under this bound, data tables do not
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold",
+                os.environ.get("TESSERA_BROADCAST_BYTES", "128MB"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
