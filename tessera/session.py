@@ -12,10 +12,6 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Rows above which a table is never broadcast, whatever Spark estimates.
-BROADCAST_ROW_LIMIT = int(os.environ.get("TESSERA_BROADCAST_ROWS", "2000000"))
-
-
 def get_session(master: str | None = None, app: str = "tessera",
                 shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings this library assumes.
