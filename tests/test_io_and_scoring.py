@@ -74,3 +74,13 @@ def test_rerank_two_stage_topk(spark):
     got = [r["cand_id"] for r in scoring.rerank_length_penalty(nb, 4).orderBy("rank").collect()]
     exp = sorted(rows, key=lambda r: (-(r[2] / r[3] ** 0.7), r[1]))[:4]
     assert got == [r[1] for r in exp]
+
+
+def test_stream_to_parquet_sink(spark):
+    import uuid
+    from tessera.session import ensure_checkpoint_dir
+    schema = read_table(spark, SF, "documents").schema
+    sink = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sink-{uuid.uuid4().hex}"
+    got = run_available(spark, read_stream(spark, SF, schema, file_glob="documents.parquet"),
+                        q_io.stream_transform, sink_path=sink)
+    assert got.count() == read_table(spark, SF, "documents").count()
