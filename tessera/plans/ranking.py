@@ -26,10 +26,11 @@ def spread(df: DataFrame, key: str | Column, min_parts: int | None = None) -> Da
     """
     spark = df.sparkSession
     target = min_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if "Exchange" in plan or "Subquery" in plan:
-        return df
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        if "Exchange" in plan or "Subquery" in plan or df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001  (no JVM handle, e.g. a remote session)
         return df
     return df.repartition(target, key)
 
