@@ -46,3 +46,25 @@ def test_window_always_partitioned(spark):
                 # the only unpartitioned window allowed is over the small
                 # per-sort-partition offset table of global_rank
                 assert not unpartitioned or first.startswith("_pid"), (key, line[:200])
+
+
+def _exchanges(df) -> int:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum(1 for line in plan.split("\n") if "Exchange" in line and "BroadcastExchange" not in line)
+
+
+def test_ngram_counts_shuffle_once(spark):
+    from tessera.functions.text import rouge_tokens
+    from tessera.operators import genmetrics as gm
+    p = spark.createDataFrame([(1, "a b c", "a c b")], "pair_id long, prediction string, reference string")
+    st = gm.ngram_stats(p, rouge_tokens("prediction"), rouge_tokens("reference"), (1, 2))
+    # one exchange clusters the pair rows; the exploded n-grams aggregate in place
+    assert _exchanges(st) == 1
+
+
+def test_term_counts_no_shuffle_after_tokenizing(spark):
+    from tessera.operators import features
+    docs = fx.labelled_text(spark, SF)
+    plan = features.term_counts(docs)._jdf.queryExecution().executedPlan().toString()
+    above_generate = plan.split("Generate")[0]
+    assert "Exchange" not in above_generate
