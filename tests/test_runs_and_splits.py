@@ -86,3 +86,17 @@ def test_head_sample_exact_on_skewed_ids(spark):
     for n in (1, 17, 2999, 3040, 5000):
         got = sorted(r["doc_id"] for r in sampling.head_sample(d, "doc_id", n).collect())
         assert got == sorted(ids)[:n]
+
+
+def test_split_if_missing_modes(spark):
+    import pytest
+    full = spark.createDataFrame([(i, s) for i, s in enumerate(["train", "validation", "test"] * 5)],
+                                 "doc_id long, split string")
+    assert sampling.split_if_missing(full, "doc_id").count() == 15  # all present: unchanged
+    only_train = spark.createDataFrame([(i, "train") for i in range(300)] + [(900, "validation")],
+                                       "doc_id long, split string")
+    carved = sampling.split_if_missing(only_train, "doc_id", 0.1, 0.1)
+    names = {r["split"] for r in carved.collect()}
+    assert names == {"train", "validation", "test"} and carved.count() == 300  # old validation dropped
+    with pytest.raises(ValueError):
+        sampling.split_if_missing(spark.createDataFrame([(1, "test")], "doc_id long, split string"), "doc_id")
