@@ -84,3 +84,18 @@ def test_stream_to_parquet_sink(spark):
     got = run_available(spark, read_stream(spark, SF, schema, file_glob="documents.parquet"),
                         q_io.stream_transform, sink_path=sink)
     assert got.count() == read_table(spark, SF, "documents").count()
+
+
+def test_prompts_and_model_scoring_on_a_stream(spark):
+    from tessera.operators import answers, prompts
+    from tessera.plans.q_models import echo_model
+
+    def transform(df):
+        pr = df.select("item_id", prompts.zero_shot_prompt("text").alias("prompt"))
+        scored = scoring.batch_score(pr, echo_model, "prompt", "item_id")
+        return answers.llm_answer(scored, "response").select("item_id", "llm_answer")
+
+    schema = read_table(spark, SF, "benchmark").schema
+    got = run_available(spark, read_stream(spark, SF, schema, file_glob="benchmark.parquet"), transform)
+    batch = transform(read_table(spark, SF, "benchmark"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
