@@ -137,3 +137,13 @@ def test_cross_entropy_and_argmax(spark):
     assert abs(rows[0]["ce"] - (lse - 3.0)) < 1e-12
     ppl, _ = cm.lm_metrics(F.lit(25.0))
     assert spark.range(1).select(ppl).first()[0] == float("inf")
+
+
+def test_bleu_hand_example(spark):
+    p = _pairs(spark, [(1, "the cat sat on the mat", "the cat is on the mat")])
+    r = gm.bleu(p).first()
+    # clipped matches 5/6, 3/5, 1/4, 0/3 (first zero order: 100 / (2 * total))
+    precisions = [100 * 5 / 6, 100 * 3 / 5, 100 * 1 / 4, 100 / (2 * 3)]
+    expected = math.exp(sum(math.log(x) for x in precisions) / 4)
+    assert abs(r["bleu"] - expected) < 1e-9 and r["bp"] == 1.0
+    assert [round(r[f"p{n}"], 9) for n in range(1, 5)] == [round(x, 9) for x in precisions]
