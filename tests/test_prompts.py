@@ -63,3 +63,18 @@ def test_run_compare_pivot(spark):
     per = spark.createDataFrame([("a", 1.0, 2.0), ("a", 3.0, 4.0), ("b", 5.0, 6.0)], "fam string, m1 double, m2 double")
     got = {r["metric"]: (r["a"], r["b"], r["c"]) for r in runs.run_compare(per, "fam", ["m1", "m2"], ["a", "b", "c"]).collect()}
     assert got == {"m1": (2.0, 5.0, None), "m2": (3.0, 6.0, None)}
+
+
+def test_epoch_losses_and_throughput(spark):
+    from pyspark.sql import functions as F
+    from tessera.operators import clfmetrics as cm
+    rows = [(1, 1, m, float(m), t) for m, t in zip(range(1, 6), [2, 0, 1, 1, 4])]
+    log = spark.createDataFrame(rows, "run_id long, epoch int, micro int, loss double, tokens int")
+    a2 = cm.loss_mean_of_batches(log, batch_size=2).first()
+    assert a2["epoch_loss"] == ((1 + 2) / 2 + (3 + 4) / 2 + 5) / 3 and a2["n_batches"] == 3
+    a3 = cm.loss_token_weighted(log).first()
+    assert a3["epoch_loss"] == (1 * 2 + 3 * 1 + 4 * 1 + 5 * 4) / 8 and a3["tokens"] == 8
+    zero = cm.loss_token_weighted(log.withColumn("tokens", F.lit(0))).first()
+    assert zero["epoch_loss"] == 0.0  # max(1, tokens) guard
+    tps = spark.range(1).select(cm.tokens_per_second(F.lit(10), F.lit(0.0))).first()[0]
+    assert tps == 10 / 1e-9
