@@ -3,8 +3,11 @@ with a user model (M3), user tokenizer UDF (U1)."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
+from tessera.functions.text import WS
 from tessera.operators import answers as ans
 from tessera.operators import prompts, scoring
 from tessera.operators.vectors import dot_softmax_lookup
@@ -76,12 +79,20 @@ def q_batch_score(spark, sf_dir):
     return ans.llm_answer(scored, "response").select("item_id", "response", "error", "llm_answer")
 
 
+# The user tokenizer of the U1 query: letter runs, digit runs, and any other
+# non-space symbol (whitespace as Python's str.split sees it).
+USER_TOKEN_RE = r"\p{L}+|\p{N}+|[^\p{L}\p{N}" + WS[1:-1] + "]"
+# the same pattern in Python's regex syntax (\uHHHH instead of \x{HHHH})
+_USER_TOKEN_PY = re.sub(r"\\x\{([0-9A-Fa-f]{4})\}", r"\\u\1", USER_TOKEN_RE)
+
+
 def _user_tokenizer(text: str) -> list[str]:
     import regex
-    return regex.findall(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]", text)
+    return regex.findall(_USER_TOKEN_PY, text)
 
 
-@register("udf_tokenizer")
+@register("udf_tokenizer", "SELECT doc_id, CAST(len(regexp_extract_all(text, '(" + USER_TOKEN_RE +
+          ")', 1)) AS INTEGER) AS n_tokens FROM documents")
 def q_udf_tokenizer(spark, sf_dir):
     """U1 (rows-only): a user tokenizer callable as an Arrow UDF over documents."""
     ship_package(spark)
