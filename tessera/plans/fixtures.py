@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.plans.ranking import grouped_rank
 from tessera.sources.tables import read_table
 
 # ---------------------------------------------------------------- Spark side
@@ -86,17 +87,23 @@ def qkv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events",
                     ["event_id", "ts", "user_id", "event_type", "value", "props"])
-    by_run = Window.partitionBy("run_id").orderBy("ts", "event_id")
-    day_rank = Window.partitionBy("run_id").orderBy("day")
     base = ev.select(
         F.col("user_id").alias("run_id"), "event_id", "ts", "event_type",
         F.to_date("ts").alias("day"), (F.round(F.col("value") * 100).cast("long") / 1024.0).alias("loss"),
         F.get_json_object("props", "$.k").cast("int").alias("tokens"))
-    base = base.withColumn("epoch", F.dense_rank().over(day_rank).cast("int"))
-    by_epoch = Window.partitionBy("run_id", "epoch").orderBy("ts", "event_id")
-    return base.select(
-        "run_id", "epoch", F.row_number().over(by_epoch).cast("int").alias("micro"),
-        F.row_number().over(by_run).cast("int").alias("step"), "event_id", "ts",
+    # epoch = rank of the day among the run's days: ranked on the distinct
+    # (run, day) pairs, a few rows per run whatever the run's size
+    days = base.select("run_id", "day").distinct()
+    days = days.withColumn("epoch", F.dense_rank().over(
+        Window.partitionBy("run_id").orderBy("day")).cast("int"))
+    base = base.join(days, ["run_id", "day"])
+    # positions inside a run / an epoch: skew-proof grouped ranks (a run with
+    # a third of all events is still spread over every sort partition)
+    ranked = grouped_rank(base, ["run_id"], ["ts", "event_id"], "_step")
+    ranked = grouped_rank(ranked, ["run_id", "epoch"], ["ts", "event_id"], "_micro")
+    return ranked.select(
+        "run_id", "epoch", (F.col("_micro") + 1).cast("int").alias("micro"),
+        (F.col("_step") + 1).cast("int").alias("step"), "event_id", "ts",
         "event_type", "loss", "tokens")
 
 
@@ -116,13 +123,13 @@ def epoch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     # The answer domain is a small categorical set: a scalar subquery (one
     # aggregated row, evaluated once) gives the sorted list of types.
     types = ev.agg(F.array_sort(F.collect_set("event_type")).alias("t"))
-    return ev.select(
+    ranked = grouped_rank(ev, ["user_id"], ["ts", "event_id"], "_idx")
+    return ranked.select(
         F.col("user_id").alias("question_id"),
-        (F.row_number().over(w) - 1).cast("int").alias("sample_idx"),
+        F.col("_idx").cast("int").alias("sample_idx"),
         F.col("event_type").alias("answer"),
         F.element_at(types.scalar(), (F.col("user_id") % 5 + 1).cast("int")).alias("gold"))
 

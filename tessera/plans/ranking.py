@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def spread(df: DataFrame, key: str | Column, min_parts: int | None = None) -> DataFrame:
@@ -66,3 +67,50 @@ def global_rank(df: DataFrame, order: list[str | Column], groups: list[str] | No
     out = tagged.join(F.broadcast(seg), ["_pid", *groups])
     return out.withColumn(rank_col, F.col("_off") + F.col("_mono") - F.col("_m0")).drop(
         "_pid", "_mono", "_m0", "_off")
+
+
+def grouped_rank(df: DataFrame, groups: list[str], order: list[str], rank_col: str = "rank") -> DataFrame:
+    """0-based position in ``order`` within each group, for any number of
+    groups and any skew (``row_number() - 1`` without a per-group task).
+
+    Rows are range-sorted by ``groups + order``.  Inside a sort partition
+    each group's rows are contiguous, and only the partition's first group
+    can continue from earlier partitions; its offset comes from a table of
+    one row per partition (a bound on what is broadcast).  A pass over
+    each partition (Arrow batches, in order) then counts positions.
+    ``order`` must make the order total.
+    """
+    from tessera.session import ship_package
+
+    ship_package(df.sparkSession)
+    keys = [*groups, *order]
+    tagged = (df.orderBy(*keys).withColumn("_pid", F.spark_partition_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    seg = tagged.groupBy("_pid", *groups).agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    seg = seg.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    gkey = F.struct(*[F.col(g) for g in groups])
+    heads = seg.groupBy("_pid").agg(F.min_by(F.struct(gkey.alias("g"), F.col("_off").alias("o")), gkey).alias("h"))
+    # one row per sort partition: the partition's first group and its offset
+    head = {r["_pid"]: (tuple(r["h"]["g"]), r["h"]["o"]) for r in heads.collect()}
+    out_schema = T.StructType(tagged.schema.fields + [T.StructField(rank_col, T.LongType(), False)])
+
+    def run(batches):
+        import pandas as pd
+        last, count = None, 0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            if last is None:
+                first_g, off = head[int(pdf["_pid"].iloc[0])]
+                last, count = first_g, off
+            gk = list(zip(*[pdf[g] for g in groups]))
+            ranks = []
+            for k in gk:
+                if k != last:
+                    last, count = k, 0
+                ranks.append(count)
+                count += 1
+            yield pdf.assign(**{rank_col: pd.Series(ranks, dtype="int64", index=pdf.index)})
+
+    return tagged.mapInPandas(run, out_schema).drop("_pid")
