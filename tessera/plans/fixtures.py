@@ -84,7 +84,9 @@ def qkv(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
 
 
-def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def train_log(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
+    """Training log; ``numbered=False`` skips the micro-batch / step numbers
+    (and their two sorts) for consumers that only aggregate per epoch."""
     ev = read_table(spark, sf_dir, "events",
                     ["event_id", "ts", "user_id", "event_type", "value", "props"])
     base = ev.select(
@@ -97,6 +99,8 @@ def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = days.withColumn("epoch", F.dense_rank().over(
         Window.partitionBy("run_id").orderBy("day")).cast("int"))
     base = base.join(days, ["run_id", "day"])
+    if not numbered:
+        return base.select("run_id", "epoch", "event_id", "ts", "event_type", "loss", "tokens")
     # positions inside a run / an epoch: skew-proof grouped ranks (a run with
     # a third of all events is still spread over every sort partition)
     ranked = grouped_rank(base, ["run_id"], ["ts", "event_id"], "_step")
@@ -108,7 +112,7 @@ def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def epoch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tl = train_log(spark, sf_dir)
+    tl = train_log(spark, sf_dir, numbered=False)
     return tl.groupBy("run_id", "epoch").agg(
         (F.sum(F.col("loss") * F.col("tokens")) /
          F.greatest(F.sum("tokens"), F.lit(1))).alias("train_loss"),

@@ -109,7 +109,7 @@ SELECT run_id, epoch, micro_batches, CAST(micro_batches // {ACCUM} AS BIGINT) AS
            AS planned_step_end
 FROM e""", "train_log"))
 def q_grad_accum(spark, sf_dir):
-    return sampling.grad_accum_steps(fx.train_log(spark, sf_dir), ACCUM)
+    return sampling.grad_accum_steps(fx.train_log(spark, sf_dir, numbered=False), ACCUM)
 
 # ------------------------------------------------------------- T2, T3 (documents)
 
