@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import held_out, load, pick
+from tessera.llm.common import WORD, held_out, load, pick
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,3 +33,35 @@ def q_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, path, pattern).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         bpe.ids_digest("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def _cover(size: int) -> str:
+    return (f"coalesce(max(k{size} is not null and n{size} > 1) over (partition by doc_id order by i "
+            f"rows between {size - 1} preceding and current row), false)")
+
+
+@register("op5_suffix_repetition", f"""
+WITH d AS (SELECT doc_id, text, coalesce(regexp_extract_all(text, '{WORD}'), []) AS words FROM documents),
+w AS (SELECT doc_id, words, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM d),
+k AS (SELECT doc_id, i, length(w) AS c,
+        CASE WHEN i + 4 <= len(words) THEN md5(array_to_string(words[i:i + 4], ' ')) END AS k5,
+        CASE WHEN i + 9 <= len(words) THEN md5(array_to_string(words[i:i + 9], ' ')) END AS k10,
+        CASE WHEN i + 100 <= len(words) THEN md5(array_to_string(words[i:i + 100], ' ')) END AS k101 FROM w),
+n AS (SELECT *, count(*) OVER (PARTITION BY doc_id, k5) AS n5, count(*) OVER (PARTITION BY doc_id, k10) AS n10,
+        count(*) OVER (PARTITION BY doc_id, k101) AS n101 FROM k),
+c AS (SELECT doc_id, c, k101 IS NOT NULL AND n101 > 1 AS far, {_cover(5)} AS c5, {_cover(10)} AS c10 FROM n),
+r AS (SELECT doc_id, count(*) AS n_words, sum(c) AS word_chars, count(*) FILTER (c5) AS n_repeat_words,
+        coalesce(sum(c) FILTER (c10), 0) AS covered, bool_or(far) AS far FROM c GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM l WHERE regexp_matches(line, '{WORD}') GROUP BY doc_id),
+a AS (SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+        coalesce(len(regexp_extract_all(text, '[#*$%&|<>]')), 0) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(covered, 0) AS covered, coalesce(far, false) AS far
+      FROM d LEFT JOIN r USING (doc_id) LEFT JOIN dup USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND covered <= 0.25 * word_chars AND NOT far AS kept FROM b""")
+def q_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.repetition import repetition
+
+    return repetition(load(spark, sf_dir, "documents")).drop("repeats", "longest_repeat", "covered_chars")
