@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import WORD, held_out, load, pick
 
+#: Labelled documents at most that the quality machine is fitted on.
+QUALITY_SAMPLE = 6000
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -65,3 +68,14 @@ def q_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.repetition import repetition
 
     return repetition(load(spark, sf_dir, "documents")).drop("repeats", "longest_repeat", "covered_chars")
+
+
+@register("op7_factorisation_machine")
+def q_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import fm
+
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    machine = fm.fit(fm.labelled_sample(docs, labels, "quality", lambda c: ~held_out(c), QUALITY_SAMPLE))
+    return fm.score(docs, machine, ["doc_id"]).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
