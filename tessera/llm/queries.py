@@ -79,3 +79,26 @@ def q_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm.score(docs, machine, ["doc_id"]).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register("op3_systematic_mix", f"""
+WITH r AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS size,
+             substr(md5(doc_id::VARCHAR), 1, 2) AS bucket FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM r GROUP BY source),
+p AS (SELECT *, [3.0::DOUBLE, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM s),
+q AS (SELECT *, 2.0::DOUBLE * source_size AS cap, 2.0::DOUBLE * source_size / weight AS ratio FROM p),
+l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()
+        - coalesce(sum(cap) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM q),
+t AS (SELECT source, source_size, least(cap, coalesce(min(level) FILTER (level <= ratio) OVER () * weight, cap)) AS target,
+        ('0x' || substr(md5('mix:' || coalesce(source, '')), 1, 7))::BIGINT * 4 AS u FROM l),
+e AS (SELECT r.doc_id, r.size, source_size, target, u, CASE WHEN source_size > 0
+        THEN least(floor(target / source_size * 1073741824), 2147483648)::BIGINT ELSE 0 END AS unit,
+        row_number() OVER (PARTITION BY r.source ORDER BY floor(sqrt(r.size)), bucket, doc_id, size)::HUGEINT AS n
+      FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       (((u + n * unit) // 1073741824 - (u + (n - 1) * unit) // 1073741824) * size)::BIGINT AS taken FROM e""")
+def q_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.mixing import mix_sources
+
+    return mix_sources(load(spark, sf_dir, "documents"), ["doc_id"]).drop("copies")
