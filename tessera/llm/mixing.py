@@ -49,7 +49,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: fl
     whole = Window.partitionBy()
     level = (share * F.sum("source_size").over(whole) - F.coalesce(F.sum("limit").over(before), F.lit(0.0))) / F.sum("weight").over(rest)
     per = per.withColumn("level", level)
-    per = per.withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(whole))
+    per = per.withColumn("level", F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(whole))
     target = F.least(F.col("limit"), F.coalesce(F.col("level") * F.col("weight"), F.col("limit")))
     return per.select("source", "source_size", target.alias("target"))
 

@@ -90,7 +90,7 @@ q AS (SELECT *, 2.0::DOUBLE * source_size AS cap, 2.0::DOUBLE * source_size / we
 l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()
         - coalesce(sum(cap) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
         / sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM q),
-t AS (SELECT source, source_size, least(cap, coalesce(min(level) FILTER (level <= ratio) OVER () * weight, cap)) AS target,
+t AS (SELECT source, source_size, least(cap, coalesce(max(level) FILTER (level <= ratio) OVER () * weight, cap)) AS target,
         ('0x' || substr(md5('mix:' || coalesce(source, '')), 1, 7))::BIGINT * 4 AS u FROM l),
 e AS (SELECT r.doc_id, r.size, source_size, target, u, CASE WHEN source_size > 0
         THEN least(floor(target / source_size * 1073741824), 2147483648)::BIGINT ELSE 0 END AS unit,
