@@ -63,7 +63,7 @@ def mix_sources(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text:
         *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)],
         F.col(f"`{source}`").alias("source"), F.col(f"`{doc_id}`").alias("id"), n_words(F.col(f"`{text}`")).alias("size"),
         F.substring(F.md5(id_text.cast("binary")), 1, 2).alias("bucket"))
-    rows = rows.withColumn("kind", F.floor(F.sqrt("size")))
+    rows = rows.withColumn("kind", -F.floor(F.sqrt("size")))
     groups = rows.groupBy("source", "kind", "bucket").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
 
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit(""))).cast("binary")), 1, 7), 16, 10).cast("long") * 4

@@ -94,7 +94,7 @@ t AS (SELECT source, source_size, least(cap, coalesce(max(level) FILTER (level <
         ('0x' || substr(md5('mix:' || coalesce(source, '')), 1, 7))::BIGINT * 4 AS u FROM l),
 e AS (SELECT r.doc_id, r.size, source_size, target, u, CASE WHEN source_size > 0
         THEN least(floor(target / source_size * 1073741824), 2147483648)::BIGINT ELSE 0 END AS unit,
-        row_number() OVER (PARTITION BY r.source ORDER BY floor(sqrt(r.size)), bucket, doc_id, size)::HUGEINT AS n
+        row_number() OVER (PARTITION BY r.source ORDER BY -floor(sqrt(r.size)), bucket, doc_id, size)::HUGEINT AS n
       FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
        (((u + n * unit) // 1073741824 - (u + (n - 1) * unit) // 1073741824) * size)::BIGINT AS taken FROM e""")
