@@ -102,3 +102,19 @@ def q_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.mixing import mix_sources
 
     return mix_sources(load(spark, sf_dir, "documents"), ["doc_id"]).drop("copies")
+
+
+@register("op10_difference_cover", f"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '{WORD}'), []) AS words FROM documents),
+w AS (SELECT doc_id, words, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM d),
+k AS (SELECT doc_id, i, w, CASE WHEN i + 49 <= len(words) THEN md5(array_to_string(words[i:i + 49], ' ')) END AS k FROM w),
+m AS (SELECT *, k IS NOT NULL AND min(doc_id) OVER (PARTITION BY k) < doc_id AS later FROM k),
+c AS (SELECT *, max(later) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM m),
+g AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(w, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id)""")
+def q_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.anchors import substring_dedup
+
+    return substring_dedup(load(spark, sf_dir, "documents"), ["doc_id"]).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
