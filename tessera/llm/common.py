@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import ship_package
+from tessera.session import ensure_checkpoint_dir, ship_package
 from tessera.sources.tables import table_path
 
 #: ASCII white space separates words; everything else belongs to a word.
@@ -40,3 +42,12 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared checkpoint folder: what follows
+    reads that table again, also after executors are lost."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -118,3 +118,11 @@ def q_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return substring_dedup(load(spark, sf_dir, "documents"), ["doc_id"]).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op8_simhash_tiles")
+def q_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.simhash import near_duplicates
+
+    return near_duplicates(load(spark, sf_dir, "documents"), shingle=4, radius=4).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
