@@ -11,6 +11,10 @@ from tessera.llm.common import WORD, held_out, load, pick
 
 #: Labelled documents at most that the quality machine is fitted on.
 QUALITY_SAMPLE = 6000
+#: Labelled documents at most that the toxicity field is fitted on.
+TOXIC_SAMPLE = 6000
+#: Documents of each language at most that the language field is fitted on.
+LANGUAGE_SAMPLE = 600
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -126,3 +130,24 @@ def q_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return near_duplicates(load(spark, sf_dir, "documents"), shingle=4, radius=4).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register("op4_crf_language")
+def q_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import langid
+
+    docs = load(spark, sf_dir, "documents")
+    model = langid.fit(langid.sample(docs, lambda c: ~held_out(c), LANGUAGE_SAMPLE))
+    return langid.identify(docs, model, ["doc_id"]).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@register("op1_crf_toxicity")
+def q_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import fm, toxicity
+
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    model = toxicity.fit(fm.labelled_sample(docs, labels, "toxic", lambda c: ~held_out(c), TOXIC_SAMPLE))
+    return toxicity.score(docs, model, ["doc_id"]).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_toxic")
