@@ -215,18 +215,19 @@ def substring_dedup(docs: DataFrame, keep: list[str] | None = None, doc_id: str
     cover = np.zeros(PERIOD, bool)
     cover[list(COVER)] = True
     id_, text_ = F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")
-    dealt = docs.select(id_.alias("id"), text_.alias("text"), (F.xxhash64(text_).bitwiseAND(0xFFFFFFFF)).alias("mark"),
-                        F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]).alias("row")).repartition("id")
+    rows = docs.select(id_.alias("id"), text_.alias("text"), F.coalesce(F.xxhash64(text_).bitwiseAND(0xFFFFFFFF), F.lit(0)).alias("mark"),
+                        F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]).alias("row"))
+    # one filter for all three passes, else the joins' own one keeps Spark from using the exchange again
+    dealt = rows.where("id is not null").repartition("id")
 
     def anchors(batches):
         parts, n = [], 0
         for batch in chunks(batches, "text"):
             w = Words(*text_buffer(batch.column(1)))
             size, place = np.diff(w.first), np.arange(len(w)) - w.first[w.doc]
-            known = np.array([i is not None for i in batch.column(0).to_pylist()], bool)
-            at = np.flatnonzero(cover[place % PERIOD] & (place + anchor <= size[w.doc]) & ((size >= window) & known)[w.doc])
+            at = np.flatnonzero(cover[place % PERIOD] & (place + anchor <= size[w.doc]) & (size >= window)[w.doc])
             high = Slices(w.hashes(), BASE_B).hash(at, at + anchor)
-            ids, marks = batch.column(0).fill_null(0).to_numpy(), batch.column(2).to_numpy()
+            ids, marks = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             parts.append(Entries(ids[w.doc[at]], marks[w.doc[at]], place[at], high, np.zeros(len(at), np.uint32)))
             n += len(at)
             if n >= BLOCK:
@@ -272,6 +273,8 @@ def substring_dedup(docs: DataFrame, keep: list[str] | None = None, doc_id: str
     near = dealt.join(shared.toDF("id_", "m", "c", "p"), F.col("id") == F.col("id_")).select("id", "text", "mark", "m", "c", "p", "row")
     later = settled(near.mapInArrow(windows, ENTRIES), True, buckets)
     every = dealt.join(later.toDF("id_", "m", "c", "p"), F.col("id") == F.col("id_"), "left").select("id", "text", "mark", "m", "c", "p", "row")
+    nameless = rows.where("id is null")
+    every = every.union(nameless.select("id", "text", "mark", *[F.lit(None).cast("binary")] * 3, "row"))
     schema = every.select("row", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.lit("").alias("kept")).schema
     out = every.mapInArrow(remove, schema)
     return out.select(*[F.col(f"row.k{i}").alias(c) for i, c in enumerate(keep)], "n_words", "n_removed", "kept")
