@@ -43,7 +43,7 @@ from tessera.session import ship_package
 
 #: A perfect difference set: every difference modulo 31 occurs once.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
-BLOCK = 1_500_000  # anchors or windows that are settled together
+BLOCK = 300_000  # anchors or windows that are settled together
 ENTRIES = "key int, docs binary, marks binary, counts binary, places binary, high binary, low binary"
 FOUND = "part int, docs binary, marks binary, counts binary, places binary"
 PER_DOC = "id long, marks binary, counts binary, places binary"

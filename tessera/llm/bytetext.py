@@ -104,7 +104,7 @@ class Words:
         return self._bytes[base]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def chunks(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds at most ``most`` bytes of text
     (a longer single text stays whole), which bounds the working memory."""
     for batch in batches:
