@@ -151,3 +151,12 @@ def q_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, ["doc_id"]).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_toxic")
+
+
+@register("op6_kd_shards")
+def q_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.shards import shard_documents
+
+    return shard_documents(load(spark, sf_dir, "documents"), 40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
