@@ -160,3 +160,10 @@ def q_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(load(spark, sf_dir, "documents"), 40).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op2_projected_neighbours")
+def q_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.neighbours import nearest
+
+    return nearest(load(spark, sf_dir, "embeddings"), lambda c: c % 20 == 0, 20)
