@@ -46,6 +46,11 @@ def tokens(column: pa.Array) -> Words:
     return Words(lower(data), offsets, ~_LETTER)
 
 
+def joined(w: Words, a: int, b: int) -> str:
+    """Words a to b as text."""
+    return b" ".join(w.data[s:e].tobytes() for s, e in zip(w.start[a:b], w.end[a:b])).decode(errors="replace")
+
+
 def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """start[0], start[0] + 1, ... (size[0] of them), start[1], ..."""
     return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())

@@ -23,6 +23,7 @@ from; without toxic words in the sample every score is the toxic share.
 from __future__ import annotations
 
 import dataclasses
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import crf
-from tessera.llm.bytetext import Slices, Words, chunks
+from tessera.llm.bytetext import BASE_A, BASE_B, Slices, Words, chunks
 from tessera.llm.common import pick
 from tessera.session import ship_package
 
@@ -52,35 +53,81 @@ def marker_keys(w: Words) -> np.ndarray:
     return np.stack([whole, *(np.where(w.end - w.start > n, cut.hash(w.start, np.minimum(w.start + n, w.end)), whole) for n in BEGINNINGS)], 1)
 
 
-def unlike(w: Words, n: int) -> np.ndarray:
-    """One document of each group of like ones: those whose smallest hash
-    of three words, in either of two orders, no earlier one has."""
-    size = np.diff(w.first)
-    at = np.flatnonzero(np.arange(len(w)) - w.first[w.doc] + 3 <= size[w.doc]) if len(w) else np.zeros(0, int)
-    keep = np.ones(n, bool)
-    for base in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+def sketches(w: Words, n: int) -> list[np.ndarray]:
+    """Smallest hash of three words of each document, in two orders."""
+    at = np.flatnonzero(np.arange(len(w)) + 3 <= w.first[w.doc + 1]) if len(w) else np.zeros(0, int)
+    out = []
+    for base in (BASE_A, BASE_B):
         least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
         np.minimum.at(least, w.doc[at], Slices(w.hashes(), base).hash(at, at + 3))
-        first = np.zeros(n, bool)
-        first[np.unique(least, return_index=True)[1]] = True
-        keep &= first | (size < 3)
-    return keep
+        out.append(least.view(np.int64))
+    return out
 
 
-def markers(keys: np.ndarray, doc: np.ndarray, toxic: np.ndarray, counted: np.ndarray, rate: float) -> np.ndarray:
+def unlike(rows: DataFrame) -> tuple[list[int], float]:
+    """Ids of one document of each group of like ones (sharing a sketch
+    with none of smaller id), and the toxic share of the sample."""
+    def run(batches):
+        for batch in chunks(batches, "text"):
+            got = sketches(crf.tokens(batch.column(1)), batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *map(pa.array, got)], ["doc_id", "label", "a", "b"])
+
+    got = rows.mapInArrow(run, "doc_id long, label int, a long, b long").toPandas().sort_values(["doc_id", "a"])
+    short = got["a"] == np.int64(-1)  # no three words
+    first = (~got.duplicated("a") & ~got.duplicated("b")) | short
+    return got["doc_id"][first].tolist(), float(got["label"].mean()) if len(got) else 0.5
+
+
+def markers(rows: DataFrame, counted: list[int], rate: float) -> np.ndarray:
     """Sorted hashes that mark toxic words: in at most 1 clean document for
     50 toxic, and in so many counted toxic documents that chance (the toxic
     share to that power) would give less than one such hash."""
-    values = keys.ravel()
-    docs = np.repeat(doc, keys.shape[1])
-    use = counted[docs]
-    pair = np.unique(np.stack([values[use], docs[use].astype(np.uint64)]), axis=1)
-    value, at = np.unique(pair[0], return_inverse=True)
-    bad = np.bincount(at, toxic[pair[1].astype(np.int64)], len(value))
-    all_ = np.bincount(at, minlength=len(value))
-    good = all_ - bad
-    least = max(3, int(np.ceil(np.log(max(2, (all_ >= 3).sum())) / np.log(1 / rate))))
-    return value[(bad >= least) & (50 * good <= bad)]
+    def run(batches):
+        for batch in chunks(batches, "text"):
+            w = crf.tokens(batch.column(1))
+            keys = marker_keys(w)
+            use = np.isin(batch.column(0).to_numpy(), counted)[w.doc]
+            doc = np.repeat(w.doc[use], keys.shape[1])
+            by = np.lexsort((doc, flat := keys[use].ravel()))
+            flat, doc = flat[by], doc[by]
+            new = np.ones(len(flat), bool)
+            new[1:] = (flat[1:] != flat[:-1]) | (doc[1:] != doc[:-1])
+            label = batch.column(2).to_numpy()[doc[new]]
+            yield pa.RecordBatch.from_arrays([pa.array(flat[new].view(np.int64)), pa.array(label)], ["word", "label"])
+
+    seen = rows.mapInArrow(run, "word long, label int").groupBy("word").agg(F.sum("label").alias("bad"), F.count("*").alias("n")).where("n >= 3")
+    likely = max(2, seen.count())
+    least = max(3, math.ceil(math.log(likely) / math.log(1 / min(max(rate, 0.01), 0.9))))
+    got = seen.where((F.col("bad") >= least) & (50 * (F.col("n") - F.col("bad")) <= F.col("bad"))).select("word").collect()
+    return np.sort(np.array([r["word"] for r in got], np.int64).view(np.uint64))
+
+
+def marked(w: Words, known: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Words of toxic documents that a marker names."""
+    keys = marker_keys(w)
+    place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return (known[place] == keys).any(1) & (toxic[w.doc] > 0)
+
+
+def runs_of(rows: DataFrame, known: np.ndarray, length: int, seed: int) -> DataFrame:
+    """(doc_id, run, labels): for each document a run of words around a
+    random place and up to three around marked words."""
+    def run(batches):
+        for batch in chunks(batches, "text"):
+            w, out = crf.tokens(batch.column(1)), []
+            label = marked(w, known, batch.column(2).to_numpy())
+            for i, doc in enumerate(batch.column(0).to_pylist()):
+                a, b = int(w.first[i]), int(w.first[i + 1])
+                rng = np.random.default_rng([seed, doc & 0xFFFFFFFF, b - a])
+                hits = a + np.flatnonzero(label[a:b])
+                for centre in [*(rng.integers(a, b, 1) if b > a else []), *rng.permutation(hits)[:3]]:
+                    lo = max(a, int(centre) - int(rng.integers(0, length)))
+                    hi = min(b, lo + length)
+                    out.append((doc, crf.joined(w, lo, hi), label[lo:hi].tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["doc_id", "run", "labels"])
+
+    return rows.mapInArrow(run, "doc_id long, run string, labels binary")
 
 
 def summary(p: np.ndarray, w: Words, n: int) -> np.ndarray:
@@ -105,36 +152,36 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 400, l2: float = 1e-3) -
     return b[:-1], float(b[-1])
 
 
-def fit(rows: DataFrame, runs: int = 6000, length: int = 24, seed: int = 11) -> Model:
-    """Learn from a bounded sample (doc_id, text, label)."""
-    got = rows.select("doc_id", "text", "label").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    toxic = got["label"].to_numpy().astype(float)
-    rate = float(np.clip(toxic.mean(), 0.01, 0.99)) if len(toxic) else 0.5
-    nothing = Model(crf.Field(np.zeros((crf.BUCKETS + 1, 2)), np.zeros((2, 2)), np.zeros(2), [np.zeros(0, np.uint64)]),
-                    np.zeros(3), float(np.log(rate / (1 - rate))))
-    if not len(toxic):
-        return nothing
-    w = crf.tokens(got["text"].combine_chunks())
-    counted = unlike(w, len(toxic))
-    keys = marker_keys(w)
-    known = markers(keys, w.doc, toxic, counted, rate)
+def fit(rows: DataFrame, length: int = 24, seed: int = 11) -> Model:
+    """Learn from a bounded sample (doc_id, text, label).  Words are
+    counted, marked and summed up on the executors; the driver gets four
+    runs of words a document at most."""
+    spark = rows.sparkSession
+    ship_package(spark)
+    rows = rows.select("doc_id", F.col("text"), F.col("label").cast("int").alias("label")).where("text is not null")
+    counted, share = unlike(rows)
+    rate = float(np.clip(share, 0.01, 0.99))
+    known = markers(rows, counted, rate) if counted else np.zeros(0, np.uint64)
     if not len(known):
-        return nothing
-    place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    label = ((known[place] == keys).any(1) & (toxic[w.doc] > 0)).astype(np.int64)
-
-    rng = np.random.default_rng(seed)
-    size = np.diff(w.first)
-    centre = np.concatenate([rng.choice(np.flatnonzero(label), runs // 3), rng.integers(0, len(w), runs - runs // 3)])
-    doc = w.doc[centre]
-    low = np.maximum(w.first[doc], centre - rng.integers(0, length, len(centre)))
-    take = np.minimum(length, w.first[doc] + size[doc] - low)
-    at = crf.ranges(low, take)
-    reset = np.zeros(len(at), bool)
-    reset[np.cumsum(take) - take] = True
-    field = crf.fit(w, at, reset, label[at], 2, [known])
-    slope, bias = logistic(summary(field.marginals(w)[:, 1], w, len(toxic)), toxic)
-    return Model(field, slope, bias)
+        return Model(crf.Field(np.zeros((crf.BUCKETS + 1, 2)), np.zeros((2, 2)), np.zeros(2), [known]),
+                     np.zeros(3), float(np.log(rate / (1 - rate))))
+    got = sorted((r["doc_id"], r["run"], bytes(r["labels"])) for r in runs_of(rows, known, length, seed).collect())
+    w = crf.tokens(pa.array([r[1] for r in got]))
+    reset = np.zeros(len(w), bool)
+    reset[w.first[:-1][np.diff(w.first) > 0]] = True
+    labels = np.frombuffer(b"".join(r[2] for r in got), np.uint8).astype(np.int64)
+    field = crf.fit(w, np.arange(len(w)), reset, labels, 2, [known])
+
+    shared = spark.sparkContext.broadcast(field)
+
+    def summed(batches):
+        for batch in chunks(batches, "text"):
+            w = crf.tokens(batch.column(1))
+            x = summary(shared.value.marginals(w)[:, 1], w, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *map(pa.array, x.T)], ["doc_id", "label", "a", "b", "c"])
+
+    table = rows.mapInArrow(summed, "doc_id long, label int, a double, b double, c double").toPandas().sort_values(["doc_id", "a"])
+    return Model(field, *logistic(table[["a", "b", "c"]].to_numpy(), table["label"].to_numpy().astype(float)))
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", threshold: float = 0.5) -> DataFrame:
