@@ -24,6 +24,7 @@ import dataclasses
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,41 +50,64 @@ def sample(docs: DataFrame, usable, per_lang: int, doc_id: str = "doc_id", text:
     return all_.where("text is not null").join(F.broadcast(chosen), ["doc_id", "lang"])
 
 
-def training_runs(w, lang: np.ndarray, runs: int, length: int, rng) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word positions of runs, where they begin, and each word's label.
-    Every other run is two halves from documents drawn at random."""
-    size = np.diff(w.first)
-    whole = np.flatnonzero(size > 0)
-    k = int(lang.max()) + 1
-    doc = np.concatenate([rng.choice(of, runs // k + 1) for c in range(k) if len(of := whole[lang[whole] == c])])
-    doc = rng.permutation(doc)
-    take = np.minimum(np.where(np.arange(len(doc)) % 4 < 2, length, rng.integers(length // 4, length, len(doc))), size[doc])
-    start = w.first[doc] + (rng.random(len(doc)) * (size[doc] - take + 1)).astype(np.int64)
-    at = crf.ranges(start, take)
-    reset = np.zeros(len(at), bool)
-    begins = np.cumsum(take) - take
-    reset[begins[np.arange(len(doc)) % 4 != 3]] = True  # of each four runs the last continues the third
-    return at, reset, np.repeat(lang[doc], take)
-
-
-def fit(rows: DataFrame, runs: int = 8000, length: int = 24, lexicon: int = 400, seed: int = 5) -> Model:
-    """Learn from (doc_id, text, lang)."""
-    got = rows.select("doc_id", "text", "lang").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("text", "ascending")])
-    langs = sorted(set(got["lang"].to_pylist()), key=lambda s: s.encode())
-    w = crf.tokens(got["text"].combine_chunks())
-    if not langs or not len(w):
+def lexicons(rows: DataFrame, most: int) -> DataFrame:
+    """(lang, word): the ``most`` most frequent word hashes of each
+    language that are its own to 9 parts in 10."""
+    def run(batches):
+        for batch in chunks(batches, "text"):
+            w = crf.tokens(batch.column(0))
+            for name in pc.unique(batch.column(1)).to_pylist():
+                own = np.flatnonzero(np.asarray(pc.equal(batch.column(1), name)))
+                words, n = np.unique(w.hashes()[np.isin(w.doc, own)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(words), pa.string()), pa.array(words.view(np.int64)), pa.array(n)], ["lang", "word", "n"])
+
+    per = rows.select("text", "lang").mapInArrow(run, "lang string, word long, n long").groupBy("word", "lang").agg(F.sum("n").alias("n"))
+    total = per.groupBy("word").agg(F.max(F.struct("n", "lang")).alias("top"), F.sum("n").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    return (total.where("top.n >= 3 and 10 * top.n >= 9 * n").select(F.col("top.lang").alias("lang"), F.col("top.n").alias("n"), "word")
+            .withColumn("rank", rank).where(F.col("rank") <= most).select("lang", "word"))
+
+
+def runs_of(rows: DataFrame, per_doc: int, length: int, seed: int) -> DataFrame:
+    """(lang, doc_id, run): runs of at most ``length`` words from random
+    places of each document."""
+    def run(batches):
+        for batch in chunks(batches, "text"):
+            w, out = crf.tokens(batch.column(1)), []
+            for i, (doc, lang) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
+                a, b = int(w.first[i]), int(w.first[i + 1])
+                rng = np.random.default_rng([seed, doc & 0xFFFFFFFF, b - a])
+                for _ in range(per_doc if b > a else 0):
+                    n = min(int(rng.integers(length // 4, length + 1)), b - a)
+                    at = int(rng.integers(a, b - n + 1))
+                    out.append((lang, doc, crf.joined(w, at, at + n)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["lang", "doc_id", "run"])
+
+    return rows.select("doc_id", "text", "lang").mapInArrow(run, "lang string, doc_id long, run string")
+
+
+def fit(rows: DataFrame, per_doc: int = 4, length: int = 24, lexicon: int = 400, seed: int = 5) -> Model:
+    """Learn from a bounded sample (doc_id, text, lang).  The driver gets
+    ``per_doc`` runs a document and ``lexicon`` words a language."""
+    ship_package(rows.sparkSession)
+    got = sorted((r["lang"], r["doc_id"], r["run"]) for r in runs_of(rows, per_doc, length, seed).collect())
+    langs = sorted({r[0] for r in got}, key=lambda s: s.encode())
+    if not got:
         return Model([], crf.Field(np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0), []))
-    lang = np.array([langs.index(x) for x in got["lang"].to_pylist()])
-    hashes = w.hashes()
-    words, index = np.unique(hashes, return_inverse=True)
-    counts = np.stack([np.bincount(index[lang[w.doc] == c], minlength=len(words)) for c in range(len(langs))], 1)
-    pure = counts / np.maximum(counts.sum(1, keepdims=True), 1)
-    lexicons = []
-    for c in range(len(langs)):
-        own = np.flatnonzero((pure[:, c] >= 0.9) & (counts[:, c] >= 3))
-        lexicons.append(np.sort(words[own[np.argsort(-counts[own, c], kind="stable")[:lexicon]]]))
-    at, reset, labels = training_runs(w, lang, runs, length, np.random.default_rng(seed))
-    return Model(langs, crf.fit(w, at, reset, labels, len(langs), lexicons))
+    own: dict[str, list[int]] = {name: [] for name in langs}
+    for r in lexicons(rows, lexicon).collect():
+        own[r["lang"]].append(r["word"])
+    # languages in equal parts; of each four runs the last continues the third
+    rng = np.random.default_rng(seed)
+    of = [[r[2] for r in got if r[0] == name] for name in langs]
+    picks = rng.permutation([(c, int(i)) for c, texts in enumerate(of) for i in rng.integers(0, len(texts), -(-len(got) // len(langs)))])
+    w = crf.tokens(pa.array([of[c][i] for c, i in picks]))
+    begins = np.flatnonzero((np.arange(len(picks)) % 4 != 3) & (np.diff(w.first) > 0))
+    reset = np.zeros(len(w), bool)
+    reset[w.first[begins]] = reset[:1] = True
+    sets = [np.sort(np.array(own[name], np.int64).view(np.uint64)) for name in langs]
+    return Model(langs, crf.fit(w, np.arange(len(w)), reset, picks[w.doc, 0], len(langs), sets))
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
