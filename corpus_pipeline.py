@@ -16,6 +16,10 @@ from tessera.llm.common import load
 from tessera.session import ensure_checkpoint_dir
 
 STAGES = [
+    ("quality", stages.quality),
+    ("near_duplicates", stages.near_duplicates),
+    ("substrings", stages.substrings),
+    ("mix", stages.mix),
     ("encode", stages.encode),
 ]
 

@@ -162,7 +162,12 @@ def q_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-@register("op2_projected_neighbours")
+@register("op2_projected_neighbours", """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20""")
 def q_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.neighbours import nearest
 
