@@ -120,8 +120,10 @@ def table(rows: list[tuple], schema: str) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[f.split(" ")[0] for f in schema.split(", ")])
 
 
-def part_of(doc: np.ndarray, parts: int) -> np.ndarray:
-    return ((doc.astype(U) * U(BASE_A)) >> U(33)).astype(np.int64) % parts
+def part_of(doc: np.ndarray, buckets: int) -> np.ndarray:
+    """Found places are gathered by document in half as many parts as
+    there are hash buckets: they are few beside what is compared."""
+    return ((doc.astype(U) * U(BASE_A)) >> U(33)).astype(np.int64) % max(8, buckets // 2)
 
 
 def flush(parts: list[Entries], exact: bool, buckets: int) -> pd.DataFrame:
@@ -210,19 +212,21 @@ def substring_dedup(docs: DataFrame, keep: list[str] | None = None, doc_id: str
     spark = docs.sparkSession
     ship_package(spark)
     keep = docs.columns if keep is None else keep
-    buckets = 2 * shuffle_partitions(spark)
+    buckets = shuffle_partitions(spark)
     anchor = window - PERIOD + 1
     cover = np.zeros(PERIOD, bool)
     cover[list(COVER)] = True
     id_, text_ = F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")
-    rows = docs.select(id_.alias("id"), text_.alias("text"), F.coalesce(F.xxhash64(text_).bitwiseAND(0xFFFFFFFF), F.lit(0)).alias("mark"),
+    # a name of its own: an alias that Spark drops as redundant in one of the
+    # three uses would make their exchanges differ
+    rows = docs.select(id_.alias("id"), text_.alias("text__"), F.coalesce(F.xxhash64(text_).bitwiseAND(0xFFFFFFFF), F.lit(0)).alias("mark"),
                         F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]).alias("row"))
     # one filter for all three passes, else the joins' own one keeps Spark from using the exchange again
     dealt = rows.where("id is not null").repartition("id")
 
     def anchors(batches):
         parts, n = [], 0
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text__"):
             w = Words(*text_buffer(batch.column(1)))
             size, place = np.diff(w.first), np.arange(len(w)) - w.first[w.doc]
             at = np.flatnonzero(cover[place % PERIOD] & (place + anchor <= size[w.doc]) & (size >= window)[w.doc])
@@ -238,7 +242,7 @@ def substring_dedup(docs: DataFrame, keep: list[str] | None = None, doc_id: str
 
     def windows(batches):
         parts, n = [], 0
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text__"):
             w = Words(*text_buffer(batch.column(1)))
             doc, p = marked(w, 3, batch)
             size, place = np.diff(w.first), np.arange(len(w)) - w.first[w.doc]
@@ -256,7 +260,7 @@ def substring_dedup(docs: DataFrame, keep: list[str] | None = None, doc_id: str
             yield from pa.Table.from_pandas(flush(parts, True, buckets), entries, preserve_index=False).to_batches()
 
     def remove(batches):
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text__"):
             w = Words(*text_buffer(batch.column(1)))
             doc, p = marked(w, 3, batch)
             gone = span_union(w, doc, p, p + window)
@@ -270,11 +274,11 @@ def substring_dedup(docs: DataFrame, keep: list[str] | None = None, doc_id: str
 
     entries = pa.schema([("key", pa.int32()), *[(c, pa.binary()) for c in ("docs", "marks", "counts", "places", "high", "low")]])
     shared = settled(dealt.mapInArrow(anchors, ENTRIES), False, buckets)
-    near = dealt.join(shared.toDF("id_", "m", "c", "p"), F.col("id") == F.col("id_")).select("id", "text", "mark", "m", "c", "p", "row")
+    near = dealt.join(shared.toDF("id_", "m", "c", "p"), F.col("id") == F.col("id_")).select("id", "text__", "mark", "m", "c", "p", "row")
     later = settled(near.mapInArrow(windows, ENTRIES), True, buckets)
-    every = dealt.join(later.toDF("id_", "m", "c", "p"), F.col("id") == F.col("id_"), "left").select("id", "text", "mark", "m", "c", "p", "row")
+    every = dealt.join(later.toDF("id_", "m", "c", "p"), F.col("id") == F.col("id_"), "left").select("id", "text__", "mark", "m", "c", "p", "row")
     nameless = rows.where("id is null")
-    every = every.union(nameless.select("id", "text", "mark", *[F.lit(None).cast("binary")] * 3, "row"))
+    every = every.union(nameless.select("id", "text__", "mark", *[F.lit(None).cast("binary")] * 3, "row"))
     schema = every.select("row", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.lit("").alias("kept")).schema
     out = every.mapInArrow(remove, schema)
     return out.select(*[F.col(f"row.k{i}").alias(c) for i, c in enumerate(keep)], "n_words", "n_removed", "kept")
