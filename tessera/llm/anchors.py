@@ -206,7 +206,7 @@ def substring_dedup(docs: DataFrame, keep: list[str] | None = None, doc_id: str
                     window: int = 50, verbatim: bool = False) -> DataFrame:
     """The columns ``keep`` (all by default) with n_words, n_removed and
     kept (the words that stay, joined by one space) of every row.
-    ``verbatim``: where nothing goes, kept is the text as it was."""
+    ``verbatim``: where nothing goes, kept is the text as it was (null too)."""
     if window < PERIOD:
         raise ValueError(f"windows of under {PERIOD} words need a shorter period")
     spark = docs.sparkSession
@@ -279,6 +279,6 @@ def substring_dedup(docs: DataFrame, keep: list[str] | None = None, doc_id: str
     every = dealt.join(later.toDF("id_", "m", "c", "p"), F.col("id") == F.col("id_"), "left").select("id", "text__", "mark", "m", "c", "p", "row")
     nameless = rows.where("id is null")
     every = every.union(nameless.select("id", "text__", "mark", *[F.lit(None).cast("binary")] * 3, "row"))
-    schema = every.select("row", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.lit("").alias("kept")).schema
+    schema = every.select("row", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.lit(None).cast("string").alias("kept")).schema
     out = every.mapInArrow(remove, schema)
     return out.select(*[F.col(f"row.k{i}").alias(c) for i, c in enumerate(keep)], "n_words", "n_removed", "kept")
