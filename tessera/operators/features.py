@@ -1,7 +1,7 @@
 """Text features: term counts, n-grams, IDF, TF-IDF.
 
 Features stay sparse in long form ``(doc, term, weight)``; nothing is
-densified.  Term counting clusters by document once (``spread``), so
+densified.  Term counting clusters by document once (``cluster``), so
 ``groupBy(doc, term)`` runs without a further exchange; the IDF join goes
 broadcast when AQE measures the IDF table small, else sort-merge with
 AQE skew splitting for stop words.
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import ngram_strings, vectorizer_tokens
-from tessera.plans.ranking import spread
+from tessera.plans.ranking import cluster
 
 
 def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -38,7 +38,7 @@ def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``size(terms) > 0`` filter below the exchange, which would tokenize
     every text twice.
     """
-    d = spread(docs.select(id_col, text_col), id_col)
+    d = cluster(docs.select(id_col, text_col), id_col)
     ex = doc_terms(d, id_col, text_col, ngram_range).select(
         id_col, F.explode_outer("terms").alias("term")).filter(F.col("term").isNotNull())
     return ex.groupBy(id_col, "term").agg(F.count("*").alias("tf"))

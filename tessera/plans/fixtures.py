@@ -40,7 +40,7 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lead("role").over(w).alias("next_role"),
         F.lead("text").over(w).alias("next_text"))
     return nxt.filter((F.col("role") == "user") & (F.col("next_role") == "assistant")).select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"), "conv_id",
+        (F.col("conv_id") * (1 << 32) + F.col("turn")).alias("pair_id"), "conv_id",
         F.col("text").alias("prediction"), F.col("next_text").alias("reference"))
 
 
@@ -101,10 +101,11 @@ def train_log(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFr
     base = base.join(days, ["run_id", "day"])
     if not numbered:
         return base.select("run_id", "epoch", "event_id", "ts", "event_type", "loss", "tokens")
-    # positions inside a run / an epoch: skew-proof grouped ranks (a run with
-    # a third of all events is still spread over every sort partition)
-    ranked = grouped_rank(base, ["run_id"], ["ts", "event_id"], "_step")
-    ranked = grouped_rank(ranked, ["run_id", "epoch"], ["ts", "event_id"], "_micro")
+    # positions inside a run / an epoch, counted minute by minute: a run with
+    # a third of all events is many short windows
+    minute = F.date_trunc("minute", "ts")
+    ranked = grouped_rank(base, ["run_id"], ["ts", "event_id"], minute, "_step")
+    ranked = grouped_rank(ranked, ["run_id", "epoch"], ["ts", "event_id"], minute, "_micro")
     return ranked.select(
         "run_id", "epoch", (F.col("_micro") + 1).cast("int").alias("micro"),
         (F.col("_step") + 1).cast("int").alias("step"), "event_id", "ts",
@@ -130,7 +131,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The answer domain is a small categorical set: a scalar subquery (one
     # aggregated row, evaluated once) gives the sorted list of types.
     types = ev.agg(F.array_sort(F.collect_set("event_type")).alias("t"))
-    ranked = grouped_rank(ev, ["user_id"], ["ts", "event_id"], "_idx")
+    ranked = grouped_rank(ev, ["user_id"], ["ts", "event_id"], F.date_trunc("minute", "ts"), "_idx")
     return ranked.select(
         F.col("user_id").alias("question_id"),
         F.col("_idx").cast("int").alias("sample_idx"),
@@ -147,14 +148,14 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(F.col("doc_id") % 4 == 2, F.concat(nl, F.lit("Answer")))
             .otherwise(F.lit("")))
     return d.select("doc_id", F.concat(
-        F.lit("<think>"), F.col("text").substr(1, 50), F.lit("</think>"), nl,
-        F.col("text").substr(51, 100), tail).alias("response"))
+        F.lit("<think>"), F.expr("substring(text, 1, length(text) div 2)"), F.lit("</think>"), nl,
+        F.expr("substring(text, 1 + length(text) div 2)"), tail).alias("response"))
 
 
 def worked_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"])
     return d.select("doc_id", F.concat(
-        F.col("text").substr(1, 50),
+        F.col("text"),
         F.when(F.col("doc_id") % 7 == 0, F.lit(""))
         .otherwise(F.concat(F.lit("\n#### "), F.col("n_chars").cast("string"))))
         .alias("answer"))
@@ -179,7 +180,7 @@ SQL = {
     "clf_predictions": """
         SELECT doc_id, quality AS gold, 1 - toxic AS pred FROM labels""",
     "pairs": """
-        SELECT conv_id * 1000 + turn AS pair_id, conv_id, text AS prediction,
+        SELECT conv_id * 4294967296 + turn AS pair_id, conv_id, text AS prediction,
                next_text AS reference
         FROM (SELECT conv_id, turn, role, text,
                      lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
@@ -225,14 +226,14 @@ SQL = {
                (SELECT list_sort(list(DISTINCT event_type)) FROM events)[user_id % 5 + 1] AS gold
         FROM events""",
     "responses": """
-        SELECT doc_id, '<think>' || substr(text, 1, 50) || '</think>' || chr(10) ||
-               substr(text, 51, 100) ||
+        SELECT doc_id, '<think>' || substr(text, 1, length(text) // 2) || '</think>' || chr(10) ||
+               substr(text, 1 + length(text) // 2) ||
                CASE doc_id % 4 WHEN 0 THEN chr(10) || 'Answer: ' || CAST(n_chars AS VARCHAR)
                                WHEN 1 THEN chr(10) || CAST(n_chars AS VARCHAR)
                                WHEN 2 THEN chr(10) || 'Answer' ELSE '' END AS response
         FROM documents""",
     "worked_answers": """
-        SELECT doc_id, substr(text, 1, 50) ||
+        SELECT doc_id, text ||
                CASE WHEN doc_id % 7 = 0 THEN '' ELSE chr(10) || '#### ' || CAST(n_chars AS VARCHAR) END
                AS answer
         FROM documents""",

@@ -1,39 +1,29 @@
 """Distributed positional primitives.
 
-``global_rank`` gives a gap-free 0-based rank in a total order without
-pulling rows into one task: a range-partitioned sort, then per-partition
-row offsets (one small aggregate of partitions x groups rows) added to
-the in-partition position.  ``Window.orderBy`` without ``partitionBy``
-would move every row through a single task instead.
-
-``spread`` repartitions inputs that arrive in too few splits (a single
-Parquet row group lands in one task) before per-row heavy work.
+``global_rank`` gives a gap-free 0-based rank in any total order without
+pulling rows into one task: a range-partitioned sort that is written to
+the shared checkpoint folder, then per-partition row offsets (one small
+aggregate of partitions x groups rows) added to the in-partition
+position.  The offsets are taken from the written rows, so a lost
+executor cannot make a second sort disagree with them.
+
+``grouped_rank`` numbers rows inside groups of any size and skew: a
+``bucket`` that never decreases in the order cuts each group into short
+runs; rows are numbered inside (group, bucket) and the counts of the
+group's earlier buckets are added.
+
+``Window.orderBy`` over whole groups would move a hot group (or, without
+``partitionBy``, every row) through a single task instead.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-
-def spread(df: DataFrame, key: str | Column, min_parts: int | None = None) -> DataFrame:
-    """Hash-repartition a *scan* by ``key`` when it has too few splits.
-
-    Only plans without an exchange are inspected: asking an adaptive plan
-    for its partitions would run its shuffle stages.  Shuffled inputs are
-    left alone (their partition count is the session's).
-    """
-    spark = df.sparkSession
-    target = min_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        if "Exchange" in plan or "Subquery" in plan or df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001  (no JVM handle, e.g. a remote session)
-        return df
-    return df.repartition(target, key)
+from tessera.session import ensure_checkpoint_dir
 
 
 def cluster(df: DataFrame, key: str | Column) -> DataFrame:
@@ -52,65 +42,41 @@ def global_rank(df: DataFrame, order: list[str | Column], groups: list[str] | No
     ``order`` must be a total order (end it with a unique id).  ``groups``
     must be low-cardinality (splits, not entities): the offset table has
     one row per (sort partition, group) and is broadcast on that bound.
+    NULL is a group like any other.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     groups = list(groups or [])
     keys = [F.col(g) for g in groups] + [F.col(c) if isinstance(c, str) else c for c in order]
     tagged = (df.orderBy(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mono", F.monotonically_increasing_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+              .checkpoint())
     seg = tagged.groupBy("_pid", *groups).agg(F.count("*").alias("_n"),
                                                F.min("_mono").alias("_m0"))
     w = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.select("_pid", *groups, "_m0",
+    seg = seg.select(F.col("_pid").alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], "_m0",
                      F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    out = tagged.join(F.broadcast(seg), ["_pid", *groups])
-    return out.withColumn(rank_col, F.col("_off") + F.col("_mono") - F.col("_m0")).drop(
-        "_pid", "_mono", "_m0", "_off")
-
-
-def grouped_rank(df: DataFrame, groups: list[str], order: list[str], rank_col: str = "rank") -> DataFrame:
-    """0-based position in ``order`` within each group, for any number of
-    groups and any skew (``row_number() - 1`` without a per-group task).
-
-    Rows are range-sorted by ``groups + order``.  Inside a sort partition
-    each group's rows are contiguous, and only the partition's first group
-    can continue from earlier partitions; its offset comes from a table of
-    one row per partition (a bound on what is broadcast).  A pass over
-    each partition (Arrow batches, in order) then counts positions.
-    ``order`` must make the order total.
-    """
-    from tessera.session import ship_package
-
-    ship_package(df.sparkSession)
-    keys = [*groups, *order]
-    tagged = (df.orderBy(*keys).withColumn("_pid", F.spark_partition_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    seg = tagged.groupBy("_pid", *groups).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    gkey = F.struct(*[F.col(g) for g in groups])
-    heads = seg.groupBy("_pid").agg(F.min_by(F.struct(gkey.alias("g"), F.col("_off").alias("o")), gkey).alias("h"))
-    # one row per sort partition: the partition's first group and its offset
-    head = {r["_pid"]: (tuple(r["h"]["g"]), r["h"]["o"]) for r in heads.collect()}
-    out_schema = T.StructType(tagged.schema.fields + [T.StructField(rank_col, T.LongType(), False)])
-
-    def run(batches):
-        import pandas as pd
-        last, count = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if last is None:
-                first_g, off = head[int(pdf["_pid"].iloc[0])]
-                last, count = first_g, off
-            gk = list(zip(*[pdf[g] for g in groups]))
-            ranks = []
-            for k in gk:
-                if k != last:
-                    last, count = k, 0
-                ranks.append(count)
-                count += 1
-            yield pdf.assign(**{rank_col: pd.Series(ranks, dtype="int64", index=pdf.index)})
-
-    return tagged.mapInPandas(run, out_schema).drop("_pid")
+    on = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)],
+                F.col("_pid") == F.col("_p"))
+    out = tagged.join(F.broadcast(seg), on)
+    return out.withColumn(rank_col, F.col("_off") + F.col("_mono") - F.col("_m0")).select(
+        *df.columns, rank_col)
+
+
+def grouped_rank(df: DataFrame, groups: list[str], order: list[str], bucket: Column,
+                 rank_col: str = "rank") -> DataFrame:
+    """0-based position in ``order`` within each group (``row_number() - 1``)
+    without a task per group.  ``bucket`` must not decrease along ``order``
+    (e.g. the minute of a leading time stamp) and should be fine enough for
+    the rows of one (group, bucket) to fit a task.  ``order`` must make the
+    order total; a NULL group is a group like any other."""
+    tagged = df.withColumn("_b", bucket)
+    before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = tagged.groupBy(*groups, "_b").agg(F.count("*").alias("_n")).select(
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col("_b").alias("_c"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    on = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)],
+                F.col("_b").eqNullSafe(F.col("_c")))
+    within = Window.partitionBy(*groups, "_b").orderBy(*order)
+    ranked = tagged.withColumn("_r", F.row_number().over(within) - 1).join(counts, on)
+    return ranked.select(*df.columns, (F.col("_off") + F.col("_r")).cast("long").alias(rank_col))

@@ -10,34 +10,46 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
+
 def get_session(master: str | None = None, app: str = "tessera",
                 shuffle_partitions: int | None = None) -> SparkSession:
-    """Build (or reuse) a session with the settings this library assumes.
+    """The running session as it is, or a new one.
 
-    On a cluster the caller's settings win: ``getOrCreate`` keeps an
-    existing session and only the options below that are unset are added.
+    A session that exists keeps all its settings.  A new one gets the
+    settings below, unless ``spark-submit`` or the Spark configuration
+    has set them already; ``shuffle_partitions`` is set only if given
+    (here or in TESSERA_SHUFFLE_PARTITIONS).
     """
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        ensure_checkpoint_dir(running)
+        return running
+    defaults = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        # AQE broadcasts a join side only after measuring it; vocabulary-,
+        # IDF- and weight-sized tables stay under this bound, data tables do not
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": os.environ.get("TESSERA_BROADCAST_BYTES", "128MB"),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": os.environ.get("TESSERA_DRIVER_MEMORY", "16g"),
+    }
+    parts = shuffle_partitions or os.environ.get("TESSERA_SHUFFLE_PARTITIONS")
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    parts = shuffle_partitions or int(os.environ.get("TESSERA_SHUFFLE_PARTITIONS", "8"))
-    builder = (
-        builder.config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # AQE broadcasts a join side only after measuring it; vocabulary-,
-        # IDF- and weight-sized tables stay under this bound, data tables do not
-        .config("spark.sql.adaptive.autoBroadcastJoinThreshold",
-                os.environ.get("TESSERA_BROADCAST_BYTES", "128MB"))
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
-    )
+    submitted = SparkConf()
+    for key, value in defaults.items():
+        if not submitted.contains(key):
+            builder = builder.config(key, value)
+    if parts:
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -67,8 +79,9 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster sets it to a shared folder; we only create a scratch folder
-    when nothing is configured (single-machine tests).
+    A cluster sets it to a shared folder.  Only a single-machine session
+    (``local`` master) that has none gets a scratch folder; elsewhere a
+    folder of one machine would be lost to the others, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -77,6 +90,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

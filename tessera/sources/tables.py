@@ -2,7 +2,9 @@
 
 Every reader selects only the columns the caller names, so the scan's
 ``ReadSchema`` carries just those columns and filters written on top are
-pushed into the Parquet reader by Catalyst.
+pushed into the Parquet reader by Catalyst.  Rows are left in the splits
+of the scan: an operator that needs them clustered does so itself, by a
+key that cannot be hot.
 """
 
 from __future__ import annotations
@@ -14,15 +16,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-# Natural key of each table: rows are hash-spread on it when a file
-# arrives in fewer splits than the session's parallelism (one Parquet row
-# group lands in one task), which also clusters them for the windows and
-# joins on that key that follow.
-SPREAD_KEYS = {"documents": "doc_id", "labels": "doc_id", "conversations": "conv_id",
-               "events": "user_id", "embeddings": "vec_id", "benchmark": "item_id",
-               "pages": "page_id"}
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -37,8 +30,4 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
         if missing:
             raise ValueError(f"table {name} lacks columns {missing}")
         df = df.select(*columns)
-    key = SPREAD_KEYS.get(name)
-    if key and key in df.columns:
-        from tessera.plans.ranking import spread
-        df = spread(df, key)
     return df
