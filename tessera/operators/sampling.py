@@ -95,23 +95,29 @@ def split_if_missing(df: DataFrame, id_col: str, val_fraction: float = 0.02,
 def head_sample(df: DataFrame, order_col: str, n: int, accuracy: int = 10000) -> DataFrame:
     """The first ``n`` rows by ``order_col`` (all rows if fewer).
 
-    No global sort and no single-task TakeOrdered (the reference's ``n``
-    is 1,000,000): an approximate quantile gives a cutoff whose rank error
-    is at most ``count / accuracy``; the cutoff is checked with an exact
-    count (and raised if short), and only the rows at or below it are
-    ranked.
+    Rows with a NULL order value come last.  No global sort and no
+    single-task TakeOrdered (the reference's ``n`` is 1,000,000): an
+    approximate quantile gives a cutoff whose rank error is at most
+    ``count / accuracy``; the cutoff is checked with an exact count and
+    raised while it is short, at the latest to the largest value; only the
+    rows at or below it are ranked.
     """
-    total = df.count()
+    total, known = df.agg(F.count("*"), F.count(order_col)).first()
     if n >= total:
         return df
     if n <= 0:
         return df.limit(0)
-    q = n / total
-    for _ in range(20):
-        t = df.agg(F.percentile_approx(order_col, min(q, 1.0), accuracy)).first()[0]
-        if df.filter(F.col(order_col) <= t).count() >= n or q >= 1.0:
+    if n > known:  # every row with a value, and the rest from those without
+        rest = global_rank(df.filter(F.col(order_col).isNull()), [F.xxhash64(*df.columns)], rank_col="_r")
+        return df.filter(F.col(order_col).isNotNull()).unionByName(
+            rest.filter(F.col("_r") < n - known).drop("_r"))
+    q = n / known
+    while True:
+        cut = F.max(order_col) if q >= 1.0 else F.percentile_approx(order_col, q, accuracy)
+        t = df.agg(cut).first()[0]
+        if df.filter(F.col(order_col) <= t).count() >= n:
             break
-        q = q + 1.0 / accuracy + (q * 0.01)
+        q = 1.01 * q + 1.0 / accuracy
     cand = df.filter(F.col(order_col) <= t)
     return global_rank(cand, [order_col], rank_col="_r").filter(F.col("_r") < n).drop("_r")
 

@@ -1,9 +1,9 @@
 """Model scoring and reranking.
 
 M3/U1 call user Python code through Arrow batches: ``mapInPandas``
-builds the model once per partition (not per row); a failing batch
+builds the model once per partition (not per row); an input that fails
 yields an empty response plus the error text, as the reference's
-generation wrapper does.  M5 is a top-k per item done in two stages
+generation wrapper does for each prompt.  M5 is a top-k per item done in two stages
 (salted partial top-k, then the final top-k), so an item with a third
 of all candidates never sorts in one task.
 """
@@ -15,31 +15,51 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.session import ship_package
 
 
-def batch_score(df: DataFrame, model_factory: Callable[[], Callable[[list[str]], list[str]]],
-                input_col: str, key: str, out_col: str = "response") -> DataFrame:
+def batch_score(df: DataFrame, model_factory: Callable[[], Callable[[list[str]], list]],
+                input_col: str, key: str, out_col: str = "response", out_type: str = "string") -> DataFrame:
     """M3: distributed batch inference with a user model.
 
     ``model_factory()`` runs once per partition and returns a function
     from a list of inputs to a list of outputs.  Output rows:
-    ``(key, out_col, error)``.
+    ``(key, out_col, error)``; the key keeps its type and ``out_type``
+    names the output's (``"string"``, ``"array<double>"`` for logits,
+    ``"struct<label:int,score:double>"`` with dictionaries, ...).
+
+    A call that fails is repeated on both halves of its inputs, so only
+    the inputs that fail by themselves lose their output (empty for
+    strings, NULL otherwise) and carry the error.
     """
     ship_package(df.sparkSession)
-    schema = f"{key} long, {out_col} string, error string"
+    key_type = df.schema[key].dataType
+    schema = T.StructType([T.StructField(key, key_type), T.StructField(out_col, T._parse_datatype_string(out_type)),
+                           T.StructField("error", T.StringType())])
+    blank = "" if out_type == "string" else None
+
+    def answers(model, inputs: list[str]) -> list[tuple]:
+        if not inputs:
+            return []
+        try:
+            outs = list(model(inputs))
+            if len(outs) != len(inputs):
+                raise ValueError(f"{len(outs)} outputs for {len(inputs)} inputs")
+            return [(o, None) for o in outs]
+        except Exception as e:  # noqa: BLE001  (reported in the error column)
+            if len(inputs) == 1:
+                return [(blank, f"{type(e).__name__}: {e}")]
+            half = len(inputs) // 2
+            return answers(model, inputs[:half]) + answers(model, inputs[half:])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = model_factory()
         for pdf in batches:
-            inputs = pdf[input_col].fillna("").tolist()
-            try:
-                outs, err = model(inputs), None
-            except Exception as e:  # noqa: BLE001  (the reference returns '' on error)
-                outs, err = [""] * len(inputs), f"{type(e).__name__}: {e}"
-            yield pd.DataFrame({key: pdf[key].astype("int64"), out_col: outs,
-                                "error": [err] * len(inputs)})
+            outs, errors = zip(*answers(model, pdf[input_col].fillna("").tolist())) if len(pdf) else ((), ())
+            yield pd.DataFrame({key: pdf[key], out_col: pd.Series(outs, pdf.index, dtype=object),
+                                "error": pd.Series(errors, pdf.index, dtype=object)})
 
     return df.select(key, input_col).mapInPandas(run, schema)
 
@@ -70,3 +90,15 @@ def rerank_length_penalty(nbest: DataFrame, num_beams: int = 4, penalty: float =
     scored = nbest.withColumn("norm", F.col("score") / F.pow(F.col("length").cast("double"), F.lit(penalty)))
     top = top_k_per_group(scored, item, [F.desc("norm"), F.col(cand)], num_beams, cand)
     return top.withColumn("all_finished", F.bool_and("ended").over(Window.partitionBy(item)))
+
+
+def pick_best(nbest: DataFrame, num_beams: int = 4, penalty: float = 0.7, eos: int = 2, pad: int = 0,
+              item: str = "item_id", cand: str = "cand_id", tokens: str = "tokens") -> DataFrame:
+    """M5, last step: each item's best candidate, its tokens cut at the
+    first ``eos`` (kept) and padded to the longest of all."""
+    best = rerank_length_penalty(nbest, num_beams, penalty, item, cand).where("rank = 1")
+    end = F.array_position(tokens, F.lit(eos))
+    cut = F.when(end > 0, F.slice(tokens, F.lit(1), end.cast("int"))).otherwise(F.col(tokens))
+    cut_rows = best.select(item, cand, "norm", "all_finished", cut.alias(tokens))
+    longest = cut_rows.agg(F.coalesce(F.max(F.size(tokens)), F.lit(0))).scalar()
+    return cut_rows.withColumn(tokens, F.concat(tokens, F.array_repeat(F.lit(pad), longest - F.size(tokens))))

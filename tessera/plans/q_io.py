@@ -50,7 +50,7 @@ FROM r QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY epoch DESC) = 1""
 
 @register("run_ledger_roundtrip", LEDGER_SQL)
 def q_ledger(spark, sf_dir):
-    """S2 + S3 (rows-only): write every epoch's record, read back, keep the latest per run."""
+    """S2 + S3: write every epoch's record, read back, keep the latest per run."""
     path = ledger.ledger_dir(spark)
     ledger.write_ledger(ledger_records(spark, sf_dir), path)
     latest = ledger.latest_per_run(ledger.read_ledger(spark, path))
@@ -61,8 +61,8 @@ def q_ledger(spark, sf_dir):
 
 def stream_transform(df):
     """Per-row work that is valid on a stream: tokens, gold answer, model answer."""
-    worked = F.concat(F.col("text").substr(1, 50), F.lit("\n#### "), F.col("n_chars").cast("string"))
-    response = F.concat(F.lit("<think>"), F.col("text").substr(1, 50), F.lit("</think>\nAnswer: "),
+    worked = F.concat(F.col("text"), F.lit("\n#### "), F.col("n_chars").cast("string"))
+    response = F.concat(F.lit("<think>"), F.col("text"), F.lit("</think>\nAnswer: "),
                         F.col("n_chars").cast("string"))
     t = df.select("doc_id", F.size(word_tokens("text")).alias("n_tokens"),
                   ans.gold_answer(worked).alias("gold"), response.alias("response"))
@@ -70,8 +70,8 @@ def stream_transform(df):
 
 
 STREAM_SQL = ("WITH base AS (SELECT doc_id, CAST(len(regexp_extract_all(lower(text), '(" + WORD + "+)', 1)) AS INTEGER)"
-              " AS n_tokens, substr(text, 1, 50) || chr(10) || '#### ' || CAST(n_chars AS VARCHAR) AS worked,"
-              " '<think>' || substr(text, 1, 50) || '</think>' || chr(10) || 'Answer: ' || CAST(n_chars AS VARCHAR)"
+              " AS n_tokens, text || chr(10) || '#### ' || CAST(n_chars AS VARCHAR) AS worked,"
+              " '<think>' || text || '</think>' || chr(10) || 'Answer: ' || CAST(n_chars AS VARCHAR)"
               " AS response FROM documents),\n" + LLM_SQL.replace("FROM responses", "FROM base") +
               "\nSELECT b.doc_id, b.n_tokens, " + gold_sql("b.worked") + " AS gold, model_ans.llm_answer"
               " FROM base b JOIN model_ans USING (doc_id)")
@@ -79,7 +79,7 @@ STREAM_SQL = ("WITH base AS (SELECT doc_id, CAST(len(regexp_extract_all(lower(te
 
 @register("stream_rowwise", STREAM_SQL)
 def q_stream_rowwise(spark, sf_dir):
-    """T1 + C1-C3 over ``documents`` read as a file stream (rows-only)."""
+    """T1 + C1-C3 over ``documents`` read as a file stream."""
     schema = read_table(spark, sf_dir, "documents").schema
     stream = read_stream(spark, sf_dir, schema, file_glob="documents.parquet")
     return run_available(spark, stream, stream_transform)

@@ -71,7 +71,7 @@ BATCH_SQL = ("WITH p AS (SELECT item_id, 'Question: ' || text || chr(10) || " +
 
 @register("batch_score", BATCH_SQL)
 def q_batch_score(spark, sf_dir):
-    """M3 (rows-only): zero-shot prompts over ``benchmark`` through a user
+    """M3: zero-shot prompts over ``benchmark`` through a user
     model in ``mapInPandas``, then answer extraction (C3)."""
     b = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
     pr = b.select("item_id", prompts.zero_shot_prompt("text").alias("prompt"))
@@ -94,7 +94,7 @@ def _user_tokenizer(text: str) -> list[str]:
 @register("udf_tokenizer", "SELECT doc_id, CAST(len(regexp_extract_all(text, '(" + USER_TOKEN_RE +
           ")', 1)) AS INTEGER) AS n_tokens FROM documents")
 def q_udf_tokenizer(spark, sf_dir):
-    """U1 (rows-only): a user tokenizer callable as an Arrow UDF over documents."""
+    """A user tokenizer callable as an Arrow UDF over documents."""
     ship_package(spark)
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     tok = scoring.udf_tokenizer(_user_tokenizer)

@@ -36,17 +36,16 @@ def run_available(spark: SparkSession, stream: DataFrame, transform: Callable[[D
                   sink_path: str | None = None, name: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Apply ``transform`` to all available input, write it, return the result.
 
-    With ``sink_path`` the output is appended as files there (the
-    production sink); otherwise to an in-memory table (tests, notebooks).
+    The output is appended as files to ``sink_path``, by default a new
+    folder beside the stream's checkpoint in the shared folder.
     """
     name = name or f"stream_{uuid.uuid4().hex[:12]}"
-    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
-    out = transform(stream).writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
-    if sink_path:
-        q = out.format(fmt).outputMode("append").start(sink_path)
-    else:
-        q = out.format("memory").queryName(name).outputMode("append").start()
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    sink_path = sink_path or f"{base}/sink"
+    out = transform(stream)
+    q = (out.writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+         .format(fmt).outputMode("append").start(sink_path))
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
-    return spark.read.format(fmt).load(sink_path) if sink_path else spark.table(name)
+    return spark.read.schema(out.schema).format(fmt).load(sink_path)

@@ -51,11 +51,32 @@ def test_batch_score_error_column(spark):
                 raise ValueError("bad input")
             return [x.upper() for x in xs]
         return run
-    df = spark.createDataFrame([(1, "boom"), (2, "ok")], "id long, t string").coalesce(1)
-    rows = scoring.batch_score(df, factory, "t", "id").collect()
-    assert all(r["response"] == "" and "ValueError" in r["error"] for r in rows)
-    ok = scoring.batch_score(spark.createDataFrame([(3, "fine")], "id long, t string"), factory, "t", "id")
-    assert ok.first()["response"] == "FINE"
+    rows = [(i, "boom" if i in (3, 700) else f"ok{i}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, t string").coalesce(1)
+    got = {r["id"]: r for r in scoring.batch_score(df, factory, "t", "id").collect()}
+    assert len(got) == 1000
+    for i, t in rows:
+        if t == "boom":
+            assert got[i]["response"] == "" and "ValueError" in got[i]["error"]
+        else:
+            assert got[i]["response"] == t.upper() and got[i]["error"] is None
+
+
+def test_batch_score_typed_output_and_key(spark):
+    def factory():
+        return lambda xs: [{"label": len(x) % 2, "score": float(len(x)), "logits": [0.5, float(len(x))]} for x in xs]
+    df = spark.createDataFrame([("a", "xyz"), ("b", None)], "id string, t string")
+    got = scoring.batch_score(df, factory, "t", "id", "out", "struct<label:int,score:double,logits:array<double>>")
+    rows = {r["id"]: r["out"] for r in got.collect()}
+    assert (rows["a"]["label"], rows["a"]["score"], rows["a"]["logits"]) == (1, 3.0, [0.5, 3.0])
+    assert rows["b"]["score"] == 0.0
+
+
+def test_pick_best_cuts_and_pads(spark):
+    rows = [(1, 1, -1.0, 2, True, [5, 2, 9]), (1, 2, -9.0, 2, True, [7, 7, 7]), (2, 3, -2.0, 1, False, [4, 4, 4, 4])]
+    nb = spark.createDataFrame(rows, "item_id long, cand_id long, score double, length int, ended boolean, tokens array<int>")
+    got = {r["item_id"]: (r["cand_id"], r["tokens"]) for r in scoring.pick_best(nb).collect()}
+    assert got == {1: (1, [5, 2, 0, 0]), 2: (3, [4, 4, 4, 4])}
 
 
 def test_hot_group_is_split_into_cells(spark):
