@@ -33,33 +33,36 @@ def gd_fit(x: DataFrame, y: DataFrame, steps: int = 3, lr: float = 1.0,
 
     ``x``: ``(id, term, x)`` train features; ``y``: ``(id, label)`` for
     every train document (documents without features count in N).
-    The bias is the weight of a constant feature (term NULL, x = 1) that
-    every document carries, so margins, gradients and the update are one
-    aggregation each, joined null-safely; a step is one job (the
-    checkpoint of the new weights).
+    The bias is the weight of a constant feature (x = 1) that every
+    document carries, so margins, gradients and the update are one
+    aggregation each.  Its rows enter the join under a key of their own
+    document, which matches nothing and spreads them, and take the bias as
+    a scalar.  A step is one job (the checkpoint of the new weights).
     """
     spark = x.sparkSession
     ensure_checkpoint_dir(spark)
     ys = y.select(id_col, F.col("label").cast("double").alias("y"))
-    const = ys.select(id_col, F.lit(None).cast("string").alias("term"), F.lit(1.0).alias("x"))
-    xs = (x.select(id_col, "term", F.col("x").cast("double")).unionByName(const)
+    const = ys.select(id_col, F.concat(F.lit("\0"), F.col(id_col).cast("string")).alias("term"), F.lit(1.0).alias("x"), F.lit(True).alias("bias"))
+    xs = (x.select(id_col, "term", F.col("x").cast("double"), F.lit(False).alias("bias")).unionByName(const)
           .join(ys, id_col).repartition(id_col).persist(StorageLevel.MEMORY_AND_DISK))
     n = ys.count()
     scale = lr * 2.0 / max(n, 1)
+    term = F.when(~F.col("bias"), F.col("term"))  # the bias is the group NULL, summed map-side
     if steps <= 0:
-        w = xs.select(F.col("term").alias("wterm")).distinct().withColumn("w", F.lit(0.0))
-        return w.filter(F.col("wterm").isNotNull()).withColumnRenamed("wterm", "term"), 0.0
+        return xs.filter(~F.col("bias")).select("term").distinct().withColumn("w", F.lit(0.0)), 0.0
     # From zero weights every margin is 0, so the first step needs no join:
     # w1 = -scale * sum((sigmoid(0) - y) * x) per term (the bias included).
-    w = xs.groupBy(F.col("term").alias("wterm")).agg(
+    w = xs.groupBy(term.alias("wterm")).agg(
         (F.lit(-scale) * F.sum((F.lit(0.5) - F.col("y")) * F.col("x"))).alias("w")).checkpoint()
     by_doc = Window.partitionBy(id_col)
     for _ in range(steps - 1):
         # margin per document as a window over the document's rows (xs is
         # clustered by document): no join back, one exchange per step
-        j = xs.join(w, xs["term"].eqNullSafe(w["wterm"]))
-        r = sigmoid(F.sum(F.col("x") * F.col("w")).over(by_doc)) - F.col("y")
-        grad = j.select("term", "x", r.alias("r")).groupBy(F.col("term").alias("gterm")).agg(
+        c = w.filter(F.col("wterm").isNull()).first()["w"]
+        j = xs.join(w, xs["term"] == w["wterm"], "left")
+        weight = F.when(F.col("bias"), F.lit(c)).otherwise(F.col("w"))
+        r = sigmoid(F.sum(F.col("x") * weight).over(by_doc)) - F.col("y")
+        grad = j.select(term.alias("gterm"), "x", r.alias("r")).groupBy("gterm").agg(
             F.sum(F.col("r") * F.col("x")).alias("g"))
         w = w.join(grad, w["wterm"].eqNullSafe(grad["gterm"]), "left").select(
             "wterm", (F.col("w") - F.lit(scale) * F.coalesce("g", F.lit(0.0))).alias("w")).checkpoint()
@@ -95,10 +98,13 @@ def mllib_fit(train: DataFrame, text_col: str = "text", label_col: str = "label"
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, RegexTokenizer
 
+    tokens = RegexTokenizer(inputCol=text_col, outputCol="_tok", gaps=False,
+                            pattern=r"[\p{L}\p{N}_]{2,}", toLowercase=True)
+    # every term: the vectorizer's own default would drop those beyond 2**18
+    vocabulary = max(1, tokens.transform(train.select(text_col)).select(F.explode("_tok")).distinct().count())
     stages = [
-        RegexTokenizer(inputCol=text_col, outputCol="_tok", gaps=False,
-                       pattern=r"[\p{L}\p{N}_]{2,}", toLowercase=True),
-        CountVectorizer(inputCol="_tok", outputCol="_tf"),
+        tokens,
+        CountVectorizer(inputCol="_tok", outputCol="_tf", vocabSize=vocabulary),
         IDF(inputCol="_tf", outputCol="_tfidf"),
         Normalizer(inputCol="_tfidf", outputCol="features", p=2.0),
         LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter,

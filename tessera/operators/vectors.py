@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.plans.blocked import cogroup_cells
@@ -33,20 +33,39 @@ def _stack(col: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in col]) if len(col) else np.zeros((0, 0))
 
 
+def _causal_cells(qkv: DataFrame, block: int, causal: bool) -> tuple[DataFrame, DataFrame]:
+    """Query and key rows with the cells ``(_g, _qb, _kb)`` they take part
+    in.  Blocks are ranges of ``block`` positions, so a causal cell whose
+    keys all come later than its queries is never made."""
+    at = F.floor(F.col("pos") / block)
+    spans = qkv.groupBy("grp").agg(F.min(at).alias("_lo"), F.max(at).alias("_hi")).withColumnRenamed("grp", "_s")
+    rows = qkv.withColumn("_b", at).join(spans, F.col("grp") == F.col("_s"))
+    kb = F.sequence("_lo", F.col("_b") if causal else F.col("_hi"))
+    qb = F.sequence(F.col("_b") if causal else F.col("_lo"), F.col("_hi"))
+    q = rows.select("grp", F.col("pos").alias("qpos"), F.col("vec").alias("qvec"), F.col("_b").alias("_qb"), F.explode(kb).alias("_kb"))
+    k = rows.select(F.col("grp").alias("_rgrp"), F.col("pos").alias("kpos"), F.col("vec").alias("kvec"),
+                    F.explode(qb).alias("_qb"), F.col("_b").alias("_kb"))
+    return q, k
+
+
 def dot_softmax_lookup(qkv: DataFrame, causal: bool = True, block: int = 1024,
                        with_vector: bool = True) -> DataFrame:
-    """M6 on ``(grp, pos, vec)`` (self-lookup: queries = keys = values).
+    """M6 on ``(grp, pos, vec)`` (self-lookup: queries = keys = values; a
+    group is a sequence, positions are not negative).
 
     Returns per query: ``n_keys``, ``max_weight``, ``out_dot_q`` (output
     . query), ``out_sum`` (sum of output entries) and, if ``with_vector``,
     the output vector ``out``.
     """
-    q = qkv.select(F.col("grp"), F.col("pos").alias("qpos"), F.col("vec").alias("qvec"))
-    k = qkv.select(F.col("grp"), F.col("pos").alias("kpos"), F.col("vec").alias("kvec"))
+    from tessera.session import ship_package
+
+    ship_package(qkv.sparkSession)
+    names = ["grp", "qpos", "m", "l", "n_keys", "qo", "osum"] + ["o"] * with_vector
+    schema = ", ".join(f for f in _PARTIAL.split(", ") if f.split(" ")[0] in names)
 
     def cell(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if lp.empty or rp.empty:
-            return _empty_partials()
+            return _empty_partials()[names]
         qm, km = _stack(lp["qvec"]), _stack(rp["kvec"])
         s = qm @ km.T / np.sqrt(qm.shape[1])
         allowed = np.ones_like(s, dtype=bool)
@@ -56,15 +75,17 @@ def dot_softmax_lookup(qkv: DataFrame, causal: bool = True, block: int = 1024,
         m = s.max(axis=1)
         keep = np.isfinite(m)
         if not keep.any():
-            return _empty_partials()
+            return _empty_partials()[names]
         e = np.where(allowed[keep], np.exp(s[keep] - m[keep, None]), 0.0)
         o = e @ km
-        return pd.DataFrame({
+        out = pd.DataFrame({
             "grp": lp["grp"].to_numpy()[keep], "qpos": lp["qpos"].to_numpy()[keep],
             "m": m[keep], "l": e.sum(axis=1), "n_keys": allowed[keep].sum(axis=1).astype(np.int64),
-            "qo": (o * qm[keep]).sum(axis=1), "osum": o.sum(axis=1), "o": [row.tolist() for row in o]})
+            "qo": (o * qm[keep]).sum(axis=1), "osum": o.sum(axis=1)})
+        return out.assign(o=list(o)) if with_vector else out
 
-    parts = cogroup_cells(q, k, "grp", "qpos", "kpos", cell, _PARTIAL, block)
+    q, k = _causal_cells(qkv, block, causal)
+    parts = q.groupBy("grp", "_qb", "_kb").cogroup(k.groupBy("_rgrp", "_qb", "_kb")).applyInPandas(cell, schema)
     mx = F.max("m").over(Window.partitionBy("grp", "qpos"))
     wt = parts.withColumn("_w", F.exp(F.col("m") - mx))
     aggs = [F.sum(F.col("l") * F.col("_w")).alias("L"), F.sum("n_keys").alias("n_keys"),
@@ -81,20 +102,46 @@ def dot_softmax_lookup(qkv: DataFrame, causal: bool = True, block: int = 1024,
     return g.select(*cols)
 
 
-def greedy_match_f1(tv: DataFrame, block: int = 1024) -> DataFrame:
-    """A15 on ``(pair_id, side, pos, vec)``: side 0 = candidate, 1 = reference."""
-    a = tv.filter(F.col("side") == 0).select("pair_id", F.col("pos").alias("apos"), F.col("vec").alias("avec"))
-    b = tv.filter(F.col("side") == 1).select("pair_id", F.col("pos").alias("bpos"), F.col("vec").alias("bvec"))
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+
+def _best(own: str, other: str) -> Column:
+    """Mean over ``own`` of the largest cosine with a vector of ``other``."""
+    best = F.transform(own, lambda a: F.array_max(F.transform(F.col(other), lambda b: _dot(a, b))))
+    return F.aggregate(best, F.lit(0.0), lambda s, x: s + x) / F.size(own)
+
+
+def greedy_match_f1(tv: DataFrame, block: int = 1024, small: int = 64) -> DataFrame:
+    """A15 on ``(pair_id, side, pos, vec)``: side 0 = candidate, 1 = reference.
+
+    A pair with tokens on one side only scores 0, and a zero vector has
+    cosine 0 with everything.  Pairs of at most ``small`` tokens a side are
+    gathered into one row and compared by array expressions; larger ones
+    meet in blocked cells.  Both give the same values.
+    """
+    norm = F.sqrt(_dot(F.col("vec"), F.col("vec")))
+    unit = tv.select("pair_id", "side", "pos", F.when(norm > 0, F.transform("vec", lambda x: x / norm))
+                     .otherwise(F.transform("vec", lambda x: x * 0.0)).alias("vec"))
+    size = unit.groupBy("pair_id").agg(F.count_if(F.col("side") == 0).alias("_na"), F.count_if(F.col("side") == 1).alias("_nb")) \
+        .withColumnRenamed("pair_id", "_p")
+    sized = unit.join(size, F.col("pair_id") == F.col("_p")).drop("_p")
+    both = (F.col("_na") > 0) & (F.col("_nb") > 0)
+    fits = (F.col("_na") <= small) & (F.col("_nb") <= small)
+    one_sided = size.filter(~both).select(F.col("_p").alias("pair_id"), F.lit(0.0).alias("precision"), F.lit(0.0).alias("recall"))
+    side = lambda n: F.collect_list(F.when(F.col("side") == n, F.col("vec")))
+    gathered = sized.filter(both & fits).groupBy("pair_id").agg(side(0).alias("_a"), side(1).alias("_b"))
+    in_row = gathered.select("pair_id", _best("_a", "_b").alias("precision"), _best("_b", "_a").alias("recall"))
+    rest = sized.filter(both & ~fits)
+    a = rest.filter(F.col("side") == 0).select("pair_id", F.col("pos").alias("apos"), F.col("vec").alias("avec"))
+    b = rest.filter(F.col("side") == 1).select("pair_id", F.col("pos").alias("bpos"), F.col("vec").alias("bvec"))
 
     def cell(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if lp.empty or rp.empty:
             i = np.zeros(0, dtype=np.int64)
             return pd.DataFrame({"pair_id": i, "side": i.astype(np.int32), "pos": i,
                                  "best": np.zeros(0, dtype=np.float64)})
-        am, bm = _stack(lp["avec"]), _stack(rp["bvec"])
-        am = am / np.linalg.norm(am, axis=1, keepdims=True)
-        bm = bm / np.linalg.norm(bm, axis=1, keepdims=True)
-        s = am @ bm.T
+        s = _stack(lp["avec"]) @ _stack(rp["bvec"]).T
         pid = lp["pair_id"].iloc[0]
         return pd.DataFrame({
             "pair_id": np.full(len(lp) + len(rp), pid, dtype=np.int64),
@@ -105,7 +152,8 @@ def greedy_match_f1(tv: DataFrame, block: int = 1024) -> DataFrame:
     parts = cogroup_cells(a, b, "pair_id", "apos", "bpos", cell,
                           "pair_id long, side int, pos long, best double", block)
     best = parts.groupBy("pair_id", "side", "pos").agg(F.max("best").alias("best"))
-    pr = best.groupBy("pair_id").agg(F.avg(F.when(F.col("side") == 0, F.col("best"))).alias("precision"),
-                                     F.avg(F.when(F.col("side") == 1, F.col("best"))).alias("recall"))
+    in_cells = best.groupBy("pair_id").agg(F.avg(F.when(F.col("side") == 0, F.col("best"))).alias("precision"),
+                                           F.avg(F.when(F.col("side") == 1, F.col("best"))).alias("recall"))
+    pr = in_row.unionByName(in_cells).unionByName(one_sided)
     p, r = F.col("precision"), F.col("recall")
     return pr.select("pair_id", p, r, F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0)).alias("f1"))

@@ -78,9 +78,9 @@ def token_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qkv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
     return emb.select(
-        F.col("label").alias("grp"), F.col("vec_id").alias("pos"),
+        F.floor(F.col("vec_id") / 64).alias("grp"), (F.col("vec_id") % 64).alias("pos"),
         F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
 
 
@@ -201,7 +201,7 @@ SQL = {
         SELECT vec_id // 10 AS pair_id, vec_id % 2 AS side, vec_id AS pos,
                CAST(embedding AS DOUBLE[]) AS vec FROM embeddings""",
     "qkv": """
-        SELECT label AS grp, vec_id AS pos, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings""",
+        SELECT vec_id // 64 AS grp, vec_id % 64 AS pos, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings""",
     "train_log": """
         SELECT run_id, epoch,
                CAST(row_number() OVER (PARTITION BY run_id, epoch ORDER BY ts, event_id) AS INTEGER) AS micro,

@@ -109,14 +109,17 @@ def split_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fitted_features(spark: SparkSession, sf_dir: str):
     """(ds, counts, idf, feat) with IDF fitted on the train split only."""
-    ds = split_dataset(spark, sf_dir)
+    texts = split_dataset(spark, sf_dir)
     # Term counts feed the IDF fit, the features of every split and the
     # scoring pass: tokenize once and keep the result (spills to disk).
-    counts = features.term_counts(ds, "doc_id", "text").persist(StorageLevel.MEMORY_AND_DISK)
+    counts = features.term_counts(texts, "doc_id", "text").persist(StorageLevel.MEMORY_AND_DISK)
+    # later uses need the split and label of a document, not its text again
+    ds = texts.select("doc_id", "label", "split").persist(StorageLevel.MEMORY_AND_DISK)
     train_ids = ds.filter(F.col("split") == "train").select("doc_id")
     n_train = train_ids.agg(F.count("*")).scalar()
     idf = features.idf_fit(counts.join(train_ids, "doc_id"), n_train)
-    feat = features.tfidf(counts, idf)
+    # one feature table for training and scoring
+    feat = features.tfidf(counts, idf).persist(StorageLevel.MEMORY_AND_DISK)
     return ds, counts, idf, feat
 
 

@@ -172,7 +172,8 @@ GREEDY_SQL = f"""WITH c AS (SELECT a.pair_id, a.side AS aside, a.pos AS apos,
            FROM token_vectors a JOIN token_vectors b ON a.pair_id = b.pair_id AND a.side <> b.side),
 mx AS (SELECT pair_id, aside, apos, max(cs) AS best FROM c GROUP BY pair_id, aside, apos),
 pr AS (SELECT pair_id, avg(CASE WHEN aside = 0 THEN best END) AS p, avg(CASE WHEN aside = 1 THEN best END) AS r
-       FROM mx GROUP BY pair_id)
+       FROM (SELECT * FROM mx UNION ALL SELECT DISTINCT pair_id, s.side, NULL, 0.0 FROM token_vectors, (VALUES (0), (1)) s(side)
+             WHERE pair_id NOT IN (SELECT pair_id FROM mx)) GROUP BY pair_id)
 SELECT pair_id, {R6('p')} AS precision, {R6('r')} AS recall,
        {R6('CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END')} AS f1 FROM pr"""
 
