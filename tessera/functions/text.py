@@ -91,25 +91,34 @@ def bleu_tokens(c: str | Column) -> Column:
     return py_split(s)
 
 
-def ngram_strings(tokens: Column, n: int) -> Column:
+def ngram_strings(tokens: Column, n: int | Column) -> Column:
     """Word n-grams of a token array, joined by a space (empty if too short)."""
-    if n == 1:
-        return tokens
+    if isinstance(n, int):
+        if n == 1:
+            return tokens
+        n = F.lit(n)
     return F.when(
         F.size(tokens) >= n,
-        F.transform(F.sequence(F.lit(0), F.size(tokens) - n),
-                    lambda i: F.array_join(F.slice(tokens, i + 1, n), " ")),
+        F.transform(F.sequence(F.lit(1), F.size(tokens) - n + 1),
+                    lambda i: F.array_join(F.slice(tokens, i, n), " ")),
     ).otherwise(F.array().cast("array<string>"))
 
 
-def char_ngrams(text: Column, n: int) -> Column:
-    """Character n-grams of a string (code points)."""
+def char_ngrams(chars: Column, n: Column) -> Column:
+    """Character n-grams of an array of characters (``characters``)."""
     return F.when(
-        F.length(text) >= n,
-        F.transform(F.sequence(F.lit(1), F.length(text) - n + 1),
-                    lambda i: text.substr(i, F.lit(n))),
+        F.size(chars) >= n,
+        F.transform(F.sequence(F.lit(1), F.size(chars) - n + 1),
+                    lambda i: F.array_join(F.slice(chars, i, n), "")),
     ).otherwise(F.array().cast("array<string>"))
 
 
+def characters(text: Column) -> Column:
+    """The code points of a string, split once: cutting n-grams from the
+    array takes time in proportion, cutting them from the string would
+    scan it anew for each position."""
+    return F.filter(F.split(text, ""), lambda c: c != "")
+
+
 def is_numeric(c: Column) -> Column:
     return c.rlike(NUMERIC)

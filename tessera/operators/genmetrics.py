@@ -15,12 +15,14 @@ word error rate (TER without block shifts).
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import WS, bleu_tokens, char_ngrams, meteor_tokens, ngram_strings
+from tessera.functions.text import WS, bleu_tokens, char_ngrams, characters, meteor_tokens, ngram_strings
 from tessera.functions.text import rouge_tokens, ter_tokens
 from tessera.plans.ranking import cluster
 from tessera.session import ship_package
@@ -33,29 +35,24 @@ METEOR_ALPHA, METEOR_BETA, METEOR_GAMMA = 0.9, 3.0, 0.5
 LOG_ZERO = -9999999999.0
 
 
-def _tagger(n: int, side: int):
-    return lambda x: F.struct(F.lit(n).alias("n"), x.alias("g"), F.lit(side).alias("s"))
-
-
 def ngram_stats(pairs: DataFrame, hyp: Column, ref: Column, orders, chars: bool = False,
                 key: str = "pair_id") -> DataFrame:
     """Per ``(pair, n)``: clipped matches, hypothesis and reference n-gram totals.
 
-    ``hyp``/``ref`` are token arrays (or strings when ``chars``).  Pairs
-    with no n-gram of an order get no row for it.
+    ``hyp``/``ref`` are arrays of tokens (of characters when ``chars``).
+    Pairs with no n-gram of an order get no row for it.
     """
     # Cluster the (small) pair rows by key once; the exploded n-grams then
     # aggregate by (key, n, gram) inside their partition, with no exchange.
+    # Sides and orders are exploded first, so no array holds more than the
+    # n-grams of one side and order.
     base = cluster(pairs, key).select(key, hyp.alias("_h"), ref.alias("_r"))
-    grams = []
-    for n in orders:
-        for side, c in ((0, "_h"), (1, "_r")):
-            g = char_ngrams(F.col(c), n) if chars else ngram_strings(F.col(c), n)
-            grams.append(F.transform(g, _tagger(n, side)))
-    ex = base.select(key, F.explode_outer(F.concat(*grams)).alias("t")).filter(F.col("t").isNotNull())
-    per_gram = ex.groupBy(key, F.col("t.n").alias("n"), F.col("t.g").alias("g")).agg(
-        F.sum(F.when(F.col("t.s") == 0, 1).otherwise(0)).alias("h"),
-        F.sum(F.when(F.col("t.s") == 1, 1).otherwise(0)).alias("r"))
+    sides = F.array(F.struct(F.lit(0).alias("s"), F.col("_h").alias("t")), F.struct(F.lit(1).alias("s"), F.col("_r").alias("t")))
+    one = base.select(key, F.explode(sides).alias("x")).select(
+        key, "x.s", "x.t", F.explode(F.array(*[F.lit(n) for n in orders])).alias("n"))
+    grams = char_ngrams(F.col("t"), F.col("n")) if chars else ngram_strings(F.col("t"), F.col("n"))
+    ex = one.select(key, "s", "n", F.explode_outer(grams).alias("g")).filter(F.col("g").isNotNull())
+    per_gram = ex.groupBy(key, "n", "g").agg(F.count_if(F.col("s") == 0).alias("h"), F.count_if(F.col("s") == 1).alias("r"))
     return per_gram.groupBy(key, "n").agg(
         F.sum(F.least("h", "r")).cast("long").alias("matches"),
         F.sum("h").cast("long").alias("hyp_total"), F.sum("r").cast("long").alias("ref_total"))
@@ -102,9 +99,8 @@ def chrf(pairs: DataFrame, pred: str = "prediction", ref: str = "reference",
          key: str = "pair_id") -> DataFrame:
     """A10: corpus chrF (0-100): precision and recall averaged over the
     orders with both sides non-empty, then F-beta."""
-    nows = lambda c: F.regexp_replace(F.col(c), WS, "")
-    base = pairs.select(key, nows(pred).alias("_hp"), nows(ref).alias("_rp"))
-    st = ngram_stats(base, F.col("_hp"), F.col("_rp"), range(1, CHRF_ORDER + 1), chars=True, key=key)
+    nows = lambda c: characters(F.regexp_replace(F.col(c), WS, ""))
+    st = ngram_stats(pairs, nows(pred), nows(ref), range(1, CHRF_ORDER + 1), chars=True, key=key)
     tot = st.groupBy("n").agg(F.sum("matches").alias("m"), F.sum("hyp_total").alias("h"),
                               F.sum("ref_total").alias("r"))
     ok = (F.col("h") > 0) & (F.col("r") > 0)
@@ -173,22 +169,30 @@ def _ids(a, b):
     return ai, bi
 
 
-def lcs_table(a, b) -> np.ndarray:
-    """LCS dynamic-programming table, one vectorized row at a time:
-    row_i = cummax(max(prev[j], prev[j-1] + 1 where a_i == b_j))."""
-    ai, bi = _ids(a, b)
-    t = np.zeros((len(ai) + 1, len(bi) + 1), dtype=np.int32)
-    for i in range(1, len(ai) + 1):
-        prev = t[i - 1]
-        cand = np.maximum(prev[1:], np.where(bi == ai[i - 1], prev[:-1] + 1, 0))
-        t[i, 1:] = np.maximum.accumulate(cand)
-    return t
+def lcs_columns(ref, can):
+    """One integer for each token of ``can``: bit i is 0 where the longest
+    common subsequence with the tokens of ``can`` so far grows from the
+    first i to the first i + 1 tokens of ``ref``.
+
+    A column follows from the last by one addition of machine words (the
+    carries run through each stretch up to the next match), so the table
+    of lengths is never built."""
+    places: dict = {}
+    for i, t in enumerate(ref):
+        places[t] = places.get(t, 0) | 1 << i
+    full = (1 << len(ref)) - 1
+    flat = full
+    for t in can:
+        at = flat & places.get(t, 0)
+        flat = ((flat + at) | (flat - at)) & full
+        yield flat
 
 
 def lcs_len(a, b) -> int:
-    if len(a) == 0 or len(b) == 0:
-        return 0
-    return int(lcs_table(a, b)[-1, -1])
+    flat = (1 << len(a)) - 1
+    for flat in lcs_columns(a, b):
+        pass
+    return len(a) - flat.bit_count()
 
 
 def edit_distance(a, b) -> int:
@@ -217,41 +221,49 @@ def rouge_l_pair(hyp, ref) -> float:
     return _fmeasure(n / len(hyp), n / len(ref))
 
 
-def _lcs_indices(ref, can) -> list[int]:
-    t = lcs_table(ref, can)
-    i, j, out = len(ref), len(can), []
-    while i > 0 and j > 0:
-        if ref[i - 1] == can[j - 1]:
-            out.append(i - 1)
-            i, j = i - 1, j - 1
-        elif t[i, j - 1] > t[i - 1, j]:
-            j -= 1
+def lcs_positions(ref, can) -> int:
+    """Bits of the ``ref`` positions in one longest common subsequence: of
+    several the one that ends earliest in ``ref``.
+
+    From the last column on, the open prefix of ``ref`` is cut to its last
+    position that grows the length or equals the column's token; an equal
+    token is taken."""
+    columns = list(lcs_columns(ref, can))
+    places: dict = {}
+    for i, t in enumerate(ref):
+        places[t] = places.get(t, 0) | 1 << i
+    taken, open_ = 0, (1 << len(ref)) - 1
+    for t, flat in zip(reversed(can), reversed(columns)):
+        equal = places.get(t, 0) & open_
+        top = (equal | (~flat & open_)).bit_length()
+        if not top:
+            break
+        last = 1 << (top - 1)
+        if equal & last:
+            taken |= last
+            open_ = last - 1
         else:
-            i -= 1
-    return out[::-1]
+            open_ = 2 * last - 1
+    return taken
 
 
 def rouge_lsum_pair(hyp_sents, ref_sents) -> float:
-    """Summary-level LCS over newline-separated sentences (union LCS)."""
-    hyp_sents = [s for s in hyp_sents if len(s)]
-    ref_sents = [s for s in ref_sents if len(s)]
+    """Summary-level LCS over newline-separated sentences: reference
+    positions that any hypothesis sentence aligns with count once, and no
+    token counts more often than either side holds it."""
+    hyp_sents = [list(s) for s in hyp_sents if len(s)]
+    ref_sents = [list(s) for s in ref_sents if len(s)]
     m, n = sum(map(len, ref_sents)), sum(map(len, hyp_sents))
     if not m or not n:
         return 0.0
-    from collections import Counter
-    cr, cc = Counter(), Counter()
-    for s in ref_sents:
-        cr.update(s)
-    for s in hyp_sents:
-        cc.update(s)
-    hits = 0
-    for r in ref_sents:
-        union = sorted(set().union(*[_lcs_indices(r, c) for c in hyp_sents]))
-        for t in (r[i] for i in union):
-            if cc[t] > 0 and cr[t] > 0:
-                hits += 1
-                cc[t] -= 1
-                cr[t] -= 1
+    aligned: Counter = Counter()
+    for ref in ref_sents:
+        union = 0
+        for hyp in hyp_sents:
+            union |= lcs_positions(ref, hyp)
+        aligned.update(t for i, t in enumerate(ref) if union >> i & 1)
+    held = Counter(t for s in hyp_sents for t in s)
+    hits = (aligned & held).total()
     return _fmeasure(hits / n, hits / m)
 
 

@@ -149,19 +149,70 @@ def q_meteor(spark, sf_dir):
     return m.select("pair_id", "matches", "chunks", r6("meteor").alias("meteor"))
 
 
-@register("rouge_l")
+def _lcs_row(acc: str, x: str) -> str:
+    """SQL of the next row of LCS lengths: ``acc`` the last one, ``x`` 1
+    where the reference token equals the new hypothesis token."""
+    best = f"greatest({acc}[k], CASE WHEN {x}[k] = 1 THEN coalesce({acc}[k - 1], 0) + 1 ELSE 0 END)"
+    return (f"list_transform(range(1, len({x}) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k: {best})))")
+
+
+def _hits(h: str, r: str) -> str:
+    """SQL list: for each token of ``h`` the 0/1 list of equal ``r`` tokens."""
+    return f"list_transform({h}, lambda a: list_transform({r}, lambda b: CASE WHEN a = b THEN 1 ELSE 0 END))"
+
+
+ROUGE_L_SQL = f"""WITH tk AS (SELECT pair_id, {sql_rouge_tokens('prediction')} AS h, {sql_rouge_tokens('reference')} AS r FROM pairs),
+l AS (SELECT pair_id, len(h) AS lh, len(r) AS lr, CASE WHEN len(h) = 0 OR len(r) = 0 THEN 0 ELSE
+        list_reduce({_hits('h', 'r')}, lambda acc, x: {_lcs_row('acc', 'x')}, list_transform(r, lambda b: 0))[-1] END AS n FROM tk)
+SELECT pair_id, {R6('CASE WHEN n = 0 THEN 0.0 ELSE 2 * (n / lh) * (n / lr) / (n / lh + n / lr) END')} AS "rougeL" FROM l"""
+
+# Lsum: rows of lengths for every sentence pair, then a walk over the columns
+# from the last: state = open prefix of the reference, then the positions taken.
+_TOP = ("coalesce(list_max(list_filter(range(1, acc[1][1] + 1), lambda k: x[2][k] = 1 "
+        "OR x[1][k] > coalesce(x[1][k - 1], 0))), 0)")
+_WALK = (f"CASE WHEN {_TOP} = 0 THEN [[0], acc[2]] WHEN x[2][{_TOP}] = 1 THEN [[{_TOP} - 1], list_append(acc[2], {_TOP})] "
+         f"ELSE [[{_TOP}], acc[2]] END")
+ROUGE_LSUM_SQL = f"""WITH s AS (SELECT pair_id,
+         list_filter(list_transform(string_split(prediction, chr(10)), lambda t: {sql_rouge_tokens('t')}), lambda t: len(t) > 0) AS hs,
+         list_filter(list_transform(string_split(reference, chr(10)), lambda t: {sql_rouge_tokens('t')}), lambda t: len(t) > 0) AS rs
+       FROM pairs),
+ri AS (SELECT pair_id, hs, unnest(rs) AS r, unnest(range(len(rs))) AS ri FROM s),
+c AS (SELECT pair_id, ri, r, unnest(hs) AS h FROM ri),
+e AS (SELECT pair_id, ri, r, {_hits('h', 'r')} AS hit FROM c),
+rows AS (SELECT pair_id, ri, r, hit, list_reduce(list_transform(hit, lambda x: [x]),
+           lambda acc, x: list_append(acc, {_lcs_row('(acc[-1])', '(x[1])')}), [list_transform(r, lambda b: 0)])[2:] AS lens FROM e),
+w AS (SELECT pair_id, ri, r, list_reduce(list_reverse(list_transform(range(1, len(hit) + 1), lambda i: [lens[i], hit[i]])),
+           lambda acc, x: {_WALK}, [[len(r)], []::INTEGER[]])[2] AS taken FROM rows),
+u AS (SELECT DISTINCT pair_id, ri, unnest(taken) AS pos, r FROM w),
+al AS (SELECT pair_id, r[pos] AS tok, count(*) AS n FROM u GROUP BY ALL),
+ht AS (SELECT pair_id, unnest(flatten(hs)) AS tok FROM s),
+hc AS (SELECT pair_id, tok, count(*) AS n FROM ht GROUP BY ALL),
+k AS (SELECT pair_id, sum(least(al.n, hc.n)) AS hits FROM al JOIN hc USING (pair_id, tok) GROUP BY pair_id),
+f AS (SELECT s.pair_id, coalesce(hits, 0) AS x, len(flatten(hs)) AS lh, len(flatten(rs)) AS lr FROM s LEFT JOIN k USING (pair_id))
+SELECT pair_id, {R6('CASE WHEN x = 0 THEN 0.0 ELSE 2 * (x / lh) * (x / lr) / (x / lh + x / lr) END')} AS "rougeLsum" FROM f"""
+
+_STEP = ("list_transform(range(1, len(acc) + 1), lambda j: CASE WHEN j = 1 THEN acc[1] + 1 "
+         "ELSE least(acc[j] + 1, acc[j - 1] + 1 - x[j]) END)")
+WER_SQL = f"""WITH tk AS (SELECT pair_id, {sql_split('lower(prediction)')} AS h, {sql_split('lower(reference)')} AS r FROM pairs),
+e AS (SELECT len(r) AS lr, list_reduce(list_transform({_hits('h', 'r')}, lambda x: list_prepend(0, x)),
+        lambda acc, x: list_transform(range(1, len(acc) + 1), lambda j: list_min(list_transform({_STEP}[1:j], lambda t, k: t + j - k))),
+        range(0, len(r) + 1)::INTEGER[])[-1] AS edits FROM tk)
+SELECT sum(edits)::BIGINT AS edits, sum(lr)::BIGINT AS ref_words, {R6('100.0 * sum(edits) / greatest(sum(lr), 1)')} AS wer FROM e"""
+
+
+@register("rouge_l", fx.with_views(ROUGE_L_SQL, "pairs"))
 def q_rouge_l(spark, sf_dir):
     r = gm.rouge_l(fx.pairs(spark, sf_dir))
     return r.select("pair_id", r6("rougeL").alias("rougeL"))
 
 
-@register("rouge_lsum")
+@register("rouge_lsum", fx.with_views(ROUGE_LSUM_SQL, "pairs"))
 def q_rouge_lsum(spark, sf_dir):
     r = gm.rouge_l(fx.pairs(spark, sf_dir))
     return r.select("pair_id", r6("rougeLsum").alias("rougeLsum"))
 
 
-@register("word_error_rate")
+@register("word_error_rate", fx.with_views(WER_SQL, "pairs"))
 def q_wer(spark, sf_dir):
     w = gm.word_error_rate(fx.pairs(spark, sf_dir))
     return w.select("edits", "ref_words", r6("wer").alias("wer"))
