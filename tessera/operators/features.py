@@ -70,6 +70,12 @@ def topk_terms(train_counts: DataFrame, k: int | None) -> DataFrame:
     return totals.orderBy(F.desc("corpus_count"), "term").limit(k)
 
 
+def column_ids(terms: DataFrame) -> DataFrame:
+    """``(term, column)``: columns in alphabetical order from 0, for a
+    vocabulary cut to ``max_features`` (a user bound on its rows)."""
+    return terms.select("term", (F.row_number().over(Window.orderBy("term")) - 1).cast("int").alias("column"))
+
+
 def tfidf(counts: DataFrame, idf: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``tf * idf`` L2-normalized per document; unseen terms dropped."""
     j = counts.join(idf.select("term", "idf"), "term")

@@ -121,7 +121,7 @@ def epoch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.avg(F.when(F.col("event_type").isin("purchase", "signup"), 1.0)
               .otherwise(0.0)).alias("val_f1"),
         F.count("*").alias("n_batches"),
-        F.sum("tokens").cast("long").alias("tokens"),
+        F.sum("tokens").cast("long").alias("tokens"), F.max("ts").alias("last_ts"),
         (F.unix_seconds(F.max("ts").cast("timestamp")) -
          F.unix_seconds(F.min("ts").cast("timestamp"))).cast("double").alias("seconds"))
 
@@ -216,7 +216,7 @@ SQL = {
                sum(loss * tokens) / greatest(sum(tokens), 1) AS train_loss,
                avg(loss) AS val_loss,
                avg(CASE WHEN event_type IN ('purchase', 'signup') THEN 1.0 ELSE 0.0 END) AS val_f1,
-               count(*) AS n_batches, CAST(sum(tokens) AS BIGINT) AS tokens,
+               count(*) AS n_batches, CAST(sum(tokens) AS BIGINT) AS tokens, max(ts) AS last_ts,
                CAST(epoch_us(max(ts)) // 1000000 - epoch_us(min(ts)) // 1000000 AS DOUBLE) AS seconds
         FROM train_log GROUP BY run_id, epoch""",
     "samples": """

@@ -197,6 +197,24 @@ def q_topk(spark, sf_dir):
     return features.topk_terms(train, TOPK).select("term", F.col("corpus_count").cast("long"))
 
 
+SQL_TOP = f"""
+top AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS col FROM (
+    SELECT term FROM counts JOIN ds USING (doc_id) WHERE split = 'train' GROUP BY term ORDER BY sum(tf) DESC, term LIMIT {TOPK})),
+wt AS (SELECT doc_id, CAST(col AS INTEGER) AS col, tf * idf AS w FROM counts JOIN idf USING (term) JOIN top USING (term))"""
+
+
+@register("tfidf_max_features", _lt_sql(_with(SQL_SPLIT_DS, SQL_TFIDF, SQL_TOP) + """
+SELECT doc_id, col AS "column", floor((w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))) * 1e6 + 0.5) / 1e6 AS x FROM wt"""))
+def q_tfidf_max_features(spark, sf_dir):
+    """F3 + F4: features over the ``max_features`` most frequent training
+    terms, with the columns a vectorizer would give them."""
+    ds, counts, idf, _ = fitted_features(spark, sf_dir)
+    train = counts.join(ds.filter(F.col("split") == "train").select("doc_id"), "doc_id")
+    columns = features.column_ids(features.topk_terms(train, TOPK))
+    feat = features.tfidf(counts, idf.join(columns, "term").select("term", "idf"))
+    return feat.join(columns, "term").select("doc_id", "column", r6("x").alias("x"))
+
+
 @register("tfidf", _lt_sql(_with(SQL_SPLIT_DS, SQL_TFIDF) + """
 SELECT doc_id, term, floor((x) * 1e6 + 0.5) / 1e6 AS x FROM feat"""))
 def q_tfidf(spark, sf_dir):

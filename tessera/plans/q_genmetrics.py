@@ -11,6 +11,7 @@ from tessera.operators import clfmetrics as cm
 from tessera.operators import genmetrics as gm
 from tessera.operators.vectors import greedy_match_f1
 from tessera.plans import fixtures as fx
+from tessera.plans.q_runs import CE_SQL
 from tessera.plans.registry import R6, r6, register
 
 # ------------------------------------------------------------- SQL helpers
@@ -235,7 +236,19 @@ def q_greedy(spark, sf_dir):
     return g.select("pair_id", *[r6(c).alias(c) for c in ("precision", "recall", "f1")])
 
 
-@register("generation_report")
+def _mean(sql: str, column: str) -> str:
+    # twelve places instead of six inside, so that only the mean is rounded
+    return f'(SELECT avg("{column}") FROM ({sql.replace("1e6", "1e12")}) q)'
+
+
+REPORT_SQL = "SELECT " + ", ".join(f"{R6(x)} AS \"{k}\"" for k, x in {
+    "test_loss": _mean(CE_SQL, "ce"), "bleu": _mean(_bleu_sql(), "bleu"), "chrf": _mean(_chrf_sql(), "chrf"),
+    "rouge1": _mean(ROUGE_N_SQL, "rouge1"), "rouge2": _mean(ROUGE_N_SQL, "rouge2"), "rougeL": _mean(ROUGE_L_SQL, "rougeL"),
+    "rougeLsum": _mean(ROUGE_LSUM_SQL, "rougeLsum"), "meteor": _mean(METEOR_SQL, "meteor"), "ter": _mean(WER_SQL, "wer"),
+    "bertscore_f1": _mean(GREEDY_SQL, "f1")}.items())
+
+
+@register("generation_report", fx.with_views(REPORT_SQL, "pairs", "logits", "token_vectors"))
 def q_generation_report(spark, sf_dir):
     """One row with every metric; each metric is a one-row result
     read as a scalar subquery (no cross join)."""

@@ -3,6 +3,8 @@ stream (T1, C1-C3 over a file source)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -10,8 +12,10 @@ from tessera.functions.text import WORD, word_tokens
 from tessera.operators import answers as ans
 from tessera.plans import fixtures as fx
 from tessera.plans.q_answers import LLM_SQL, gold_sql
+from tessera.plans.q_classify import SQL_SPLIT_DS, split_dataset
 from tessera.plans.registry import r6, register
-from tessera.sources import ledger
+from tessera.session import ensure_checkpoint_dir
+from tessera.sources import ledger, splits
 from tessera.sources.tables import read_table
 from tessera.streaming.rowwise import read_stream, run_available
 
@@ -23,28 +27,31 @@ def ledger_records(spark, sf_dir):
     e = fx.epoch_log(spark, sf_dir)
     w = Window.partitionBy("run_id").orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
     fam = F.element_at(F.array(*[F.lit(f) for f in FAMILIES]), (F.col("run_id") % 3 + 1).cast("int"))
-    nul = F.lit(None).cast("double")
+    total = F.sum("n_batches").over(Window.partitionBy("run_id")).cast("long")
     return e.select(
-        fam.alias("model"), "run_id", F.format_string("epoch-%03d", "epoch").alias("timestamp"),
+        fam.alias("model"), "run_id", ledger.stamp_utc("last_ts").alias("timestamp"),
         F.col("epoch").cast("int").alias("epoch"), F.sum("n_batches").over(w).cast("long").alias("global_step"),
         F.create_map(F.lit("save_every"), F.lit("3"), F.lit("grad_accum_steps"), F.lit("4")).alias("config"),
-        F.lit(None).cast(ledger.RUN_RECORD_SCHEMA["params"].dataType).alias("params"),
-        F.struct(F.col("train_loss").alias("loss")).alias("train"),
-        ledger.metrics_struct(F.col("val_loss")).alias("validation"),
-        F.struct(*[nul.alias(f.name) for f in ledger.RUN_RECORD_SCHEMA["test"].dataType.fields]).alias("test"),
+        ledger.params_struct(total, F.col("n_batches")).alias("params"),
+        ledger.metrics_struct(loss=F.col("train_loss")).alias("train"),
+        ledger.metrics_struct(loss=F.col("val_loss"), f1=F.col("val_f1")).alias("validation"),
         F.struct(F.col("seconds").alias("epoch_seconds"),
-                 F.sum("seconds").over(w).alias("total_seconds")).alias("times"))
+                 F.sum("seconds").over(w).alias("total_seconds")).alias("times"),
+        F.create_map(F.lit("tokens"), F.col("tokens").cast("string")).alias("resources"),
+        F.create_map(F.lit("checkpoint"), F.concat(F.lit("run-"), ledger.stamp_compact("last_ts"))).alias("artifacts"))
 
 
 LEDGER_SQL = fx.with_views("""
 WITH r AS (SELECT CASE run_id % 3 WHEN 0 THEN 'bert' WHEN 1 THEN 'bilstm' ELSE 'lr' END AS model, run_id,
                   CAST(epoch AS INTEGER) AS epoch,
                   CAST(sum(n_batches) OVER (PARTITION BY run_id ORDER BY epoch) AS BIGINT) AS global_step,
-                  train_loss, val_loss, sum(seconds) OVER (PARTITION BY run_id ORDER BY epoch) AS total_seconds
+                  train_loss, val_loss, val_f1, last_ts, tokens, 100.0 * n_batches / sum(n_batches) OVER (PARTITION BY run_id) AS share, sum(seconds) OVER (PARTITION BY run_id ORDER BY epoch) AS total_seconds
            FROM epoch_log)
 SELECT model, run_id, epoch, global_step, floor((train_loss) * 1e6 + 0.5) / 1e6 AS train_loss,
        floor((val_loss) * 1e6 + 0.5) / 1e6 AS val_loss, floor((total_seconds) * 1e6 + 0.5) / 1e6 AS total_seconds,
-       '{"save_every":"3","grad_accum_steps":"4"}' AS config_json
+       '{"save_every":"3","grad_accum_steps":"4"}' AS config_json, floor((val_f1) * 1e6 + 0.5) / 1e6 AS val_f1,
+       floor((share) * 1e6 + 0.5) / 1e6 AS trainable_pct, strftime(last_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS timestamp,
+       CAST(tokens AS VARCHAR) AS tokens, 'run-' || strftime(last_ts, '%Y%m%d_%H%M%S') AS checkpoint
 FROM r QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY epoch DESC) = 1""", "epoch_log")
 
 
@@ -56,7 +63,9 @@ def q_ledger(spark, sf_dir):
     latest = ledger.latest_per_run(ledger.read_ledger(spark, path))
     return latest.select("model", "run_id", "epoch", "global_step", r6("train.loss").alias("train_loss"),
                          r6("validation.loss").alias("val_loss"), r6("times.total_seconds").alias("total_seconds"),
-                         F.to_json("config").alias("config_json"))
+                         F.to_json("config").alias("config_json"), r6("validation.f1").alias("val_f1"),
+                         r6("params.trainable_pct").alias("trainable_pct"), "timestamp",
+                         F.col("resources")["tokens"].alias("tokens"), F.col("artifacts")["checkpoint"].alias("checkpoint"))
 
 
 def stream_transform(df):
@@ -83,3 +92,14 @@ def q_stream_rowwise(spark, sf_dir):
     schema = read_table(spark, sf_dir, "documents").schema
     stream = read_stream(spark, sf_dir, schema, file_glob="documents.parquet")
     return run_available(spark, stream, stream_transform)
+
+
+@register("split_dataset_roundtrip", fx.with_views("WITH " + SQL_SPLIT_DS.strip() + """
+SELECT split, count(*) AS n, CAST(sum(label) AS BIGINT) AS positives FROM ds GROUP BY split""", "labelled_text"))
+def q_split_roundtrip(spark, sf_dir):
+    """A dataset with named splits written to a folder partitioned by
+    split and read back from there."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/splits-{uuid.uuid4().hex}"
+    splits.write_split_dataset(split_dataset(spark, sf_dir).select("doc_id", "label", "split"), path)
+    ds = splits.read_split_dataset(spark, path, required=["train", "validation"])
+    return ds.groupBy("split").agg(F.count("*").alias("n"), F.sum("label").alias("positives"))

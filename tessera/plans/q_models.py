@@ -34,6 +34,20 @@ def q_rerank(spark, sf_dir):
     return r.select("item_id", "rank", "cand_id", r6("norm").alias("norm"), "all_finished")
 
 
+@register("rerank_best", fx.with_views(f"""
+WITH s AS (SELECT item_id, cand_id, score / pow(CAST(length AS DOUBLE), {PENALTY}) AS norm,
+                  list_transform(range(1, length + 1), lambda i: CAST((cand_id + i) % 7 AS INTEGER)) AS t FROM nbest),
+b AS (SELECT item_id, cand_id, norm, CASE WHEN list_position(t, 2) > 0 THEN t[1:list_position(t, 2)] ELSE t END AS t FROM s
+      QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY norm DESC, cand_id) = 1),
+m AS (SELECT max(len(t)) AS longest FROM b)
+SELECT item_id, cand_id, {R6('norm')} AS norm,
+       array_to_string(list_concat(t, list_transform(range(longest - len(t)), lambda i: 0)), ' ') AS tokens FROM b, m""", "nbest"))
+def q_rerank_best(spark, sf_dir):
+    ids = F.transform(F.sequence(F.lit(1), "length"), lambda i: ((F.col("cand_id") + i) % 7).cast("int"))
+    best = scoring.pick_best(fx.nbest(spark, sf_dir).withColumn("tokens", ids), BEAMS, PENALTY, eos=2, pad=0)
+    return best.select("item_id", "cand_id", r6("norm").alias("norm"), F.concat_ws(" ", F.col("tokens").cast("array<string>")).alias("tokens"))
+
+
 @register("dot_softmax_lookup", fx.with_views(f"""
 WITH s AS (SELECT q.grp, q.pos AS qpos, list_dot_product(q.vec, k.vec) / 8.0 AS sc,
                   list_dot_product(q.vec, k.vec) AS qk, list_sum(k.vec) AS ks

@@ -217,8 +217,10 @@ def q_softmax_argmax(spark, sf_dir):
     return s.select("vec_id", "argmax", r6("max_prob").alias("max_prob"), r6("logsumexp").alias("logsumexp"))
 
 
-@register("cross_entropy", fx.with_views(f"""
-SELECT vec_id, floor(({LSE_SQL} - logits[gold + 1]) * 1e6 + 0.5) / 1e6 AS ce FROM logits WHERE gold <> 0""", "logits"))
+CE_SQL = f"SELECT vec_id, floor(({LSE_SQL} - logits[gold + 1]) * 1e6 + 0.5) / 1e6 AS ce FROM logits WHERE gold <> 0"
+
+
+@register("cross_entropy", fx.with_views(CE_SQL, "logits"))
 def q_cross_entropy(spark, sf_dir):
     c = cm.cross_entropy(fx.logits(spark, sf_dir))
     return c.select("vec_id", r6("ce").alias("ce"))

@@ -17,8 +17,11 @@ from pyspark.sql import types as T
 
 from tessera.session import ensure_checkpoint_dir
 
-_METRICS = T.StructType([T.StructField(n, T.DoubleType()) for n in
-                         ("loss", "perplexity", "token_accuracy", "bits_per_token", "tokens_per_second")])
+# Language-model metrics, then the classifier's; a record fills what applies.
+METRIC_NAMES = ("loss", "perplexity", "token_accuracy", "bits_per_token", "tokens_per_second",
+                "accuracy", "precision", "recall", "f1")
+_METRICS = T.StructType([T.StructField(n, T.DoubleType()) for n in METRIC_NAMES])
+_STRINGS = T.MapType(T.StringType(), T.StringType())
 
 RUN_RECORD_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
@@ -30,11 +33,16 @@ RUN_RECORD_SCHEMA = T.StructType([
     T.StructField("params", T.StructType([
         T.StructField("total", T.LongType()), T.StructField("trainable", T.LongType()),
         T.StructField("trainable_pct", T.DoubleType())])),
-    T.StructField("train", T.StructType([T.StructField("loss", T.DoubleType())])),
+    T.StructField("train", _METRICS),
     T.StructField("validation", _METRICS),
     T.StructField("test", _METRICS),
     T.StructField("times", T.StructType([
         T.StructField("epoch_seconds", T.DoubleType()), T.StructField("total_seconds", T.DoubleType())])),
+    # translation runs: metrics of the generated text and the splits used
+    T.StructField("eval_metrics", T.MapType(T.StringType(), T.DoubleType())),
+    T.StructField("splits", _STRINGS),
+    T.StructField("resources", _STRINGS),
+    T.StructField("artifacts", _STRINGS),
 ])
 
 
@@ -43,13 +51,30 @@ def ledger_dir(spark: SparkSession, name: str | None = None) -> str:
     return f"{base}/ledger-{name or uuid.uuid4().hex}"
 
 
-def metrics_struct(loss: Column, ppl: Column | None = None, acc: Column | None = None,
-                   bpt: Column | None = None, tps: Column | None = None) -> Column:
-    nul = F.lit(None).cast("double")
-    return F.struct(loss.cast("double").alias("loss"), (ppl if ppl is not None else nul).alias("perplexity"),
-                    (acc if acc is not None else nul).alias("token_accuracy"),
-                    (bpt if bpt is not None else nul).alias("bits_per_token"),
-                    (tps if tps is not None else nul).alias("tokens_per_second"))
+def metrics_struct(**metrics: Column) -> Column:
+    """A metrics record; names that are not given are NULL."""
+    unknown = set(metrics) - set(METRIC_NAMES)
+    if unknown:
+        raise ValueError(f"unknown metrics: {sorted(unknown)}")
+    return F.struct(*[metrics.get(n, F.lit(None)).cast("double").alias(n) for n in METRIC_NAMES])
+
+
+def complete(records: DataFrame) -> DataFrame:
+    """The columns of the record schema in order; absent ones are NULL."""
+    have = set(records.columns)
+    return records.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in have
+                            else F.lit(None).cast(f.dataType).alias(f.name) for f in RUN_RECORD_SCHEMA.fields])
+
+
+def stamp_compact(ts: str | Column) -> Column:
+    """Folder stamp of a run: ``20250131_235959`` (session time zone)."""
+    return F.date_format(ts, "yyyyMMdd_HHmmss")
+
+
+def stamp_utc(ts: str | Column) -> Column:
+    """Record stamp: ISO 8601 in UTC with microseconds."""
+    c = (F.col(ts) if isinstance(ts, str) else ts).cast("timestamp")
+    return F.concat(F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
 
 
 def params_struct(total: Column, trainable: Column) -> Column:
@@ -60,7 +85,7 @@ def params_struct(total: Column, trainable: Column) -> Column:
 
 def write_ledger(records: DataFrame, path: str, mode: str = "append") -> None:
     """Append records as JSON, partitioned by model."""
-    records.write.mode(mode).partitionBy("model").json(path)
+    complete(records).write.mode(mode).partitionBy("model").json(path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

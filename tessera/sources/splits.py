@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 
 def split_names(df: DataFrame, split_col: str = "split", candidates=None) -> set[str]:
-    """Which of ``candidates`` exist (one cheap existence probe per name)."""
-    names = candidates or ("train", "validation", "test")
-    return {n for n in names
-            if df.filter(F.col(split_col) == n).select(split_col).limit(1).collect()}
+    """Which of ``candidates`` exist: one job, answered from the folder
+    names where the dataset is partitioned by split."""
+    names = list(candidates or ("train", "validation", "test"))
+    return {r[0] for r in df.select(split_col).filter(F.col(split_col).isin(names)).distinct().collect()}
 
 
 def load_split(df: DataFrame, required: list[str], split_col: str = "split") -> DataFrame:
