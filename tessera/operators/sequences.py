@@ -37,19 +37,38 @@ def build_vocab(tokens: DataFrame, token_col: str = "token") -> DataFrame:
     return specials.unionByName(body)
 
 
-def lookup_ids(df: DataFrame, key: str, tokens_col: str, vocab: DataFrame,
-               out_col: str = "ids") -> DataFrame:
+def lookup_ids(df: DataFrame, key: str, tokens_col: str | dict[str, str], vocab: DataFrame,
+               out_col: str = "ids", most: int | None = None) -> DataFrame:
     """Token array -> id array, unknown -> ``<unk>`` (0).
 
-    Rows with no tokens get an empty array.
+    Rows with no tokens get an empty array.  Several arrays (``{tokens:
+    ids}``) share one explode, one join and one regrouping.  ``most``: for
+    encoders that keep at most so many ids, the tokens beyond are not
+    looked up.
     """
-    ex = df.select(key, F.posexplode(tokens_col).alias("_pos", "_tok"))
+    columns = tokens_col if isinstance(tokens_col, dict) else {tokens_col: out_col}
+    sides = []
+    for side, c in enumerate(columns):
+        kept = F.col(c) if most is None else F.slice(c, 1, most)
+        sides.append(F.transform(F.coalesce(kept, F.array().cast("array<string>")), _placed(side)))
+    ex = df.select(key, F.explode(F.concat(*sides)).alias("_t"))
     v = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_vid"))
-    hit = ex.join(v, "_tok", "left").select(key, "_pos", F.coalesce("_vid", F.lit(UNK)).alias("_vid"))
-    ids = hit.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "_vid"))).alias("_p"))
-    ids = ids.select(key, F.transform("_p", lambda s: s["_vid"]).alias(out_col))
-    return df.join(ids, key, "left").withColumn(
-        out_col, F.coalesce(F.col(out_col), F.array().cast("array<int>")))
+    hit = ex.join(v, F.col("_t.tok") == F.col("_tok"), "left").select(
+        key, F.struct("_t.side", "_t.pos", F.coalesce("_vid", F.lit(UNK)).alias("id")).alias("_p"))
+    ids = hit.groupBy(F.col(key).alias("_k")).agg(F.sort_array(F.collect_list("_p")).alias("_ids"))
+    out = df.join(ids, F.col(key) == F.col("_k"), "left")
+    for side, name in enumerate(columns.values()):
+        own = F.transform(F.filter("_ids", _on(side)), lambda s: s["id"])
+        out = out.withColumn(name, F.coalesce(own, F.array().cast("array<int>")))
+    return out.drop("_k", "_ids")
+
+
+def _placed(side: int):
+    return lambda t, i: F.struct(F.lit(side).alias("side"), i.alias("pos"), t.alias("tok"))
+
+
+def _on(side: int):
+    return lambda s: s["side"] == side
 
 
 def wrap_truncate(ids: Column, max_len: int) -> Column:

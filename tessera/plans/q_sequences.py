@@ -193,7 +193,7 @@ def pair_tokens(spark, sf_dir):
 
 def padded_targets(spark, sf_dir):
     toks, vocab = pair_tokens(spark, sf_dir)
-    ids = sq.lookup_ids(toks, "pair_id", "tgt", vocab)
+    ids = sq.lookup_ids(toks, "pair_id", "tgt", vocab, most=SEQ_LEN)
     enc = ids.select("pair_id", "split", sq.wrap_truncate(F.col("ids"), SEQ_LEN).alias("w"))
     bat = sampling.batch_assign(enc, "pair_id", BATCH, SEED)
     longest = F.max(F.size("w")).over(Window.partitionBy("split", "batch"))
@@ -269,8 +269,7 @@ def encoded_instructions(spark, sf_dir):
     ins = fx.instructions(spark, sf_dir)
     t = ins.select("pair_id", word_tokens(prompts.instruction_prompt("instruction", "input")).alias("pt"),
                    word_tokens("output").alias("yt"))
-    t = sq.lookup_ids(t, "pair_id", "pt", vocab, "p")
-    t = sq.lookup_ids(t, "pair_id", "yt", vocab, "y")
+    t = sq.lookup_ids(t, "pair_id", {"pt": "p", "yt": "y"}, vocab)
     return sq.encode_instruction(t, "p", "y", INSTR_LEN)
 
 
@@ -322,7 +321,7 @@ SELECT doc_id, CAST(len(core) AS INTEGER) AS n_real,
 def q_encode_fixed(spark, sf_dir):
     toks, vocab = doc_vocab(spark, sf_dir)
     lt = fx.labelled_text(spark, sf_dir).select("doc_id")
-    ids = sq.lookup_ids(toks.join(lt, "doc_id"), "doc_id", "tokens", vocab)
+    ids = sq.lookup_ids(toks.join(lt, "doc_id"), "doc_id", "tokens", vocab, most=FIXED_LEN)
     fixed, mask, _ = sq.encode_fixed(F.col("ids"), FIXED_LEN)
     return ids.select("doc_id", F.aggregate(mask, F.lit(0), lambda a, x: a + x).alias("n_real"),
                       ids_md5(fixed).alias("ids_md5"))
