@@ -24,13 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.bytetext import lists
+from tessera.llm.bytetext import chunks, lists
 from tessera.session import ship_package
 
 #: White space of Unicode, as the pattern's \s has it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE_CHARS = 1 << 16
 LONG_RUN = 1 << 12
+ROWS = 256  # decoded together
 
 # No match holds white space after its first character unless it is all
 # white space, so a place between a visible and a white character is safe.
@@ -98,7 +99,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
 
     def run(batches):
         enc = coder(path, pattern)
-        for batch in batches:
+        for batch in chunks(batches, text):
             got = [np.array(encode_text(t.as_py() or "", enc), np.int32) for t in batch.column(batch.schema.names.index(text))]
             flat = np.concatenate([np.zeros(0, np.int32), *got])
             column = lists(flat, np.cumsum([0, *map(len, got)]), pa.int32())
@@ -115,7 +116,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", out: s
 
     def run(batches):
         enc = coder(path, pattern)
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             column = batch.column(batch.schema.names.index(ids))
             got = [enc.decode_bytes(row.values.to_numpy().tolist()) if row.is_valid else b"" for row in column]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.names.index(n)) for n in names), pa.array(got, pa.binary())], [*names, out])
