@@ -59,24 +59,26 @@ def mix_sources(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text:
     """The columns ``keep`` of every document plus size, source_size,
     target, copies and taken (copies times size)."""
     id_text = F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit(""))
+    # never null, so that the join and the window share one exchange
+    source_key = F.coalesce(F.concat(F.lit("s"), F.col(f"`{source}`")), F.lit("n"))
     rows = docs.select(
         *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)],
-        F.col(f"`{source}`").alias("source"), F.col(f"`{doc_id}`").alias("id"), n_words(F.col(f"`{text}`")).alias("size"),
+        F.col(f"`{source}`").alias("source"), source_key.alias("key"), F.col(f"`{doc_id}`").alias("id"), n_words(F.col(f"`{text}`")).alias("size"),
         F.substring(F.md5(id_text.cast("binary")), 1, 2).alias("bucket"))
     rows = rows.withColumn("kind", -F.floor(F.sqrt("size")))
-    groups = rows.groupBy("source", "kind", "bucket").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    groups = rows.groupBy("key", "kind", "bucket").agg(F.first("source").alias("source"), F.count("*").alias("n"), F.sum("size").alias("size"))
 
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit(""))).cast("binary")), 1, 7), 16, 10).cast("long") * 4
     unit = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") * ONE)).otherwise(F.lit(0)).cast("long")
     plan = targets(groups, weights, share, most).withColumn("unit", F.least(unit, F.lit(int(most * ONE)).cast("long")))
-    place = Window.partitionBy("source").orderBy("kind", "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    place = Window.partitionBy("key").orderBy("kind", "bucket").rowsBetween(Window.unboundedPreceding, -1)
     null_safe = groups["source"].eqNullSafe(plan["source"])
     starts = (groups.join(plan, null_safe).drop(plan["source"])
               .withColumn("passed", offset + F.coalesce(F.sum((F.col("n") * F.col("unit")) % ONE).over(place), F.lit(0)))
-              .select(F.col("source").alias("s"), F.col("kind").alias("c"), F.col("bucket").alias("b"),
+              .select(F.col("key").alias("s"), F.col("kind").alias("c"), F.col("bucket").alias("b"),
                       "source_size", "target", "unit", (F.col("passed") % ONE).alias("passed")))
-    on = rows["source"].eqNullSafe(starts["s"]) & (rows["kind"] == starts["c"]) & (rows["bucket"] == starts["b"])
-    within = Window.partitionBy("source", "kind", "bucket").orderBy("id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    on = (rows["key"] == starts["s"]) & (rows["kind"] == starts["c"]) & (rows["bucket"] == starts["b"])
+    within = Window.partitionBy("key", "kind", "bucket").orderBy("id", "size").rowsBetween(Window.unboundedPreceding, 0)
     summed = rows.join(starts, on).withColumn("upto", F.col("passed") + F.sum("unit").over(within))
     copies = F.floor(F.col("upto") / ONE) - F.floor((F.col("upto") - F.col("unit")) / ONE)
     out = summed.withColumn("copies", copies.cast("long"))
