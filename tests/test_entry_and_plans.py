@@ -2,6 +2,7 @@
 
 import __spark_entry__ as entry
 from tessera.plans import fixtures as fx
+from tessera.sources.tables import read_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,13 +25,13 @@ def test_every_query_has_unique_key():
 
 
 def test_scan_prunes_columns(spark):
-    df = fx.labelled_text(spark, SF).select("doc_id", "label")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "text" not in plan.split("ReadSchema")[1].split("\n")[0] if "ReadSchema" in plan else True
+    scans = [x.split("ReadSchema: ")[1] for x in _plan(fx.labelled_text(spark, SF).select("doc_id", "label")).split("\n")
+             if "ReadSchema: " in x]
+    assert len(scans) == 2 and all("text" not in x for x in scans)
 
 
 def test_no_cartesian_products(spark):
-    for key in ("tfidf_classifier", "self_consistency_sweep", "generation_report", "dot_softmax_lookup"):
+    for key in sorted(set(entry.queries()) - set(entry.LLM_QUERIES)):
         plan = _plan(entry.queries()[key](spark, SF))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, key
 
@@ -48,6 +49,18 @@ def test_window_always_partitioned(spark):
                 assert not unpartitioned or first.startswith("_pid"), (key, line[:200])
 
 
+EVENT_KEYS = ("loss_curve", "grad_accum_steps", "loss_mean_of_batches", "loss_token_weighted", "lm_metrics", "tokens_per_second",
+              "best_epoch_flags", "early_stop_epoch", "save_points", "epoch_time_mean", "total_time", "pick_checkpoint",
+              "run_record", "run_compare", "majority_vote", "self_consistency_sweep", "rerank_length_penalty")
+
+
+def test_events_are_not_dealt_by_user_raw_nor_ranked_in_python(spark):
+    assert "Exchange" not in _plan(read_table(spark, SF, "events"))
+    for key in EVENT_KEYS:
+        plan = _plan(entry.queries()[key](spark, SF))
+        assert "REPARTITION" not in plan and "Pandas" not in plan and "Arrow" not in plan, key
+
+
 def _exchanges(df) -> int:
     plan = df._jdf.queryExecution().executedPlan().toString()
     return sum(1 for line in plan.split("\n") if "Exchange" in line and "BroadcastExchange" not in line)
