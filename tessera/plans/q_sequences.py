@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import WORD, word_tokens
 from tessera.operators import prompts, sampling, sequences as sq
 from tessera.plans import fixtures as fx
+from tessera.plans.ranking import cluster
 from tessera.plans.registry import register
 from tessera.sources.tables import read_table
 
@@ -124,7 +125,9 @@ vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY freq DESC, token) + 3 A
 
 def doc_vocab(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    d = sampling.split_two_way(d, "doc_id", 0.1, SEED)
+    # the lookups join and regroup by document: clustered here, they need no
+    # exchange of the (longer) token arrays
+    d = sampling.split_two_way(cluster(d, "doc_id"), "doc_id", 0.1, SEED)
     toks = d.select("doc_id", "split", word_tokens("text").alias("tokens")).persist(StorageLevel.MEMORY_AND_DISK)
     train_tokens = toks.filter(F.col("split") == "train").select(
         F.explode_outer("tokens").alias("token")).filter(F.col("token").isNotNull())
