@@ -30,12 +30,6 @@ def test_scan_prunes_columns(spark):
     assert len(scans) == 2 and all("text" not in x for x in scans)
 
 
-def test_no_cartesian_products(spark):
-    for key in sorted(set(entry.queries()) - set(entry.LLM_QUERIES)):
-        plan = _plan(entry.queries()[key](spark, SF))
-        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, key
-
-
 def test_window_always_partitioned(spark):
     for key in ("build_vocab", "seeded_shuffle", "head_sample", "batch_assign", "rerank_length_penalty"):
         df = entry.queries()[key](spark, SF)
