@@ -91,19 +91,30 @@ def _replace(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     return T.StructType([f for f in schema.fields if f.name.lower() not in new] + list(fields))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Add ``ids`` (array<int>) of each whole text; ``text`` stays."""
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids",
+           decoded: str | None = None) -> DataFrame:
+    """Add ``ids`` (array<int>) of each whole text; ``text`` stays.
+    ``decoded`` names a further column (binary) for the bytes that the ids
+    decode to, made in the same pass."""
     ship_package(docs.sparkSession)
-    schema = _replace(docs.schema, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False))
-    names = schema.names[:-1]
+    new = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)]
+    new += [T.StructField(decoded, T.BinaryType(), False)] if decoded else []
+    schema = _replace(docs.schema, *new)
+    names = schema.names[:-len(new)]
 
     def run(batches):
         enc = coder(path, pattern)
         for batch in chunks(batches, text):
-            got = [np.array(encode_text(t.as_py() or "", enc), np.int32) for t in batch.column(batch.schema.names.index(text))]
-            flat = np.concatenate([np.zeros(0, np.int32), *got])
-            column = lists(flat, np.cumsum([0, *map(len, got)]), pa.int32())
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.names.index(n)) for n in names), column], [*names, ids])
+            rows, raw = [], []
+            for t in batch.column(batch.schema.names.index(text)):
+                got = encode_text(t.as_py() or "", enc)
+                rows.append(np.array(got, np.int32))
+                if decoded:
+                    raw.append(enc.decode_bytes(got))
+            flat = np.concatenate([np.zeros(0, np.int32), *rows])
+            columns = [lists(flat, np.cumsum([0, *map(len, rows)]), pa.int32())]
+            columns += [pa.array(raw, pa.binary())] if decoded else []
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.names.index(n)) for n in names), *columns], schema.names)
 
     return docs.mapInArrow(run, schema)
 

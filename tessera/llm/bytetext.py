@@ -11,6 +11,7 @@ inverse powers of the base give the hash of any slice in constant time.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -104,7 +105,16 @@ class Words:
         return self._bytes[base]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def release() -> None:
+    """Give freed memory back to the system: workers outlive their task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library, which has its own ways
+
+
+def chunks(batches: Iterator[pa.RecordBatch], text: str, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds at most ``most`` bytes of text
     (a longer single text stays whole), which bounds the working memory."""
     for batch in batches:
@@ -117,6 +127,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 20) ->
             to = min(batch.num_rows, max(at + 1, to))
             yield batch.slice(at, to - at)
             at = to
+    release()
 
 
 def lists(values: np.ndarray, first: np.ndarray, kind: pa.DataType) -> pa.Array:

@@ -36,8 +36,7 @@ def q_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = pick(load(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
-    ids = bpe.encode(docs, path, pattern).select("doc_id", "ids")
-    return bpe.decode(ids, path, pattern).select(
+    return bpe.encode(docs, path, pattern, decoded="decoded").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         bpe.ids_digest("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

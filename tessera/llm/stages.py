@@ -52,6 +52,6 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the digest of the bytes they decode to."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = bpe.encode(docs.select("doc_id", "source", "text"), path, pattern).select("doc_id", "source", "ids")
-    return bpe.decode(ids, path, pattern).select(
+    coded = bpe.encode(docs.select("doc_id", "source", "text"), path, pattern, decoded="decoded")
+    return coded.select(
         "doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -29,6 +29,8 @@ def test_white_space_beyond_the_library():
 def test_awkward_rows_round_trip(spark):
     docs = awkward.frame(spark)
     out = bpe.decode(bpe.encode(docs.drop("bucket"), PATH, PATTERN), PATH, PATTERN)
+    once = bpe.encode(docs.drop("bucket"), PATH, PATTERN, decoded="decoded")
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, out.select(once.columns).collect()))
     enc = bpe.coder(PATH, PATTERN)
     got = out.select("doc_id", "text", "ids", "decoded", bpe.ids_digest("ids").alias("d"), "size").collect()
     assert len(got) == docs.count()
