@@ -105,11 +105,12 @@ def _user_tokenizer(text: str) -> list[str]:
     return regex.findall(_USER_TOKEN_PY, text)
 
 
-@register("udf_tokenizer", "SELECT doc_id, CAST(len(regexp_extract_all(text, '(" + USER_TOKEN_RE +
-          ")', 1)) AS INTEGER) AS n_tokens FROM documents")
+@register("udf_tokenizer", "SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5 "
+          "FROM (SELECT doc_id, regexp_extract_all(text, '(" + USER_TOKEN_RE + ")', 1) AS t FROM documents)")
 def q_udf_tokenizer(spark, sf_dir):
     """A user tokenizer callable as an Arrow UDF over documents."""
     ship_package(spark)
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     tok = scoring.udf_tokenizer(_user_tokenizer)
-    return d.select("doc_id", F.size(tok("text")).alias("n_tokens"))
+    return d.select("doc_id", tok("text").alias("t")).select(
+        "doc_id", F.size("t").alias("n_tokens"), F.md5(F.array_join("t", " ").cast("binary")).alias("tokens_md5"))

@@ -320,14 +320,15 @@ ids AS (SELECT doc_id, list(coalesce(v.id, 0) ORDER BY pos) AS ids FROM ex LEFT
 j AS (SELECT l.doc_id, list_concat([2], coalesce(i.ids, []::INTEGER[])[1:{FIXED_LEN - 2}], [3]) AS core
       FROM lt l LEFT JOIN ids i USING (doc_id))
 SELECT doc_id, CAST(len(core) AS INTEGER) AS n_real,
-       md5(array_to_string(list_resize(core, {FIXED_LEN}, 1), ' ')) AS ids_md5 FROM j""", "labelled_text"))
+       md5(array_to_string(list_resize(core, {FIXED_LEN}, 1), ' ')) AS ids_md5,
+       md5(array_to_string(list_resize([]::INTEGER[], {FIXED_LEN}, 0), ' ')) AS types_md5 FROM j""", "labelled_text"))
 def q_encode_fixed(spark, sf_dir):
     toks, vocab = doc_vocab(spark, sf_dir)
     lt = fx.labelled_text(spark, sf_dir).select("doc_id")
     ids = sq.lookup_ids(toks.join(lt, "doc_id"), "doc_id", "tokens", vocab, most=FIXED_LEN)
-    fixed, mask, _ = sq.encode_fixed(F.col("ids"), FIXED_LEN)
+    fixed, mask, types = sq.encode_fixed(F.col("ids"), FIXED_LEN)
     return ids.select("doc_id", F.aggregate(mask, F.lit(0), lambda a, x: a + x).alias("n_real"),
-                      ids_md5(fixed).alias("ids_md5"))
+                      ids_md5(fixed).alias("ids_md5"), ids_md5(types).alias("types_md5"))
 
 # ------------------------------------------------------------- P1 - P4
 
