@@ -1,8 +1,8 @@
 """Toxic spans with a linear-chain conditional random field.
 
 Document labels are turned into labelled words: a word or word beginning
-that occurs in many toxic and practically no clean documents marks its
-words as toxic.  The field learns the two labels from runs of words
+that occurs in many toxic and few clean documents marks its words as
+toxic.  The field learns the two labels from runs of words
 around marked and unmarked places; its affix and trigram features carry
 over to forms not seen.  Forward-backward marginals are summed up for
 each document (largest, mass, share), a logistic function fitted on the
@@ -79,9 +79,10 @@ def unlike(rows: DataFrame) -> tuple[list[int], float]:
 
 
 def markers(rows: DataFrame, counted: list[int], rate: float) -> np.ndarray:
-    """Sorted hashes that mark toxic words: in at most 1 clean document for
-    50 toxic, and in so many counted toxic documents that chance (the toxic
-    share to that power) would give less than one such hash."""
+    """Sorted hashes that mark toxic words: twelve in thirteen of the counted
+    documents that hold one are toxic, and chance (the toxic share to the
+    power of the toxic ones, times the ways to pick the clean ones) would
+    give less than one such hash."""
     def run(batches):
         for batch in chunks(batches, "text"):
             w = crf.tokens(batch.column(1))
@@ -97,8 +98,10 @@ def markers(rows: DataFrame, counted: list[int], rate: float) -> np.ndarray:
 
     seen = rows.mapInArrow(run, "word long, label int").groupBy("word").agg(F.sum("label").alias("bad"), F.count("*").alias("n")).where("n >= 3")
     likely = max(2, seen.count())
-    least = max(3, math.ceil(math.log(likely) / math.log(1 / min(max(rate, 0.01), 0.9))))
-    got = seen.where((F.col("bad") >= least) & (50 * (F.col("n") - F.col("bad")) <= F.col("bad"))).select("word").collect()
+    good = F.col("n") - F.col("bad")
+    ways = good * F.log(F.col("n") * math.e / F.greatest(good, F.lit(1)))
+    surprise = F.col("bad") * math.log(1 / min(max(rate, 0.01), 0.9)) - ways
+    got = seen.where((F.col("bad") >= 3) & (12 * good <= F.col("bad")) & (surprise >= math.log(likely))).select("word").collect()
     return np.sort(np.array([r["word"] for r in got], np.int64).view(np.uint64))
 
 
