@@ -16,8 +16,7 @@ from tessera.plans.q_classify import SQL_SPLIT_DS, split_dataset
 from tessera.plans.registry import r6, register
 from tessera.session import ensure_checkpoint_dir
 from tessera.sources import ledger, splits
-from tessera.sources.tables import read_table
-from tessera.streaming.rowwise import read_stream, run_available
+from tessera.streaming.rowwise import read_table_stream, run_available
 
 FAMILIES = ["bert", "bilstm", "lr"]
 
@@ -89,9 +88,7 @@ STREAM_SQL = ("WITH base AS (SELECT doc_id, CAST(len(regexp_extract_all(lower(te
 @register("stream_rowwise", STREAM_SQL)
 def q_stream_rowwise(spark, sf_dir):
     """T1 + C1-C3 over ``documents`` read as a file stream."""
-    schema = read_table(spark, sf_dir, "documents").schema
-    stream = read_stream(spark, sf_dir, schema, file_glob="documents.parquet")
-    return run_available(spark, stream, stream_transform)
+    return run_available(spark, read_table_stream(spark, sf_dir, "documents"), stream_transform)
 
 
 @register("split_dataset_roundtrip", fx.with_views("WITH " + SQL_SPLIT_DS.strip() + """

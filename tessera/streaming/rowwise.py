@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tessera.session import ensure_checkpoint_dir
+from tessera.sources.tables import read_table, table_path
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -32,6 +33,15 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.load(path)
 
 
+def read_table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The whole table as a file stream: all part files of a folder, or the
+    single file (picked by name, since a stream reads folders only)."""
+    table = read_table(spark, sf_dir, name)
+    if [f.rpartition("/")[2] for f in table.inputFiles()] == [f"{name}.parquet"]:
+        return read_stream(spark, sf_dir, table.schema, file_glob=f"{name}.parquet")
+    return read_stream(spark, table_path(sf_dir, name), table.schema)
+
+
 def run_available(spark: SparkSession, stream: DataFrame, transform: Callable[[DataFrame], DataFrame],
                   sink_path: str | None = None, name: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Apply ``transform`` to all available input, write it, return the result.

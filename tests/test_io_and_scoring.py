@@ -107,6 +107,16 @@ def test_stream_to_parquet_sink(spark):
     assert got.count() == read_table(spark, SF, "documents").count()
 
 
+def test_stream_reads_every_part_file_of_a_folder_table(spark, tmp_path):
+    docs = read_table(spark, SF, "documents")
+    whole = sorted(map(tuple, q_io.q_stream_rowwise(spark, SF).collect()))
+    for parts in (4, 1):
+        folder = f"{tmp_path}/of{parts}"
+        docs.repartition(parts).write.parquet(f"{folder}/documents.parquet")
+        assert sorted(map(tuple, q_io.q_stream_rowwise(spark, folder).collect())) == whole
+    assert len(whole) == docs.count()
+
+
 def test_prompts_and_model_scoring_on_a_stream(spark):
     from tessera.operators import answers, prompts
     from tessera.plans.q_models import echo_model
