@@ -54,17 +54,21 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
-    """(doc_id, fp): the 64-bit fingerprint of each whole text, as a long."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp): the 64-bit fingerprint of each whole text, as a long;
+    and the columns ``keep`` of the row as c0, c1, ..."""
     ship_package(docs.sparkSession)
+    source = pick(docs, doc_id=doc_id, text=text, **{f"c{i}": c for i, c in enumerate(keep)})
 
     def run(batches):
         for batch in chunks(batches, "text"):
             texts = batch.column(1).cast(pa.large_binary())
             got = np.fromiter((fingerprint(t.as_py() or b"", shingle) for t in texts), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(got.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(got.view(np.int64)), *batch.columns[2:]],
+                                             ["doc_id", "fp", *batch.schema.names[2:]])
 
-    return pick(docs, doc_id=doc_id, text=text).mapInArrow(run, "doc_id long, fp long")
+    kept = [F.col(c) for c in source.columns[2:]]
+    return source.mapInArrow(run, source.select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("fp"), *kept).schema)
 
 
 def layout(counts: dict[int, int], tile: int, radius: int) -> tuple[dict[int, tuple[int, int]], list[tuple[int, int, int]]]:
@@ -166,13 +170,33 @@ def links(distinct: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     return cells.groupBy("a", "b").applyInPandas(cell, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id) of every row."""
-    rows = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
+def grouped(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, id, root) of each distinct fingerprint of ``rows``: its smallest
+    doc_id, and the fingerprint that names its group."""
     distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("id")), "distinct")
     roots = components(links(distinct.select("fp"), radius))
-    linked = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+    return distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "id", F.coalesce("root", "fp").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
+    """(doc_id, fp, component_id) of every row."""
+    rows = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
+    linked = grouped(rows, radius)
     smallest = linked.groupBy("root").agg(F.min("id").alias("component_id")).withColumnRenamed("root", "r")
     per_fp = linked.join(smallest, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
     return rows.join(per_fp, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
+    """The columns ``keep`` (of orderable types) of one row of each group:
+    the one with the smallest id, then fingerprint, then row.  Rows that
+    share an id but not a group do not touch each other; rows without an
+    id stay."""
+    rows = written(fingerprints(docs, doc_id, text, shingle, tuple(keep)), "fingerprints")
+    first = grouped(rows, radius).where("id is not null").groupBy("root").agg(
+        F.min(F.struct("id", "fp")).alias("m")).select(F.col("m.id").alias("kept_id"), F.col("m.fp").alias("kept_fp"))
+    cells = [f"c{i}" for i in range(len(keep))]
+    named = rows.join(first, (F.col("doc_id") == F.col("kept_id")) & (F.col("fp") == F.col("kept_fp")))
+    named = named.groupBy("doc_id", "fp").agg(F.min(F.struct(*cells)).alias("m")).select(*[F.col(f"m.{c}").alias(c) for c in cells])
+    return named.unionByName(rows.where("doc_id is null").select(*cells)).toDF(*keep)

@@ -26,11 +26,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates (four-word
     shingles, four bits): the one with the smallest id.  Rows that repeat
-    an id count as one; rows without an id stay."""
-    groups = simhash.near_duplicates(docs, shingle=4, radius=4)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.select(COLUMNS).join(first, F.col("doc_id") == F.col("kept_id")).select(COLUMNS).dropDuplicates(["doc_id"])
-    return named.unionByName(docs.select(COLUMNS).where("doc_id is null"))
+    an id count as one only within a group; rows without an id stay."""
+    return simhash.without_near_duplicates(docs, COLUMNS, shingle=4, radius=4)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

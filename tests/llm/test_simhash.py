@@ -4,7 +4,7 @@ import re
 import numpy as np
 import xxhash
 
-from tessera.llm import simhash
+from tessera.llm import simhash, stages
 from tessera.llm.components import components
 from tests.llm import awkward
 
@@ -80,3 +80,16 @@ def test_components_of_long_chains_and_stars(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert {got[i] for i in range(301)} == {0} and {got[k] for k in range(1000, 1300)} == {1000}
     assert 5000 not in got
+
+
+def test_rows_that_share_an_id_but_not_a_group(spark):
+    own, other, third, fourth = (awkward.words(80, seed) for seed in (201, 202, 203, 204))
+    rows = [(1, other), (7, own), (7, other), (7, third), (7, third.upper()), (7, third), (9, fourth), (8, own), (None, own), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", f"s{k}", len(t or "")) for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    want = sorted([(1, other), (7, own), (7, third.upper()), (9, fourth), (None, own), (None, None)], key=repr)
+    for parts in (1, 5):
+        got = stages.near_duplicates(spark, docs.repartition(parts), "")
+        assert got.columns == stages.COLUMNS
+        assert sorted([(r["doc_id"], r["text"]) for r in got.collect()], key=repr) == want
+    assert stages.near_duplicates(spark, awkward.empty(spark), "").count() == 0
