@@ -1,5 +1,6 @@
 """Factorisation machine over hashed words, structure statistics and
-metadata of a text.
+metadata of a text.  The metadata is ``n_chars``; language, source, id
+and labels of a document are not features.
 
 score(x) = sigmoid(b + sum_i w_i x_i + 1/2 sum_f [(sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2]):
 the sum-of-squares identity gives all pairwise interactions in time
@@ -10,7 +11,8 @@ rows with the smallest id hashes); the sample alone reaches the driver.
 Scoring reads every whole text on the executors.
 
 Defined results: null and empty texts have no words and get the score of
-their (all-zero) statistics; texts of any length are scored whole;
+their (all-zero) statistics and their metadata; an ``n_chars`` that is
+missing, null or negative counts as not known; texts of any length are scored whole;
 repeated rows get equal scores; an empty table gives an empty result;
 labels that are null, or whose id is null, are not learned from; without
 any usable label every score is 0.5.
@@ -22,7 +24,7 @@ import dataclasses
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.bytetext import U, Slices, Words, chunks, mix, text_buffer
@@ -42,7 +44,7 @@ UPPER, DIGIT = byte_class(bytes(range(65, 91))), byte_class(b"0123456789")
 SYMBOL, MARK = byte_class(b"#*$%&|<>{}[]\\^~=_@"), byte_class(b"!?")
 STOP, NEWLINE = byte_class(b".,;:"), byte_class(b"\n")
 LETTER = byte_class(bytes([*range(65, 91), *range(97, 123), *range(128, 256)]))
-STATS = 18
+STATS, META = 18, 2
 
 
 def share(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
@@ -85,7 +87,18 @@ def statistics(data: np.ndarray, offsets: np.ndarray, w: Words, words: np.ndarra
     return np.stack(columns, 1)
 
 
-def features(column: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def n_chars_of(df: DataFrame) -> Column:
+    """The metadata column as a double, null where the frame has none."""
+    return (F.col("n_chars").try_cast("double") if "n_chars" in df.columns else F.lit(None).cast("double")).alias("n_chars_")
+
+
+def metadata(n_chars: np.ndarray) -> np.ndarray:
+    """Size and whether it is known: one row of META numbers."""
+    known = np.isfinite(n_chars) & (n_chars >= 0)
+    return np.stack([np.log1p(np.where(known, n_chars, 0)) / 7, known], 1)
+
+
+def features(column: pa.Array, n_chars: np.ndarray, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(text, feature, value) of every non-zero feature, by text; and the
     number of texts.  Words are log-counted with unit length per text."""
     data, offsets = text_buffer(column)
@@ -99,8 +112,9 @@ def features(column: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.n
     norm = np.sqrt(np.bincount(doc, weights=value * value, minlength=n))
     value = value / np.maximum(norm[doc], 1e-12)
     stats = statistics(data, offsets, w, words, (doc, bucket, times))
-    doc = np.concatenate([doc, np.repeat(np.arange(n), STATS)])
-    feature = np.concatenate([bucket, np.tile(np.arange(buckets, buckets + STATS), n)])
+    stats = np.concatenate([stats, metadata(n_chars)], 1)
+    doc = np.concatenate([doc, np.repeat(np.arange(n), STATS + META)])
+    feature = np.concatenate([bucket, np.tile(np.arange(buckets, buckets + STATS + META), n)])
     value = np.concatenate([value, stats.ravel()])
     order = np.argsort(doc, kind="stable")
     return doc[order], feature[order], value[order], n
@@ -123,8 +137,8 @@ class Machine:
             out += 0.5 * (sums[:, f] ** 2 - np.bincount(doc, weights=part * part, minlength=n))
         return out, sums
 
-    def scores(self, column: pa.Array) -> np.ndarray:
-        raw, _ = self.raw(*features(column, len(self.linear) - STATS))
+    def scores(self, column: pa.Array, n_chars: np.ndarray) -> np.ndarray:
+        raw, _ = self.raw(*features(column, n_chars, len(self.linear) - STATS - META))
         return 1 / (1 + np.exp(-np.clip(raw, -40, 40)))
 
 
@@ -162,22 +176,22 @@ def fit_features(doc, feature, value, labels: np.ndarray, size: int, epochs: int
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable, most: int) -> DataFrame:
-    """(doc_id, text, label) of at most ``most`` labelled documents, the
+    """(doc_id, text, label, n_chars_) of at most ``most`` labelled documents, the
     ones with the smallest id hashes.  The sample of ids is broadcast: its
     bound is ``most``."""
     chosen = (pick(labels, doc_id="doc_id", label=label).where("doc_id is not null and label is not null")
               .where(usable(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    return pick(docs, doc_id="doc_id", text="text").join(F.broadcast(chosen), "doc_id")
+    return docs.select("doc_id", "text", n_chars_of(docs)).join(F.broadcast(chosen), "doc_id")
 
 
 def fit(sample: DataFrame, epochs: int = 12, seed: int = 7, buckets: int = BUCKETS) -> Machine:
-    """Fit on a bounded sample (doc_id, text, label)."""
+    """Fit on a bounded sample (doc_id, text, label, n_chars_)."""
     ship_package(sample.sparkSession)
 
     def run(batches):
         for batch in chunks(batches, "text"):
-            doc, feature, value, n = features(batch.column(1), buckets)
+            doc, feature, value, n = features(batch.column(1), batch.column(3).to_numpy(zero_copy_only=False), buckets)
             first = np.searchsorted(doc, np.arange(n + 1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), batch.column(2).cast(pa.int32()),
@@ -185,7 +199,7 @@ def fit(sample: DataFrame, epochs: int = 12, seed: int = 7, buckets: int = BUCKE
                  pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(value, pa.float32()))],
                 ["doc_id", "label", "feature", "value"])
 
-    got = (sample.select("doc_id", "text", "label")
+    got = (sample.select("doc_id", "text", "label", "n_chars_")
            .mapInArrow(run, "doc_id long, label int, feature array<int>, value array<float>")
            .toArrow().sort_by("doc_id").combine_chunks())
     flat = got["feature"].combine_chunks().flatten() if got.num_rows else pa.array([], pa.int32())
@@ -193,7 +207,7 @@ def fit(sample: DataFrame, epochs: int = 12, seed: int = 7, buckets: int = BUCKE
     lengths = np.array([len(x) for x in got["feature"]], np.int64)
     doc = np.repeat(np.arange(got.num_rows), lengths)
     return fit_features(doc, flat.to_numpy(), values.to_numpy().astype(float), got["label"].to_numpy().astype(float),
-                        buckets + STATS, epochs, seed)
+                        buckets + STATS + META, epochs, seed)
 
 
 def score(docs: DataFrame, machine: Machine, keep: list[str], text: str = "text", out: str = "score") -> DataFrame:
@@ -201,12 +215,12 @@ def score(docs: DataFrame, machine: Machine, keep: list[str], text: str = "text"
     spark = docs.sparkSession
     ship_package(spark)
     model = spark.sparkContext.broadcast(machine)
-    source = pick(docs, **{f"c{i}": c for i, c in enumerate(keep)}, text_=text)
+    source = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").alias("text_"), n_chars_of(docs))
 
     def run(batches):
         for batch in chunks(batches, "text_"):
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(model.value.scores(batch.columns[-1]))],
-                                             [*batch.schema.names[:-1], "score_"])
+            scores = model.value.scores(batch.columns[-2], batch.columns[-1].to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(scores)], [*batch.schema.names[:-2], "score_"])
 
-    schema = source.drop("text_").withColumn("score_", F.lit(0.0)).schema
+    schema = source.drop("text_", "n_chars_").withColumn("score_", F.lit(0.0)).schema
     return source.mapInArrow(run, schema).toDF(*keep, out)

@@ -110,3 +110,15 @@ def test_awkward_rows(spark):
             else:
                 assert r["lang_pred"] in ("en", "fr")
         assert langid.identify(none, model, ["doc_id"]).count() == 0
+
+
+def test_n_chars_is_a_feature(spark):
+    docs = spark.createDataFrame([(i, "the same text", 20 if i % 2 else 4000, i % 2) for i in range(300)],
+                                 "doc_id long, text string, n_chars long, quality int")
+    machine = fm.fit(fm.labelled_sample(docs, docs, "quality", lambda c: ~held_out(c), 200))
+    got = fm.score(docs, machine, ["doc_id", "quality"]).collect()
+    assert all((r["score"] >= 0.5) == bool(r["quality"]) for r in got)
+    known = fm.metadata(np.array([0.0, np.nan, -1.0, 99.0]))
+    assert known[:, 1].tolist() == [1, 0, 0, 1] and not known[1:3].any()
+    unknown = docs.select("doc_id", "text").union(docs.select("doc_id", F.lit(None).cast("string")))
+    assert fm.score(unknown, machine, ["doc_id"]).where("score between 0 and 1").count() == 600
