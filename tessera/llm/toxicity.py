@@ -11,8 +11,10 @@ give the offending offsets.
 
 Learning uses a sample of labelled documents whose size is a parameter
 (the smallest id hashes); scoring reads whole texts.  Within the sample,
-near copies of a document count once, so that a large group of copies
-does not make its words look toxic.
+near copies of a document with the same label count once, so that a large
+group of copies does not make its words look toxic.  Near copies share
+four fifths of their runs of three words, counted exactly; they are looked
+for among documents that share one of two min-hashes.
 
 Defined results: null and empty texts get the score of a document
 without words and no spans; repeated rows get equal results; an empty
@@ -24,18 +26,22 @@ from __future__ import annotations
 
 import dataclasses
 import math
+from array import array
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import crf
-from tessera.llm.bytetext import BASE_A, BASE_B, Slices, Words, chunks
+from tessera.llm.bytetext import BASE_A, BASE_B, Slices, Words, chunks, lists
 from tessera.llm.common import pick
 from tessera.session import ship_package
 
 BEGINNINGS = (4, 5, 6)
+#: Share of all runs of three words that near copies have in common.
+LIKE = 0.8
 
 
 @dataclasses.dataclass
@@ -64,18 +70,80 @@ def sketches(w: Words, n: int) -> list[np.ndarray]:
     return out
 
 
+def shingles(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of three words of each document: document i has
+    values[first[i]:first[i + 1]]."""
+    at = np.flatnonzero(np.arange(len(w)) + 3 <= w.first[w.doc + 1]) if len(w) else np.zeros(0, int)
+    key, doc = Slices(w.hashes(), BASE_A).hash(at, at + 3), w.doc[at]
+    by = np.lexsort((key, doc))
+    key, doc = key[by], doc[by]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+    return key[new].view(np.int64), np.searchsorted(doc[new], np.arange(n + 1))
+
+
+def suspects(got: pd.DataFrame) -> set[int]:
+    """Ids of the documents that share a label and a sketch with another
+    one whose number of hashes allows them to be like."""
+    found = set()
+    for sketch in ("a", "b"):
+        rows = got[got["size"] > 0].sort_values(["label", sketch, "size"])
+        same = (rows["label"].to_numpy()[1:] == rows["label"].to_numpy()[:-1]) & (rows[sketch].to_numpy()[1:] == rows[sketch].to_numpy()[:-1])
+        pair = np.flatnonzero(same & (rows["size"].to_numpy()[:-1] >= LIKE * rows["size"].to_numpy()[1:]))
+        ids = rows["doc_id"].to_numpy()
+        found |= set(ids[pair].tolist()) | set(ids[pair + 1].tolist())
+    return found
+
+
+def without_copies(got: pd.DataFrame) -> list[int]:
+    """Ids of the rows (by id) that are like none taken before: with the
+    same label, a common sketch and at least LIKE of all hashes in common."""
+    label, a, b, size = (got[c].to_numpy() for c in ("label", "a", "b", "size"))
+    holders: dict[int, array] = {}
+    taken = []
+    for i, hashes in enumerate(got["hashes"]):
+        hashes = hashes.tolist()
+        held = [np.frombuffer(holders[h], np.int64) for h in hashes if h in holders]
+        common = np.bincount(np.concatenate(held)) if held else np.zeros(0, np.int64)
+        del held
+        j = np.flatnonzero(common)
+        like = (label[j] == label[i]) & ((a[j] == a[i]) | (b[j] == b[i])) & (common[j] >= LIKE * (size[i] + size[j] - common[j]))
+        if not like.any():
+            taken.append(i)
+            for h in hashes:
+                holders.setdefault(h, array("q")).append(i)
+    return got["doc_id"].iloc[taken].tolist()
+
+
 def unlike(rows: DataFrame) -> tuple[list[int], float]:
-    """Ids of one document of each group of like ones (sharing a sketch
-    with none of smaller id), and the toxic share of the sample."""
-    def run(batches):
+    """Ids of the documents of the sample without near copies, of which the
+    one with the smallest id stays, and the toxic share of the sample.  The
+    driver gets the hashes of those only that share a sketch."""
+    def sketched(batches):
         for batch in chunks(batches, "text"):
-            got = sketches(crf.tokens(batch.column(1)), batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *map(pa.array, got)], ["doc_id", "label", "a", "b"])
+            w = crf.tokens(batch.column(1))
+            got = [*sketches(w, batch.num_rows), np.diff(shingles(w, batch.num_rows)[1])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *map(pa.array, got)], ["doc_id", "label", "a", "b", "size"])
+
+    got = rows.mapInArrow(sketched, "doc_id long, label int, a long, b long, size long").toPandas().sort_values(["doc_id", "a"])
+    share = float(got["label"].mean()) if len(got) else 0.5
+    near = np.array(sorted(suspects(got)), np.int64)
+    alone = got["doc_id"][~got["doc_id"].isin(near)].tolist()
+    if not len(near):
+        return alone, share
 
-    got = rows.mapInArrow(run, "doc_id long, label int, a long, b long").toPandas().sort_values(["doc_id", "a"])
-    short = got["a"] == np.int64(-1)  # no three words
-    first = (~got.duplicated("a") & ~got.duplicated("b")) | short
-    return got["doc_id"][first].tolist(), float(got["label"].mean()) if len(got) else 0.5
+    def hashed(batches):
+        for batch in chunks(batches, "text"):
+            batch = batch.filter(pa.array(np.isin(batch.column(0).to_numpy(), near)))
+            if batch.num_rows:
+                w = crf.tokens(batch.column(1))
+                values, first = shingles(w, batch.num_rows)
+                columns = [*sketches(w, batch.num_rows), np.diff(first)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *map(pa.array, columns), lists(values, first, pa.int64())],
+                                                 ["doc_id", "label", "a", "b", "size", "hashes"])
+
+    got = rows.mapInArrow(hashed, "doc_id long, label int, a long, b long, size long, hashes array<long>").toArrow().to_pandas()
+    return alone + without_copies(got.sort_values(["doc_id", "a"])), share
 
 
 def markers(rows: DataFrame, counted: list[int], rate: float) -> np.ndarray:

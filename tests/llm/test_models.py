@@ -122,3 +122,15 @@ def test_n_chars_is_a_feature(spark):
     assert known[:, 1].tolist() == [1, 0, 0, 1] and not known[1:3].any()
     unknown = docs.select("doc_id", "text").union(docs.select("doc_id", F.lit(None).cast("string")))
     assert fm.score(unknown, machine, ["doc_id"]).where("score between 0 and 1").count() == 600
+
+
+def test_only_near_copies_of_the_same_label_are_left_out(spark):
+    passage = awkward.words(60, 500)
+    rows = [(i, passage + " " + awkward.words(60, 600 + i), i % 2) for i in range(40)]
+    long = awkward.words(200, 700)
+    rows += [(100, long, 1), (101, long + " tail", 1), (102, long, 0), (103, long, 0), (104, "two words", 1), (105, "two words", 1), (106, "", 1)]
+    sample = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    counted, share = toxicity.unlike(sample.repartition(3))
+    assert sorted(counted) == [*range(40), 100, 102, 104, 105, 106]
+    assert share == pytest.approx(np.mean([r[2] for r in rows]))
+    assert toxicity.unlike(sample.limit(0)) == ([], 0.5)
