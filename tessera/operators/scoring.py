@@ -64,6 +64,13 @@ def batch_score(df: DataFrame, model_factory: Callable[[], Callable[[list[str]],
     return df.select(key, input_col).mapInPandas(run, schema)
 
 
+def collate_batches(df: DataFrame, collate: Callable[[pd.DataFrame], pd.DataFrame], schema: str, batch: str = "batch_id") -> DataFrame:
+    """``collate`` gets all rows of one batch (as D7 assigns them, in
+    any order) and returns the batch's rows of type ``schema``."""
+    ship_package(df.sparkSession)
+    return df.groupBy(batch).applyInPandas(collate, schema)
+
+
 def udf_tokenizer(tokenize: Callable[[str], list[str]]):
     """Wrap a user tokenizer ``str -> list[str]`` as an Arrow UDF."""
     @F.pandas_udf("array<string>")

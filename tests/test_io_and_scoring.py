@@ -72,6 +72,17 @@ def test_batch_score_typed_output_and_key(spark):
     assert rows["b"]["score"] == 0.0
 
 
+def test_collate_batches_by_a_user_function(spark):
+    def pad(pdf):
+        rows = [list(x) for x in pdf.sort_values("id")["ids"]]
+        longest = max(map(len, rows))
+        return pdf.iloc[:1][["batch_id"]].assign(rows=[[r + [0] * (longest - len(r)) for r in rows]])
+    df = spark.createDataFrame([(i, i // 2, [7] * (i + 1)) for i in range(5)], "id long, batch_id long, ids array<int>")
+    got = scoring.collate_batches(df.repartition(3), pad, "batch_id long, rows array<array<int>>").collect()
+    assert {r["batch_id"]: r["rows"] for r in got} == {
+        0: [[7, 0], [7, 7]], 1: [[7, 7, 7, 0], [7] * 4], 2: [[7] * 5]}
+
+
 def test_pick_best_cuts_and_pads(spark):
     rows = [(1, 1, -1.0, 2, True, [5, 2, 9]), (1, 2, -9.0, 2, True, [7, 7, 7]), (2, 3, -2.0, 1, False, [4, 4, 4, 4])]
     nb = spark.createDataFrame(rows, "item_id long, cand_id long, score double, length int, ended boolean, tokens array<int>")
