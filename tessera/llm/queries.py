@@ -171,3 +171,19 @@ def q_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.neighbours import nearest
 
     return nearest(load(spark, sf_dir, "embeddings"), lambda c: c % 20 == 0, 20)
+
+
+@register("op11_adaptive_prefix_join", f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN [] ELSE list_distinct(list_transform(
+        generate_series(1, greatest(len(w) - 2, 1)), lambda i: md5(array_to_string(w[i:i + 2], ' ')))) END AS shingles FROM d),
+t AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS t FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.t = b.t AND a.doc_id <> b.doc_id AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n)
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+r AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+m AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT doc_id, len(shingles)::BIGINT AS n_shingles, least(doc_id, b) AS component_id FROM s LEFT JOIN m ON doc_id = a""")
+def q_adaptive_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.prefixjoin import similar
+
+    return similar(load(spark, sf_dir, "documents"), shingle=3, percent=90)
