@@ -12,14 +12,20 @@ the cheapest; a pair must share the smaller m of its two documents.
    order, ties by hash, so that frequent passages hardly enter prefixes.
 2. Every text is hashed again: its set's hash (equal sets are one node),
    its m, and its prefix.
-3. Candidates come from prefixes.  First every node meets one pivot a
-   shingle (a row a posting, whatever the frequency); what these links
-   join needs no further comparison.  Then all pairs of different groups
-   that share a prefix shingle are counted, and those with enough
-   matches, fitting sizes and fitting positions are verified on whole
-   sets.  More rounds of pivots go first while the pairs left over are
-   many more than the postings.
-4. Components of the verified links.
+3. A shingle that up to ``FEW`` prefixes hold gives its pairs, which are
+   counted: those with fitting sizes and enough matches (taking every
+   other shingle of the pair's prefixes as one more) are candidates.  A
+   shingle that more prefixes hold gives one star, a row a posting.  The
+   components of both are groups of sets.
+4. A group's sets are cut into blocks by size and hash, bounded in sets
+   and shingles; a cell is a pair of blocks whose sizes can reach the
+   threshold.  Inside a cell, pairs with enough matches are verified on
+   whole sets.  A cell returns its links as stars, at most one for each
+   of its sets, so no pair of a group leaves a task.
+5. Components of the verified links.
+
+The work inside one group grows with the square of its different sets of
+like size; equal sets are one node.
 
 Shingles are compared by 64-bit hashes.
 
@@ -35,6 +41,7 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,9 +50,12 @@ from tessera.llm.bytetext import BASE_B, U, Slices, Words, chunks, lists, mix, t
 from tessera.llm.common import pick, written
 from tessera.llm.components import components
 from tessera.llm.packing import pack, unpack
+from tessera.llm.simhash import join_labels
 from tessera.session import ship_package
 
 COUNTERS, CELLS = 1 << 22, 4096
+#: Postings of a shingle whose pairs are counted before they are candidates.
+FEW = 16
 #: What the verification of a candidate costs, in postings read.
 VERIFY = 8
 
@@ -122,44 +132,114 @@ def choose(n: np.ndarray, first: np.ndarray, weight: np.ndarray, percent: int, m
     return matches, np.where(n > 0, np.minimum(n, n - need + matches), 0)
 
 
-def prefixes(docs: DataFrame, shingle: int, percent: int, counters: int, most: int) -> DataFrame:
-    """(doc_id, mark, node, n, m, tokens) of every row; tokens: the prefix
-    in the global order."""
-    table = frequencies(docs, shingle, counters)
-    mean = float(table.mean())  # what a cell holds anyway
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+class Order:
+    """The global order of shingles, and what it makes of texts."""
 
-    def run(batches):
-        seen = shared.value
-        for batch in chunks(batches, "text"):
-            s = Shingles(batch.column(2), shingle)
-            rank = seen[cell_of(s.hashes, counters)]
-            order = np.lexsort((s.hashes, rank, s.doc))
-            weight = 0.01 + np.maximum(rank[order] - 1 - mean, 0)
-            m, length = choose(s.n, s.first, weight, percent, most)
-            inside = (np.arange(len(order)) - s.first[s.doc]) < length[s.doc]
-            tokens = lists(s.hashes[order][inside].view(np.int64), np.concatenate([[0], np.cumsum(length)]), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(s.node()), pa.array(s.n), pa.array(m.astype(np.int32)), tokens],
-                ["doc_id", "mark", "node", "n", "m", "tokens"])
+    def __init__(self, docs: DataFrame, shingle: int, percent: int, counters: int, most: int):
+        table = frequencies(docs, shingle, counters)
+        self.mean = float(table.mean())  # what a cell holds anyway
+        self.table = docs.sparkSession.sparkContext.broadcast(table)
+        self.shingle, self.percent, self.counters, self.most = shingle, percent, counters, most
 
-    return docs.select("doc_id", "mark", "text").mapInArrow(run, "doc_id long, mark long, node long, n long, m int, tokens array<long>")
+    def of(self, texts: pa.Array) -> tuple[Shingles, np.ndarray, np.ndarray, np.ndarray]:
+        """The sets, their tokens in the global order, m and prefix length."""
+        s = Shingles(texts, self.shingle)
+        seen = self.table.value[cell_of(s.hashes, self.counters)]
+        order = np.lexsort((seen, s.doc))  # stable: ties stay ordered by hash
+        weight = 0.01 + np.maximum(seen[order] - 1 - self.mean, 0)
+        m, length = choose(s.n, s.first, weight, self.percent, self.most)
+        return s, s.hashes[order].view(np.int64), m, length
 
 
-def fits(percent: int):
-    """Sizes that can reach the threshold."""
-    return F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
-
+def prefixes(docs: DataFrame, order: Order) -> DataFrame:
+    """(doc_id, mark, node, n, m, tokens) of every row; tokens: the prefix."""
+    def run(batches):
+        for batch in chunks(batches, "text"):
+            s, tokens, m, length = order.of(batch.column(2))
+            inside = (np.arange(len(tokens)) - s.first[s.doc]) < length[s.doc]
+            prefix = lists(tokens[inside], np.concatenate([[0], np.cumsum(length)]), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s.node()), pa.array(s.n), pa.array(m.astype(np.int32)), prefix],
+                                             ["doc_id", "mark", "node", "n", "m", "tokens"])
 
-def reaches(percent: int):
-    """What follows the first match is enough for the overlap needed."""
-    left = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    return F.lit(100 + percent) * left >= F.lit(percent) * (F.col("na") + F.col("nb"))
+    return docs.select("doc_id", "mark", "text").mapInArrow(run, "doc_id long, mark long, node long, n long, m int, tokens array<long>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(u, v) of the pairs (a, b) whose whole sets reach the threshold."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node_")).distinct()
+def overlaps(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], shape: tuple[int, int]) -> np.ndarray:
+    """How many tokens each row of a shares with each row of b; a and b:
+    (tokens, row of each).  Frequent tokens are columns of a matrix
+    product, the others are counted pair by pair."""
+    (ta, ra), (tb, rb) = a, b
+    out = np.zeros(shape, np.float32)
+    ia, ib = np.argsort(ta, kind="stable"), np.argsort(tb, kind="stable")
+    ta, ra, tb, rb = ta[ia], ra[ia], tb[ib], rb[ib]
+    token, la, ca = np.unique(ta, return_index=True, return_counts=True)
+    lb, hb = np.searchsorted(tb, token), np.searchsorted(tb, token, "right")
+    both = hb > lb
+    la, ca, lb, cb = la[both], ca[both], lb[both], (hb - lb)[both]
+    dense = ca * cb > max(64, shape[0] * shape[1] // 64)
+    wide = np.flatnonzero(dense)
+    for lo in range(0, len(wide), 512):
+        some = wide[lo:lo + 512]
+        x, y = np.zeros((shape[0], len(some)), np.float32), np.zeros((shape[1], len(some)), np.float32)
+        for k, t in enumerate(some):
+            x[ra[la[t]:la[t] + ca[t]], k] = 1
+            y[rb[lb[t]:lb[t] + cb[t]], k] = 1
+        out += x @ y.T
+    la, ca, lb, cb = la[~dense], ca[~dense], lb[~dense], cb[~dense]
+    upto = np.cumsum(ca * cb)
+    at = 0
+    while at < len(ca):
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + (1 << 20), "right")))
+        size = (ca * cb)[at:to]
+        k = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        width = np.repeat(cb[at:to], size)
+        rows, cols = ra[np.repeat(la[at:to], size) + k // width], rb[np.repeat(lb[at:to], size) + k % width]
+        np.add.at(out.reshape(-1), rows * shape[1] + cols, np.float32(1))
+        at = to
+    return out
+
+
+class Block:
+    """Sets of a cell: their nodes, m, prefix lengths and tokens."""
+
+    def __init__(self, pdf: pd.DataFrame):
+        sets = [np.frombuffer(x, np.int64) for x in pdf["tokens"]]
+        self.node = pdf["node"].to_numpy(np.int64)
+        self.m, self.length = pdf["m"].to_numpy(np.int64), pdf["length"].to_numpy(np.int64)
+        self.n = np.array([len(x) for x in sets], np.int64)
+        self.tokens = np.concatenate([*sets, np.zeros(0, np.int64)])
+        self.row = np.repeat(np.arange(len(sets)), self.n)
+        self.place = np.arange(len(self.tokens)) - np.repeat(np.cumsum(self.n) - self.n, self.n)
+
+    def part(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.tokens[inside], self.row[inside]
+
+
+def compare(a: Block, b: Block, same: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Star links (node, smallest of its local group) of a cell."""
+    shape = (len(a.n), len(b.n))
+    need = -(-percent * (a.n[:, None] + b.n[None, :]) // (100 + percent))  # overlap at the threshold
+    matches = overlaps(a.part(a.place < a.length[a.row]), b.part(b.place < b.length[b.row]), shape)
+    # matches beyond the shorter prefix's end are at most what is left of that set
+    left = np.maximum((a.n - a.length)[:, None], (b.n - b.length)[None, :])
+    asked = np.maximum(np.minimum(a.m[:, None], b.m[None, :]), need - left)
+    ok = (matches >= asked) & (need <= np.minimum(a.n[:, None], b.n[None, :]))
+    if same:
+        ok &= np.arange(shape[0])[:, None] < np.arange(shape[1])[None, :]
+    none = np.zeros(0, np.int64)
+    if not ok.any():
+        return none, none
+    some_a, some_b = ok.any(1), ok.any(0)
+    i, j = np.nonzero(ok & (overlaps(a.part(some_a[a.row]), b.part(some_b[b.row]), shape) >= need))
+    nodes = np.unique(np.concatenate([a.node[i], b.node[j]]))
+    label = join_labels(np.arange(len(nodes)), np.searchsorted(nodes, a.node[i]), np.searchsorted(nodes, b.node[j]))
+    moved = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[moved], nodes[label[moved]]
+
+
+def whole_sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame, order: Order) -> DataFrame:
+    """(node, n, m, length, tokens) of the ``nodes``; tokens: the whole set
+    in the global order, packed."""
     # one row stands for each set
     stands = rows.groupBy("node").agg(F.min(F.struct("doc_id", "mark")).alias("one"))
     stands = stands.join(nodes, F.col("node") == F.col("node_"), "left_semi").select(
@@ -168,86 +248,89 @@ def verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, shingle: int, p
 
     def sets(batches):
         for batch in chunks(batches, "text"):
-            s = Shingles(batch.column(0), shingle)
-            blobs = [s.hashes[lo:hi].tobytes() for lo, hi in zip(s.first[:-1], s.first[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(s.node()), pa.array(blobs, pa.binary())], ["node", "shingles"])
-
-    def check(batches):
-        for batch in batches:
-            hit = []
-            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(left, U), np.frombuffer(right, U)
-                place = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[place] == x).sum())
-                hit.append((100 + percent) * both >= percent * (len(x) + len(y)))
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(hit, pa.bool_())) for c in batch.columns[:2]], ["u", "v"])
-
-    whole = written(texts.mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"]), "sets")
-    left, right = whole.toDF("na_", "sa"), whole.toDF("nb_", "sb")
-    both = pairs.join(left, F.col("a") == F.col("na_")).join(right, F.col("b") == F.col("nb_"))
-    return both.select("a", "b", "sa", "sb").mapInArrow(check, "u long, v long")
-
-
-def grouped(posts: DataFrame, links: DataFrame | None) -> DataFrame:
-    """The postings with the group (``comp``) that links have joined."""
-    if links is None:
-        return posts.withColumn("comp", F.col("node"))
-    roots = written(components(links).toDF("node_", "root"), "roots")
-    return posts.join(roots, F.col("node") == F.col("node_"), "left").select(
-        *posts.columns, F.coalesce("root", "node").alias("comp"))
-
-
-def links(docs: DataFrame, rows: DataFrame, shingle: int, percent: int, rounds: int = 4) -> DataFrame:
+            s, tokens, m, length = order.of(batch.column(0))
+            blobs = [tokens[lo:hi].tobytes() for lo, hi in zip(s.first[:-1], s.first[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(s.node()), pa.array(s.n), pa.array(m.astype(np.int32)),
+                                              pa.array(length), pa.array(blobs, pa.binary())], ["node", "n", "m", "length", "tokens"])
+
+    out = texts.mapInArrow(sets, "node long, n long, m int, length long, tokens binary")
+    return out.dropDuplicates(["node"])  # rows that repeat both id and text
+
+
+def links(docs: DataFrame, rows: DataFrame, order: Order, block_sets: int, block_shingles: int) -> DataFrame:
     """(u, v) between nodes; their components are those of all pairs that
     reach the threshold."""
-    posts = rows.where("n > 0").select("node", "n", "m", F.posexplode("tokens").alias("p", "token"))
+    percent = order.percent
+    posts = rows.where("n > 0").select("node", "n", "m", F.size("tokens").alias("length"), F.explode("tokens").alias("token"))
     several = written(posts.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
                       .where("lo < hi").select(F.col("token").alias("token_")), "tokens")
     posts = written(posts.join(several, F.col("token") == F.col("token_"), "left_semi").distinct(), "postings")
-    found: DataFrame | None = None
-    for turn in range(rounds):
-        open_ = written(grouped(posts, found), "groups")
-        cells = open_.groupBy("token", "comp").agg(F.count("*").alias("c"))
-        tokens = cells.groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("own"))
-        left = tokens.where("c * c > own").agg(F.sum("c").alias("rows"), F.sum((F.col("c") * F.col("c") - F.col("own")) / 2).alias("pairs")).first()
-        if not left["rows"]:
-            return docs.sparkSession.createDataFrame([], "u long, v long") if found is None else found
-        if turn and left["pairs"] <= 2 * left["rows"]:
-            break
-        pivots = written(
-            open_.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                       F.min_by(F.struct("node", "n", "p", "comp"), F.xxhash64("node", F.lit(turn))).alias("pivot"))
-            .where("lo < hi").select(F.col("token").alias("token_"), "pivot"), "pivots")
-        stars = open_.join(pivots, F.col("token") == F.col("token_")).where("comp <> pivot.comp").select(
-            F.col("node").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"),
-            F.col("pivot.node").alias("b"), F.col("pivot.n").alias("nb"), F.col("pivot.p").alias("pb"))
-        # each match bounds what is left after it, so one that reaches is enough
-        stars = written(stars.where(fits(percent) & reaches(percent)).select("a", "b").distinct(), "stars")
-        new = verified(stars, docs, rows, shingle, percent)
-        found = written(new if found is None else found.union(new), "links")
-    else:
-        open_ = written(grouped(posts, found), "groups")
-    side = ["node", "n", "m", "p", "comp", "token"]
-    mixed = written(open_.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                    .where("lo < hi").select(F.col("token").alias("token_")), "mixed")
-    open_ = written(open_.join(mixed, F.col("token") == F.col("token_"), "left_semi").select(*side), "open")
-    a = open_.toDF("a", "na", "ma", "pa", "ca", "ta")
-    b = open_.toDF("b", "nb", "mb", "pb", "cb", "tb")
-    pairs = (a.join(b, (F.col("ta") == F.col("tb")) & (F.col("ca") < F.col("cb")) & fits(percent))
-             .groupBy("a", "b", "na", "nb", "ma", "mb").agg(F.count("*").alias("matches"), F.min("pa").alias("pa"), F.min("pb").alias("pb"))
-             .where((F.col("matches") >= F.least("ma", "mb")) & reaches(percent)).select("a", "b"))
-    last = verified(written(pairs, "pairs"), docs, rows, shingle, percent)
-    return written(last if found is None else found.union(last), "links")
+    counts = written(posts.groupBy("token").agg(F.count("*").alias("c"), F.min("node").alias("lo")).withColumnRenamed("token", "token_"), "counts")
+    posts = written(posts.join(counts, F.col("token") == F.col("token_")).drop("token_"), "counted")
+    often = posts.where(F.col("c") > FEW)
+    stars = often.where("node <> lo").select(F.col("node").alias("u"), F.col("lo").alias("v"))
+    wide = often.groupBy("node").agg(F.count("*").alias("wide")).withColumnRenamed("node", "node_")
+    few = posts.where(F.col("c") <= FEW).join(wide, F.col("node") == F.col("node_"), "left").select(
+        "token", "node", "n", "m", "length", F.coalesce("wide", F.lit(0)).alias("wide"))
+    few = written(few, "few")
+    a, b = few.toDF("ta", "u", "na", "ma", "la", "wa"), few.toDF("tb", "v", "nb", "mb", "lb", "wb")
+    fit = F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
+    need = F.expr(f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}")
+    left = F.greatest(F.col("na") - F.col("la"), F.col("nb") - F.col("lb"))
+    pairs = (a.join(b, (F.col("ta") == F.col("tb")) & (F.col("u") < F.col("v")) & fit)
+             .groupBy("u", "v", "na", "nb", "ma", "mb", "la", "lb", "wa", "wb").agg(F.count("*").alias("matches"))
+             .where(F.col("matches") + F.least("wa", "wb") >= F.greatest(F.least("ma", "mb"), need - left)).select("u", "v"))
+    groups = written(components(stars.union(pairs)).toDF("node_", "group"), "groups")
+    sets = written(whole_sets(docs, rows, groups.select("node_"), order), "sets")
+    # sizes whose ratio is within the threshold are in the same class or neighbouring ones
+    ratio = float(np.log(100 / percent)) * (1 + 1e-9)
+    sets = sets.join(groups, F.col("node") == F.col("node_")).select(
+        "node", "m", "length", "tokens", "n", "group", F.floor(F.log(F.col("n")) / F.lit(ratio)).alias("class"))
+    sets = written(sets, "classed")
+    parts = sets.groupBy("group", "class").agg(F.count("*").alias("c"), F.sum("n").alias("s")).select(
+        F.col("group").alias("g"), F.col("class").alias("k"),
+        F.greatest(F.ceil(F.col("c") / block_sets), F.ceil(F.col("s") / block_shingles)).cast("int").alias("parts"))
+    parts = written(parts, "parts")
+    near = sets
+    for step, name in ((-1, "below"), (0, "parts"), (1, "above")):
+        p = parts.select(F.col("g").alias(f"g{name}"), (F.col("k") - step).alias(f"k{name}"), F.col("parts").alias(name))
+        near = near.join(p, (F.col("group") == F.col(f"g{name}")) & (F.col("class") == F.col(f"k{name}")), "left")
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    # the blocks that the own one meets: (class, part, class, part) in ascending order
+    mine = F.struct(F.col("class").alias("k"), F.col("part").alias("p"))
+
+    def meets(step: int, count: str):
+        there = F.transform(F.sequence(F.lit(0), F.coalesce(F.col(count), F.lit(1)) - 1),
+                            lambda p: F.struct((F.col("class") + step).alias("k"), p.cast("int").alias("p")))
+        return F.when(F.col(count).isNotNull(), there).otherwise(F.slice(there, 1, 0))
+
+    cells = near.withColumn("part", own).withColumn(
+        "other", F.explode(F.concat(meets(-1, "below"), meets(0, "parts"), meets(1, "above"))))
+    cells = cells.select("group", F.least(mine, "other").alias("x"), F.greatest(mine, "other").alias("y"),
+                         (mine == F.least(mine, "other")).alias("first"), "node", "m", "length", "tokens")
+    cells = cells.select("group", F.col("x.k").alias("xk"), F.col("x.p").alias("xp"), F.col("y.k").alias("yk"),
+                         F.col("y.p").alias("yp"), "first", "node", "m", "length", "tokens")
+
+    def cell(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        same = key[1:3] == key[3:5]
+        a, b = Block(pdf[pdf["first"]]), Block(pdf if same else pdf[~pdf["first"]])
+        u, v = compare(a, b, same, percent)
+        return pd.DataFrame({"u": u, "v": v})
+
+    # a single set has nothing to meet
+    found = cells.groupBy("group", "xk", "xp", "yk", "yp").applyInPandas(cell, "u long, v long")
+    return written(found, "links")
 
 
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, percent: int = 90,
-            counters: int = COUNTERS, most: int = 4) -> DataFrame:
+            counters: int = COUNTERS, most: int = 4, block_sets: int = 2048, block_shingles: int = 1 << 19) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     ship_package(docs.sparkSession)
     docs = pick(docs, doc_id=doc_id, text=text).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    rows = written(prefixes(docs, shingle, percent, counters, most), "prefixes")
-    roots = components(links(docs, rows, shingle, percent))
+    order = Order(docs, shingle, percent, counters, most)
+    rows = written(prefixes(docs, order), "prefixes")
+    roots = components(links(docs, rows, order, block_sets, block_shingles))
     sets = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("id"))
     sets = sets.join(roots.toDF("node_", "root"), F.col("node") == F.col("node_"), "left").select(
         "node", "id", F.coalesce("root", "node").alias("root"))

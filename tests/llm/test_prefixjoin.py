@@ -73,7 +73,7 @@ def test_near_copies_by_brute_force(spark, percent, counters):
     rows += [" ".join(exact[:k]) for k in (20, 19, 18)] + [" ".join(exact[:11]), " ".join(exact[:12]), " ".join(exact[:20]).upper()]
     rng.shuffle(rows)
     rows = list(enumerate(rows))
-    assert run(spark, rows, percent=percent, counters=counters) == slow(rows, percent)
+    assert run(spark, rows, percent=percent, counters=counters, block_sets=16, block_shingles=1200) == slow(rows, percent)
 
 
 def test_prefixes_of_pairs_share_enough():
@@ -104,6 +104,15 @@ def test_costly_prefixes_ask_for_more_matches():
     assert m[0] == 1 and length[0] == 11
 
 
+def test_overlaps_of_frequent_and_rare_tokens():
+    rng = np.random.default_rng(4)
+    for n, kinds in ((30, 5), (40, 4000)):
+        sets = [np.unique(rng.integers(0, kinds, rng.integers(0, 60))) for _ in range(n)]
+        flat = np.concatenate(sets), np.repeat(np.arange(n), [len(x) for x in sets])
+        got = prefixjoin.overlaps(flat, flat, (n, n))
+        assert got.tolist() == [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+
+
 def test_frequencies_count_every_row(spark):
     rows = [(f"a b c {'d ' * (i % 3)}",) for i in range(50)]
     table = prefixjoin.frequencies(spark.createDataFrame(rows, "text string").repartition(5), 3, 8192)
