@@ -187,3 +187,70 @@ def q_adaptive_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.prefixjoin import similar
 
     return similar(load(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+#: crc32 of the decimal id, bit by bit.
+_CRC = ("xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)), "
+        "lambda x, b: list_reduce([xor(x, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, (y & 1) * 3988292384))))")
+
+
+@register("op12_postorder_manifest", f"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, {_leaf('n_chars')} AS leaf,
+        CASE WHEN {_CRC} % 7 = 0 THEN {_leaf('(n_chars + 1)')} END AS tampered FROM documents),
+r AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS run,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS j, count(*) OVER (PARTITION BY lang) AS c FROM d),
+t AS (SELECT run, 0 AS k, j, c, leaf AS h FROM r UNION ALL
+      SELECT run, k + 1, j // 2, (c + 1) // 2, sha256(string_agg(h, '' ORDER BY j)) FROM t WHERE c > 1 GROUP BY run, k, j // 2, c),
+s AS (SELECT run AS j, h, count(*) OVER () AS c FROM t WHERE c = 1),
+u AS (SELECT 0 AS k, j, c, h FROM s UNION ALL
+      SELECT k + 1, j // 2, (c + 1) // 2, sha256(string_agg(h, '' ORDER BY j)) FROM u WHERE c > 1 GROUP BY k, j // 2, c),
+f AS (SELECT doc_id, leaf, run, 0 AS k, j, c, coalesce(tampered, leaf) AS h, '' AS p FROM r UNION ALL
+      SELECT doc_id, leaf, f.run, f.k + 1, f.j // 2, (f.c + 1) // 2,
+             sha256(CASE WHEN t.h IS NULL THEN f.h WHEN f.j % 2 = 0 THEN f.h || t.h ELSE t.h || f.h END), p || coalesce(t.h, '')
+      FROM f LEFT JOIN t ON t.run = f.run AND t.k = f.k AND t.j = xor(f.j, 1) WHERE f.c > 1),
+g AS (SELECT doc_id, leaf, f.run, 0 AS k, f.run AS j, s.c, f.h, p, s.h AS subroot FROM f JOIN s ON s.j = f.run WHERE f.c = 1 UNION ALL
+      SELECT doc_id, leaf, run, g.k + 1, g.j // 2, (g.c + 1) // 2,
+             sha256(CASE WHEN u.h IS NULL THEN g.h WHEN g.j % 2 = 0 THEN g.h || u.h ELSE u.h || g.h END), p || coalesce(u.h, ''), subroot
+      FROM g LEFT JOIN u ON u.k = g.k AND u.j = xor(g.j, 1) WHERE g.c > 1)
+SELECT doc_id, leaf, subroot, u.h AS root, sha256(p) AS proof_sha256, g.h AS folded_root, g.h = u.h AS verified
+FROM g, u WHERE g.c = 1 AND u.c = 1""")
+def q_postorder_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import merkle
+
+    rows, _, _ = merkle.manifest(load(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"])
+    return merkle.verify(rows).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("path", ""), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+@register("op13_bounded_collocations", r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, unnest(list_transform(generate_series(1, len(w) - k + 1), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+      FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 100),
+x AS (SELECT lang, phrase, a, k, i, array_to_string(w[:i], ' ') AS x, array_to_string(w[i + 1:], ' ') AS y
+      FROM (SELECT *, unnest(generate_series(1, k - 1)) AS i FROM c)),
+s AS (SELECT x.lang, x.phrase, a, i, l.f AS l, r.f AS r, n, ((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+      FROM x JOIN f l ON l.lang = x.lang AND l.phrase = x.x JOIN f r ON r.lang = x.lang AND r.phrase = x.y JOIN n ON n.lang = x.lang),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) AS o FROM s) WHERE o = 1),
+q AS (SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM (SELECT *, unnest(generate_series(1, k - m + 1)) AS i
+      FROM (SELECT *, unnest(generate_series(2, k - 1)) AS m FROM c))),
+d AS (SELECT lang, phrase, max(a) AS longer FROM q GROUP BY lang, phrase),
+o AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+      FROM b LEFT JOIN d ON d.lang = b.lang AND d.phrase = b.phrase WHERE d.longer IS NULL OR 100 * d.longer < 100 * b.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o WHERE rank <= 2000""")
+def q_bounded_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.collocations import mine
+
+    return mine(load(spark, sf_dir, "documents"), top=2000, least=100, longest=5)
