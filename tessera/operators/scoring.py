@@ -64,11 +64,28 @@ def batch_score(df: DataFrame, model_factory: Callable[[], Callable[[list[str]],
     return df.select(key, input_col).mapInPandas(run, schema)
 
 
-def collate_batches(df: DataFrame, collate: Callable[[pd.DataFrame], pd.DataFrame], schema: str, batch: str = "batch_id") -> DataFrame:
+def collate_batches(df: DataFrame, collate: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
+                    batch: str | list[str] = "batch_id") -> DataFrame:
     """``collate`` gets all rows of one batch (as D7 assigns them, in
-    any order) and returns the batch's rows of type ``schema``."""
+    any order) and returns the batch's rows of type ``schema``.  ``batch``
+    names the columns that make up a batch (its number, or the split and
+    the number); a batch has as many rows as D7 was told."""
     ship_package(df.sparkSession)
-    return df.groupBy(batch).applyInPandas(collate, schema)
+    keys = [batch] if isinstance(batch, str) else list(batch)
+    return df.groupBy(*keys).applyInPandas(collate, schema)
+
+
+def pad_and_stack(ids: str = "ids", order: str = "id", pad: int = 1) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A collate function: the batch's sequences, in ``order``, padded to
+    its longest and stacked; the decoder input (all but the last column) and
+    the labels (all but the first) as nested arrays."""
+    def collate(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = [list(x) for x in pdf.sort_values(order)[ids]]
+        longest = max(map(len, rows))
+        block = [[int(v) for v in r] + [pad] * (longest - len(r)) for r in rows]
+        keys = pdf.iloc[:1].drop(columns=[ids, order])
+        return keys.assign(n_rows=len(block), padded_len=longest, inputs=[[r[:-1] for r in block]], labels=[[r[1:] for r in block]])
+    return collate
 
 
 def udf_tokenizer(tokenize: Callable[[str], list[str]]):

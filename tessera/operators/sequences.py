@@ -1,11 +1,11 @@
 """Vocabulary and sequence encoding.
 
 Encoded sequences are ``array<int>`` columns; every transformation after
-the id lookup is a per-row array expression (no shuffle).  The lookup
-itself explodes tokens once, joins the vocabulary (AQE broadcasts it
-while it is small, else a sort-merge join with skew splitting for
-frequent tokens) and regroups per row in position order; a row's tokens
-are bounded by its text.
+the id lookup is a per-row array expression (no shuffle).  The lookup is
+one too (``operators.vocab``) while the vocabulary is under a size that is
+checked; beyond it tokens are exploded once, joined to the vocabulary
+(sort-merge with skew splitting for frequent tokens) and regrouped per row
+in position order; a row's tokens are bounded by its text.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators import vocab as packed_vocab
 from tessera.plans.ranking import global_rank
+from tessera.session import ship_package
 
 # Special tokens and their ids, in this order.
 SPECIALS = ["<unk>", "<pad>", "<bos>", "<eos>"]
@@ -38,29 +40,36 @@ def build_vocab(tokens: DataFrame, token_col: str = "token") -> DataFrame:
 
 
 def lookup_ids(df: DataFrame, key: str, tokens_col: str | dict[str, str], vocab: DataFrame,
-               out_col: str = "ids", most: int | None = None) -> DataFrame:
+               out_col: str = "ids", most: int | None = None,
+               most_bytes: int = packed_vocab.PACKED_BYTES) -> DataFrame:
     """Token array -> id array, unknown -> ``<unk>`` (0).
 
-    Rows with no tokens get an empty array.  Several arrays (``{tokens:
-    ids}``) share one explode, one join and one regrouping.  ``most``: for
+    Rows with no tokens get an empty array; rows may repeat a key.  Several
+    arrays (``{tokens: ids}``) are looked up at once.  ``most``: for
     encoders that keep at most so many ids, the tokens beyond are not
-    looked up.
+    looked up.  Vocabularies of over ``most_bytes`` are joined: one explode,
+    one join, one regrouping, with the same result.
     """
     columns = tokens_col if isinstance(tokens_col, dict) else {tokens_col: out_col}
-    sides = []
-    for side, c in enumerate(columns):
-        kept = F.col(c) if most is None else F.slice(c, 1, most)
-        sides.append(F.transform(F.coalesce(kept, F.array().cast("array<string>")), _placed(side)))
-    ex = df.select(key, F.explode(F.concat(*sides)).alias("_t"))
+    kept = [F.coalesce(F.col(c) if most is None else F.slice(c, 1, most), F.array().cast("array<string>")) for c in columns]
+    packed = packed_vocab.pack(vocab, most_bytes)
+    if packed is not None:
+        ship_package(df.sparkSession)
+        return df.withColumns({name: packed_vocab.ids_of(c, packed, UNK) for name, c in zip(columns.values(), kept)})
+    # rows of one key are told apart by their tokens; rows equal in both get
+    # the same ids, so their positions may fall together
+    row = df.withColumn("_row", F.xxhash64(key, *kept))
+    sides = [F.transform(c, _placed(side)) for side, c in enumerate(kept)]
+    ex = row.select(key, "_row", F.explode(F.concat(*sides)).alias("_t"))
     v = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_vid"))
     hit = ex.join(v, F.col("_t.tok") == F.col("_tok"), "left").select(
-        key, F.struct("_t.side", "_t.pos", F.coalesce("_vid", F.lit(UNK)).alias("id")).alias("_p"))
-    ids = hit.groupBy(F.col(key).alias("_k")).agg(F.sort_array(F.collect_list("_p")).alias("_ids"))
-    out = df.join(ids, F.col(key) == F.col("_k"), "left")
+        key, "_row", F.struct("_t.side", "_t.pos", F.coalesce("_vid", F.lit(UNK)).alias("id")).alias("_p"))
+    ids = hit.groupBy(F.col(key).alias("_k"), F.col("_row").alias("_r")).agg(F.sort_array(F.collect_set("_p")).alias("_ids"))
+    out = row.join(ids, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_row") == F.col("_r")), "left")
     for side, name in enumerate(columns.values()):
         own = F.transform(F.filter("_ids", _on(side)), lambda s: s["id"])
         out = out.withColumn(name, F.coalesce(own, F.array().cast("array<int>")))
-    return out.drop("_k", "_ids")
+    return out.drop("_k", "_r", "_row", "_ids")
 
 
 def _placed(side: int):
@@ -146,17 +155,18 @@ def decode(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, out_col: str
            skip_special: bool = True) -> DataFrame:
     """Ids -> text: cut at first EOS, look tokens up, drop specials, join by space,
     delete the word-piece marker U+2581."""
-    cut = df.select(key, cut_at_eos(F.col(ids_col)).alias("_ids"))
-    ex = cut.select(key, F.posexplode("_ids").alias("_pos", "_vid"))
+    row = df.withColumn("_row", F.xxhash64(key, ids_col))  # rows may repeat a key
+    ex = row.select(key, "_row", F.posexplode(cut_at_eos(F.col(ids_col))).alias("_pos", "_vid"))
     if skip_special:
         ex = ex.filter(F.col("_vid") >= len(SPECIALS))
-    v = vocab.select(F.col("id").alias("_vid"), F.col("token").alias("_tok"))
-    tok = ex.join(v, "_vid", "left").select(
-        key, "_pos", F.coalesce("_tok", F.lit(SPECIALS[UNK])).alias("_tok"))
-    txt = tok.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "_tok"))).alias("_p"))
-    txt = txt.select(key, F.replace(F.array_join(F.transform("_p", lambda s: s["_tok"]), " "),
-                                    F.lit("▁"), F.lit("")).alias(out_col))
-    return df.join(txt, key, "left").withColumn(out_col, F.coalesce(F.col(out_col), F.lit("")))
+    v = vocab.select(F.col("id").alias("_id"), F.col("token").alias("_tok"))
+    tok = ex.join(v, F.col("_vid") == F.col("_id"), "left").select(
+        F.col(key).alias("_k"), F.col("_row").alias("_r"), "_pos", F.coalesce("_tok", F.lit(SPECIALS[UNK])).alias("_tok"))
+    txt = tok.groupBy("_k", "_r").agg(F.sort_array(F.collect_set(F.struct("_pos", "_tok"))).alias("_p"))
+    txt = txt.select("_k", "_r", F.replace(F.array_join(F.transform("_p", lambda s: s["_tok"]), " "),
+                                           F.lit("▁"), F.lit("")).alias(out_col))
+    out = row.join(txt, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_row") == F.col("_r")), "left")
+    return out.withColumn(out_col, F.coalesce(F.col(out_col), F.lit(""))).drop("_k", "_r", "_row")
 
 
 def valid_tokens(labels: Column) -> Column:

@@ -8,9 +8,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import WORD, word_tokens
-from tessera.operators import prompts, sampling, sequences as sq
+from tessera.operators import prompts, sampling, scoring, sequences as sq
 from tessera.plans import fixtures as fx
-from tessera.plans.ranking import cluster
 from tessera.plans.registry import register
 from tessera.sources.tables import read_table
 
@@ -125,10 +124,9 @@ vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY freq DESC, token) + 3 A
 
 def doc_vocab(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    # the lookups join and regroup by document: clustered here, they need no
-    # exchange of the (longer) token arrays
-    d = sampling.split_two_way(cluster(d, "doc_id"), "doc_id", 0.1, SEED)
-    toks = d.select("doc_id", "split", word_tokens("text").alias("tokens")).persist(StorageLevel.MEMORY_AND_DISK)
+    # texts stay in the splits of the scan: counts are combined there, and
+    # the lookup works row by row
+    toks = sampling.split_two_way(d, "doc_id", 0.1, SEED).select("doc_id", "split", word_tokens("text").alias("tokens"))
     train_tokens = toks.filter(F.col("split") == "train").select(
         F.explode_outer("tokens").alias("token")).filter(F.col("token").isNotNull())
     return toks, sq.build_vocab(train_tokens)
@@ -213,6 +211,30 @@ def q_encode_seq(spark, sf_dir):
                     F.size("ids").alias("padded_len"), ids_md5(F.col("ids")).alias("ids_md5"))
 
 
+@register("collate_batches", fx.with_views(f"""
+WITH {SQL_PAIR_VOCAB}
+SELECT split, batch, count(*) AS n_rows, CAST(max(len(ids)) AS INTEGER) AS padded_len,
+       md5(string_agg(array_to_string(ids[1:len(ids) - 1], ' '), '|' ORDER BY pair_id)) AS inputs_md5,
+       md5(string_agg(array_to_string(ids[2:len(ids)], ' '), '|' ORDER BY pair_id)) AS labels_md5
+FROM padded GROUP BY split, batch""", "pairs"))
+def q_collate_batches(spark, sf_dir):
+    """Unpadded sequences in their D7 batches, padded and stacked batch
+    by batch by a user function."""
+    toks, vocab = pair_tokens(spark, sf_dir)
+    ids = sq.lookup_ids(toks, "pair_id", "tgt", vocab, most=SEQ_LEN)
+    enc = ids.select("pair_id", "split", sq.wrap_truncate(F.col("ids"), SEQ_LEN).alias("ids"))
+    rows = sampling.batch_assign(enc, "pair_id", BATCH, SEED).select("split", "batch", "pair_id", "ids")
+    stacked = scoring.collate_batches(
+        rows, scoring.pad_and_stack("ids", "pair_id", sq.PAD),
+        "split string, batch long, n_rows long, padded_len int, inputs array<array<int>>, labels array<array<int>>",
+        ["split", "batch"])
+
+    def digest(c: str):
+        return F.md5(F.array_join(F.transform(c, lambda r: F.array_join(r, " ")), "|"))
+
+    return stacked.select("split", "batch", "n_rows", "padded_len", digest("inputs").alias("inputs_md5"), digest("labels").alias("labels_md5"))
+
+
 @register("teacher_forcing", fx.with_views(f"""
 WITH {SQL_PAIR_VOCAB}
 SELECT pair_id, md5(array_to_string(ids[1:len(ids) - 1], ' ')) AS input_md5,
