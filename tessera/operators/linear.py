@@ -47,6 +47,8 @@ def gd_fit(x: DataFrame, y: DataFrame, steps: int = 3, lr: float = 1.0,
           .join(ys, id_col).repartition(id_col).persist(StorageLevel.MEMORY_AND_DISK))
     n = ys.count()
     scale = lr * 2.0 / max(n, 1)
+    if not n:  # nothing to learn from: no weights, no bias
+        return xs.select("term").distinct().withColumn("w", F.lit(0.0)), 0.0
     term = F.when(~F.col("bias"), F.col("term"))  # the bias is the group NULL, summed map-side
     if steps <= 0:
         return xs.filter(~F.col("bias")).select("term").distinct().withColumn("w", F.lit(0.0)), 0.0

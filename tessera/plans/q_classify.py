@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import WORD, word_tokens
-from tessera.operators import clfmetrics, features, linear, sampling
+from tessera.operators import clfmetrics, features, linear, optimizers, sampling
 from tessera.plans import fixtures as fx
 from tessera.plans.registry import r6, register
 from tessera.sources.splits import load_split
@@ -262,11 +262,87 @@ def q_clf_metrics(spark, sf_dir):
     return _metric_cols(clfmetrics.clf_metrics(p, by=["lang"]), ["lang"])
 
 
-@register("lr_fit_metrics")
+# M1: fits that SQL can follow.  A linear model's margins change by inner
+# products of documents, so the oracle walks on margins (kern: x.x + 1 for the
+# bias), never on weights.
+FIT_REG = 0.05
+SQL_KERNEL = """
+kern AS (SELECT a.doc_id AS i, b.doc_id AS j, 1.0 + coalesce(k.v, 0.0) AS v FROM ds a JOIN ds b ON b.split = 'train'
+         LEFT JOIN (SELECT f.doc_id AS i, g.doc_id AS j, sum(f.x * g.x) AS v FROM feat f JOIN feat g USING (term)
+                    GROUP BY f.doc_id, g.doc_id) k ON k.i = a.doc_id AND k.j = b.doc_id)"""
+SQL_MINIMUM = f"""
+step AS (SELECT 1.8::DOUBLE AS lr, {FIT_REG}::DOUBLE AS reg, (SELECT count(*) FROM ds WHERE split = 'train')::DOUBLE AS n),
+lab AS (SELECT doc_id AS j, CAST(label AS DOUBLE) AS y FROM ds WHERE split = 'train'),
+mk AS MATERIALIZED (SELECT kern.*, y FROM kern JOIN lab USING (j)),
+walk AS (SELECT 0 AS k, j AS i, 0.0::DOUBLE AS m FROM lab UNION ALL
+         SELECT k + 1, mk.i, sum(CASE WHEN mk.i = mk.j THEN (1 - lr * reg) * m ELSE 0.0 END - lr / n * v * (1 / (1 + exp(-m)) - y))
+         FROM walk JOIN mk ON mk.j = walk.i AND mk.i IN (SELECT j FROM lab), step WHERE k < 300 GROUP BY k, mk.i),
+scored AS (SELECT ds.doc_id, ds.split, ds.label AS gold, f.margin FROM ds JOIN (
+             SELECT mk.i, -sum(v * (1 / (1 + exp(-m)) - y)) / any_value(reg * n) AS margin
+             FROM walk JOIN mk ON mk.j = walk.i, step WHERE k = 300 GROUP BY mk.i) f ON f.i = ds.doc_id),
+preds AS (SELECT *, CASE WHEN margin > 0 THEN 1 ELSE 0 END AS pred FROM scored)"""
+
+
+def _recursive(*ctes: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(c.strip() for c in ctes)
+
+
+def _train(ds: DataFrame, feat: DataFrame):
+    train = ds.filter(F.col("split") == "train")
+    return feat.join(train.select("doc_id"), "doc_id"), train.select("doc_id", "label")
+
+
+def newton_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ds, _, _, feat = fitted_features(spark, sf_dir)
+    fit = optimizers.quasi_newton_fit(*_train(ds, feat), reg=FIT_REG)
+    return linear.score(feat, ds, fit.weights, fit.bias).join(ds.select("doc_id", "split", F.col("label").alias("gold")), "doc_id")
+
+
+@register("lr_fit_metrics", _lt_sql(_recursive(SQL_SPLIT_DS, SQL_TFIDF, SQL_KERNEL, SQL_MINIMUM) + "\n" + metrics_sql("preds", "split")))
 def q_lr_fit_metrics(spark, sf_dir):
-    """M1 (rows-only): MLlib logistic regression on TF-IDF; A1 per split."""
-    ds = split_dataset(spark, sf_dir)
-    model = linear.mllib_fit(ds.filter(F.col("split") == "train"), max_iter=10)
-    pred = model.transform(ds).select("split", F.col("label").alias("gold"),
-                                      F.col("prediction").cast("int").alias("pred"))
-    return _metric_cols(clfmetrics.clf_metrics(pred, by=["split"]), ["split"])
+    """M1: quasi-Newton logistic regression on TF-IDF; A1 per split."""
+    return _metric_cols(clfmetrics.clf_metrics(newton_scored(spark, sf_dir), by=["split"]), ["split"])
+
+
+@register("lr_fit_margins", _lt_sql(_recursive(SQL_SPLIT_DS, SQL_TFIDF, SQL_KERNEL, SQL_MINIMUM) + """
+SELECT doc_id, split, floor(margin * 1e3 + 0.5) / 1e3 AS margin, pred FROM preds"""))
+def q_lr_fit_margins(spark, sf_dir):
+    """M1, M2: every document's margin at the minimum."""
+    s = newton_scored(spark, sf_dir)
+    return s.select("doc_id", "split", (F.floor(F.col("margin") * 1e3 + 0.5) / 1e3).alias("margin"), "pred")
+
+
+SGD_EPOCHS = 10        # reference: 10 epochs of batches of 32, learning rate 1
+SGD_BATCH = 32
+SQL_SGD = f"""
+bt AS (SELECT e, doc_id AS j, y, batch, count(*) OVER (PARTITION BY e, batch) AS size FROM (
+         SELECT e, doc_id, CAST(label AS DOUBLE) AS y, (row_number() OVER (PARTITION BY e ORDER BY
+                  md5(concat_ws(':', CAST({SEED} + e AS VARCHAR), CAST(doc_id AS VARCHAR))), doc_id) - 1) // {SGD_BATCH} AS batch
+         FROM ds, (SELECT unnest(range({SGD_EPOCHS})) AS e) WHERE split = 'train')),
+nb AS (SELECT max(batch) + 1 AS nb FROM bt),
+walk AS (SELECT 0 AS k, doc_id AS i, 0.0::DOUBLE AS m FROM ds UNION ALL
+         SELECT k + 1, i, any_value(m) - any_value(coalesce(2.0 * {GD_LR} / size, 0.0)) * coalesce(sum(v * r), 0.0) FROM (
+           SELECT w.k, w.i, w.m, kern.v, b.size, 1 / (1 + exp(-o.m)) - b.y AS r
+           FROM walk w, nb JOIN bt b ON b.e = w.k // nb.nb AND b.batch = w.k % nb.nb
+           JOIN kern ON kern.i = w.i AND kern.j = b.j JOIN walk o ON o.i = b.j WHERE w.k < nb.nb * {SGD_EPOCHS}) GROUP BY k, i),
+preds AS (SELECT ds.doc_id, split, label AS gold, m AS margin, CASE WHEN m > 0 THEN 1 ELSE 0 END AS pred
+          FROM ds JOIN walk ON walk.i = ds.doc_id, nb WHERE k = nb.nb * {SGD_EPOCHS})"""
+
+
+def sgd_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ds, _, _, feat = fitted_features(spark, sf_dir)
+    fit = optimizers.sgd_fit(*_train(ds, feat), batch_size=SGD_BATCH, lr=GD_LR, epochs=SGD_EPOCHS, seed=SEED)
+    return linear.score(feat, ds, fit.weights, fit.bias).join(ds.select("doc_id", "split", F.col("label").alias("gold")), "doc_id")
+
+
+@register("lr_sgd_metrics", _lt_sql(_recursive(SQL_SPLIT_DS, SQL_TFIDF, SQL_KERNEL, SQL_SGD) + "\n" + metrics_sql("preds", "split")))
+def q_lr_sgd_metrics(spark, sf_dir):
+    """M1: mini-batch gradient steps in D7 batch order; A1 per split."""
+    return _metric_cols(clfmetrics.clf_metrics(sgd_scored(spark, sf_dir), by=["split"]), ["split"])
+
+
+@register("lr_sgd_margins", _lt_sql(_recursive(SQL_SPLIT_DS, SQL_TFIDF, SQL_KERNEL, SQL_SGD) + """
+SELECT doc_id, split, floor((margin) * 1e6 + 0.5) / 1e6 AS margin, pred FROM preds"""))
+def q_lr_sgd_margins(spark, sf_dir):
+    """M1, M2: every document's margin after the last step."""
+    return sgd_scored(spark, sf_dir).select("doc_id", "split", r6("margin").alias("margin"), "pred")
