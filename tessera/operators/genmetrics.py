@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.stems import stem_tokens
 from tessera.functions.text import WS, bleu_tokens, char_ngrams, characters, meteor_tokens, ngram_strings
 from tessera.functions.text import rouge_tokens, ter_tokens
 from tessera.plans.ranking import cluster
@@ -115,9 +116,13 @@ def chrf(pairs: DataFrame, pred: str = "prediction", ref: str = "reference",
 
 
 def rouge_n(pairs: DataFrame, orders=(1, 2), pred: str = "prediction", ref: str = "reference",
-            key: str = "pair_id") -> DataFrame:
-    """Per-pair ROUGE-N F1 (no stemming); pairs without n-grams score 0."""
-    st = ngram_stats(pairs, rouge_tokens(pred), rouge_tokens(ref), orders, key=key)
+            key: str = "pair_id", stem: bool = False) -> DataFrame:
+    """Per-pair ROUGE-N F1; pairs without n-grams score 0.  ``stem``:
+    on the stems of tokens of over three characters."""
+    tokens = (lambda c: stem_tokens(rouge_tokens(c), longer_than=3)) if stem else rouge_tokens
+    if stem:
+        ship_package(pairs.sparkSession)
+    st = ngram_stats(pairs, tokens(pred), tokens(ref), orders, key=key)
     p = F.col("matches") / F.greatest(F.col("hyp_total"), F.lit(1))
     r = F.col("matches") / F.greatest(F.col("ref_total"), F.lit(1))
     f = F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
@@ -135,14 +140,42 @@ def meteor_exact(pairs: DataFrame, pred: str = "prediction", ref: str = "referen
     adjacent matches in both sides.
     """
     base = cluster(pairs, key).select(key, meteor_tokens(pred).alias("_h"), meteor_tokens(ref).alias("_r"))
-    lens = base.select(key, F.size("_h").alias("lh"), F.size("_r").alias("lr"))
+    m = _aligned(_occurrences(base, key, "_h", "hp"), _occurrences(base, key, "_r", "rp"), key)
+    return _meteor_score(base, m, key)
+
+
+def meteor_stemmed(pairs: DataFrame, pred: str = "prediction", ref: str = "reference",
+                   key: str = "pair_id") -> DataFrame:
+    """METEOR with the exact stage and the stem stage: words that found
+    no equal word align by their stems in the same way."""
+    ship_package(pairs.sparkSession)
+    base = cluster(pairs, key).select(key, meteor_tokens(pred).alias("_h"), meteor_tokens(ref).alias("_r"))
+    base = base.select("*", stem_tokens(F.col("_h")).alias("_hs"), stem_tokens(F.col("_r")).alias("_rs"))
+    exact = _aligned(_occurrences(base, key, "_h", "hp"), _occurrences(base, key, "_r", "rp"), key)
+
+    def rest(stems: str, pos: str) -> DataFrame:
+        taken = exact.select(F.col(key).alias("_k"), F.col(pos).alias("_p"))
+        e = base.select(key, F.posexplode(stems).alias(pos, "tok"))
+        return _numbered(e.join(taken, (F.col(key) == F.col("_k")) & (F.col(pos) == F.col("_p")), "left_anti"), key, pos)
+
+    stems = _aligned(rest("_hs", "hp"), rest("_rs", "rp"), key)
+    return _meteor_score(base, exact.unionByName(stems), key)
 
-    def occ(c: str, pos: str) -> DataFrame:
-        e = base.select(key, F.posexplode(c).alias(pos, "tok"))
-        w = Window.partitionBy(key, "tok").orderBy(F.desc(pos))
-        return e.withColumn("k", F.row_number().over(w))
 
-    m = occ("_h", "hp").join(occ("_r", "rp"), [key, "tok", "k"])
+def _numbered(e: DataFrame, key: str, pos: str) -> DataFrame:
+    return e.withColumn("k", F.row_number().over(Window.partitionBy(key, "tok").orderBy(F.desc(pos))))
+
+
+def _occurrences(base: DataFrame, key: str, c: str, pos: str) -> DataFrame:
+    return _numbered(base.select(key, F.posexplode(c).alias(pos, "tok")), key, pos)
+
+
+def _aligned(h: DataFrame, r: DataFrame, key: str) -> DataFrame:
+    return h.join(r, [key, "tok", "k"]).select(key, "hp", "rp")
+
+
+def _meteor_score(base: DataFrame, m: DataFrame, key: str) -> DataFrame:
+    lens = base.select(key, F.size("_h").alias("lh"), F.size("_r").alias("lr"))
     w = Window.partitionBy(key).orderBy("hp")
     brk = F.when((F.lag("hp").over(w) == F.col("hp") - 1) & (F.lag("rp").over(w) == F.col("rp") - 1), 0) \
         .otherwise(1)

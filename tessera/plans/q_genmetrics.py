@@ -6,9 +6,12 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
+from tessera.functions.stems import sql_stem
 from tessera.functions.text import WORD, WS, _13A_PUNCT
+from tessera.operators import bootstrap as bs
 from tessera.operators import clfmetrics as cm
 from tessera.operators import genmetrics as gm
+from tessera.operators.shifts import translation_edit_rate
 from tessera.operators.vectors import greedy_match_f1
 from tessera.plans import fixtures as fx
 from tessera.plans.q_runs import CE_SQL
@@ -108,14 +111,7 @@ SELECT p.pair_id, {R6('coalesce(max(CASE WHEN n = 1 THEN f END), 0.0)')} AS roug
        {R6('coalesce(max(CASE WHEN n = 2 THEN f END), 0.0)')} AS rouge2
 FROM pairs p LEFT JOIN ff USING (pair_id) GROUP BY p.pair_id"""
 
-METEOR_SQL = f"""WITH tk AS (SELECT pair_id, regexp_extract_all(lower(prediction), '{METEOR_RE}', 1) AS h,
-                   regexp_extract_all(lower(reference), '{METEOR_RE}', 1) AS r FROM pairs),
-he AS (SELECT pair_id, unnest(h) AS tok, unnest(range(len(h))) AS hp FROM tk),
-re AS (SELECT pair_id, unnest(r) AS tok, unnest(range(len(r))) AS rp FROM tk),
-hk AS (SELECT *, row_number() OVER (PARTITION BY pair_id, tok ORDER BY hp DESC) AS k FROM he),
-rk AS (SELECT *, row_number() OVER (PARTITION BY pair_id, tok ORDER BY rp DESC) AS k FROM re),
-m AS (SELECT hk.pair_id, hp, rp FROM hk JOIN rk ON hk.pair_id = rk.pair_id AND hk.tok = rk.tok AND hk.k = rk.k),
-b AS (SELECT pair_id, CASE WHEN lag(hp) OVER w = hp - 1 AND lag(rp) OVER w = rp - 1 THEN 0 ELSE 1 END AS b
+METEOR_TAIL = f"""b AS (SELECT pair_id, CASE WHEN lag(hp) OVER w = hp - 1 AND lag(rp) OVER w = rp - 1 THEN 0 ELSE 1 END AS b
       FROM m WINDOW w AS (PARTITION BY pair_id ORDER BY hp)),
 per AS (SELECT pair_id, count(*) AS matches, sum(b) AS chunks FROM b GROUP BY pair_id),
 j AS (SELECT tk.pair_id, len(h) AS lh, len(r) AS lr, coalesce(matches, 0) AS matches,
@@ -124,6 +120,42 @@ SELECT pair_id, matches, chunks,
        {R6('CASE WHEN matches = 0 OR lh = 0 OR lr = 0 THEN 0.0 ELSE (1 - 0.5 * pow(chunks / matches, 3.0)) * ((matches / lh) * (matches / lr) / (0.9 * (matches / lh) + 0.1 * (matches / lr))) END')} AS meteor
 FROM j"""
 
+METEOR_SQL = f"""WITH tk AS (SELECT pair_id, regexp_extract_all(lower(prediction), '{METEOR_RE}', 1) AS h,
+                   regexp_extract_all(lower(reference), '{METEOR_RE}', 1) AS r FROM pairs),
+he AS (SELECT pair_id, unnest(h) AS tok, unnest(range(len(h))) AS hp FROM tk),
+re AS (SELECT pair_id, unnest(r) AS tok, unnest(range(len(r))) AS rp FROM tk),
+hk AS (SELECT *, row_number() OVER (PARTITION BY pair_id, tok ORDER BY hp DESC) AS k FROM he),
+rk AS (SELECT *, row_number() OVER (PARTITION BY pair_id, tok ORDER BY rp DESC) AS k FROM re),
+m AS (SELECT hk.pair_id, hp, rp FROM hk JOIN rk ON hk.pair_id = rk.pair_id AND hk.tok = rk.tok AND hk.k = rk.k),
+{METEOR_TAIL}"""
+
+
+METEOR_STEM_SQL = f"""WITH tk AS (SELECT pair_id, regexp_extract_all(lower(prediction), '{METEOR_RE}', 1) AS h,
+                   regexp_extract_all(lower(reference), '{METEOR_RE}', 1) AS r FROM pairs),
+words AS (SELECT DISTINCT unnest(list_concat(h, r)) AS tok FROM tk),
+stems AS (SELECT tok, {sql_stem('tok')} AS stem FROM words),
+he AS (SELECT pair_id, unnest(h) AS tok, unnest(range(len(h))) AS hp FROM tk),
+re AS (SELECT pair_id, unnest(r) AS tok, unnest(range(len(r))) AS rp FROM tk),
+hk AS (SELECT *, row_number() OVER (PARTITION BY pair_id, tok ORDER BY hp DESC) AS k FROM he),
+rk AS (SELECT *, row_number() OVER (PARTITION BY pair_id, tok ORDER BY rp DESC) AS k FROM re),
+x AS (SELECT hk.pair_id, hp, rp FROM hk JOIN rk ON hk.pair_id = rk.pair_id AND hk.tok = rk.tok AND hk.k = rk.k),
+hs AS (SELECT he.pair_id, hp, stem, row_number() OVER (PARTITION BY he.pair_id, stem ORDER BY hp DESC) AS k
+       FROM he JOIN stems USING (tok) ANTI JOIN x USING (pair_id, hp)),
+rs AS (SELECT re.pair_id, rp, stem, row_number() OVER (PARTITION BY re.pair_id, stem ORDER BY rp DESC) AS k
+       FROM re JOIN stems USING (tok) ANTI JOIN x USING (pair_id, rp)),
+m AS (SELECT * FROM x UNION ALL SELECT pair_id, hp, rp FROM hs JOIN rs USING (pair_id, stem, k)),
+{METEOR_TAIL}"""
+
+ROUGE_STEM_SQL = ROUGE_N_SQL.replace("WITH tk AS (", "WITH raw AS (", 1).replace(
+    "FROM pairs),", f"""FROM pairs),
+stems AS (SELECT tok, CASE WHEN length(tok) > 3 THEN {sql_stem('tok')} ELSE tok END AS stem
+          FROM (SELECT DISTINCT unnest(list_concat(h, r)) AS tok FROM raw)),
+sh AS (SELECT pair_id, list(stem ORDER BY i) AS h FROM (SELECT pair_id, unnest(h) AS tok, generate_subscripts(h, 1) AS i FROM raw)
+       JOIN stems USING (tok) GROUP BY pair_id),
+sr AS (SELECT pair_id, list(stem ORDER BY i) AS r FROM (SELECT pair_id, unnest(r) AS tok, generate_subscripts(r, 1) AS i FROM raw)
+       JOIN stems USING (tok) GROUP BY pair_id),
+tk AS (SELECT pair_id, coalesce(sh.h, []) AS h, coalesce(sr.r, []) AS r FROM raw LEFT JOIN sh USING (pair_id) LEFT JOIN sr USING (pair_id)),""", 1)
+
 
 @register("bleu", fx.with_views(_bleu_sql(), "pairs"))
 def q_bleu(spark, sf_dir):
@@ -144,6 +176,47 @@ def q_rouge_n(spark, sf_dir):
     return r.select("pair_id", r6("rouge1").alias("rouge1"), r6("rouge2").alias("rouge2"))
 
 
+@register("rouge_n_stemmed", fx.with_views(ROUGE_STEM_SQL, "pairs"))
+def q_rouge_stemmed(spark, sf_dir):
+    """A11 on stems, as the translation evaluation uses it."""
+    r = gm.rouge_n(fx.pairs(spark, sf_dir), stem=True)
+    return r.select("pair_id", r6("rouge1").alias("rouge1"), r6("rouge2").alias("rouge2"))
+
+
+REPLICATES = 400
+BOOTSTRAP_SQL = f"""WITH per AS ({ROUGE_STEM_SQL.replace("1e6", "1e12")}),
+hs AS (SELECT pair_id, rouge1, rouge2, k, md5('42:' || pair_id || ':' || k) AS d FROM per, (SELECT unnest(range({REPLICATES // 8})) AS k)),
+u AS (SELECT rouge1, rouge2, k * 8 + i AS replicate, ('0x' || substr(d, CAST(4 * i + 1 AS INTEGER), 4))::INTEGER AS u
+      FROM hs, (SELECT unnest(range(8)) AS i)),
+c AS (SELECT *, {" + ".join(f"(u >= {t})::INTEGER" for t in bs.THRESHOLDS)} AS c FROM u),
+means AS (SELECT replicate, sum(c * rouge1) / sum(c) AS rouge1, sum(c * rouge2) / sum(c) AS rouge2 FROM c GROUP BY replicate),
+l AS (SELECT 'rouge1' AS measure, rouge1 AS x FROM means UNION ALL SELECT 'rouge2', rouge2 FROM means)
+SELECT measure, {", ".join(f"{R6(f'quantile_cont(x, {q})')} AS {n}" for n, q in (("low", 0.025), ("mid", 0.5), ("high", 0.975)))}
+FROM l GROUP BY measure"""
+
+
+@register("rouge_bootstrap", fx.with_views(BOOTSTRAP_SQL, "pairs"))
+def q_rouge_bootstrap(spark, sf_dir):
+    """Resampled median and 95 % bounds of the mean scores."""
+    per = gm.rouge_n(fx.pairs(spark, sf_dir), stem=True)
+    b = bs.interval(per, "pair_id", ["rouge1", "rouge2"], REPLICATES, seed=42)
+    return b.select("measure", *[r6(c).alias(c) for c in ("low", "mid", "high")])
+
+
+@register("ter_shifts")
+def q_ter_shifts(spark, sf_dir):
+    """A14 with block shifts."""
+    t = translation_edit_rate(fx.pairs(spark, sf_dir))
+    return t.select("shifts", "edits", "ref_words", r6("ter").alias("ter"))
+
+
+@register("meteor_stemmed", fx.with_views(METEOR_STEM_SQL, "pairs"))
+def q_meteor_stemmed(spark, sf_dir):
+    """A13 with the stem stage."""
+    m = gm.meteor_stemmed(fx.pairs(spark, sf_dir))
+    return m.select("pair_id", "matches", "chunks", r6("meteor").alias("meteor"))
+
+
 @register("meteor_exact", fx.with_views(METEOR_SQL, "pairs"))
 def q_meteor(spark, sf_dir):
     m = gm.meteor_exact(fx.pairs(spark, sf_dir))
