@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import ngram_strings, vectorizer_tokens
-from tessera.plans.ranking import cluster
+from tessera.plans.ranking import cluster, global_rank
 
 
 def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -70,9 +70,14 @@ def topk_terms(train_counts: DataFrame, k: int | None) -> DataFrame:
     return totals.orderBy(F.desc("corpus_count"), "term").limit(k)
 
 
-def column_ids(terms: DataFrame) -> DataFrame:
-    """``(term, column)``: columns in alphabetical order from 0, for a
-    vocabulary cut to ``max_features`` (a user bound on its rows)."""
+def column_ids(terms: DataFrame, max_features: int | None = None) -> DataFrame:
+    """``(term, column)``: columns in alphabetical order from 0.
+
+    A vocabulary cut to ``max_features`` (a user bound on its rows) is
+    numbered by a window; without the bound by a distributed rank."""
+    if max_features is None:
+        ranked = global_rank(terms.select("term"), ["term"], rank_col="column")
+        return ranked.select("term", F.col("column").cast("int").alias("column"))
     return terms.select("term", (F.row_number().over(Window.orderBy("term")) - 1).cast("int").alias("column"))
 
 

@@ -98,7 +98,8 @@ def train_log(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFr
     days = base.select("run_id", "day").distinct()
     days = days.withColumn("epoch", F.dense_rank().over(
         Window.partitionBy("run_id").orderBy("day")).cast("int"))
-    base = base.join(days, ["run_id", "day"])
+    days = days.withColumnsRenamed({"run_id": "_run", "day": "_day"})
+    base = base.join(days, F.col("run_id").eqNullSafe(F.col("_run")) & F.col("day").eqNullSafe(F.col("_day")))
     if not numbered:
         return base.select("run_id", "epoch", "event_id", "ts", "event_type", "loss", "tokens")
     # positions inside a run / an epoch, counted minute by minute: a run with

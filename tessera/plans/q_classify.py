@@ -210,7 +210,7 @@ def q_tfidf_max_features(spark, sf_dir):
     terms, with the columns a vectorizer would give them."""
     ds, counts, idf, _ = fitted_features(spark, sf_dir)
     train = counts.join(ds.filter(F.col("split") == "train").select("doc_id"), "doc_id")
-    columns = features.column_ids(features.topk_terms(train, TOPK))
+    columns = features.column_ids(features.topk_terms(train, TOPK), TOPK)
     feat = features.tfidf(counts, idf.join(columns, "term").select("term", "idf"))
     return feat.join(columns, "term").select("doc_id", "column", r6("x").alias("x"))
 

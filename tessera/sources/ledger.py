@@ -1,10 +1,11 @@
 """Run ledger: training-run metadata as JSON records.
 
-Records are appended (one file set per write) to a folder partitioned by
-model, read back with an explicit schema (no inference pass over the
-files), and the latest record per run wins.  The folder must be shared
-storage on a cluster; ``ledger_dir`` derives it from the session's
-checkpoint folder when the caller gives none.
+Two layouts, both read by ``read_ledger`` with an explicit schema (no
+inference pass over the files): ``write_ledger`` appends to a folder
+partitioned by model, where the latest record per run wins on reading;
+``save_ledger`` keeps one record a run, which a later save replaces.  The
+folder must be shared storage on a cluster; ``ledger_dir`` derives it from
+the session's checkpoint folder when the caller gives none.
 """
 
 from __future__ import annotations
@@ -88,13 +89,27 @@ def write_ledger(records: DataFrame, path: str, mode: str = "append") -> None:
     complete(records).write.mode(mode).partitionBy("model").json(path)
 
 
+def save_ledger(records: DataFrame, path: str) -> None:
+    """Every run of ``records`` has one record afterwards, its latest of
+    these; runs that are not among them keep theirs.
+
+    Each run is a partition of the folder and only the partitions written
+    are replaced, so a save costs its own records, whatever the folder
+    holds, and a save that fails leaves the old records."""
+    latest = latest_per_run(complete(records)).repartition("model", "run_id")
+    latest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model", "run_id").json(path)
+
+
+def compact_ledger(spark: SparkSession, source: str, target: str) -> None:
+    """An appended ledger as a new folder with one record a run."""
+    save_ledger(read_ledger(spark, source), target)
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """S3: read records back with the fixed schema; error when the folder
     holds no record or a record lacks its config."""
-    schema = T.StructType([f for f in RUN_RECORD_SCHEMA.fields if f.name != "model"] +
-                          [T.StructField("model", T.StringType())])
     try:
-        df = spark.read.schema(schema).json(path)
+        df = spark.read.schema(RUN_RECORD_SCHEMA).json(path).select(*RUN_RECORD_SCHEMA.names)
     except Exception as e:  # noqa: BLE001
         raise FileNotFoundError(f"no run records under {path}") from e
     probe = df.agg(F.count("*").alias("n"), F.sum(F.when(F.col("config").isNull(), 1).otherwise(0)).alias("nc"))

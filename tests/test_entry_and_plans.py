@@ -75,3 +75,35 @@ def test_term_counts_no_shuffle_after_tokenizing(spark):
     plan = features.term_counts(docs)._jdf.queryExecution().executedPlan().toString()
     above_generate = plan.split("Generate")[0]
     assert "Exchange" not in above_generate
+
+
+def test_other_queries_survive_a_missing_package(monkeypatch):
+    """What the training-data operators import may be absent."""
+    import importlib
+    import sys
+    import pytest
+
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)  # importing it fails
+    with pytest.warns(UserWarning, match="left out"):
+        importlib.reload(entry)
+    assert len(entry.queries()) >= 60 and not any(k.startswith("op") for k in entry.queries())
+    monkeypatch.undo()
+    importlib.reload(entry)
+
+
+def test_training_log_keeps_events_without_user_or_time(spark, tmp_path):
+    from pyspark.sql import functions as F
+    ev = read_table(spark, SF, "events").limit(9)
+    odd = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(None)).otherwise(F.col("user_id"))).withColumn(
+        "ts", F.when(F.col("event_id") % 4 == 0, F.lit(None)).otherwise(F.col("ts")))
+    odd.write.parquet(f"{tmp_path}/events.parquet")
+    for numbered in (False, True):
+        assert fx.train_log(spark, str(tmp_path), numbered).count() == 9
+
+
+def test_columns_are_numbered_without_a_bound(spark):
+    from tessera.operators import features
+    terms = spark.createDataFrame([(t,) for t in "dbac"], "term string")
+    for bound in (None, 4):
+        got = {r["term"]: r["column"] for r in features.column_ids(terms, bound).collect()}
+        assert got == {"a": 0, "b": 1, "c": 2, "d": 3}

@@ -26,6 +26,24 @@ def test_ledger_roundtrip_keeps_latest(spark):
     assert got == {(r["run_id"], r["epoch"]) for r in last.collect()}
 
 
+def test_a_later_save_replaces_a_runs_record(spark):
+    recs, path = q_io.ledger_records(spark, SF), ledger.ledger_dir(spark)
+    runs = sorted({r["run_id"] for r in recs.select("run_id").distinct().collect()})
+    ledger.save_ledger(recs, path)
+    before = {r["run_id"]: r["global_step"] for r in ledger.read_ledger(spark, path).collect()}
+    assert sorted(before) == runs
+    ledger.save_ledger(recs.where(F.col("run_id") == runs[0]).withColumn("global_step", F.lit(10 ** 9)), path)
+    after = [(r["run_id"], r["global_step"]) for r in ledger.read_ledger(spark, path).collect()]
+    assert sorted(after) == sorted((before | {runs[0]: 10 ** 9}).items())
+    appended = ledger.ledger_dir(spark)
+    for _ in range(2):
+        ledger.write_ledger(recs, appended)
+    assert ledger.read_ledger(spark, appended).count() == 2 * recs.count()
+    ledger.compact_ledger(spark, appended, path)
+    assert sorted((r["run_id"], r["global_step"]) for r in ledger.read_ledger(spark, path).collect()) == sorted(before.items())
+    assert ledger.read_ledger(spark, path).columns == ledger.RUN_RECORD_SCHEMA.names
+
+
 def test_ledger_missing_folder(spark):
     with pytest.raises(FileNotFoundError):
         ledger.read_ledger(spark, ledger.ledger_dir(spark, "does-not-exist"))
