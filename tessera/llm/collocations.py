@@ -51,7 +51,7 @@ from tessera.llm.common import pick, written
 from tessera.session import ship_package
 
 BITS = 1 << 26
-SLICE = 4_000_000  # bytes of text that are counted together
+SLICE = 2_000_000  # bytes of text that are counted together
 #: Words of a language that the first round takes; each further one takes eight times as many.
 FIRST = 1 << 16
 WIDE = "decimal(38,0)"
