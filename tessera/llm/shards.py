@@ -160,7 +160,7 @@ def grow(rows: DataFrame, shards: int, slack: float) -> Node:
     return root
 
 
-def shard_documents(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", text: str = "text", slack: float = 0.005) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", text: str = "text", slack: float = 0.03) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) of every row; slots count a
     shard's rows from 0 without gaps."""
     rows = written(points(docs, doc_id, text), "points")
