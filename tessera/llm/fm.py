@@ -178,11 +178,14 @@ def fit_features(doc, feature, value, labels: np.ndarray, size: int, epochs: int
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable, most: int) -> DataFrame:
     """(doc_id, text, label, n_chars_) of at most ``most`` labelled documents, the
     ones with the smallest id hashes.  The sample of ids is broadcast: its
-    bound is ``most``."""
+    bound is ``most``.  Of rows that repeat an id the one with the smallest
+    text is taken (null last), of an id's labels the largest."""
     chosen = (pick(labels, doc_id="doc_id", label=label).where("doc_id is not null and label is not null")
               .where(usable(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    return docs.select("doc_id", "text", n_chars_of(docs)).join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", "text", n_chars_of(docs)).join(F.broadcast(chosen), "doc_id")
+    one = F.min(F.struct(F.col("text").isNull().alias("none"), "text", "n_chars_")).alias("one")
+    return rows.groupBy("doc_id", "label").agg(one).select("doc_id", "one.text", "label", "one.n_chars_")
 
 
 def fit(sample: DataFrame, epochs: int = 12, seed: int = 7, buckets: int = BUCKETS) -> Machine:

@@ -42,7 +42,8 @@ class Model:
 
 def sample(docs: DataFrame, usable, per_lang: int, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """(doc_id, text, lang) of at most ``per_lang`` documents a language;
-    the sample of ids is broadcast: its bound is per_lang x languages."""
+    the sample of ids is broadcast: its bound is per_lang x languages.  Of
+    rows that repeat an id and language the smallest text is taken."""
     all_ = pick(docs, doc_id=doc_id, lang=lang, text=text)
     able = all_.where("doc_id is not null and lang is not null").where(usable(F.col("doc_id"))).select("doc_id", "lang").distinct()
     # a first draw by hash leaves about four times the sample of a language for the exact one
@@ -51,7 +52,8 @@ def sample(docs: DataFrame, usable, per_lang: int, doc_id: str = "doc_id", text:
     drawn = able.join(share, F.col("lang") == F.col("l")).where(order.cast("double") < (F.col("share") * 2 - 1) * float(1 << 63))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
     chosen = drawn.select("doc_id", "lang", rank.alias("n")).where(F.col("n") <= per_lang).select("doc_id", "lang")
-    return all_.where("text is not null").join(F.broadcast(chosen), ["doc_id", "lang"])
+    rows = all_.where("text is not null").join(F.broadcast(chosen), ["doc_id", "lang"])
+    return rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("doc_id", "text", "lang")
 
 
 def lexicons(rows: DataFrame, most: int) -> DataFrame:

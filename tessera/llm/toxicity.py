@@ -10,11 +10,10 @@ sample's document labels gives the score, and words above the threshold
 give the offending offsets.
 
 Learning uses a sample of labelled documents whose size is a parameter
-(the smallest id hashes); scoring reads whole texts.  Within the sample,
-near copies of a document with the same label count once, so that a large
-group of copies does not make its words look toxic.  Near copies share
-four fifths of their runs of three words, counted exactly; they are looked
-for among documents that share one of two min-hashes.
+(the smallest id hashes); scoring reads whole texts.  Within the sample a
+word counts once in each context (itself and its neighbours), so that a
+large group of copies or a passage that many documents share does not make
+its words look toxic.
 
 Defined results: null and empty texts get the score of a document
 without words and no spans; repeated rows get equal results; an empty
@@ -26,22 +25,20 @@ from __future__ import annotations
 
 import dataclasses
 import math
-from array import array
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import crf
-from tessera.llm.bytetext import BASE_A, BASE_B, Slices, Words, chunks, lists
-from tessera.llm.common import pick
+from tessera.llm.bytetext import BASE_B, Slices, Words, chunks
+from tessera.llm.common import pick, written
 from tessera.session import ship_package
 
 BEGINNINGS = (4, 5, 6)
-#: Share of all runs of three words that near copies have in common.
-LIKE = 0.8
+#: Share of the markers that chance may account for.
+FALSE_SHARE = 0.2
 
 
 @dataclasses.dataclass
@@ -59,117 +56,60 @@ def marker_keys(w: Words) -> np.ndarray:
     return np.stack([whole, *(np.where(w.end - w.start > n, cut.hash(w.start, np.minimum(w.start + n, w.end)), whole) for n in BEGINNINGS)], 1)
 
 
-def sketches(w: Words, n: int) -> list[np.ndarray]:
-    """Smallest hash of three words of each document, in two orders."""
-    at = np.flatnonzero(np.arange(len(w)) + 3 <= w.first[w.doc + 1]) if len(w) else np.zeros(0, int)
-    out = []
-    for base in (BASE_A, BASE_B):
-        least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
-        np.minimum.at(least, w.doc[at], Slices(w.hashes(), base).hash(at, at + 3))
-        out.append(least.view(np.int64))
-    return out
-
-
-def shingles(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes of three words of each document: document i has
-    values[first[i]:first[i + 1]]."""
-    at = np.flatnonzero(np.arange(len(w)) + 3 <= w.first[w.doc + 1]) if len(w) else np.zeros(0, int)
-    key, doc = Slices(w.hashes(), BASE_A).hash(at, at + 3), w.doc[at]
-    by = np.lexsort((key, doc))
-    key, doc = key[by], doc[by]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-    return key[new].view(np.int64), np.searchsorted(doc[new], np.arange(n + 1))
-
-
-def suspects(got: pd.DataFrame) -> set[int]:
-    """Ids of the documents that share a label and a sketch with another
-    one whose number of hashes allows them to be like."""
-    found = set()
-    for sketch in ("a", "b"):
-        rows = got[got["size"] > 0].sort_values(["label", sketch, "size"])
-        same = (rows["label"].to_numpy()[1:] == rows["label"].to_numpy()[:-1]) & (rows[sketch].to_numpy()[1:] == rows[sketch].to_numpy()[:-1])
-        pair = np.flatnonzero(same & (rows["size"].to_numpy()[:-1] >= LIKE * rows["size"].to_numpy()[1:]))
-        ids = rows["doc_id"].to_numpy()
-        found |= set(ids[pair].tolist()) | set(ids[pair + 1].tolist())
-    return found
-
-
-def without_copies(got: pd.DataFrame) -> list[int]:
-    """Ids of the rows (by id) that are like none taken before: with the
-    same label, a common sketch and at least LIKE of all hashes in common."""
-    label, a, b, size = (got[c].to_numpy() for c in ("label", "a", "b", "size"))
-    holders: dict[int, array] = {}
-    taken = []
-    for i, hashes in enumerate(got["hashes"]):
-        hashes = hashes.tolist()
-        held = [np.frombuffer(holders[h], np.int64) for h in hashes if h in holders]
-        common = np.bincount(np.concatenate(held)) if held else np.zeros(0, np.int64)
-        del held
-        j = np.flatnonzero(common)
-        like = (label[j] == label[i]) & ((a[j] == a[i]) | (b[j] == b[i])) & (common[j] >= LIKE * (size[i] + size[j] - common[j]))
-        if not like.any():
-            taken.append(i)
-            for h in hashes:
-                holders.setdefault(h, array("q")).append(i)
-    return got["doc_id"].iloc[taken].tolist()
-
-
-def unlike(rows: DataFrame) -> tuple[list[int], float]:
-    """Ids of the documents of the sample without near copies, of which the
-    one with the smallest id stays, and the toxic share of the sample.  The
-    driver gets the hashes of those only that share a sketch."""
-    def sketched(batches):
-        for batch in chunks(batches, "text"):
-            w = crf.tokens(batch.column(1))
-            got = [*sketches(w, batch.num_rows), np.diff(shingles(w, batch.num_rows)[1])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *map(pa.array, got)], ["doc_id", "label", "a", "b", "size"])
+def contexts(w: Words) -> np.ndarray:
+    """For each word the hash of it and its neighbours (those there are)."""
+    at = np.arange(len(w))
+    if not len(w):
+        return np.zeros(0, np.uint64)
+    return Slices(w.hashes(), BASE_B).hash(np.maximum(at - 1, w.first[w.doc]), np.minimum(at + 2, w.first[w.doc + 1]))
 
-    got = rows.mapInArrow(sketched, "doc_id long, label int, a long, b long, size long").toPandas().sort_values(["doc_id", "a"])
-    share = float(got["label"].mean()) if len(got) else 0.5
-    near = np.array(sorted(suspects(got)), np.int64)
-    alone = got["doc_id"][~got["doc_id"].isin(near)].tolist()
-    if not len(near):
-        return alone, share
 
-    def hashed(batches):
-        for batch in chunks(batches, "text"):
-            batch = batch.filter(pa.array(np.isin(batch.column(0).to_numpy(), near)))
-            if batch.num_rows:
-                w = crf.tokens(batch.column(1))
-                values, first = shingles(w, batch.num_rows)
-                columns = [*sketches(w, batch.num_rows), np.diff(first)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *map(pa.array, columns), lists(values, first, pa.int64())],
-                                                 ["doc_id", "label", "a", "b", "size", "hashes"])
-
-    got = rows.mapInArrow(hashed, "doc_id long, label int, a long, b long, size long, hashes array<long>").toArrow().to_pandas()
-    return alone + without_copies(got.sort_values(["doc_id", "a"])), share
-
-
-def markers(rows: DataFrame, counted: list[int], rate: float) -> np.ndarray:
-    """Sorted hashes that mark toxic words: twelve in thirteen of the counted
-    documents that hold one are toxic, and chance (the toxic share to the
-    power of the toxic ones, times the ways to pick the clean ones) would
-    give less than one such hash."""
+def markers(rows: DataFrame, rate: float) -> np.ndarray:
+    """Sorted hashes that mark toxic words: twelve in thirteen of the
+    documents that count for one are toxic, and of those as surprising or more
+    chance (the toxic share to the power of the toxic ones, times the ways to
+    pick the clean ones) would give no more than FALSE_SHARE.
+
+    A word in its context (its neighbours) counts for one document, the one
+    with the smallest id, and as clean if any clean document holds it: what
+    copies and shared passages repeat is no further evidence."""
     def run(batches):
         for batch in chunks(batches, "text"):
             w = crf.tokens(batch.column(1))
             keys = marker_keys(w)
-            use = np.isin(batch.column(0).to_numpy(), counted)[w.doc]
-            doc = np.repeat(w.doc[use], keys.shape[1])
-            by = np.lexsort((doc, flat := keys[use].ravel()))
-            flat, doc = flat[by], doc[by]
+            # shorter beginnings repeat the word: once is enough
+            first = np.ones(keys.shape, bool)
+            for c in range(1, keys.shape[1]):
+                first[:, c] = (keys[:, c, None] != keys[:, :c]).all(1)
+            place, _ = np.nonzero(first)
+            flat, context, doc = keys[first], contexts(w)[place], w.doc[place]
+            by = np.lexsort((context, flat, doc))
+            flat, context, doc = flat[by], context[by], doc[by]
             new = np.ones(len(flat), bool)
-            new[1:] = (flat[1:] != flat[:-1]) | (doc[1:] != doc[:-1])
-            label = batch.column(2).to_numpy()[doc[new]]
-            yield pa.RecordBatch.from_arrays([pa.array(flat[new].view(np.int64)), pa.array(label)], ["word", "label"])
-
-    seen = rows.mapInArrow(run, "word long, label int").groupBy("word").agg(F.sum("label").alias("bad"), F.count("*").alias("n")).where("n >= 3")
-    likely = max(2, seen.count())
+            new[1:] = (flat[1:] != flat[:-1]) | (context[1:] != context[:-1]) | (doc[1:] != doc[:-1])
+            flat, context, doc = flat[new], context[new], doc[new]
+            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(context.view(np.int64)),
+                                              batch.column(0).take(pa.array(doc)), batch.column(2).take(pa.array(doc))], ["word", "context", "doc", "label"])
+
+    places = rows.mapInArrow(run, "word long, context long, doc long, label int")
+    once = places.groupBy("word", "context").agg(F.min("doc").alias("doc"), F.min("label").alias("label"))
+    held = once.groupBy("word", "doc").agg(F.max("label").alias("label"))
+    seen = held.groupBy("word").agg(F.sum("label").alias("bad"), F.count("*").alias("n")).where("n >= 3")
     good = F.col("n") - F.col("bad")
     ways = good * F.log(F.col("n") * math.e / F.greatest(good, F.lit(1)))
     surprise = F.col("bad") * math.log(1 / min(max(rate, 0.01), 0.9)) - ways
-    got = seen.where((F.col("bad") >= 3) & (12 * good <= F.col("bad")) & (surprise >= math.log(likely))).select("word").collect()
+    seen = written(seen.withColumn("surprise", surprise), "markers")
+    pure = seen.where((F.col("bad") >= 3) & (12 * good <= F.col("bad")) & (F.col("surprise") > 0))
+    # how many reach each eighth of a surprise: a short table whatever the sample
+    steps = pure.groupBy(F.floor(F.least(F.col("surprise"), F.lit(100)) * 8).alias("s")).agg(F.count("*").alias("c")).orderBy(F.desc("s")).collect()
+    tests, reached, least = seen.count(), 0, None
+    for row in steps:
+        reached += row["c"]
+        if tests * math.exp(-row["s"] / 8) <= FALSE_SHARE * reached:
+            least = row["s"] / 8
+    if least is None:
+        return np.zeros(0, np.uint64)
+    got = pure.where(F.col("surprise") >= least).select("word").collect()
     return np.sort(np.array([r["word"] for r in got], np.int64).view(np.uint64))
 
 
@@ -180,9 +120,9 @@ def marked(w: Words, known: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return (known[place] == keys).any(1) & (toxic[w.doc] > 0)
 
 
-def runs_of(rows: DataFrame, known: np.ndarray, length: int, seed: int) -> DataFrame:
+def runs_of(rows: DataFrame, known: np.ndarray, length: int, most: int, seed: int) -> DataFrame:
     """(doc_id, run, labels): for each document a run of words around a
-    random place and up to three around marked words."""
+    random place and up to ``most`` around marked words."""
     def run(batches):
         for batch in chunks(batches, "text"):
             w, out = crf.tokens(batch.column(1)), []
@@ -191,7 +131,7 @@ def runs_of(rows: DataFrame, known: np.ndarray, length: int, seed: int) -> DataF
                 a, b = int(w.first[i]), int(w.first[i + 1])
                 rng = np.random.default_rng([seed, doc & 0xFFFFFFFF, b - a])
                 hits = a + np.flatnonzero(label[a:b])
-                for centre in [*(rng.integers(a, b, 1) if b > a else []), *rng.permutation(hits)[:3]]:
+                for centre in [*(rng.integers(a, b, 1) if b > a else []), *rng.permutation(hits)[:most]]:
                     lo = max(a, int(centre) - int(rng.integers(0, length)))
                     hi = min(b, lo + length)
                     out.append((doc, crf.joined(w, lo, hi), label[lo:hi].tobytes()))
@@ -223,20 +163,21 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 400, l2: float = 1e-3) -
     return b[:-1], float(b[-1])
 
 
-def fit(rows: DataFrame, length: int = 24, seed: int = 11) -> Model:
+def fit(rows: DataFrame, length: int = 24, most: int = 3, seed: int = 11) -> Model:
     """Learn from a bounded sample (doc_id, text, label).  Words are
-    counted, marked and summed up on the executors; the driver gets four
-    runs of words a document at most."""
+    counted, marked and summed up on the executors, over whole texts; what
+    the field is fitted on reaches the driver: 1 + ``most`` runs of
+    ``length`` words a document at most."""
     spark = rows.sparkSession
     ship_package(spark)
     rows = rows.select("doc_id", F.col("text"), F.col("label").cast("int").alias("label")).where("text is not null")
-    counted, share = unlike(rows)
-    rate = float(np.clip(share, 0.01, 0.99))
-    known = markers(rows, counted, rate) if counted else np.zeros(0, np.uint64)
+    share = rows.agg(F.avg("label")).first()[0]
+    rate = float(np.clip(0.5 if share is None else share, 0.01, 0.99))
+    known = markers(rows, rate)
     if not len(known):
         return Model(crf.Field(np.zeros((crf.BUCKETS + 1, 2)), np.zeros((2, 2)), np.zeros(2), [known]),
                      np.zeros(3), float(np.log(rate / (1 - rate))))
-    got = sorted((r["doc_id"], r["run"], bytes(r["labels"])) for r in runs_of(rows, known, length, seed).collect())
+    got = sorted((r["doc_id"], r["run"], bytes(r["labels"])) for r in runs_of(rows, known, length, most, seed).collect())
     w = crf.tokens(pa.array([r[1] for r in got]))
     reset = np.zeros(len(w), bool)
     reset[w.first[:-1][np.diff(w.first) > 0]] = True

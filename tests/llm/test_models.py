@@ -124,13 +124,25 @@ def test_n_chars_is_a_feature(spark):
     assert fm.score(unknown, machine, ["doc_id"]).where("score between 0 and 1").count() == 600
 
 
-def test_only_near_copies_of_the_same_label_are_left_out(spark):
-    passage = awkward.words(60, 500)
-    rows = [(i, passage + " " + awkward.words(60, 600 + i), i % 2) for i in range(40)]
-    long = awkward.words(200, 700)
-    rows += [(100, long, 1), (101, long + " tail", 1), (102, long, 0), (103, long, 0), (104, "two words", 1), (105, "two words", 1), (106, "", 1)]
-    sample = spark.createDataFrame(rows, "doc_id long, text string, label int")
-    counted, share = toxicity.unlike(sample.repartition(3))
-    assert sorted(counted) == [*range(40), 100, 102, 104, 105, 106]
-    assert share == pytest.approx(np.mean([r[2] for r in rows]))
-    assert toxicity.unlike(sample.limit(0)) == ([], 0.5)
+def test_copies_and_shared_passages_are_counted_once(spark):
+    """A word that only one passage holds, however many toxic documents
+    repeat it, marks nothing; one in many contexts does."""
+    passage = "alpha uniqueword omega " + awkward.words(40, 500)
+    rows = [(i, passage + " " + awkward.words(30, 600 + i), 1) for i in range(40)]
+    rows += [(100 + i, f"{awkward.words(15, 900 + i)} horrid {awkward.words(15, 1900 + i)}", 1) for i in range(30)]
+    rows += [(200 + i, awkward.words(40, 3000 + i), 0) for i in range(200)]
+    rows += [(500, "alpha uniqueword omega", 0)]
+    known = toxicity.markers(spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(3), 0.25)
+    w = crf.tokens(pa.array(["horrid uniqueword"]))
+    assert np.isin(toxicity.marker_keys(w), known).all(1).tolist() == [True, False]
+    none = spark.createDataFrame([], "doc_id long, text string, label int")
+    assert len(toxicity.markers(none, 0.5)) == 0
+
+
+def test_samples_take_one_row_an_id(spark):
+    rows = [(i % 5, f"text {i:03d}", "en" if i % 5 else "fr", 1, i % 2) for i in range(500)] + [(1, None, "en", 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long, toxic int")
+    got = fm.labelled_sample(docs, docs, "toxic", lambda c: c >= 0, 10).collect()
+    assert sorted((r["doc_id"], r["text"], r["label"]) for r in got) == [(i, f"text {i:03d}", 1) for i in range(5)]
+    got = langid.sample(docs, lambda c: c >= 0, 10).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == [(i, f"text {i:03d}") for i in range(5)]
