@@ -139,7 +139,7 @@ def bit_table(phrases: DataFrame, bits: int):
     places = phrases.select("lang", "phrase").mapInArrow(one, "block int, at int").distinct()
     blocks = places.groupBy("block").applyInPandas(fold, "block int, bits binary")
     out = np.zeros(max(bits, step) // 8, np.uint8)
-    for row in blocks.toLocalIterator():
+    for row in blocks.collect():  # bits / 8 bytes in all
         out[row["block"] * step // 8:(row["block"] + 1) * step // 8] = np.frombuffer(row["bits"], np.uint8)
     return phrases.sparkSession.sparkContext.broadcast(out[:bits // 8])
 

@@ -110,7 +110,7 @@ def frequencies(docs: DataFrame, shingle: int, counters: int) -> np.ndarray:
     sums = (parts.groupBy("block", "some").applyInPandas(add, "block int, cells binary, some int")
             .groupBy("block").applyInPandas(add, "block int, cells binary, some int"))
     out = np.zeros(counters, np.int64)
-    for row in sums.toLocalIterator():
+    for row in sums.collect():  # counters x 8 bytes at most
         cells = unpack(row["cells"])
         out[row["block"] * CELLS:row["block"] * CELLS + len(cells)] = cells
     return np.minimum(out, np.iinfo(np.uint32).max).astype(np.uint32)
