@@ -257,10 +257,10 @@ def manifest(docs: DataFrame, fields: list[str], run: str = "lang", doc_id: str
     n_runs = runs.count()
     top = build(subroots.select(F.lit(0).cast("long").alias("run"), F.col("run").alias("at"),
                                 F.lit(n_runs).cast("long").alias("n"), F.col("root").alias("node")), height)
-    root = roots(top, height).select(F.col("root"), F.lit(0).cast("long").alias("run0"))
+    root = roots(top, height).select("root").scalar()  # one row, none for an empty table
     over = proofs(subroots.select(F.lit(0).cast("long").alias("run"), F.col("run").alias("at"), F.col("root").alias("subroot")), top, height)
-    over = over.join(root, F.col("run") == F.col("run0")).select(
-        F.col("at").alias("run_"), "subroot", "root", *[F.col(c).alias(f"{c}_") for c in ("side", "path", "steps")])
+    over = over.select(
+        F.col("at").alias("run_"), "subroot", root.alias("root"), *[F.col(c).alias(f"{c}_") for c in ("side", "path", "steps")])
     over = written(over, "top")
     rows = proofs(ranked.select("run", "at", "doc_id", "lang", "node", "tampered"), log, height)
     rows = rows.join(over, F.col("run") == F.col("run_")).select(
