@@ -25,8 +25,11 @@ been counted with it.
 
 What is known to be frequent is shipped to the tasks as a bit table of
 ``bits`` bits (fixed, whatever the corpus): a wrong "frequent" only costs
-work, as counts are made by the phrases themselves.  The driver holds
-counts by frequency class, and these tables.
+work, as counts are made by the phrases themselves.  Before phrases of two
+words are counted, a pass counts them by cells of a table of ``counters``
+cells: a pair whose cell stays under the least count is too rare, and is
+never written out or shuffled.  The driver holds counts by frequency class,
+and these tables.
 
 Defined results: null and empty texts have no words; null language is
 ``und`` (and joins it); repeated rows count each; ties are cut by
@@ -48,10 +51,13 @@ from pyspark.sql import functions as F
 
 from tessera.llm.bytetext import U, Slices, Words, chunks, mix, text_buffer
 from tessera.llm.common import pick, written
+from tessera.llm.packing import pack, unpack
 from tessera.session import ship_package
 
 BITS = 1 << 26
 SLICE = 2_000_000  # bytes of text that are counted together
+#: Cells in which pairs of words are counted first, and cells of a row.
+COUNTERS, CELLS = 1 << 24, 1 << 16
 #: Words of a language that the first round takes; each further one takes eight times as many.
 FIRST = 1 << 16
 WIDE = "decimal(38,0)"
@@ -149,27 +155,78 @@ def count_words(docs: DataFrame) -> DataFrame:
     return count(docs, 1, None, None, None)
 
 
-def count(docs: DataFrame, k: int, frontier, known, eligible) -> DataFrame:
-    """(lang, phrase, f): the phrases of k words that begin or end with a
-    word of the frontier and whose parts of k - 1 words may be frequent.
+def places(p: Pieces, k: int, frontier, known, eligible) -> np.ndarray:
+    """Where phrases of k words begin that begin or end with a word of the
+    frontier and whose parts of k - 1 words may be frequent.
 
     A part is known to be rare if it has been counted (it begins or ends
     with a word that the pass before took: ``eligible``) and is not in
     ``known``."""
+    at = np.flatnonzero(p.run >= k)
+    if k == 1:
+        return at
+    word = p.hashes(np.arange(len(p.words)), 1)
+    front = Bits(frontier.value).holds(word)
+    at = at[front[at] | front[at + k - 1]]
+    table, told = Bits(known.value), Bits(eligible.value).holds(word)
+    for part in (0, 1):
+        first = at + part
+        counted = told[first] | told[first + k - 2]
+        at = at[~counted | table.holds(p.hashes(first, k - 1))]
+    return at
+
+
+def pair_cells(docs: DataFrame, frontier, known, eligible, least: int, counters: int):
+    """The cells of the two-word phrases at ``places`` that hold ``least``
+    of them or more, as a broadcast of counters / 8 bytes.
+
+    Counts stop at ``least``, so a cell is a byte in most cases; partial
+    tables are added in groups of 256 tasks first."""
+    step = min(CELLS, counters)
+
+    def run(batches):
+        total = np.zeros(counters, np.uint32)
+        for batch in chunks(batches, "text", SLICE):
+            p = Pieces(batch.column(1), batch.column(0))
+            cell, f = np.unique((p.hashes(places(p, 2, frontier, known, eligible), 2) % U(counters)).astype(np.int64), return_counts=True)
+            total[cell] += f.astype(np.uint32)
+        for block in range(counters // step):
+            cells = np.minimum(total[block * step:(block + 1) * step], least)
+            if cells.any():
+                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "cells": pa.array([pack(cells)], pa.binary())})
+
+    def total_of(pdf):
+        total = np.zeros(step, np.int64)
+        for blob in pdf["cells"]:
+            total = np.minimum(total + unpack(blob), least)
+        return total
+
+    def add(pdf):
+        return pdf.iloc[:1].assign(cells=[pack(total_of(pdf))])
+
+    def judge(pdf):
+        return pd.DataFrame({"block": pdf["block"].iloc[:1], "bits": [np.packbits(total_of(pdf) >= least, bitorder="little").tobytes()]})
+
+    parts = docs.select("lang", "text").mapInArrow(run, "block int, cells binary")
+    parts = parts.withColumn("some", F.floor(F.spark_partition_id() / 256).cast("int"))
+    sums = parts.groupBy("block", "some").applyInPandas(add, "block int, cells binary, some int")
+    out = np.zeros(counters // 8, np.uint8)
+    for row in sums.groupBy("block").applyInPandas(judge, "block int, bits binary").collect():  # counters / 8 bytes in all
+        out[row["block"] * step // 8:(row["block"] + 1) * step // 8] = np.frombuffer(row["bits"], np.uint8)
+    return docs.sparkSession.sparkContext.broadcast(out)
+
+
+def count(docs: DataFrame, k: int, frontier, known, eligible, cells=None) -> DataFrame:
+    """(lang, phrase, f) of the phrases of k words at ``places``, but for
+    those whose cell of ``cells`` is known to be rare."""
     def run(batches):
         for batch in chunks(batches, "text", SLICE):
             p = Pieces(batch.column(1), batch.column(0))
-            at = np.flatnonzero(p.run >= k)
-            if k > 1:
-                word = p.hashes(np.arange(len(p.words)), 1)
-                front = Bits(frontier.value).holds(word)
-                at = at[front[at] | front[at + k - 1]]
-                table, told = Bits(known.value), Bits(eligible.value).holds(word)
-                for part in (0, 1):
-                    first = at + part
-                    counted = told[first] | told[first + k - 2]
-                    at = at[~counted | table.holds(p.hashes(first, k - 1))]
+            at = places(p, k, frontier, known, eligible)
             h = p.hashes(at, k)
+            if cells is not None:
+                often = Bits(cells.value).holds(h)
+                at, h = at[often], h[often]
             _, first, f = np.unique(h, return_index=True, return_counts=True)
             at = at[first]
             lang = pa.array(p.names + ["und"]).take(pa.array(p.lang[at].astype(np.int64)))
@@ -230,8 +287,9 @@ def top_of(survivors: DataFrame, top: int) -> DataFrame:
 
 
 def mine(docs: DataFrame, top: int = 2000, least: int = 100, longest: int = 5, lang: str = "lang", text: str = "text",
-         bits: int = BITS, first: int = FIRST) -> DataFrame:
-    """(lang, rank, phrase, a, l, r, n, score), numbers as longs."""
+         bits: int = BITS, first: int = FIRST, counters: int = COUNTERS) -> DataFrame:
+    """(lang, rank, phrase, a, l, r, n, score), numbers as longs; ``bits``
+    and ``counters`` are powers of two from 8 on."""
     spark = docs.sparkSession
     ship_package(spark)
     docs = pick(docs, lang=lang, text=text).select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
@@ -270,7 +328,8 @@ def mine(docs: DataFrame, top: int = 2000, least: int = 100, longest: int = 5, l
             front_bits = bit_table(front, bits)
             if k == 2:
                 eligible = known_words  # all words have been counted
-            grams = count(docs, k, front_bits, known, eligible).where(F.col("f") >= least).withColumn("words", F.lit(k))
+            cells = pair_cells(docs, front_bits, known, eligible, least, counters) if k == 2 else None
+            grams = count(docs, k, front_bits, known, eligible, cells).where(F.col("f") >= least).withColumn("words", F.lit(k))
             grams = written(grams, f"phrases{k}")
             tables.append(grams)
             known, eligible = bit_table(grams, bits), front_bits

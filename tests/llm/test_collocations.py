@@ -39,8 +39,8 @@ def run(df, **options):
 def test_awkward_rows_by_brute_force(spark):
     docs = awkward.frame(spark)
     rows = [(r["lang"], r["text"]) for r in docs.collect()]
-    assert run(docs, top=50, least=3, bits=1 << 20) == slow(rows, 50, 3)
-    assert run(awkward.empty(spark), bits=1 << 16) == []
+    assert run(docs, top=50, least=3, bits=1 << 20, counters=1 << 17) == slow(rows, 50, 3)
+    assert run(awkward.empty(spark), bits=1 << 16, counters=1 << 10) == []
 
 
 def corpus(seed, n_docs=160, kinds=60):
@@ -59,9 +59,10 @@ def corpus(seed, n_docs=160, kinds=60):
 
 
 @pytest.mark.parametrize("options", [
-    {"top": 2000, "least": 4, "bits": 1 << 18},
-    {"top": 5, "least": 3, "bits": 1 << 18, "first": 4},  # many rounds, a high threshold
-    {"top": 12, "least": 5, "bits": 1 << 16, "first": 1},
+    {"top": 2000, "least": 4, "bits": 1 << 18, "counters": 1 << 16},
+    {"top": 5, "least": 3, "bits": 1 << 18, "first": 4, "counters": 1 << 12},  # many rounds, a high threshold
+    {"top": 12, "least": 5, "bits": 1 << 16, "first": 1, "counters": 1 << 12},
+    {"top": 30, "least": 300, "bits": 1 << 16, "counters": 64},  # full cells; counts beyond a byte
 ])
 def test_phrases_by_brute_force(spark, options):
     rows = corpus(options["top"])
@@ -82,11 +83,21 @@ def test_bounds_leave_words_uncounted(spark, monkeypatch):
         return out
 
     monkeypatch.setattr(collocations, "frontier", spy)
-    got = run(spark.createDataFrame(rows, "lang string, text string"), top=9, least=10, bits=1 << 16, first=4)
+    got = run(spark.createDataFrame(rows, "lang string, text string"), top=9, least=10, bits=1 << 16, first=4, counters=1 << 10)
     assert got == slow(rows, 9, 10)
     assert not any("the" in f or "of" in f for f in fronts)
 
 
+def test_cells_under_the_least_count_drop_only_rare_pairs(spark):
+    rows = [("en", "a b")] * 7 + [("en", "c d . d c")] * 6 + [("fr", "a b")] * 4
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    words = collocations.bit_table(collocations.count_words(docs), 1 << 16)
+    cells = collocations.pair_cells(docs, words, words, words, 7, 1 << 18)
+    assert sum(int(b).bit_count() for b in cells.value) == 1
+    pairs = collocations.count(docs, 2, words, words, words, cells).collect()
+    assert [tuple(r) for r in pairs] == [("en", "a b", 7)]
+
+
 def test_products_beyond_64_bits(spark):
     candidates = spark.createDataFrame([("x", "a b", 10 ** 13, 2)], "lang string, phrase string, f long, words int")
     counts = spark.createDataFrame([("x", "a", 10 ** 13 + 1), ("x", "b", 10 ** 13)], "lang string, phrase string, f long")
