@@ -25,8 +25,10 @@ been counted with it.
 
 What is known to be frequent is shipped to the tasks as a bit table of
 ``bits`` bits (fixed, whatever the corpus): a wrong "frequent" only costs
-work, as counts are made by the phrases themselves.  The driver holds
-counts by frequency class, and these tables.
+work, as counts are made by the phrases themselves.  Pairs of words, by far
+the most phrases, are counted by their hashes first (two longs a row); only
+those whose hash occurs often enough are then written out as texts and
+counted.  The driver holds counts by frequency class, and these tables.
 
 Defined results: null and empty texts have no words; null language is
 ``und`` (and joins it); repeated rows count each; ties are cut by
@@ -41,7 +43,6 @@ from decimal import Decimal
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +53,7 @@ from tessera.session import ship_package
 
 BITS = 1 << 26
 SLICE = 2_000_000  # bytes of text that are counted together
+HELD = 1 << 20  # hashes that a task holds before it adds up equal ones
 #: Words of a language that the first round takes; each further one takes eight times as many.
 FIRST = 1 << 16
 WIDE = "decimal(38,0)"
@@ -115,10 +117,8 @@ class Bits:
         return (self.blob[(at >> U(3)).astype(np.int64)] >> (at & U(7)).astype(np.uint8)) & 1 > 0
 
 
-def bit_table(phrases: DataFrame, bits: int):
-    """The table of (lang, phrase) rows, as a broadcast of bits / 8 bytes."""
-    step = 1 << 16
-
+def phrase_hashes(phrases: DataFrame) -> DataFrame:
+    """(h): the hash of each (lang, phrase) row, as ``Pieces`` has it."""
     def one(batches):
         for batch in batches:
             # a phrase is its own text: no break occurs in it
@@ -128,20 +128,41 @@ def bit_table(phrases: DataFrame, bits: int):
             h = np.zeros(len(at), U)
             for size in np.unique(k):
                 h[k == size] = p.hashes(at[k == size], int(size))
-            place = (h % U(bits)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array((place // step).astype(np.int32)), pa.array((place % step).astype(np.int32))], ["block", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
+
+    return phrases.select("lang", "phrase").mapInArrow(one, "h long")
 
-    def fold(pdf):
-        cells = np.zeros(step, bool)
-        cells[pdf["at"].to_numpy()] = True
-        return pd.DataFrame({"block": pdf["block"].iloc[:1], "bits": [np.packbits(cells, bitorder="little").tobytes()]})
 
-    places = phrases.select("lang", "phrase").mapInArrow(one, "block int, at int").distinct()
-    blocks = places.groupBy("block").applyInPandas(fold, "block int, bits binary")
+def bit_table(hashes: DataFrame, bits: int):
+    """The table of (h) rows, as a broadcast of bits / 8 bytes.
+
+    Each task holds the blocks of 8 kB that its rows fall in, bits / 8
+    bytes at most, however many rows there are."""
+    step = 1 << 16
+
+    def one(batches):
+        for batch in batches:
+            place = (batch.column(0).to_numpy().view(U) % U(bits)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((place // step).astype(np.int32)), pa.array((place % step).astype(np.int32))], ["block", "at"])
+
+    def fold(batches):
+        cells: dict[int, np.ndarray] = {}
+        for batch in batches:
+            block, at = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            order = np.argsort(block, kind="stable")
+            block, at = block[order], at[order]
+            ends = np.append(np.flatnonzero(np.append(True, block[1:] != block[:-1])), len(block)) if len(block) else []
+            for lo, hi in zip(ends[:-1], ends[1:]):
+                mine = cells.setdefault(int(block[lo]), np.zeros(step // 8, np.uint8))
+                np.bitwise_or.at(mine, at[lo:hi] >> 3, np.uint8(1) << (at[lo:hi] & 7).astype(np.uint8))
+        if cells:
+            yield pa.RecordBatch.from_arrays([pa.array(list(cells), pa.int32()), pa.array([c.tobytes() for c in cells.values()], pa.binary())], ["block", "bits"])
+
+    places = hashes.select("h").mapInArrow(one, "block int, at int")
     out = np.zeros(max(bits, step) // 8, np.uint8)
-    for row in blocks.collect():  # bits / 8 bytes in all
+    for row in places.repartition("block").mapInArrow(fold, "block int, bits binary").collect():  # bits / 8 bytes in all
         out[row["block"] * step // 8:(row["block"] + 1) * step // 8] = np.frombuffer(row["bits"], np.uint8)
-    return phrases.sparkSession.sparkContext.broadcast(out[:bits // 8])
+    return hashes.sparkSession.sparkContext.broadcast(out[:bits // 8])
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -149,27 +170,73 @@ def count_words(docs: DataFrame) -> DataFrame:
     return count(docs, 1, None, None, None)
 
 
-def count(docs: DataFrame, k: int, frontier, known, eligible) -> DataFrame:
-    """(lang, phrase, f): the phrases of k words that begin or end with a
-    word of the frontier and whose parts of k - 1 words may be frequent.
+def places(p: Pieces, k: int, frontier, known, eligible) -> np.ndarray:
+    """Where phrases of k words begin that begin or end with a word of the
+    frontier and whose parts of k - 1 words may be frequent.
 
     A part is known to be rare if it has been counted (it begins or ends
     with a word that the pass before took: ``eligible``) and is not in
     ``known``."""
+    at = np.flatnonzero(p.run >= k)
+    if k == 1:
+        return at
+    word = p.hashes(np.arange(len(p.words)), 1)
+    front = Bits(frontier.value).holds(word)
+    at = at[front[at] | front[at + k - 1]]
+    table, told = Bits(known.value), Bits(eligible.value).holds(word)
+    for part in (0, 1):
+        first = at + part
+        counted = told[first] | told[first + k - 2]
+        at = at[~counted | table.holds(p.hashes(first, k - 1))]
+    return at
+
+
+def added(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The different hashes and the sums of their counts."""
+    h, f = np.concatenate(hashes), np.concatenate(counts)
+    order = np.argsort(h)
+    h, f = h[order], f[order]
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+    return h[first], np.add.reduceat(f, first) if len(h) else f
+
+
+def frequent_hashes(docs: DataFrame, k: int, frontier, known, eligible, least: int) -> DataFrame:
+    """(h) of the phrases of k words at ``places`` whose hash occurs
+    ``least`` times or more.  Equal ones of a task are added up before the
+    shuffle; a task holds ``HELD`` of them and one slice at most."""
+    def run(batches):
+        hs, fs, held = [], [], 0
+        for batch in chunks(batches, "text", SLICE):
+            p = Pieces(batch.column(1), batch.column(0))
+            h, f = np.unique(p.hashes(places(p, k, frontier, known, eligible), k), return_counts=True)
+            hs.append(h)
+            fs.append(f)
+            held += len(h)
+            if held >= HELD:
+                h, f = added(hs, fs)
+                hs, fs, held = [h], [f], len(h)
+                if held >= HELD // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(f)], ["h", "f"])
+                    hs, fs, held = [], [], 0
+        if hs:
+            h, f = added(hs, fs)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(f)], ["h", "f"])
+
+    parts = docs.select("lang", "text").mapInArrow(run, "h long, f long")
+    return parts.groupBy("h").agg(F.sum("f").alias("f")).where(F.col("f") >= least).select("h")
+
+
+def count(docs: DataFrame, k: int, frontier, known, eligible, often=None) -> DataFrame:
+    """(lang, phrase, f) of the phrases of k words at ``places``, but for
+    those whose hash is not in ``often``."""
     def run(batches):
         for batch in chunks(batches, "text", SLICE):
             p = Pieces(batch.column(1), batch.column(0))
-            at = np.flatnonzero(p.run >= k)
-            if k > 1:
-                word = p.hashes(np.arange(len(p.words)), 1)
-                front = Bits(frontier.value).holds(word)
-                at = at[front[at] | front[at + k - 1]]
-                table, told = Bits(known.value), Bits(eligible.value).holds(word)
-                for part in (0, 1):
-                    first = at + part
-                    counted = told[first] | told[first + k - 2]
-                    at = at[~counted | table.holds(p.hashes(first, k - 1))]
+            at = places(p, k, frontier, known, eligible)
             h = p.hashes(at, k)
+            if often is not None:
+                stay = Bits(often.value).holds(h)
+                at, h = at[stay], h[stay]
             _, first, f = np.unique(h, return_index=True, return_counts=True)
             at = at[first]
             lang = pa.array(p.names + ["und"]).take(pa.array(p.lang[at].astype(np.int64)))
@@ -244,7 +311,7 @@ def mine(docs: DataFrame, top: int = 2000, least: int = 100, longest: int = 5, l
     for row in frequent.groupBy("lang", klass.alias("class")).agg(F.count("*").alias("c")).orderBy("lang", "class").collect():
         classes.setdefault(row["lang"], []).append((row["class"], row["c"]))
     n = {row["lang"]: row["n"] for row in sizes.collect()}
-    known_words = bit_table(frequent, bits)
+    known_words = bit_table(phrase_hashes(frequent), bits)
     floor = {name: 0 for name in classes}  # the top-th surviving score of a language, as far as known
     taken = {name: -1 for name in classes}  # highest class of the frontier
     room = first
@@ -267,13 +334,14 @@ def mine(docs: DataFrame, top: int = 2000, least: int = 100, longest: int = 5, l
         survivors = None
         for k in range(2, longest + 1):
             front = frontier(spark, frequent, klass, taken, floor, n)
-            front_bits = bit_table(front, bits)
+            front_bits = bit_table(phrase_hashes(front), bits)
             if k == 2:
                 eligible = known_words  # all words have been counted
-            grams = count(docs, k, front_bits, known, eligible).where(F.col("f") >= least).withColumn("words", F.lit(k))
+            often = bit_table(frequent_hashes(docs, k, front_bits, known, eligible, least), bits) if k == 2 else None
+            grams = count(docs, k, front_bits, known, eligible, often).where(F.col("f") >= least).withColumn("words", F.lit(k))
             grams = written(grams, f"phrases{k}")
             tables.append(grams)
-            known, eligible = bit_table(grams, bits), front_bits
+            known, eligible = bit_table(phrase_hashes(grams), bits), front_bits
             counts = tables[0]
             for more_counts in tables[1:]:
                 counts = counts.unionByName(more_counts)
