@@ -41,13 +41,18 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as many times as the mix takes it."""
+    """Every document as many times as the mix takes it: at most twice.  The
+    null source is one of its own; null and empty texts have no words and
+    are drawn like the others of their source; rows that repeat are drawn
+    each by itself, and a rerun draws the same; no rows give none."""
     mixed = mixing.mix_sources(docs, COLUMNS).where("copies > 0")
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, and the digest of the bytes they decode to."""
+    """Token ids of every text, and the digest of the bytes they decode to;
+    null and empty texts have no ids and decode to no bytes.  Every row
+    stays, also without an id or repeated; no rows give none."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     coded = bpe.encode(docs.select("doc_id", "source", "text"), path, pattern, decoded="decoded")
     return coded.select(
