@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.scoring import top_k_per_group
 from tessera.plans.ranking import grouped_rank
 from tessera.sources.tables import read_table
 
@@ -84,9 +85,9 @@ def qkv(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
 
 
-def train_log(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
-    """Training log; ``numbered=False`` skips the micro-batch / step numbers
-    (and their two sorts) for consumers that only aggregate per epoch."""
+def train_log(spark: SparkSession, sf_dir: str, numbers: tuple[str, ...] = ()) -> DataFrame:
+    """Training log.  ``numbers``: which of ``micro`` (place in the epoch)
+    and ``step`` (place in the run) to count, each at the cost of a sort."""
     ev = read_table(spark, sf_dir, "events",
                     ["event_id", "ts", "user_id", "event_type", "value", "props"])
     base = ev.select(
@@ -100,21 +101,18 @@ def train_log(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFr
         Window.partitionBy("run_id").orderBy("day")).cast("int"))
     days = days.withColumnsRenamed({"run_id": "_run", "day": "_day"})
     base = base.join(days, F.col("run_id").eqNullSafe(F.col("_run")) & F.col("day").eqNullSafe(F.col("_day")))
-    if not numbered:
-        return base.select("run_id", "epoch", "event_id", "ts", "event_type", "loss", "tokens")
     # positions inside a run / an epoch, counted minute by minute: a run with
     # a third of all events is many short windows
     minute = F.date_trunc("minute", "ts")
-    ranked = grouped_rank(base, ["run_id"], ["ts", "event_id"], minute, "_step")
-    ranked = grouped_rank(ranked, ["run_id", "epoch"], ["ts", "event_id"], minute, "_micro")
-    return ranked.select(
-        "run_id", "epoch", (F.col("_micro") + 1).cast("int").alias("micro"),
-        (F.col("_step") + 1).cast("int").alias("step"), "event_id", "ts",
-        "event_type", "loss", "tokens")
+    groups = {"micro": ["run_id", "epoch"], "step": ["run_id"]}
+    for name in numbers:
+        base = grouped_rank(base, groups[name], ["ts", "event_id"], minute, name)
+        base = base.withColumn(name, (F.col(name) + 1).cast("int"))
+    return base.select("run_id", "epoch", *numbers, "event_id", "ts", "event_type", "loss", "tokens")
 
 
 def epoch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tl = train_log(spark, sf_dir, numbered=False)
+    tl = train_log(spark, sf_dir)
     return tl.groupBy("run_id", "epoch").agg(
         (F.sum(F.col("loss") * F.col("tokens")) /
          F.greatest(F.sum("tokens"), F.lit(1))).alias("train_loss"),
@@ -127,17 +125,23 @@ def epoch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
          F.unix_seconds(F.min("ts").cast("timestamp"))).cast("double").alias("seconds"))
 
 
-def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+def samples(spark: SparkSession, sf_dir: str, most: int | None = None) -> DataFrame:
+    """Answers sampled for each question, in order; ``most``: only the first
+    so many of each, without numbering the others."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
     # The answer domain is a small categorical set: a scalar subquery (one
     # aggregated row, evaluated once) gives the sorted list of types.
     types = ev.agg(F.array_sort(F.collect_set("event_type")).alias("t"))
-    ranked = grouped_rank(ev, ["user_id"], ["ts", "event_id"], F.date_trunc("minute", "ts"), "_idx")
+    if most is None:
+        ranked = grouped_rank(ev, ["user_id"], ["ts", "event_id"], F.date_trunc("minute", "ts"), "_idx")
+    else:
+        first = top_k_per_group(ev, "user_id", [F.col("ts"), F.col("event_id")], most, "event_id")
+        ranked = first.withColumn("_idx", F.col("rank") - 1)
     return ranked.select(
         F.col("user_id").alias("question_id"),
         F.col("_idx").cast("int").alias("sample_idx"),
         F.col("event_type").alias("answer"),
-        F.element_at(types.scalar(), (F.col("user_id") % 5 + 1).cast("int")).alias("gold"))
+        F.try_element_at(types.scalar(), (F.col("user_id") % 5 + 1).cast("int")).alias("gold"))
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,7 +110,7 @@ SELECT v.n, CAST(sum(CASE WHEN g.gold IS NOT NULL AND contains(v.voted, g.gold)
              / (SELECT count(*) FROM golds)) * 1e6 + 0.5) / 1e6 AS accuracy
 FROM voted v JOIN golds g USING (question_id) GROUP BY v.n""", "samples"))
 def q_sweep(spark, sf_dir):
-    s = fx.samples(spark, sf_dir)
+    s = fx.samples(spark, sf_dir, most=max(ans.SWEEP_NS))
     g = s.groupBy("question_id").agg(F.max("gold").alias("gold"))
     out = ans.self_consistency_sweep(s, g)
     return out.select("n", "correct", "questions", r6("accuracy").alias("accuracy"))

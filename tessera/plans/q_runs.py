@@ -29,7 +29,7 @@ SELECT run_id, epoch,
        floor((avg(CASE WHEN event_type IN ('purchase', 'signup') THEN loss END)) * 1e6 + 0.5) / 1e6 AS validation
 FROM train_log GROUP BY run_id, epoch""", "train_log"))
 def q_loss_curve(spark, sf_dir):
-    tl = fx.train_log(spark, sf_dir, numbered=False)
+    tl = fx.train_log(spark, sf_dir)
     phase = F.when(F.col("event_type").isin("purchase", "signup"), F.lit("validation")).otherwise(F.lit("training"))
     c = runs.loss_curve(tl, phase)
     return c.select("run_id", "epoch", r6("training").alias("training"), r6("validation").alias("validation"))
@@ -41,7 +41,7 @@ WITH b AS (SELECT run_id, epoch, (micro - 1) // 4 AS batch, avg(loss) AS batch_l
 SELECT run_id, epoch, floor((avg(batch_loss)) * 1e6 + 0.5) / 1e6 AS epoch_loss, count(*) AS n_batches
 FROM b GROUP BY run_id, epoch""", "train_log"))
 def q_loss_mob(spark, sf_dir):
-    a = cm.loss_mean_of_batches(fx.train_log(spark, sf_dir), 4)
+    a = cm.loss_mean_of_batches(fx.train_log(spark, sf_dir, ("micro",)), 4)
     return a.select("run_id", "epoch", r6("epoch_loss").alias("epoch_loss"), "n_batches")
 
 
@@ -49,7 +49,7 @@ def q_loss_mob(spark, sf_dir):
 SELECT run_id, epoch, floor((sum(loss * tokens) / greatest(sum(tokens), 1)) * 1e6 + 0.5) / 1e6 AS epoch_loss,
        CAST(sum(tokens) AS BIGINT) AS tokens FROM train_log GROUP BY run_id, epoch""", "train_log"))
 def q_loss_tw(spark, sf_dir):
-    a = cm.loss_token_weighted(fx.train_log(spark, sf_dir, numbered=False))
+    a = cm.loss_token_weighted(fx.train_log(spark, sf_dir))
     return a.select("run_id", "epoch", r6("epoch_loss").alias("epoch_loss"), "tokens")
 
 
@@ -60,7 +60,7 @@ SELECT run_id, epoch, floor((loss) * 1e6 + 0.5) / 1e6 AS loss,
        floor((CASE WHEN loss < 20 THEN exp(loss) ELSE 'inf'::DOUBLE END) * 1e6 + 0.5) / 1e6 AS perplexity,
        floor((loss / ln(2.0)) * 1e6 + 0.5) / 1e6 AS bits_per_token FROM a""", "train_log"))
 def q_lm_metrics(spark, sf_dir):
-    a = cm.loss_token_weighted(fx.train_log(spark, sf_dir, numbered=False)).withColumnRenamed("epoch_loss", "loss")
+    a = cm.loss_token_weighted(fx.train_log(spark, sf_dir)).withColumnRenamed("epoch_loss", "loss")
     ppl, bpt = cm.lm_metrics(F.col("loss"))
     return a.select("run_id", "epoch", r6("loss").alias("loss"), r6(ppl).alias("perplexity"),
                     r6(bpt).alias("bits_per_token"))
@@ -120,7 +120,7 @@ SELECT run_id, epoch, periodic, save_points, log_points FROM flags JOIN p USING
                                        "train_log", "epoch_log"))
 def q_save_points(spark, sf_dir):
     e = runs.save_points(_el(spark, sf_dir), SAVE_EVERY)
-    s = runs.step_points(fx.train_log(spark, sf_dir), SAVE_STEPS, LOG_STEPS)
+    s = runs.step_points(fx.train_log(spark, sf_dir, ("step",)), SAVE_STEPS, LOG_STEPS)
     return e.join(s, ["run_id", "epoch"]).select("run_id", "epoch", "periodic", "save_points", "log_points")
 
 

@@ -97,8 +97,18 @@ def test_training_log_keeps_events_without_user_or_time(spark, tmp_path):
     odd = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(None)).otherwise(F.col("user_id"))).withColumn(
         "ts", F.when(F.col("event_id") % 4 == 0, F.lit(None)).otherwise(F.col("ts")))
     odd.write.parquet(f"{tmp_path}/events.parquet")
-    for numbered in (False, True):
-        assert fx.train_log(spark, str(tmp_path), numbered).count() == 9
+    for numbers in ((), ("micro",), ("step",), ("micro", "step")):
+        assert fx.train_log(spark, str(tmp_path), numbers).count() == 9
+    for most in (None, 2):
+        assert fx.samples(spark, str(tmp_path), most).where("question_id is null").count() > 0
+
+
+def test_queries_number_only_what_they_use(spark):
+    def exchanges(key):
+        text = entry.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        return text.count("Exchange hashpartitioning") + text.count("Exchange rangepartitioning")
+    assert exchanges("loss_mean_of_batches") <= 11 and exchanges("save_points") <= 14
+    assert exchanges("self_consistency_sweep") <= 9
 
 
 def test_columns_are_numbered_without_a_bound(spark):

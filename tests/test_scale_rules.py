@@ -28,12 +28,15 @@ def test_numbering_with_a_user_of_a_third_of_the_events(spark, tmp_path):
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("user_id"), F.lit("view").alias("event_type"),
         (F.col("id") % 11).cast("double").alias("value"), F.lit('{"k": 3}').alias("props"))
     ev.write.parquet(f"{tmp_path}/events.parquet")
-    log = fx.train_log(spark, str(tmp_path))
+    log = fx.train_log(spark, str(tmp_path), ("micro", "step"))
     step = F.row_number().over(Window.partitionBy("run_id").orderBy("ts", "event_id"))
     micro = F.row_number().over(Window.partitionBy("run_id", "epoch").orderBy("ts", "event_id"))
     assert log.count() == 3000
     wrong = log.withColumn("s", step).withColumn("m", micro).filter("s <> step or m <> micro")
     assert wrong.count() == 0
+    every = fx.samples(spark, str(tmp_path))
+    first = fx.samples(spark, str(tmp_path), most=10)
+    assert sorted(map(repr, first.collect())) == sorted(map(repr, every.where("sample_idx < 10").collect()))
 
 
 def test_ranks_with_null_groups_and_ties(spark):
