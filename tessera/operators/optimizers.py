@@ -13,12 +13,14 @@ from dataclasses import dataclass
 from itertools import combinations_with_replacement
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.linear import sigmoid
 from tessera.operators.sampling import batch_assign
+from tessera.plans.ranking import global_rank
 from tessera.session import ensure_checkpoint_dir, ship_package
 
 
@@ -136,6 +138,40 @@ def quasi_newton_fit(x: DataFrame, y: DataFrame, reg: float = 0.05, tol: float =
     return Fit(state.select("term", "w"), bias["w"], iteration, norm, loss)
 
 
+def sgd_block(docs: pa.Table, known: pa.Table, n: int, lr: float) -> pa.Table:
+    """One block's mini-batches in order: (k, change) of its terms, k NULL
+    for the bias, weighted by the block's share of ``n`` documents.
+
+    ``docs``: (position, batch, y, ks, vs, bias); ``known``: the weights (k,
+    w) of its terms.  Features stay in two flat arrays, 12 bytes each."""
+    terms, start = known["k"].to_numpy(), known["w"].to_numpy()
+    order = np.argsort(terms)
+    terms, start = terms[order], start[order]
+    ks = docs["ks"].combine_chunks()
+    end = np.cumsum(pc.list_value_length(ks).to_numpy(zero_copy_only=False))
+    place = np.searchsorted(terms, ks.flatten().to_numpy()).astype(np.int32)
+    value = docs["vs"].combine_chunks().flatten().to_numpy()
+    by_place = np.argsort(docs["position"].to_numpy(), kind="stable")
+    batch, label = docs["batch"].to_numpy()[by_place], docs["y"].to_numpy()[by_place]
+    rows = [(place[hi - size:hi], value[hi - size:hi]) for hi, size in zip(end[by_place], np.diff(end, prepend=0)[by_place])]
+    bias = before = docs["bias"][0].as_py()
+    w, change = start.copy(), np.zeros(len(terms))
+    cuts = np.append(np.flatnonzero(np.diff(batch, prepend=-1)), len(batch))
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        step, total = lr * 2 / (hi - lo), 0.0
+        for (at, x), y in zip(rows[lo:hi], label[lo:hi]):
+            r = 1 / (1 + np.exp(-(np.dot(w[at], x) + bias))) - y
+            change[at] += r * x
+            total += r
+        # only the batch's own terms move; a term named twice gets the same value twice
+        touched = np.concatenate([at for at, _ in rows[lo:hi]])
+        w[touched] = w[touched] - step * change[touched]
+        change[touched] = 0
+        bias -= step * total
+    share = len(batch) / n
+    return pa.table({"k": pa.array([*terms, None], pa.int32()), "change": np.append(share * (w - start), share * (bias - before))})
+
+
 def sgd_fit(x: DataFrame, y: DataFrame, batch_size: int = 32, lr: float = 1.0, epochs: int = 10, seed: int = 42,
             block_batches: int = 1024, id_col: str = "doc_id") -> Fit:
     """M1: mini-batch gradient steps, w -= lr * 2 * mean((sigmoid(m) - y) x)
@@ -148,45 +184,55 @@ def sgd_fit(x: DataFrame, y: DataFrame, batch_size: int = 32, lr: float = 1.0, e
     blocks each starts an epoch from the same weights, and what they have
     changed is averaged by their documents.  So up to ``block_batches``
     batches this is the plain sequential run, and the schedule depends on
-    the data alone, not on the cluster."""
+    the data alone, not on the cluster.
+
+    Terms are numbered once, in their order, so that a task holds a block's
+    features as arrays of numbers; a document's places in all epochs are
+    joined to its features once."""
     spark = x.sparkSession
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     labels = y.select(F.col(id_col).alias("id"), F.col("label").cast("double").alias("y")).checkpoint()
     xs = x.select(F.col(id_col).alias("xid"), "term", F.col("x").cast("double").alias("x"))
     n = labels.count()
-    rows = labels.join(xs, F.col("id") == F.col("xid"), "left").groupBy("id", "y").agg(
-        F.sort_array(F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", "x")))).alias("f")).checkpoint()
-    weights = rows.select(F.explode("f.term").alias("term")).distinct().withColumn("w", F.lit(0.0)).checkpoint()
+    numbers = global_rank(labels.join(xs, F.col("id") == F.col("xid")).select("term").distinct(), ["term"], rank_col="k")
+    numbers = numbers.select(F.col("term").alias("kterm"), F.col("k").cast("int").alias("k")).checkpoint()
+    numbered = xs.join(numbers, F.col("term") == F.col("kterm")).select("xid", "k", "x")
+    rows = labels.join(numbered, F.col("id") == F.col("xid"), "left").groupBy("id", "y").agg(
+        F.sort_array(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", "x")))).alias("f"))
+    ids = labels.distinct().select("id", F.lit("train").alias("split"))
+    places = None
+    for epoch in range(epochs if n else 0):
+        one = batch_assign(ids, "id", batch_size, seed + epoch).select(
+            F.col("id").alias("bid"), F.struct(F.lit(epoch).alias("epoch"), "position", "batch").alias("p"))
+        places = one if places is None else places.unionByName(one)
+    weights = numbers.select("k", F.lit(0.0).alias("w"))
+    if places is not None:
+        rows = rows.join(places.groupBy("bid").agg(F.collect_list("p").alias("places")), F.col("id") == F.col("bid")).select(
+            "places", "y", F.col("f.k").alias("ks"), F.col("f.x").alias("vs")).checkpoint()
     bias = 0.0
 
-    def run(key: tuple, docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        docs = docs.sort_values("position")
-        terms = known["term"].to_numpy()
-        place = {t: i for i, t in enumerate(terms)}
-        start = np.append(known["w"].to_numpy(float), float(docs["bias"].iloc[0]))
-        w = start.copy()
-        feats = [([place[f["term"]] for f in fs] + [len(terms)], np.array([f["x"] for f in fs] + [1.0])) for fs in docs["f"]]
-        labels_, batch = docs["y"].to_numpy(float), docs["batch"].to_numpy()
-        for lo, hi in zip(*(lambda e: (e[:-1], e[1:]))(np.append(np.flatnonzero(np.diff(batch, prepend=-1)), len(batch)))):
-            change = np.zeros(len(w))
-            for i in range(lo, hi):
-                at, value = feats[i]
-                change[at] += (1 / (1 + np.exp(-np.dot(w[at], value))) - labels_[i]) * value
-            w -= lr * 2 / (hi - lo) * change
-        share = len(docs) / n
-        # the bias is the row without a term
-        return pd.DataFrame({"term": [*terms, None], "change": share * (w - start)})
+    def held(docs: pa.Table) -> pa.Table:
+        ks = np.unique(docs["ks"].combine_chunks().flatten().to_numpy())
+        return pa.table({"block": pa.array(np.full(len(ks), docs["block"][0].as_py()), pa.int64()), "hk": pa.array(ks, pa.int32())})
+
+    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
+        return sgd_block(docs, known, n, lr)
 
     for epoch in range(epochs if n else 0):
-        ids = batch_assign(rows.select("id", F.lit("train").alias("split")), "id", batch_size, seed + epoch)
-        ids = ids.select(F.col("id").alias("bid"), "position", "batch", F.floor(F.col("batch") / block_batches).alias("block"))
-        docs = rows.join(ids, F.col("id") == F.col("bid")).select("block", "position", "batch", "y", "f", F.lit(bias).alias("bias"))
-        held = docs.select(F.col("block").alias("hblock"), F.explode("f.term").alias("hterm")).distinct()
-        held = held.join(weights, F.col("hterm") == F.col("term")).select(F.col("hblock").alias("block"), "term", "w")
-        changes = docs.groupBy("block").cogroup(held.groupBy("block")).applyInPandas(run, "term string, change double")
-        summed = changes.groupBy("term").agg(F.sum("change").alias("change")).checkpoint()
-        bias += summed.where("term is null").first()["change"]
-        weights = weights.join(summed.withColumnRenamed("term", "cterm"), F.col("term") == F.col("cterm"), "left").select(
-            "term", (F.col("w") + F.coalesce("change", F.lit(0.0))).alias("w")).checkpoint()
-    return Fit(weights, bias, epochs if n else 0, float("nan"), float("nan"))
+        own = F.explode(F.filter("places", _of_epoch(epoch))).alias("p")
+        docs = rows.select(own, "y", "ks", "vs").select(
+            F.floor(F.col("p.batch") / block_batches).alias("block"), "p.position", "p.batch", "y", "ks", "vs", F.lit(bias).alias("bias"))
+        terms = docs.groupBy("block").applyInArrow(held, "block long, hk int")
+        known = terms.join(weights, F.col("hk") == F.col("k")).select("block", "k", "w")
+        changes = docs.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, "k int, change double")
+        summed = changes.groupBy("k").agg(F.sum("change").alias("change")).checkpoint()
+        bias += summed.where("k is null").first()["change"]
+        weights = weights.join(summed.withColumnRenamed("k", "ck"), F.col("k") == F.col("ck"), "left").select(
+            "k", (F.col("w") + F.coalesce("change", F.lit(0.0))).alias("w")).checkpoint()
+    named = numbers.withColumnsRenamed({"kterm": "term", "k": "nk"}).join(weights, F.col("nk") == F.col("k")).select("term", "w")
+    return Fit(named, bias, epochs if n else 0, float("nan"), float("nan"))
+
+
+def _of_epoch(epoch: int):
+    return lambda p: p["epoch"] == epoch

@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.operators import linear, optimizers
@@ -83,6 +85,31 @@ def test_mini_batches_equal_a_sequential_run(spark, blocks):
     assert np.abs(vector(fit) - want).max() < 1e-12
 
 
+def test_a_block_of_mini_batches_is_held_as_arrays():
+    """A task needs some bytes a feature, not an object each (2000 documents of 200 features)."""
+    docs, each, kinds = 2000, 200, 5000
+    rng = np.random.default_rng(3)
+    ks = np.concatenate([np.sort(rng.choice(kinds, each, False)) for _ in range(docs)]).astype(np.int32)
+    offsets = pa.array(np.arange(0, docs * each + 1, each), pa.int32())
+    vs, label = rng.random(docs * each) / each, rng.integers(0, 2, docs).astype(float)
+    table = pa.table({"position": np.arange(docs), "batch": np.arange(docs) // 32, "y": label, "bias": np.zeros(docs),
+                      "ks": pa.ListArray.from_arrays(offsets, pa.array(ks)), "vs": pa.ListArray.from_arrays(offsets, pa.array(vs))})
+    known = pa.table({"k": pa.array(np.arange(kinds), pa.int32()), "w": np.zeros(kinds)})
+    tracemalloc.start()
+    got = optimizers.sgd_block(table, known, docs, 1.0)["change"].to_numpy()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 * docs * each
+    dense = np.zeros((docs, kinds + 1))
+    dense[np.repeat(np.arange(docs), each), ks] = vs
+    dense[:, kinds] = 1
+    w = np.zeros(kinds + 1)
+    for lo in range(0, docs, 32):
+        some = dense[lo:lo + 32]
+        w -= 2 / len(some) * some.T @ (sigma(some @ w) - label[lo:lo + 32])
+    assert np.abs(got - w).max() < 1e-12
+
+
 def test_empty_training_sets(spark):
     x = spark.createDataFrame([], "doc_id long, term string, x double")
     y = spark.createDataFrame([], "doc_id long, label int")
