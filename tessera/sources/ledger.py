@@ -3,21 +3,26 @@
 Two layouts, both read by ``read_ledger`` with an explicit schema (no
 inference pass over the files): ``write_ledger`` appends to a folder
 partitioned by model, where the latest record per run wins on reading;
-``save_ledger`` keeps one record a run, which a later save replaces.  The
-folder must be shared storage on a cluster; ``ledger_dir`` derives it from
+``save_ledger`` keeps one record a run, which a later save replaces, in a
+bounded number of files a model.  The folder must be shared storage on a cluster; ``ledger_dir`` derives it from
 the session's checkpoint folder when the caller gives none.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.session import ensure_checkpoint_dir
 
+#: Partitions of a model's runs in a folder of ``save_ledger``.
+BUCKETS = 32
+
 # Language-model metrics, then the classifier's; a record fills what applies.
 METRIC_NAMES = ("loss", "perplexity", "token_accuracy", "bits_per_token", "tokens_per_second",
                 "accuracy", "precision", "recall", "f1")
@@ -93,11 +98,27 @@ def save_ledger(records: DataFrame, path: str) -> None:
     """Every run of ``records`` has one record afterwards, its latest of
     these; runs that are not among them keep theirs.
 
-    Each run is a partition of the folder and only the partitions written
-    are replaced, so a save costs its own records, whatever the folder
-    holds, and a save that fails leaves the old records."""
-    latest = latest_per_run(complete(records)).repartition("model", "run_id")
-    latest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model", "run_id").json(path)
+    Runs are dealt to ``BUCKETS`` partitions a model by the hash of their
+    number.  Only the partitions of the runs written are replaced, by what
+    they held of other runs and the new records together, so the number of
+    files does not grow with the runs.  The replacement is checkpointed
+    before anything is replaced; a save that fails leaves the old records."""
+    spark = records.sparkSession
+    ensure_checkpoint_dir(spark)
+    bucket = F.pmod(F.xxhash64("run_id"), F.lit(BUCKETS)).cast("int")
+    latest = latest_per_run(complete(records)).withColumn("bucket", bucket).checkpoint()
+    try:
+        old = spark.read.schema(T.StructType([*RUN_RECORD_SCHEMA.fields, T.StructField("bucket", T.IntegerType())])).json(path)
+    except AnalysisException:  # nothing saved there yet
+        old = None
+    if old is not None:
+        same = lambda *columns: reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
+        new = latest.select(*[F.col(c).alias(f"_{c}") for c in ("model", "run_id", "bucket")])
+        touched = new.select("_model", "_bucket").distinct()
+        kept = old.join(F.broadcast(touched), same("model", "bucket"), "left_semi").join(new, same("model", "run_id"), "left_anti")
+        latest = latest.unionByName(kept).checkpoint()
+    latest.repartition("model", "bucket").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("model", "bucket").json(path)
 
 
 def compact_ledger(spark: SparkSession, source: str, target: str) -> None:
