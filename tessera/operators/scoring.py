@@ -12,7 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,13 +92,28 @@ def pad_and_stack(ids: str = "ids", order: str = "id", pad: int = 1) -> Callable
 
 
 def udf_tokenizer(tokenize: Callable[[str], list[str]]):
-    """Wrap a user tokenizer ``str -> list[str]`` as an Arrow UDF."""
-    @F.pandas_udf("array<string>")
-    def _tok(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: list(tokenize(x)) if x is not None else None)
+    """Wrap a user tokenizer ``str -> list[str]`` as an Arrow UDF.
+
+    Texts become Python tokens a slice at a time and go back to Arrow at
+    once, so a task holds the objects of one slice, not of a whole batch."""
+    @F.arrow_udf("array<string>")
+    def _tok(s: pa.Array) -> pa.Array:
+        return tokenized(s, tokenize)
     return _tok
 
 
+#: Bytes of text whose tokens are Python objects at a time (or one text).
+SLICE_BYTES = 1 << 18
+
+
+def tokenized(texts: pa.Array, tokenize: Callable[[str], list[str]]) -> pa.Array:
+    before = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = np.unique(np.concatenate([[0], 1 + np.flatnonzero(np.diff(before // SLICE_BYTES)), [len(texts)]])).tolist()
+    parts = [pa.array([None if x is None else list(tokenize(x)) for x in texts[lo:hi].to_pylist()], pa.list_(pa.string()))
+             for lo, hi in zip(cuts[:-1], cuts[1:])]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.string()))
+
+
 def top_k_per_group(df: DataFrame, group: str, order: list[Column], k: int, tie_id: str,
                     salt_buckets: int = 64) -> DataFrame:
     """Exact top-k per group: top-k inside (group, salt) first, then overall."""

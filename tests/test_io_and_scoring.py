@@ -1,6 +1,9 @@
 """Run ledger, streaming, batch scoring errors, skewed blocked groups, rerank."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,3 +162,26 @@ def test_prompts_and_model_scoring_on_a_stream(spark):
     got = run_available(spark, read_stream(spark, SF, schema, file_glob="benchmark.parquet"), transform)
     batch = transform(read_table(spark, SF, "benchmark"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_a_saved_ledger_has_a_bounded_number_of_files(spark):
+    recs = spark.range(600).select(
+        F.lit("lr").alias("model"), F.col("id").alias("run_id"), F.lit(1).alias("epoch"), F.col("id").alias("global_step"),
+        F.create_map(F.lit("a"), F.lit("b")).alias("config"))
+    path = ledger.ledger_dir(spark)
+    ledger.save_ledger(recs, path)
+    ledger.save_ledger(recs.where("run_id < 5").withColumn("global_step", F.lit(-1)), path)
+    back = ledger.read_ledger(spark, path)
+    assert len(back.inputFiles()) <= ledger.BUCKETS
+    assert sorted((r["run_id"], r["global_step"]) for r in back.collect()) == [(i, -1 if i < 5 else i) for i in range(600)]
+
+
+def test_a_user_tokenizer_holds_the_tokens_of_a_slice_only():
+    texts = pa.array(["ab cd " * 50_000, None, "", "x"] + ["ab cd " * 500] * 2000)
+    tracemalloc.start()
+    got = scoring.tokenized(texts, str.split)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 << 20  # 2.1 million tokens: 130 MB of objects
+    assert got.slice(1, 3).to_pylist() == [None, [], ["x"]] and got.value_lengths().to_pylist()[4:] == [1000] * 2000
+    assert scoring.tokenized(pa.array([], pa.string()), str.split).to_pylist() == []
