@@ -19,11 +19,13 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.stems import stem_tokens
-from tessera.functions.text import WS, bleu_tokens, char_ngrams, characters, meteor_tokens, ngram_strings
+from tessera.functions.text import WS, bleu_tokens, char_ngrams, meteor_tokens, ngram_strings
 from tessera.functions.text import rouge_tokens, ter_tokens
 from tessera.plans.ranking import cluster
 from tessera.session import ship_package
@@ -59,6 +61,66 @@ def ngram_stats(pairs: DataFrame, hyp: Column, ref: Column, orders, chars: bool
         F.sum("h").cast("long").alias("hyp_total"), F.sum("r").cast("long").alias("ref_total"))
 
 
+#: Characters whose n-grams a task counts together (or one pair's).
+CHARS = 1 << 19
+
+
+def char_ngram_stats(pairs: DataFrame, hyp: Column, ref: Column, most: int, key: str = "pair_id") -> DataFrame:
+    """``ngram_stats`` for the character n-grams of texts, orders 1 to ``most``.
+
+    Texts are counted as arrays of code points, many pairs at a time, and
+    one row a pair and order comes out; n-grams are never rows."""
+    ship_package(pairs.sparkSession)
+    texts = cluster(pairs.select(key, hyp.alias("_h"), ref.alias("_r")), key).groupBy(key).agg(
+        F.collect_list("_h").alias("_h"), F.collect_list("_r").alias("_r"))  # rows of one key count together
+
+    @F.arrow_udf("array<struct<n:int,matches:long,hyp_total:long,ref_total:long>>")
+    def count(h: pa.Array, r: pa.Array) -> pa.Array:
+        sizes = [np.add.reduceat(np.append(pc.utf8_length(c.flatten()).to_numpy(zero_copy_only=False), 0), first) * (size > 0)
+                 for c in (h, r) for size in [pc.list_value_length(c).to_numpy(zero_copy_only=False)]
+                 for first in [np.cumsum(size) - size]] if len(h) else [np.zeros(0, int)] * 2
+        before = np.cumsum(sizes[0] + sizes[1])
+        cuts = np.unique(np.concatenate([[0], 1 + np.flatnonzero(np.diff(before // CHARS)), [len(h)]])).tolist()
+        parts = [char_counts(h[lo:hi], r[lo:hi], most) for lo, hi in zip(cuts[:-1], cuts[1:])]
+        m, t, u = (np.concatenate([p[i] for p in parts] or [np.zeros((0, most), np.int64)]) for i in range(3))
+        there = t + u > 0
+        n = np.broadcast_to(np.arange(1, most + 1, dtype=np.int32), there.shape)
+        rows = pa.StructArray.from_arrays([pa.array(x[there]) for x in (n, m, t, u)], ["n", "matches", "hyp_total", "ref_total"])
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(there.sum(1))), pa.int32()), rows)
+
+    return texts.select(key, F.explode(count("_h", "_r")).alias("s")).select(key, "s.*")
+
+
+def char_counts(h: pa.Array, r: pa.Array, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """[pair, n - 1]: clipped matches, hypothesis and reference totals, for
+    lists of texts a pair.  An n-gram is numbered by the number of its first
+    n - 1 characters and its last character."""
+    pairs = len(h)
+    flat = [c.flatten() for c in (h, r)]
+    points = np.frombuffer("".join(t for c in flat for t in c.to_pylist()).encode("utf-32-le"), np.uint32)
+    length = np.concatenate([pc.utf8_length(c).to_numpy(zero_copy_only=False) for c in flat]).astype(np.int64)
+    of = np.concatenate([np.repeat(np.arange(pairs), pc.list_value_length(c).to_numpy(zero_copy_only=False)) for c in (h, r)])
+    pair, side = np.repeat(of, length), np.repeat(np.arange(2), [length[:len(flat[0])].sum(), length[len(flat[0]):].sum()])
+    room = np.repeat(np.cumsum(length), length) - np.arange(len(points))  # characters left in the text
+    kinds, char = np.unique(points, return_inverse=True)
+    char = char.astype(np.int64)
+    at, number = np.arange(len(points)), pair.astype(np.int64)
+    out = [np.zeros((pairs, most), np.int64) for _ in range(3)]
+    for n in range(1, most + 1):
+        stay = room[at] >= n
+        at, number = at[stay], number[stay] * len(kinds) + char[at[stay] + n - 1]
+        if not len(at):
+            break
+        grams, number = np.unique(number, return_inverse=True)
+        mine = side[at] == 0
+        fh, fr = np.bincount(number[mine], minlength=len(grams)), np.bincount(number[~mine], minlength=len(grams))
+        owner = np.empty(len(grams), np.int64)
+        owner[number] = pair[at]
+        for column, f in zip(out, (np.minimum(fh, fr), fh, fr)):
+            np.add.at(column[:, n - 1], owner, f)
+    return out[0], out[1], out[2]
+
+
 def bleu(pairs: DataFrame, pred: str = "prediction", ref: str = "reference",
          key: str = "pair_id") -> DataFrame:
     """Corpus BLEU (0-100) with per-order precisions and brevity penalty."""
@@ -100,8 +162,8 @@ def chrf(pairs: DataFrame, pred: str = "prediction", ref: str = "reference",
          key: str = "pair_id") -> DataFrame:
     """A10: corpus chrF (0-100): precision and recall averaged over the
     orders with both sides non-empty, then F-beta."""
-    nows = lambda c: characters(F.regexp_replace(F.col(c), WS, ""))
-    st = ngram_stats(pairs, nows(pred), nows(ref), range(1, CHRF_ORDER + 1), chars=True, key=key)
+    nows = lambda c: F.regexp_replace(F.col(c), WS, "")
+    st = char_ngram_stats(pairs, nows(pred), nows(ref), CHRF_ORDER, key)
     tot = st.groupBy("n").agg(F.sum("matches").alias("m"), F.sum("hyp_total").alias("h"),
                               F.sum("ref_total").alias("r"))
     ok = (F.col("h") > 0) & (F.col("r") > 0)
@@ -195,13 +257,6 @@ def _meteor_score(base: DataFrame, m: DataFrame, key: str) -> DataFrame:
 # cost is the product of its two lengths, on whole texts.
 
 
-def _ids(a, b):
-    vocab: dict = {}
-    ai = np.array([vocab.setdefault(t, len(vocab)) for t in a], dtype=np.int64)
-    bi = np.array([vocab.setdefault(t, len(vocab)) for t in b], dtype=np.int64)
-    return ai, bi
-
-
 def lcs_columns(ref, can):
     """One integer for each token of ``can``: bit i is 0 where the longest
     common subsequence with the tokens of ``can`` so far grows from the
@@ -229,18 +284,30 @@ def lcs_len(a, b) -> int:
 
 
 def edit_distance(a, b) -> int:
-    """Word Levenshtein distance, vectorized per row:
-    D_i[j] = j + cummin_k(T[k] - k), T = min(up + 1, diag + cost)."""
-    ai, bi = _ids(a, b)
-    m = len(bi)
-    prev = np.arange(m + 1, dtype=np.int64)
-    ks = np.arange(m + 1, dtype=np.int64)
-    for i in range(1, len(ai) + 1):
-        t = np.empty(m + 1, dtype=np.int64)
-        t[0] = i
-        t[1:] = np.minimum(prev[1:] + 1, prev[:-1] + (bi != ai[i - 1]))
-        prev = ks + np.minimum.accumulate(t - ks)
-    return int(prev[-1])
+    """Word Levenshtein distance.  A row of the table is held as the bits
+    where it goes up (``up``) and down (``down``), and the next one follows
+    by one addition of machine words, as in ``lcs_columns``."""
+    a, b = (x.tolist() if isinstance(x, np.ndarray) else x for x in (a, b))
+    places: dict = {}
+    for i, t in enumerate(b):
+        places[t] = places.get(t, 0) | 1 << i
+    full = (1 << len(b)) - 1
+    top = full ^ (full >> 1)
+    up, down, edits = full, 0, len(b)
+    if not full:
+        return len(a)
+    for t in a:
+        equal = places.get(t, 0)
+        flat = (((equal & up) + up) ^ up) | equal
+        more, less = down | (full & ~(flat | up)), up & flat
+        if more & top:
+            edits += 1
+        elif less & top:
+            edits -= 1
+        more, less = (more << 1 | 1) & full, (less << 1) & full
+        equal |= down
+        up, down = less | (full & ~(equal | more)), more & equal
+    return edits
 
 
 def _fmeasure(p: float, r: float) -> float:

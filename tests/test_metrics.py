@@ -1,12 +1,14 @@
 """Metric golden cases and brute-force checks."""
 
 import math
+import time
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tessera.functions.text import characters
 from tessera.operators import clfmetrics as cm
 from tessera.operators import genmetrics as gm
 from tessera.operators.vectors import dot_softmax_lookup, greedy_match_f1
@@ -147,3 +149,21 @@ def test_bleu_hand_example(spark):
     expected = math.exp(sum(math.log(x) for x in precisions) / 4)
     assert abs(r["bleu"] - expected) < 1e-9 and r["bp"] == 1.0
     assert [round(r[f"p{n}"], 9) for n in range(1, 5)] == [round(x, 9) for x in precisions]
+
+
+def test_character_ngrams_are_counted_without_a_row_each(spark):
+    rows = [(1, "abcabc😀é", "abcab😀😀"), (1, "xyz", "yzx"), (2, None, "abc"), (3, "", ""), (None, "qq", "q"), (4, "aaaaaaaa", "aaaa"), (5, "a" * 300, None)]
+    p = spark.createDataFrame(rows, "pair_id long, prediction string, reference string")
+    got = gm.char_ngram_stats(p, F.col("prediction"), F.col("reference"), 6)
+    assert "g#" not in got._jdf.queryExecution().executedPlan().toString()
+    want = gm.ngram_stats(p, characters(F.col("prediction")), characters(F.col("reference")), range(1, 7), chars=True)
+    key = lambda df: sorted(map(repr, df.select("pair_id", "n", "matches", "hyp_total", "ref_total").collect()))
+    assert key(got) == key(want)
+    assert gm.char_ngram_stats(p.limit(0), F.col("prediction"), F.col("reference"), 6).count() == 0
+
+
+def test_edit_distance_of_long_sides_takes_no_table():
+    a, b = ["x", "y"] * 10_000, ["y", "x"] * 10_000
+    begun = time.process_time()
+    assert gm.edit_distance(a, b) == 2 and gm.edit_distance(a, []) == 20_000 and gm.edit_distance([], b) == 20_000
+    assert time.process_time() - begun < 2
