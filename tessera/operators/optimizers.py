@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.blocks import Blocks
 from tessera.operators.linear import sigmoid
 from tessera.operators.sampling import batch_assign
 from tessera.plans.ranking import global_rank
@@ -75,7 +76,8 @@ def quasi_newton_fit(x: DataFrame, y: DataFrame, reg: float = 0.05, tol: float =
     kept per document; a step along the direction moves them by its own
     margins, so one pass over the documents tries every step length.  An
     iteration reads the features twice (direction to margins, residuals to
-    gradient).  Each iteration's tables are checkpointed.
+    gradient) where they lie, in ``Blocks``.  Each iteration's tables are
+    checkpointed.
 
     It stops when the gradient's norm is at most ``tol``.  Without labelled
     documents the weights are empty and the bias is 0."""
@@ -84,14 +86,14 @@ def quasi_newton_fit(x: DataFrame, y: DataFrame, reg: float = 0.05, tol: float =
     ensure_checkpoint_dir(x.sparkSession)
     docs = y.select(F.col(id_col).alias("id"), F.col("label").cast("double").alias("y"), F.lit(0.0).alias("m")).checkpoint()
     xs = x.select(F.col(id_col).alias("id"), "term", F.col("x").cast("double").alias("x"))
-    xs = xs.join(docs.select("id"), "id", "left_semi").checkpoint()
+    xs = xs.join(docs.select("id"), "id", "left_semi")
     n = docs.count()
     if not n:
         return Fit(xs.select("term", F.lit(0.0).alias("w")), 0.0, 0, 0.0, 0.0)
+    blocks = Blocks(xs, n)
 
     def gradient(docs: DataFrame) -> DataFrame:
-        r = docs.select(F.col("id").alias("rid"), ((sigmoid(F.col("m")) - F.col("y")) / n).alias("r"))
-        return xs.join(r, F.col("id") == F.col("rid")).groupBy("term").agg(F.sum(F.col("r") * F.col("x")).alias("gl"))
+        return blocks.gradient(docs.groupBy(F.col("id").alias("rid")).agg(F.sum((sigmoid(F.col("m")) - F.col("y")) / n).alias("r")))
 
     state = gradient(docs).select("term", F.lit(0.0).alias("w"), F.col("gl").alias("g")).checkpoint()
     bias = {"w": 0.0, "g": docs.agg(F.sum((F.lit(0.5) - F.col("y")) / n)).first()[0]}
@@ -109,8 +111,7 @@ def quasi_newton_fit(x: DataFrame, y: DataFrame, reg: float = 0.05, tol: float =
         inner = lambda a, b: sum(v * w * gram[min(k, c), max(k, c)] for k, v in a.items() for c, w in b.items())
         wd, dd, ww = inner(way, {"w": 1.0}), inner(way, way), gram["w", "w"]
         step_bias = sum(v * bias[k] for k, v in way.items())
-        along = state.select("term", combination(columns, way).alias("d"))
-        moved = xs.join(along, "term").groupBy(F.col("id").alias("mid")).agg(F.sum(F.col("x") * F.col("d")).alias("dm"))
+        moved = blocks.margins(state.select("term", combination(columns, way).alias("d")))
         docs = docs.join(moved, F.col("id") == F.col("mid"), "left").select(
             "id", "y", "m", (F.coalesce("dm", F.lit(0.0)) + F.lit(step_bias)).alias("dm")).checkpoint()
         at = {t: F.col("m") + F.lit(t) * F.col("dm") for t in lengths}
@@ -135,6 +136,7 @@ def quasi_newton_fit(x: DataFrame, y: DataFrame, reg: float = 0.05, tol: float =
         bias = {f"{c}{j}": bias[f"{c}{i}"] for j, i in enumerate(keep) for c in "sy"} | {
             f"s{k}": nb - bias["w"], f"y{k}": ng - bias["g"], "w": nb, "g": ng}
         pairs = k + 1
+    blocks.unpersist()
     return Fit(state.select("term", "w"), bias["w"], iteration, norm, loss)
 
 

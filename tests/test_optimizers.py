@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tessera.operators import linear, optimizers
+from tessera.operators import blocks, linear, optimizers
 
 
 def data(spark, n=90, kinds=25, seed=5):
@@ -110,6 +110,47 @@ def test_a_block_of_mini_batches_is_held_as_arrays():
     assert np.abs(got - w).max() < 1e-12
 
 
+def test_passes_over_blocks_leave_the_features_where_they_are(spark):
+    x, _, dense, _ = data(spark, 1500, 60)
+    x = x.withColumnRenamed("doc_id", "id")
+    x = x.unionByName(x.where("term = 't3'"))  # repeated features count each
+    dense[:, 3] *= 2
+    b = blocks.Blocks(x, 1500)
+    rng = np.random.default_rng(1)
+    d, r = rng.random(60), rng.random(1500)
+    weights = spark.createDataFrame([(f"t{i}", float(v)) for i, v in enumerate(d)] + [("t0x", 1.0)], "term string, d double")
+    dots = b.margins(weights)
+    plan = dots._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[:plan.index("InMemoryTableScan")]
+    got = {v["mid"]: v["dm"] for v in dots.collect()}
+    want = dense[:, :60] @ d
+    assert all(abs(got.get(i, 0.0) - want[i]) < 1e-9 for i in range(1500))
+    some = spark.createDataFrame([(i, float(v) if i % 2 else None) for i, v in enumerate(r)], "rid long, r double")
+    got = {v["term"]: v["gl"] for v in b.gradient(some).collect()}
+    want = dense[1::2, :60].T @ r[1::2]
+    assert all(abs(got[f"t{i}"] - want[i]) < 1e-9 for i in range(60))
+    none = b.gradient(some.where("r is null")).collect()
+    assert len(none) == 60 and all(v["gl"] is None for v in none)
+    assert b.rows.count() > 1
+    b.unpersist()
+
+
+def test_gradient_descent_with_repeated_ids_and_missing_labels(spark):
+    x, y, dense, label = data(spark, 40)
+    y = y.where("doc_id <> 7").unionByName(y.where("doc_id = 5")).unionByName(
+        spark.createDataFrame([(7, None), (None, 1)], "doc_id long, label int"))
+    n, rows, has = 42, np.ones(40), np.ones(40)
+    rows[5], has[7] = 2, 0
+    w = np.zeros(dense.shape[1])
+    for _ in range(3):
+        r = has * rows * (sigma(rows * (dense[:, :-1] @ w[:-1] + rows * w[-1])) - label)
+        w -= 2 / n * np.append(dense[:, :-1].T @ r, (rows * r).sum())
+    got, c = linear.gd_fit(x, y, steps=3)
+    assert abs(c - w[-1]) < 1e-12
+    for v in got.collect():
+        assert abs(v["w"] - w[int(v["term"][1:])]) < 1e-12
+
+
 def test_empty_training_sets(spark):
     x = spark.createDataFrame([], "doc_id long, term string, x double")
     y = spark.createDataFrame([], "doc_id long, label int")
