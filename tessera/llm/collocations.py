@@ -52,8 +52,8 @@ from tessera.llm.common import pick, written
 from tessera.session import ship_package
 
 BITS = 1 << 26
-SLICE = 2_000_000  # bytes of text that are counted together
-HELD = 1 << 20  # hashes that a task holds before it adds up equal ones
+SLICE = 1_000_000  # bytes of text that are counted together
+HELD = 1 << 19  # hashes that a task holds before it adds up equal ones
 #: Words of a language that the first round takes; each further one takes eight times as many.
 FIRST = 1 << 16
 WIDE = "decimal(38,0)"
