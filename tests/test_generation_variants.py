@@ -85,6 +85,26 @@ def test_shifts_by_brute_force():
         assert sum(got) <= gm.edit_distance(h, r)
 
 
+def test_longer_shifts_by_brute_force():
+    rng = random.Random(9)
+    for _ in range(12):
+        r = [rng.choice("abcdefghij") for _ in range(rng.randint(10, 30))]
+        h = r[:rng.randint(4, 14)]
+        for _ in range(3):
+            a, b = sorted((rng.randint(0, len(h)), rng.randint(0, len(h))))
+            h = h[:a] + h[b:] + h[a:b]
+        assert shifts.shifted_edits(h, r) == slow_ter(h, r), (h, r)
+
+
+def test_only_blocks_that_may_win_are_tried(monkeypatch):
+    rows, plain = [], shifts.go_on
+    monkeypatch.setattr(shifts, "go_on", lambda row, words, refs: rows.append(words.size) or plain(row, words, refs))
+    r = [f"w{i}" for i in range(60)]
+    h = r[:20] + r[23:50] + r[20:23] + r[50:]
+    assert shifts.shifted_edits(h, r) == (1, 0)
+    assert sum(rows) <= 2 * 60 + 2 * shifts.AT_ONCE * shifts.FARTHEST  # of 60 blocks of a word, 59 of two, ...
+
+
 def test_a_block_counts_once(spark):
     p = spark.createDataFrame([(1, "d e f a b c", "a b c d e f"), (2, "", "a"), (3, "a", "")], "pair_id long, prediction string, reference string")
     row = shifts.translation_edit_rate(p).first()
