@@ -3,9 +3,9 @@
 Encoded sequences are ``array<int>`` columns; every transformation after
 the id lookup is a per-row array expression (no shuffle).  The lookup is
 one too (``operators.vocab``) while the vocabulary is under a size that is
-checked; beyond it tokens are exploded once, joined to the vocabulary
-(sort-merge with skew splitting for frequent tokens) and regrouped per row
-in position order; a row's tokens are bounded by its text.
+checked; beyond it that holds for the frequent tokens, and the rare ones are
+exploded, joined to the rest of the vocabulary and put in their places; a
+row's tokens are bounded by its text.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import vocab as packed_vocab
 from tessera.plans.ranking import global_rank
-from tessera.session import ship_package
+from tessera.session import ensure_checkpoint_dir, ship_package
 
 # Special tokens and their ids, in this order.
 SPECIALS = ["<unk>", "<pad>", "<bos>", "<eos>"]
@@ -41,43 +41,55 @@ def build_vocab(tokens: DataFrame, token_col: str = "token") -> DataFrame:
 
 def lookup_ids(df: DataFrame, key: str, tokens_col: str | dict[str, str], vocab: DataFrame,
                out_col: str = "ids", most: int | None = None,
-               most_bytes: int = packed_vocab.PACKED_BYTES) -> DataFrame:
+               most_bytes: int = packed_vocab.LOOKUP_BYTES, keep: list[str] | None = None) -> DataFrame:
     """Token array -> id array, unknown -> ``<unk>`` (0).
 
     Rows with no tokens get an empty array; rows may repeat a key.  Several
     arrays (``{tokens: ids}``) are looked up at once.  ``most``: for
     encoders that keep at most so many ids, the tokens beyond are not
-    looked up.  Vocabularies of over ``most_bytes`` are joined: one explode,
-    one join, one regrouping, with the same result.
+    looked up.  ``keep``: the columns of ``df`` that are wanted beside the
+    ids (all).  Of vocabularies of over ``most_bytes`` the frequent tokens
+    are looked up row by row; a row's others are exploded, joined and put in
+    their places, with the same result.
     """
     columns = tokens_col if isinstance(tokens_col, dict) else {tokens_col: out_col}
+    keep = [c for c in (df.columns if keep is None else keep) if c not in columns.values()]
     kept = [F.coalesce(F.col(c) if most is None else F.slice(c, 1, most), F.array().cast("array<string>")) for c in columns]
+    ship_package(df.sparkSession)
     packed = packed_vocab.pack(vocab, most_bytes)
     if packed is not None:
-        ship_package(df.sparkSession)
-        return df.withColumns({name: packed_vocab.ids_of(c, packed, UNK) for name, c in zip(columns.values(), kept)})
+        return df.select(*keep, *[packed_vocab.ids_of(c, packed, UNK).alias(name) for name, c in zip(columns.values(), kept)])
+    among = packed_vocab.frequent(most_bytes)
+    packed = packed_vocab.pack(vocab.where(among), most_bytes)
+    if packed is None:  # ids that repeat
+        among = F.lit(False)
+        packed = packed_vocab.pack(vocab.where(among), most_bytes)
+    ensure_checkpoint_dir(df.sparkSession)
+    codes = [f"_c{side}" for side in range(len(columns))]
+    coded = df.select(*keep, F.col(key).alias("_key"), *[packed_vocab.coded(c, packed, UNK).alias(x) for x, c in zip(codes, kept)])
     # rows of one key are told apart by their tokens; rows equal in both get
-    # the same ids, so their positions may fall together
-    row = df.withColumn("_row", F.xxhash64(key, *kept))
-    sides = [F.transform(c, _placed(side)) for side, c in enumerate(kept)]
-    ex = row.select(key, "_row", F.explode(F.concat(*sides)).alias("_t"))
-    v = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_vid"))
+    # the same ids, so their positions may fall together.  Both uses read
+    # the written rows, so texts are split and looked up once
+    row = coded.withColumn("_row", F.xxhash64("_key", *codes)).checkpoint()
+    sides = [F.transform(f"{x}.rare", _placed(side)) for side, x in enumerate(codes)]
+    ex = row.select("_key", "_row", F.explode(F.concat(*sides)).alias("_t"))
+    v = vocab.where(F.col("token").isNotNull() & ~among).select(F.col("token").alias("_tok"), F.col("id").alias("_vid"))
     hit = ex.join(v, F.col("_t.tok") == F.col("_tok"), "left").select(
-        key, "_row", F.struct("_t.side", "_t.pos", F.coalesce("_vid", F.lit(UNK)).alias("id")).alias("_p"))
-    ids = hit.groupBy(F.col(key).alias("_k"), F.col("_row").alias("_r")).agg(F.sort_array(F.collect_set("_p")).alias("_ids"))
-    out = row.join(ids, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_row") == F.col("_r")), "left")
-    for side, name in enumerate(columns.values()):
-        own = F.transform(F.filter("_ids", _on(side)), lambda s: s["id"])
-        out = out.withColumn(name, F.coalesce(own, F.array().cast("array<int>")))
-    return out.drop("_k", "_r", "_row", "_ids")
+        "_key", "_row", "_t.side", F.struct("_t.pos", F.coalesce("_vid", F.lit(UNK)).alias("id")).alias("_p"))
+    ids = hit.groupBy(F.col("_key").alias("_k"), F.col("_row").alias("_r")).agg(
+        *[F.sort_array(F.collect_set(F.when(F.col("side") == side, F.col("_p")))).alias(f"_f{side}") for side in range(len(codes))])
+    out = row.join(ids, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_row") == F.col("_r")), "left")
+    whole = [F.when(F.size(f"{x}.rare") == 0, F.col(f"{x}.ids")).otherwise(F.transform(f"{x}.ids", _filled(side)))
+             for side, x in enumerate(codes)]
+    return out.select(*[F.col(c) for c in keep], *[c.alias(name) for name, c in zip(columns.values(), whole)])
 
 
 def _placed(side: int):
     return lambda t, i: F.struct(F.lit(side).alias("side"), i.alias("pos"), t.alias("tok"))
 
 
-def _on(side: int):
-    return lambda s: s["side"] == side
+def _filled(side: int):
+    return lambda x: F.when(x >= 0, x).otherwise(F.get(F.col(f"_f{side}"), -1 - x)["id"])
 
 
 def wrap_truncate(ids: Column, max_len: int) -> Column:

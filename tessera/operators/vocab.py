@@ -7,9 +7,9 @@ distinct tokens only: a binary search for the hash, then a comparison of
 the token, so no two tokens are ever taken for each other.
 
 The table is broadcast only if its size, counted before anything is
-fetched, is under a bound; larger vocabularies are joined
-(``sequences.lookup_ids`` on a batch, ``streaming.rowwise.run_batches`` on
-a stream).
+fetched, is under a bound.  Of larger vocabularies a batch looks up the
+frequent tokens this way and joins the rare ones (``sequences.lookup_ids``,
+by ``streaming.rowwise.run_batches`` on a stream).
 """
 
 from __future__ import annotations
@@ -25,6 +25,13 @@ from tessera.session import ship_package
 
 #: Bytes that a broadcast vocabulary may take.
 PACKED_BYTES = 128 << 20
+#: The same where rare tokens can be joined instead: every Python worker of
+#: an executor holds its own copy.
+LOOKUP_BYTES = 24 << 20
+#: Bytes of a token that may be broadcast as a frequent one.
+TOKEN_BYTES = 64
+#: Tokens looked up at once.
+SLICE_TOKENS = 1 << 18
 
 
 class PackedVocab:
@@ -72,17 +79,70 @@ def pack(vocab: DataFrame, most_bytes: int = PACKED_BYTES):
     return vocab.sparkSession.sparkContext.broadcast(PackedVocab(tokens, np.asarray(ids)))
 
 
+def frequent(most_bytes: int) -> Column:
+    """Of a vocabulary ``(token, id)`` whose ids ascend from the most
+    frequent token: the tokens that take ``most_bytes`` at most."""
+    most = most_bytes // (20 + TOKEN_BYTES)
+    return F.coalesce(F.col("id").between(0, most - 1) & (F.octet_length("token") <= TOKEN_BYTES), F.lit(False))
+
+
+def slices(lists: pa.Array):
+    """The rows in runs of ``SLICE_TOKENS`` tokens at most (or one row)."""
+    ends, at = np.cumsum(sizes(lists)), 0
+    while at < len(lists):
+        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_TOKENS, "right"))
+        yield lists.slice(at, max(1, to - at))
+        at = max(at + 1, to)
+
+
+def sizes(lists: pa.Array) -> np.ndarray:
+    return np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+
+
+def regrouped(size: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), values)
+
+
 def ids_of(tokens: Column, packed, unknown: int = 0) -> Column:
     """T3 as a column expression: the ids of a token array (an empty array
     for NULL; a NULL token is unknown)."""
-    @F.arrow_udf("array<int>")
-    def look(lists: pa.Array) -> pa.Array:
-        size = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+    def ids(lists: pa.Array) -> pa.Array:
         flat = lists.flatten().dictionary_encode()
         ids = np.append(packed.value.look_up(flat.dictionary, unknown), np.int32(unknown))
         place = np.asarray(pc.fill_null(flat.indices, len(ids) - 1))
-        offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids[place], pa.int32()))
+        return regrouped(sizes(lists), pa.array(ids[place], pa.int32()))
+
+    @F.arrow_udf("array<int>")
+    def look(lists: pa.Array) -> pa.Array:
+        return pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *map(ids, slices(lists))])
+
+    return look(tokens)
+
+
+def coded(tokens: Column, packed, unknown: int = 0) -> Column:
+    """``ids_of`` where ``packed`` holds some tokens only, with ids from 0:
+    ``rare`` has a row's other tokens once each, and in ``ids`` -1 stands for
+    the first of them, -2 for the second and so on."""
+    def code(lists: pa.Array) -> pa.Array:
+        flat, size = lists.flatten().dictionary_encode(), sizes(lists)
+        names = max(1, len(flat.dictionary))
+        known = np.append(packed.value.look_up(flat.dictionary, -1), np.int32(unknown))
+        place = np.asarray(pc.fill_null(flat.indices, len(known) - 1)).astype(np.int64)
+        ids = known[place]
+        rare = np.flatnonzero(ids < 0)
+        once, which = np.unique(np.repeat(np.arange(len(lists)), size)[rare] * names + place[rare], return_inverse=True)
+        row = once // names
+        first = np.searchsorted(row, np.arange(len(lists) + 1))
+        ids[rare] = first[row][which] - which - 1
+        others = flat.dictionary.take(pa.array(once % names))
+        return pa.StructArray.from_arrays([regrouped(size, pa.array(ids, pa.int32())), regrouped(np.diff(first), others.cast(pa.string()))],
+                                          names=["ids", "rare"])
+
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("rare", pa.list_(pa.string()))])
+
+    @F.arrow_udf("struct<ids:array<int>,rare:array<string>>")
+    def look(lists: pa.Array) -> pa.Array:
+        return pa.concat_arrays([pa.array([], kind), *(code(x).cast(kind) for x in slices(lists))])
 
     return look(tokens)
 

@@ -152,7 +152,7 @@ SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_tokens,
        md5(array_to_string(ids, ' ')) AS ids_md5 FROM j""")
 def q_vocab_lookup(spark, sf_dir):
     toks, vocab = doc_vocab(spark, sf_dir)
-    ids = sq.lookup_ids(toks, "doc_id", "tokens", vocab)
+    ids = sq.lookup_ids(toks, "doc_id", "tokens", vocab, keep=["doc_id"])
     return ids.select("doc_id", F.size("ids").alias("n_tokens"),
                       F.size(F.filter("ids", lambda x: x == 0)).alias("n_unk"),
                       ids_md5(F.col("ids")).alias("ids_md5"))
@@ -194,7 +194,7 @@ def pair_tokens(spark, sf_dir):
 
 def padded_targets(spark, sf_dir):
     toks, vocab = pair_tokens(spark, sf_dir)
-    ids = sq.lookup_ids(toks, "pair_id", "tgt", vocab, most=SEQ_LEN)
+    ids = sq.lookup_ids(toks, "pair_id", "tgt", vocab, most=SEQ_LEN, keep=["pair_id", "split"])
     enc = ids.select("pair_id", "split", sq.wrap_truncate(F.col("ids"), SEQ_LEN).alias("w"))
     bat = sampling.batch_assign(enc, "pair_id", BATCH, SEED)
     longest = F.max(F.size("w")).over(Window.partitionBy("split", "batch"))
@@ -221,7 +221,7 @@ def q_collate_batches(spark, sf_dir):
     """Unpadded sequences in their D7 batches, padded and stacked batch
     by batch by a user function."""
     toks, vocab = pair_tokens(spark, sf_dir)
-    ids = sq.lookup_ids(toks, "pair_id", "tgt", vocab, most=SEQ_LEN)
+    ids = sq.lookup_ids(toks, "pair_id", "tgt", vocab, most=SEQ_LEN, keep=["pair_id", "split"])
     enc = ids.select("pair_id", "split", sq.wrap_truncate(F.col("ids"), SEQ_LEN).alias("ids"))
     rows = sampling.batch_assign(enc, "pair_id", BATCH, SEED).select("split", "batch", "pair_id", "ids")
     stacked = scoring.collate_batches(
@@ -294,7 +294,7 @@ def encoded_instructions(spark, sf_dir):
     ins = fx.instructions(spark, sf_dir)
     t = ins.select("pair_id", word_tokens(prompts.instruction_prompt("instruction", "input")).alias("pt"),
                    word_tokens("output").alias("yt"))
-    t = sq.lookup_ids(t, "pair_id", {"pt": "p", "yt": "y"}, vocab)
+    t = sq.lookup_ids(t, "pair_id", {"pt": "p", "yt": "y"}, vocab, keep=["pair_id"])
     return sq.encode_instruction(t, "p", "y", INSTR_LEN)
 
 
@@ -347,7 +347,7 @@ SELECT doc_id, CAST(len(core) AS INTEGER) AS n_real,
 def q_encode_fixed(spark, sf_dir):
     toks, vocab = doc_vocab(spark, sf_dir)
     lt = fx.labelled_text(spark, sf_dir).select("doc_id")
-    ids = sq.lookup_ids(toks.join(lt, "doc_id"), "doc_id", "tokens", vocab, most=FIXED_LEN)
+    ids = sq.lookup_ids(toks.join(lt, "doc_id"), "doc_id", "tokens", vocab, most=FIXED_LEN, keep=["doc_id"])
     fixed, mask, types = sq.encode_fixed(F.col("ids"), FIXED_LEN)
     return ids.select("doc_id", F.aggregate(mask, F.lit(0), lambda a, x: a + x).alias("n_real"),
                       ids_md5(fixed).alias("ids_md5"), ids_md5(types).alias("types_md5"))

@@ -1,5 +1,7 @@
 """Encoding and prompts on file streams; the per-row vocabulary lookup."""
 
+import random
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -65,6 +67,41 @@ def test_lookup_of_awkward_rows(spark, most_bytes):
     assert sq.lookup_ids(df.limit(0), "k", "t", vocab, most_bytes=most_bytes).count() == 0
 
 
+def test_frequent_tokens_row_by_row_and_rare_ones_joined(spark, monkeypatch):
+    """A vocabulary over the bound: some of its tokens are broadcast, the
+    others joined, whichever a row has of them."""
+    most_bytes, long = 800, "l" * 70
+    known = {"<unk>": 0, **{f"t{i}": i for i in range(4, 40)}, long: 3, "é": 40}
+    vocab = spark.createDataFrame([*known.items(), (None, 99)], "token string, id int")
+    rng = random.Random(5)
+    pool = [*known, "x", "y", None]
+    cases = [(rng.choice([1, 2, None]), [rng.choice(pool) for _ in range(rng.randint(0, 12))], [rng.choice(pool[:6])]) for _ in range(40)]
+    cases += [cases[0], cases[0], (3, None, [long, long]), (4, ["t4", "t5"], None), (5, [], []), (6, ["x", "t39", "x"], ["y"])]
+    df = spark.createDataFrame(cases, "k long, s array<string>, t array<string>").repartition(3)
+    packed, pack = [], pv.pack
+    monkeypatch.setattr(pv, "pack", lambda *a: packed.append(pack(*a)) or packed[-1])
+    out = sq.lookup_ids(df, "k", {"s": "si", "t": "ti"}, vocab, most_bytes=most_bytes)
+    assert out.columns == ["k", "s", "t", "si", "ti"]
+    got = [tuple(r) for r in out.collect()]
+    want = [(k, s, t, *([known.get(x, 0) for x in a or []] for a in (s, t))) for k, s, t in cases]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    held = [len(p.value.ids) for p in packed if p is not None]
+    assert held and 0 < max(held) <= most_bytes // (20 + pv.TOKEN_BYTES)
+    twice = vocab.withColumn("id", F.lit(1))  # ids that repeat: none is taken for frequent
+    ones = sq.lookup_ids(df, "k", "s", twice, most_bytes=most_bytes, keep=["k"])
+    assert ones.columns == ["k", "ids"]
+    assert sorted(map(repr, map(tuple, ones.collect()))) == sorted(repr((k, [int(x in known) for x in s or []])) for k, s, _ in cases)
+
+
+def test_slices_hold_every_row_once(monkeypatch):
+    monkeypatch.setattr(pv, "SLICE_TOKENS", 3)
+    rows = [["a"], None, ["b", "c"], ["d"] * 7, [], ["e", None, "f"], ["g"]]
+    parts = [p.to_pylist() for p in pv.slices(pa.array(rows, pa.list_(pa.string())))]
+    assert sum(parts, []) == rows
+    assert all(len(p) == 1 or sum(len(x or []) for x in p) <= 3 for p in parts) and len(parts) < len(rows)
+    assert list(pv.slices(pa.array([], pa.list_(pa.string())))) == []
+
+
 def test_decode_keeps_rows_of_one_key_apart(spark):
     vocab = spark.createDataFrame([("a", 4), ("b", 5)], "token string, id int")
     df = spark.createDataFrame([(1, [2, 4, 5, 3, 4]), (1, [5]), (1, [5]), (2, [9]), (None, [4])], "k long, ids array<int>")
