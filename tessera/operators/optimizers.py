@@ -9,6 +9,9 @@ the driver, which gets sums and the numbers of the bias only.
 
 from __future__ import annotations
 
+import mmap
+import tempfile
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import combinations_with_replacement
 
@@ -140,6 +143,31 @@ def quasi_newton_fit(x: DataFrame, y: DataFrame, reg: float = 0.05, tol: float =
     return Fit(state.select("term", "w"), bias["w"], iteration, norm, loss)
 
 
+def sgd_steps(w: np.ndarray, bias: float, batches: Iterable[tuple[list, np.ndarray]], lr: float) -> float:
+    """The steps of mini-batches in order, on ``w`` itself; the new bias.
+
+    A batch: its rows' features (places in w, values), and their labels."""
+    change = np.zeros(len(w))
+    for rows, label in batches:
+        step, total = lr * 2 / len(rows), 0.0
+        for (at, x), y in zip(rows, label):
+            r = 1 / (1 + np.exp(-(np.dot(w[at], x) + bias))) - y
+            change[at] += r * x
+            total += r
+        # only the batch's own terms move; a term named twice gets the same value twice
+        touched = np.concatenate([at for at, _ in rows])
+        w[touched] = w[touched] - step * change[touched]
+        change[touched] = 0
+        bias -= step * total
+    return bias
+
+
+def _cuts(batch: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of equal numbers."""
+    at = [*np.flatnonzero(np.diff(batch, prepend=-1)).tolist(), len(batch)]
+    return list(zip(at[:-1], at[1:]))
+
+
 def sgd_block(docs: pa.Table, known: pa.Table, n: int, lr: float) -> pa.Table:
     """One block's mini-batches in order: (k, change) of its terms, k NULL
     for the bias, weighted by the block's share of ``n`` documents.
@@ -156,41 +184,90 @@ def sgd_block(docs: pa.Table, known: pa.Table, n: int, lr: float) -> pa.Table:
     by_place = np.argsort(docs["position"].to_numpy(), kind="stable")
     batch, label = docs["batch"].to_numpy()[by_place], docs["y"].to_numpy()[by_place]
     rows = [(place[hi - size:hi], value[hi - size:hi]) for hi, size in zip(end[by_place], np.diff(end, prepend=0)[by_place])]
-    bias = before = docs["bias"][0].as_py()
-    w, change = start.copy(), np.zeros(len(terms))
-    cuts = np.append(np.flatnonzero(np.diff(batch, prepend=-1)), len(batch))
-    for lo, hi in zip(cuts[:-1], cuts[1:]):
-        step, total = lr * 2 / (hi - lo), 0.0
-        for (at, x), y in zip(rows[lo:hi], label[lo:hi]):
-            r = 1 / (1 + np.exp(-(np.dot(w[at], x) + bias))) - y
-            change[at] += r * x
-            total += r
-        # only the batch's own terms move; a term named twice gets the same value twice
-        touched = np.concatenate([at for at, _ in rows[lo:hi]])
-        w[touched] = w[touched] - step * change[touched]
-        change[touched] = 0
-        bias -= step * total
+    w, before = start.copy(), docs["bias"][0].as_py()
+    bias = sgd_steps(w, before, ((rows[lo:hi], label[lo:hi]) for lo, hi in _cuts(batch)), lr)
     share = len(batch) / n
     return pa.table({"k": pa.array([*terms, None], pa.int32()), "change": np.append(share * (w - start), share * (bias - before))})
 
 
+class _File:
+    """Numbers that are appended to a file of the task's own, which is gone
+    when it ends, and then read where they lie: they take no memory but
+    what the system has to spare."""
+
+    def __init__(self, kind: type):
+        self.kind, self.file = kind, tempfile.TemporaryFile()
+
+    def append(self, values: np.ndarray) -> None:
+        self.file.write(np.ascontiguousarray(values, self.kind).data)
+
+    def array(self) -> np.ndarray:
+        self.file.flush()
+        if not self.file.tell():
+            return np.zeros(0, self.kind)
+        return np.frombuffer(mmap.mmap(self.file.fileno(), 0, access=mmap.ACCESS_READ), self.kind)
+
+
+def sgd_run(batches: Iterator[pa.RecordBatch], terms: int, n: int, lr: float, epochs: int, batch_size: int) -> Iterator[pa.RecordBatch]:
+    """Every epoch's mini-batches in order: (k, w) of all terms, k NULL for
+    the bias.
+
+    ``batches``: (places, y, ks, vs) of every row; places: (epoch, position)
+    each.  In memory are the weights (16 bytes a term, 24 if an epoch has
+    other than ``n`` rows), a row's places (8 bytes an epoch) and its label;
+    the features lie in files, 12 bytes each."""
+    ks, vs, sizes, labels, n_rows = _File(np.int32), _File(np.float64), [], [], 0
+    places: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(epochs)]
+    for b in batches:
+        ks.append(b.column("ks").flatten().to_numpy())
+        vs.append(b.column("vs").flatten().to_numpy())
+        sizes.append(pc.list_value_length(b.column("ks")).to_numpy(zero_copy_only=False))
+        labels.append(b.column("y").to_numpy(zero_copy_only=False))
+        p = b.column("places").flatten()
+        row = np.repeat(np.arange(n_rows, n_rows + b.num_rows), pc.list_value_length(b.column("places")).to_numpy(zero_copy_only=False))
+        epoch, position = (pc.struct_field(p, c).to_numpy(zero_copy_only=False) for c in ("epoch", "position"))
+        for e in range(epochs):
+            places[e].append((position[epoch == e].astype(np.uint32), row[epoch == e].astype(np.uint32)))
+        n_rows += b.num_rows
+    end = np.cumsum(np.concatenate([np.zeros(1, np.int64), *sizes]))
+    label = np.concatenate([np.zeros(0), *labels])
+    at, value = ks.array(), vs.array()
+    w, bias = np.zeros(terms), 0.0
+    for own in places:
+        position, row = (np.concatenate([np.zeros(0, np.uint32), *x]) for x in zip(*own)) if own else (np.zeros(0, np.uint32),) * 2
+        order = np.argsort(position, kind="stable")
+        row, batch = row[order], (position[order] // batch_size).astype(np.int64)
+        share, before = len(row) / n, bias
+        start = None if share == 1 else w.copy()
+        features = lambda some: [(at[end[i]:end[i + 1]], value[end[i]:end[i + 1]]) for i in some]
+        bias = sgd_steps(w, bias, ((features(row[lo:hi].tolist()), label[row[lo:hi]]) for lo, hi in _cuts(batch)), lr)
+        if start is not None:  # rows that repeat an id, or have none: as in a block
+            w, bias = start + share * (w - start), before + share * (bias - before)
+    for lo in range(0, terms, 1 << 20):
+        yield pa.RecordBatch.from_pydict({"k": np.arange(lo, min(lo + (1 << 20), terms), dtype=np.int32), "w": w[lo:lo + (1 << 20)]})
+    yield pa.RecordBatch.from_pydict({"k": pa.array([None], pa.int32()), "w": [bias]})
+
+
 def sgd_fit(x: DataFrame, y: DataFrame, batch_size: int = 32, lr: float = 1.0, epochs: int = 10, seed: int = 42,
-            block_batches: int = 1024, id_col: str = "doc_id") -> Fit:
+            block_batches: int | None = None, id_col: str = "doc_id") -> Fit:
     """M1: mini-batch gradient steps, w -= lr * 2 * mean((sigmoid(m) - y) x)
     over each batch, from zero weights.
 
     Batches are D7's: in every epoch the documents in the order of their
-    seeded hash (the seed grows by 1 an epoch), the last one partial.  The
-    steps of a run of ``block_batches`` batches are taken one after the
-    other in one task, on the weights of the terms it holds.  With more
-    blocks each starts an epoch from the same weights, and what they have
-    changed is averaged by their documents.  So up to ``block_batches``
-    batches this is the plain sequential run, and the schedule depends on
-    the data alone, not on the cluster.
-
-    Terms are numbered once, in their order, so that a task holds a block's
-    features as arrays of numbers; a document's places in all epochs are
-    joined to its features once."""
+    seeded hash (the seed grows by 1 an epoch), the last one partial.  Each
+    step needs the weights that the one before it left, so all of them are
+    taken one after the other in one task, whatever the input's size: the
+    features are made, numbered and ordered by the cluster and streamed to
+    it, where they wait in files (``sgd_run``).
+
+    Only a caller who asks for ``block_batches`` gets another schedule: the
+    steps of a run of so many batches are taken in one task, each such block
+    starts an epoch from the same weights, and what they have changed is
+    averaged by their documents.
+
+    Terms are numbered once, in their order, so that a task holds features
+    as arrays of numbers; a document's places in all epochs are joined to
+    its features once."""
     spark = x.sparkSession
     ensure_checkpoint_dir(spark)
     ship_package(spark)
@@ -208,10 +285,28 @@ def sgd_fit(x: DataFrame, y: DataFrame, batch_size: int = 32, lr: float = 1.0, e
         one = batch_assign(ids, "id", batch_size, seed + epoch).select(
             F.col("id").alias("bid"), F.struct(F.lit(epoch).alias("epoch"), "position", "batch").alias("p"))
         places = one if places is None else places.unionByName(one)
-    weights = numbers.select("k", F.lit(0.0).alias("w"))
+    weights, bias = numbers.select("k", F.lit(0.0).alias("w")), 0.0
     if places is not None:
         rows = rows.join(places.groupBy("bid").agg(F.collect_list("p").alias("places")), F.col("id") == F.col("bid")).select(
             "places", "y", F.col("f.k").alias("ks"), F.col("f.x").alias("vs")).checkpoint()
+        if block_batches is None:
+            weights, bias = _in_order(rows, numbers.count(), n, lr, epochs, batch_size)
+        else:
+            weights, bias = _in_blocks(rows, weights, n, lr, epochs, block_batches)
+    named = numbers.withColumnsRenamed({"kterm": "term", "k": "nk"}).join(weights, F.col("nk") == F.col("k")).select("term", "w")
+    return Fit(named, bias, epochs if n else 0, float("nan"), float("nan"))
+
+
+def _in_order(rows: DataFrame, terms: int, n: int, lr: float, epochs: int, batch_size: int) -> tuple[DataFrame, float]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return sgd_run(batches, terms, n, lr, epochs, batch_size)
+
+    # rows are checkpointed: the one task reads them, it does not make them
+    fitted = rows.coalesce(1).mapInArrow(run, "k int, w double").checkpoint()
+    return fitted.where("k is not null"), fitted.where("k is null").first()["w"]
+
+
+def _in_blocks(rows: DataFrame, weights: DataFrame, n: int, lr: float, epochs: int, block_batches: int) -> tuple[DataFrame, float]:
     bias = 0.0
 
     def held(docs: pa.Table) -> pa.Table:
@@ -221,7 +316,7 @@ def sgd_fit(x: DataFrame, y: DataFrame, batch_size: int = 32, lr: float = 1.0, e
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
         return sgd_block(docs, known, n, lr)
 
-    for epoch in range(epochs if n else 0):
+    for epoch in range(epochs):
         own = F.explode(F.filter("places", _of_epoch(epoch))).alias("p")
         docs = rows.select(own, "y", "ks", "vs").select(
             F.floor(F.col("p.batch") / block_batches).alias("block"), "p.position", "p.batch", "y", "ks", "vs", F.lit(bias).alias("bias"))
@@ -232,8 +327,7 @@ def sgd_fit(x: DataFrame, y: DataFrame, batch_size: int = 32, lr: float = 1.0, e
         bias += summed.where("k is null").first()["change"]
         weights = weights.join(summed.withColumnRenamed("k", "ck"), F.col("k") == F.col("ck"), "left").select(
             "k", (F.col("w") + F.coalesce("change", F.lit(0.0))).alias("w")).checkpoint()
-    named = numbers.withColumnsRenamed({"kterm": "term", "k": "nk"}).join(weights, F.col("nk") == F.col("k")).select("term", "w")
-    return Fit(named, bias, epochs if n else 0, float("nan"), float("nan"))
+    return weights, bias
 
 
 def _of_epoch(epoch: int):

@@ -85,6 +85,44 @@ def test_mini_batches_equal_a_sequential_run(spark, blocks):
     assert np.abs(vector(fit) - want).max() < 1e-12
 
 
+def test_mini_batches_follow_each_other_whatever_their_number(spark):
+    """More batches than the 1024 after which their steps used to be averaged."""
+    x, y, dense, label = data(spark, 1100)
+    fit = optimizers.sgd_fit(x.repartition(4), y.repartition(3), batch_size=1, epochs=2, seed=7)
+    want = slow_sgd(dense, label, 1, 1.0, 2, 7, 1100)
+    assert np.abs(want - slow_sgd(dense, label, 1, 1.0, 2, 7, 1024)).max() > 1e-3
+    assert np.abs(vector(fit) - want).max() < 1e-9
+
+
+def test_a_run_keeps_its_features_out_of_memory():
+    docs, each, kinds = 4000, 400, 2000
+    rng = np.random.default_rng(5)
+    ks = np.concatenate([np.sort(rng.choice(kinds, each, False)) for _ in range(docs)]).astype(np.int32)
+    vs, label = rng.random(docs * each) / each, rng.integers(0, 2, docs).astype(float)
+
+    def batches():
+        for lo in range(0, docs, 500):
+            first = pa.array(np.arange(0, 500 * each + 1, each), pa.int32())
+            some = slice(lo * each, (lo + 500) * each)
+            yield pa.RecordBatch.from_pydict({
+                "places": [[{"epoch": 0, "position": i}] for i in range(lo, lo + 500)], "y": label[lo:lo + 500],
+                "ks": pa.ListArray.from_arrays(first, pa.array(ks[some])), "vs": pa.ListArray.from_arrays(first, pa.array(vs[some]))})
+
+    tracemalloc.start()
+    parts = list(optimizers.sgd_run(batches(), kinds, docs, 1.0, 1, 32))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * docs * each
+    dense = np.zeros((docs, kinds + 1))
+    dense[np.repeat(np.arange(docs), each), ks] = vs
+    dense[:, kinds] = 1
+    w = np.zeros(kinds + 1)
+    for lo in range(0, docs, 32):
+        some = dense[lo:lo + 32]
+        w -= 2 / len(some) * some.T @ (sigma(some @ w) - label[lo:lo + 32])
+    assert np.abs(pa.Table.from_batches(parts)["w"].to_numpy() - w).max() < 1e-12
+
+
 def test_a_block_of_mini_batches_is_held_as_arrays():
     """A task needs some bytes a feature, not an object each (2000 documents of 200 features)."""
     docs, each, kinds = 2000, 200, 5000
