@@ -173,6 +173,23 @@ def test_passes_over_blocks_leave_the_features_where_they_are(spark):
     b.unpersist()
 
 
+@pytest.mark.parametrize("cut", [3, 7, 10_000])
+def test_blocks_are_bounded_by_their_features(cut):
+    """However many documents there are and however they are cut into batches; a document stays whole."""
+    rng = random.Random(cut)
+    rows = [(i, f"t{rng.randrange(40)}", rng.random()) for i in range(200) for _ in range(rng.choice([0, 1, 2, 9, 30]))]
+    ids, terms, x = map(list, zip(*rows))
+    table = pa.table({"id": ids, "term": terms, "x": x})
+    got = list(blocks.deal(iter(table.to_batches(max_chunksize=cut)), 25, 3))
+    sizes = [len(b["x"][0].as_py()) for b in got]
+    assert all(25 <= n < 25 + 30 for n in sizes[:-1]) and len(set(b["block"][0].as_py() for b in got)) == len(got) > 20
+    back = [(b["ids"][0].as_py()[i], b["terms"][0].as_py()[j], v) for b in got for i, j, v in zip(*(b[c][0].as_py() for c in ("row", "col", "x")))]
+    assert back == rows
+    own = [set(b["ids"][0].as_py()) for b in got]
+    assert sum(map(len, own)) == len(set(ids))
+    assert not list(blocks.deal(iter([]), 25, 0))
+
+
 def test_gradient_descent_with_repeated_ids_and_missing_labels(spark):
     x, y, dense, label = data(spark, 40)
     y = y.where("doc_id <> 7").unionByName(y.where("doc_id = 5")).unionByName(
