@@ -7,9 +7,10 @@ matches of a candidate.  So every document weighs, from estimated
 frequencies of its own prefix, what m = 1, 2, ... would cost, and takes
 the cheapest; a pair must share the smaller m of its two documents.
 
-1. Frequencies: shingles are counted in a table of ``counters`` cells
-   (a fixed size, whatever the corpus).  Rare shingles come first in the
-   order, ties by hash, so that frequent passages hardly enter prefixes.
+1. Frequencies: shingles are counted in a table of cells, of one byte each
+   where it is kept (a cell for every 200 bytes of text, about 30 shingles;
+   4 million at least, 32 million at most).  Rare shingles come first in
+   the order, ties by hash, so that frequent passages hardly enter prefixes.
 2. Every text is hashed again: its set's hash (equal sets are one node),
    its m, and its prefix.
 3. A shingle that up to ``FEW`` prefixes hold gives its pairs, which are
@@ -19,11 +20,17 @@ the cheapest; a pair must share the smaller m of its two documents.
    components of both are groups of sets.
 4. A group's sets are cut into blocks by size and hash, bounded in sets
    and shingles; a cell is a pair of blocks whose sizes can reach the
-   threshold.  Inside a cell, pairs with enough matches are verified on
-   whole sets.  A cell returns its links as stars, at most one for each
-   of its sets, so no pair of a group leaves a task.
+   threshold.  A cell returns its links as stars, at most one for each of
+   its sets, so no pair of a group leaves a task.  This is done twice: with
+   the prefixes alone, which gives smaller groups of the sets that have
+   enough matches with another; then with the whole sets of those groups,
+   for the pairs with enough matches.
 5. Components of the verified links.
 
+A prefix token is dealt out once, without its set's sizes, and texts are
+not dealt out at all: a bit table tells which of them to read for whole
+sets.
+
 The work inside one group grows with the square of its different sets of
 like size; equal sets are one node.
 
@@ -47,13 +54,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.bytetext import BASE_B, U, Slices, Words, chunks, lists, mix, text_buffer
+from tessera.llm.collocations import bit_table
 from tessera.llm.common import pick, written
 from tessera.llm.components import components
 from tessera.llm.packing import pack, unpack
 from tessera.llm.simhash import join_labels
+from tessera.plans.ranking import cluster
 from tessera.session import ship_package
 
-COUNTERS, CELLS = 1 << 22, 4096
+#: Cells of the frequency table: at least, at most, and bytes of text for one.
+COUNTERS, MOST_COUNTERS, TEXT_BYTES = 1 << 22, 1 << 25, 200
+#: Parts of the table that are added up.
+PARTS = 1024
+#: Bits of the table of texts whose whole sets are wanted.
+BITS = 1 << 26
 #: Postings of a shingle whose pairs are counted before they are candidates.
 FEW = 16
 #: What the verification of a candidate costs, in postings read.
@@ -91,29 +105,49 @@ def cell_of(hashes: np.ndarray, counters: int) -> np.ndarray:
     return (hashes % U(counters)).astype(np.int64)
 
 
+def table_size(docs: DataFrame) -> int:
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(MOST_COUNTERS, max(COUNTERS, 1 << (size // TEXT_BYTES).bit_length()))
+
+
+def coded(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes: exact below 128, then eight to a doubling."""
+    high = 128 + 8 * np.log2(np.maximum(counts, 128) / 128)
+    return np.where(counts < 128, counts, np.minimum(high, 255)).astype(np.uint8)
+
+
+def decoded() -> np.ndarray:
+    code = np.arange(256.0)
+    return np.where(code < 128, code, 128 * 2 ** ((code - 128) / 8))
+
+
 def frequencies(docs: DataFrame, shingle: int, counters: int) -> np.ndarray:
-    """In how many rows each cell's shingles occur, over all rows."""
+    """In how many rows each cell's shingles occur, over all rows (coded)."""
+    width = -(-counters // PARTS)
+
     def count(batches):
         total = np.zeros(counters, np.uint32)
         for batch in chunks(batches, "text"):
             np.add.at(total, cell_of(Shingles(batch.column(0), shingle).hashes, counters), np.uint32(1))
-        blocks = [(b, total[b * CELLS:(b + 1) * CELLS]) for b in range(-(-counters // CELLS))]
-        rows = [(b, pack(cells)) for b, cells in blocks if cells.any()]
-        yield pa.RecordBatch.from_pydict({"block": pa.array([b for b, _ in rows], pa.int32()),
-                                          "cells": pa.array([c for _, c in rows], pa.binary())})
+        for b in range(PARTS):
+            cells = total[b * width:(b + 1) * width]
+            if cells.any():
+                yield pa.RecordBatch.from_pydict({"block": pa.array([b], pa.int32()), "cells": pa.array([pack(cells)], pa.binary())})
 
-    def add(pdf):
-        return pdf.iloc[:1].assign(cells=[pack(reduce(np.add, map(unpack, pdf["cells"])))])
+    def add(last):
+        def run(pdf):
+            return pdf.iloc[:1].assign(cells=[pack(last(reduce(np.add, map(unpack, pdf["cells"]))))])
+        return run
 
     parts = docs.select("text").mapInArrow(count, "block int, cells binary")
     parts = parts.withColumn("some", F.floor(F.spark_partition_id() / 256).cast("int"))
-    sums = (parts.groupBy("block", "some").applyInPandas(add, "block int, cells binary, some int")
-            .groupBy("block").applyInPandas(add, "block int, cells binary, some int"))
-    out = np.zeros(counters, np.int64)
-    for row in sums.collect():  # counters x 8 bytes at most
+    sums = (parts.groupBy("block", "some").applyInPandas(add(lambda cells: cells), "block int, cells binary, some int")
+            .groupBy("block").applyInPandas(add(coded), "block int, cells binary, some int"))
+    out = np.zeros(counters, np.uint8)
+    for row in sums.select("block", "cells").collect():  # a byte a cell at most
         cells = unpack(row["cells"])
-        out[row["block"] * CELLS:row["block"] * CELLS + len(cells)] = cells
-    return np.minimum(out, np.iinfo(np.uint32).max).astype(np.uint32)
+        out[row["block"] * width:row["block"] * width + len(cells)] = cells
+    return out
 
 
 def choose(n: np.ndarray, first: np.ndarray, weight: np.ndarray, percent: int, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +171,8 @@ class Order:
 
     def __init__(self, docs: DataFrame, shingle: int, percent: int, counters: int, most: int):
         table = frequencies(docs, shingle, counters)
-        self.mean = float(table.mean())  # what a cell holds anyway
+        self.value = decoded()
+        self.mean = float(np.bincount(table, minlength=256) @ self.value / max(1, len(table)))  # what a cell holds anyway
         self.table = docs.sparkSession.sparkContext.broadcast(table)
         self.shingle, self.percent, self.counters, self.most = shingle, percent, counters, most
 
@@ -146,7 +181,7 @@ class Order:
         s = Shingles(texts, self.shingle)
         seen = self.table.value[cell_of(s.hashes, self.counters)]
         order = np.lexsort((seen, s.doc))  # stable: ties stay ordered by hash
-        weight = 0.01 + np.maximum(seen[order] - 1 - self.mean, 0)
+        weight = 0.01 + np.maximum(self.value[seen[order]] - 1 - self.mean, 0)
         m, length = choose(s.n, s.first, weight, self.percent, self.most)
         return s, s.hashes[order].view(np.int64), m, length
 
@@ -200,23 +235,26 @@ def overlaps(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
 
 
 class Block:
-    """Sets of a cell: their nodes, m, prefix lengths and tokens."""
+    """Sets of a cell: their nodes, sizes, m, prefix lengths, and tokens (of
+    the prefix alone, or of the whole set)."""
 
     def __init__(self, pdf: pd.DataFrame):
-        sets = [np.frombuffer(x, np.int64) for x in pdf["tokens"]]
+        sets = [np.frombuffer(x, np.int64) if isinstance(x, bytes) else np.asarray(x, np.int64) for x in pdf["tokens"]]
         self.node = pdf["node"].to_numpy(np.int64)
         self.m, self.length = pdf["m"].to_numpy(np.int64), pdf["length"].to_numpy(np.int64)
-        self.n = np.array([len(x) for x in sets], np.int64)
+        self.n = pdf["n"].to_numpy(np.int64)
+        held = np.array([len(x) for x in sets], np.int64)
         self.tokens = np.concatenate([*sets, np.zeros(0, np.int64)])
-        self.row = np.repeat(np.arange(len(sets)), self.n)
-        self.place = np.arange(len(self.tokens)) - np.repeat(np.cumsum(self.n) - self.n, self.n)
+        self.row = np.repeat(np.arange(len(sets)), held)
+        self.place = np.arange(len(self.tokens)) - np.repeat(np.cumsum(held) - held, held)
 
     def part(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return self.tokens[inside], self.row[inside]
 
 
-def compare(a: Block, b: Block, same: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Star links (node, smallest of its local group) of a cell."""
+def compare(a: Block, b: Block, same: bool, percent: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Star links (node, smallest of its local group) of a cell: of pairs that
+    reach the threshold, or have enough matches in their prefixes (not whole)."""
     shape = (len(a.n), len(b.n))
     need = -(-percent * (a.n[:, None] + b.n[None, :]) // (100 + percent))  # overlap at the threshold
     matches = overlaps(a.part(a.place < a.length[a.row]), b.part(b.place < b.length[b.row]), shape)
@@ -229,48 +267,52 @@ def compare(a: Block, b: Block, same: bool, percent: int) -> tuple[np.ndarray, n
     none = np.zeros(0, np.int64)
     if not ok.any():
         return none, none
-    some_a, some_b = ok.any(1), ok.any(0)
-    i, j = np.nonzero(ok & (overlaps(a.part(some_a[a.row]), b.part(some_b[b.row]), shape) >= need))
+    if whole:
+        some_a, some_b = ok.any(1), ok.any(0)
+        ok &= overlaps(a.part(some_a[a.row]), b.part(some_b[b.row]), shape) >= need
+    i, j = np.nonzero(ok)
     nodes = np.unique(np.concatenate([a.node[i], b.node[j]]))
     label = join_labels(np.arange(len(nodes)), np.searchsorted(nodes, a.node[i]), np.searchsorted(nodes, b.node[j]))
     moved = np.flatnonzero(label != np.arange(len(nodes)))
     return nodes[moved], nodes[label[moved]]
 
 
-def whole_sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame, order: Order) -> DataFrame:
-    """(node, n, m, length, tokens) of the ``nodes``; tokens: the whole set
-    in the global order, packed."""
+def whole_sets(docs: DataFrame, rows: DataFrame, groups: DataFrame, order: Order) -> DataFrame:
+    """(node, n, m, length, tokens, group) of the nodes of ``groups``; tokens:
+    the whole set in the global order, packed."""
     # one row stands for each set
     stands = rows.groupBy("node").agg(F.min(F.struct("doc_id", "mark")).alias("one"))
-    stands = stands.join(nodes, F.col("node") == F.col("node_"), "left_semi").select(
-        F.col("one.doc_id").alias("id_"), F.col("one.mark").alias("mark_"))
-    texts = docs.join(stands, F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_")), "left_semi").select("text")
+    stands = stands.join(groups, F.col("node") == F.col("node_"), "left_semi")
+    key = F.xxhash64("doc_id", "mark")
+    bits = bit_table(stands.select("one.*").select(key.alias("h")), BITS)
 
     def sets(batches):
         for batch in chunks(batches, "text"):
-            s, tokens, m, length = order.of(batch.column(0))
+            k = batch.column(0).to_numpy().view(U) % U(BITS)
+            wanted = (bits.value[(k >> U(3)).astype(np.int64)] >> (k & U(7)).astype(np.uint8) & 1).astype(bool)
+            if not wanted.any():
+                continue
+            s, tokens, m, length = order.of(batch.column(1).filter(pa.array(wanted)))
             blobs = [tokens[lo:hi].tobytes() for lo, hi in zip(s.first[:-1], s.first[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(s.node()), pa.array(s.n), pa.array(m.astype(np.int32)),
                                               pa.array(length), pa.array(blobs, pa.binary())], ["node", "n", "m", "length", "tokens"])
 
-    out = texts.mapInArrow(sets, "node long, n long, m int, length long, tokens binary")
-    return out.dropDuplicates(["node"])  # rows that repeat both id and text
+    out = docs.select(key.alias("key"), "text").mapInArrow(sets, "node long, n long, m int, length long, tokens binary")
+    # the bits of others, and rows that share id and text, go
+    return out.join(groups, F.col("node") == F.col("node_")).drop("node_").dropDuplicates(["node"])
 
 
-def links(docs: DataFrame, rows: DataFrame, order: Order, block_sets: int, block_shingles: int) -> DataFrame:
-    """(u, v) between nodes; their components are those of all pairs that
-    reach the threshold."""
-    percent = order.percent
-    posts = rows.where("n > 0").select("node", "n", "m", F.size("tokens").alias("length"), F.explode("tokens").alias("token"))
-    several = written(posts.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-                      .where("lo < hi").select(F.col("token").alias("token_")), "tokens")
-    posts = written(posts.join(several, F.col("token") == F.col("token_"), "left_semi").distinct(), "postings")
-    counts = written(posts.groupBy("token").agg(F.count("*").alias("c"), F.min("node").alias("lo")).withColumnRenamed("token", "token_"), "counts")
-    posts = written(posts.join(counts, F.col("token") == F.col("token_")).drop("token_"), "counted")
+def candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """(node_, group): groups of sets that prefix tokens tie together."""
+    # dealt once: the counts and the join read the same exchange
+    posts = cluster(rows.where("n > 0").select("node", F.explode("tokens").alias("token")), "token").distinct()
+    several = posts.groupBy("token").agg(F.count("*").alias("c"), F.min("node").alias("lo")).where("c > 1").withColumnRenamed("token", "token_")
+    posts = written(posts.join(several, F.col("token") == F.col("token_")).drop("token_"), "postings")
     often = posts.where(F.col("c") > FEW)
     stars = often.where("node <> lo").select(F.col("node").alias("u"), F.col("lo").alias("v"))
     wide = often.groupBy("node").agg(F.count("*").alias("wide")).withColumnRenamed("node", "node_")
-    few = posts.where(F.col("c") <= FEW).join(wide, F.col("node") == F.col("node_"), "left").select(
+    facts = rows.where("n > 0").select(F.col("node").alias("of"), "n", "m", F.size("tokens").alias("length")).distinct()
+    few = posts.where(F.col("c") <= FEW).join(facts, F.col("node") == F.col("of")).join(wide, F.col("node") == F.col("node_"), "left").select(
         "token", "node", "n", "m", "length", F.coalesce("wide", F.lit(0)).alias("wide"))
     few = written(few, "few")
     a, b = few.toDF("ta", "u", "na", "ma", "la", "wa"), few.toDF("tb", "v", "nb", "mb", "lb", "wb")
@@ -280,20 +322,22 @@ def links(docs: DataFrame, rows: DataFrame, order: Order, block_sets: int, block
     pairs = (a.join(b, (F.col("ta") == F.col("tb")) & (F.col("u") < F.col("v")) & fit)
              .groupBy("u", "v", "na", "nb", "ma", "mb", "la", "lb", "wa", "wb").agg(F.count("*").alias("matches"))
              .where(F.col("matches") + F.least("wa", "wb") >= F.greatest(F.least("ma", "mb"), need - left)).select("u", "v"))
-    groups = written(components(stars.union(pairs)).toDF("node_", "group"), "groups")
-    sets = written(whole_sets(docs, rows, groups.select("node_"), order), "sets")
+    return written(components(stars.union(pairs)).toDF("node_", "group"), "groups")
+
+
+def met(sets: DataFrame, percent: int, block_sets: int, block_shingles: int, whole: bool) -> DataFrame:
+    """(u, v): star links of the cells of each group; sets: (node, n, m,
+    length, tokens, group), with whole sets or prefixes as tokens."""
     # sizes whose ratio is within the threshold are in the same class or neighbouring ones
     ratio = float(np.log(100 / percent)) * (1 + 1e-9)
-    sets = sets.join(groups, F.col("node") == F.col("node_")).select(
-        "node", "m", "length", "tokens", "n", "group", F.floor(F.log(F.col("n")) / F.lit(ratio)).alias("class"))
-    sets = written(sets, "classed")
-    parts = sets.groupBy("group", "class").agg(F.count("*").alias("c"), F.sum("n").alias("s")).select(
-        F.col("group").alias("g"), F.col("class").alias("k"),
+    sets = written(sets.withColumn("class", F.floor(F.log(F.col("n")) / F.lit(ratio))), "sets" if whole else "thin")
+    parts = sets.groupBy("group", "class").agg(F.count("*").alias("c"), F.sum("n" if whole else "length").alias("s")).select(
+        F.col("group").alias("g"), F.col("class").alias("k"), F.col("c"),
         F.greatest(F.ceil(F.col("c") / block_sets), F.ceil(F.col("s") / block_shingles)).cast("int").alias("parts"))
     parts = written(parts, "parts")
     near = sets
     for step, name in ((-1, "below"), (0, "parts"), (1, "above")):
-        p = parts.select(F.col("g").alias(f"g{name}"), (F.col("k") - step).alias(f"k{name}"), F.col("parts").alias(name))
+        p = parts.select(F.col("g").alias(f"g{name}"), (F.col("k") - step).alias(f"k{name}"), F.col("parts").alias(name), F.col("c").alias(f"c{name}"))
         near = near.join(p, (F.col("group") == F.col(f"g{name}")) & (F.col("class") == F.col(f"k{name}")), "left")
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     # the blocks that the own one meets: (class, part, class, part) in ascending order
@@ -302,33 +346,46 @@ def links(docs: DataFrame, rows: DataFrame, order: Order, block_sets: int, block
     def meets(step: int, count: str):
         there = F.transform(F.sequence(F.lit(0), F.coalesce(F.col(count), F.lit(1)) - 1),
                             lambda p: F.struct((F.col("class") + step).alias("k"), p.cast("int").alias("p")))
-        return F.when(F.col(count).isNotNull(), there).otherwise(F.slice(there, 1, 0))
+        # a single set has nothing to meet in its own class
+        some = F.col(count).isNotNull() if step else F.col("cparts") > 1
+        return F.when(some, there).otherwise(F.slice(there, 1, 0))
 
     cells = near.withColumn("part", own).withColumn(
         "other", F.explode(F.concat(meets(-1, "below"), meets(0, "parts"), meets(1, "above"))))
+    held = ["node", "n", "m", "length", "tokens"]
     cells = cells.select("group", F.least(mine, "other").alias("x"), F.greatest(mine, "other").alias("y"),
-                         (mine == F.least(mine, "other")).alias("first"), "node", "m", "length", "tokens")
+                         (mine == F.least(mine, "other")).alias("first"), *held)
     cells = cells.select("group", F.col("x.k").alias("xk"), F.col("x.p").alias("xp"), F.col("y.k").alias("yk"),
-                         F.col("y.p").alias("yp"), "first", "node", "m", "length", "tokens")
+                         F.col("y.p").alias("yp"), "first", *held)
 
     def cell(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         same = key[1:3] == key[3:5]
         a, b = Block(pdf[pdf["first"]]), Block(pdf if same else pdf[~pdf["first"]])
-        u, v = compare(a, b, same, percent)
+        u, v = compare(a, b, same, percent, whole)
         return pd.DataFrame({"u": u, "v": v})
 
-    # a single set has nothing to meet
     found = cells.groupBy("group", "xk", "xp", "yk", "yp").applyInPandas(cell, "u long, v long")
     return written(found, "links")
 
 
+def links(docs: DataFrame, rows: DataFrame, order: Order, block_sets: int, block_shingles: int) -> DataFrame:
+    """(u, v) between nodes; their components are those of all pairs that
+    reach the threshold."""
+    groups = candidates(rows, order.percent)
+    thin = rows.join(groups, F.col("node") == F.col("node_")).dropDuplicates(["node"]).select(
+        "node", "n", "m", F.size("tokens").cast("long").alias("length"), "tokens", "group")
+    tied = met(thin, order.percent, block_sets, block_shingles, whole=False)
+    groups = written(components(tied).toDF("node_", "group"), "groups")
+    return met(whole_sets(docs, rows, groups, order), order.percent, block_sets, block_shingles, whole=True)
+
+
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, percent: int = 90,
-            counters: int = COUNTERS, most: int = 4, block_sets: int = 2048, block_shingles: int = 1 << 19) -> DataFrame:
+            counters: int | None = None, most: int = 4, block_sets: int = 2048, block_shingles: int = 1 << 19) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     ship_package(docs.sparkSession)
     docs = pick(docs, doc_id=doc_id, text=text).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    order = Order(docs, shingle, percent, counters, most)
+    order = Order(docs, shingle, percent, counters or table_size(docs), most)
     rows = written(prefixes(docs, order), "prefixes")
     roots = components(links(docs, rows, order, block_sets, block_shingles))
     sets = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("id"))

@@ -76,6 +76,31 @@ def test_near_copies_by_brute_force(spark, percent, counters):
     assert run(spark, rows, percent=percent, counters=counters, block_sets=16, block_shingles=1200) == slow(rows, percent)
 
 
+def test_whole_sets_are_read_for_enough_matches_only(spark, monkeypatch):
+    """A table of one cell tells nothing: a passage of all documents enters
+    their prefixes, and ties them, but only near copies match more."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(10)]
+    rows = [" ".join(passage + [f"o{i}x{k}" for k in range(90)]) for i in range(60)]
+    rows = list(enumerate(rows + [edited(rng, rows[0].split(), 1), edited(rng, rows[1].split(), 1)]))
+    tables = {}
+
+    def written(df, name, write=prefixjoin.written):
+        tables[name] = write(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(prefixjoin, "written", written)
+    assert run(spark, rows, counters=1) == slow(rows)
+    assert 4 <= tables["sets"].count() < 20
+
+
+def test_codes_of_counts_keep_their_order():
+    counts = np.array([0, 1, 2, 127, 128, 200, 1000, 5000, 10 ** 6, 4 * 10 ** 9])
+    code = prefixjoin.coded(counts)
+    assert (np.diff(code.astype(int)) >= 0).all() and (code[:4] == counts[:4]).all()
+    assert (np.abs(prefixjoin.decoded()[code[:9]] / np.maximum(counts[:9], 1) - 1)[1:] < 0.1).all()
+
+
 def test_prefixes_of_pairs_share_enough():
     """The smaller m of two similar sets is met by their prefixes, whichever
     m each of them takes."""
